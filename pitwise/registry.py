@@ -34,7 +34,7 @@ def query(name: str, oracle: str | None = None):
 
 # --- import the query modules so their @query decorators run ------------------------
 def _load() -> None:
-    from pitwise.plans import queries_features  # noqa: F401
+    from pitwise.plans import queries_features, queries_quality  # noqa: F401
 
 
 _load()
