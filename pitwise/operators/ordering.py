@@ -1,17 +1,21 @@
 """Global order operators without a single-partition window.
 
 A window with an ORDER BY and no PARTITION BY moves every row into one task.
-These two operators use the two-pass scheme instead:
-
-1. range-partition the rows by the order key (one shuffle; partition i holds a
-   contiguous key range) and sort each partition locally,
-2. compute per-partition totals (an aggregate over at most `num_partitions`
-   groups), turn them into partition offsets with a running sum over that tiny
-   table, and broadcast it (its size is bounded by `num_partitions`),
-3. add offset + local position / local running sum inside each partition.
-
-The order key must be unique (tie-break columns included) so the local order,
-and therefore the result, is deterministic when a lost partition is recomputed.
+These operators number rows / accumulate sums in a global order in two passes:
+
+1. bucket bounds: approximate quantiles of the (numeric) leading order key, one
+   aggregate pass; the `num_buckets - 1` bounds come back to the driver as a
+   short list of literals, so every later recomputation (e.g. after a lost
+   executor) buckets rows identically,
+2. bucket totals: an aggregate over at most `num_buckets` groups, turned into
+   bucket offsets by a running sum over that tiny table and broadcast (its size is
+   bounded by `num_buckets`),
+3. inside each bucket a window partitioned by the bucket does the local numbering /
+   running sum; offset + local value is the global result.
+
+Buckets are contiguous ranges of the leading key, so (bucket, order) is the
+global order. The full order must be unique (add tie-break columns) for the
+numbering to be deterministic.
 """
 
 from __future__ import annotations
@@ -22,64 +26,77 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOCAL_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
+def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:
+    if num_buckets:
+        return int(num_buckets)
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _numeric_key(df: DataFrame, c: Column | str) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        t = df.schema[c].dataType
+        if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            return F.unix_micros(col.cast("timestamp")).cast("double")
+        if isinstance(t, T.DateType):
+            return F.unix_date(col).cast("double")
+    return col.cast("double")
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+def _bucket(df: DataFrame, key: Column, n: int, descending: bool = False) -> Column:
+    """Bucket id in 0..n-1 following the order of `key`."""
+    if n <= 1:
+        return F.lit(0)
+    qs = [i / n for i in range(1, n)]
+    row = df.select(key.alias("__k")).agg(F.percentile_approx("__k", qs, 10_000).alias("b")).first()
+    bounds = sorted({float(b) for b in (row["b"] or []) if b is not None})
+    if not bounds:
+        return F.lit(0)
+    arr = F.array(*[F.lit(b) for b in bounds])
+    k = key
+    if descending:
+        return F.size(F.filter(arr, lambda b: b > k))
+    return F.size(F.filter(arr, lambda b: b <= k))
 
-def _offsets(ranged: DataFrame, value: Column | None) -> DataFrame:
-    """Exclusive running total of `value` (row count when None) per partition id."""
-    agg = F.count(F.lit(1)) if value is None else F.sum(value)
-    per = ranged.groupBy("__pid").agg(agg.alias("__tot"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # <= num_partitions rows
-    return per.select("__pid", F.coalesce(F.sum("__tot").over(w), F.lit(0)).alias("__off"))
+
+def _offsets(df: DataFrame, bucket: str, totals: dict[str, Column]) -> DataFrame:
+    per = df.groupBy(bucket).agg(*[v.alias(f"__t_{k}") for k, v in totals.items()])
+    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)  # <= num_buckets rows
+    return per.select(bucket, *[F.coalesce(F.sum(f"__t_{k}").over(w), F.lit(0)).cast("long").alias(f"__o_{k}")
+                                for k in totals])
 
 
 def assign_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "row_id",
-               num_partitions: int | None = None, start: int = 0) -> DataFrame:
-    """Consecutive ids `start, start+1, ...` in `order` (surrogate keys after a sort)."""
-    n = _num_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))))
-    offs = _offsets(ranged, None)
-    out = ranged.join(F.broadcast(offs), "__pid")
-    return out.withColumn(id_col, F.col("__off") + F.col("__local") + F.lit(start)).drop("__pid", "__local", "__off")
+               num_buckets: int | None = None, bucket_key: Column | None = None, start: int = 0) -> DataFrame:
+    """Consecutive ids `start, start+1, ...` in ascending `order` (surrogate keys after a sort).
+
+    `bucket_key`: numeric expression non-decreasing along `order` (default: the first
+    order column as a number).
+    """
+    n = _num_buckets(df, num_buckets)
+    key = bucket_key if bucket_key is not None else _numeric_key(df, order[0])
+    b = df.withColumn("__b", _bucket(df, key, n))
+    offs = _offsets(b, "__b", {"n": F.count(F.lit(1))})
+    local = F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1
+    out = b.withColumn("__local", local).join(F.broadcast(offs), "__b")
+    return out.withColumn(id_col, F.col("__o_n") + F.col("__local") + F.lit(start)).drop("__b", "__local", "__o_n")
 
 
 def running_sums(df: DataFrame, order: Sequence[Column | str], value_cols: Sequence[str],
-                 num_partitions: int | None = None, suffix: str = "_cum") -> DataFrame:
-    """Inclusive running sums of `value_cols` (long) in `order`.
+                 num_buckets: int | None = None, bucket_key: Column | None = None, descending: bool = False,
+                 suffix: str = "_cum") -> DataFrame:
+    """Inclusive running sums (long) of `value_cols` along `order`.
 
-    The local pass is a vectorized cumulative sum per Arrow batch (numpy inside the
-    task), carried across the batches of a partition.
+    `descending` must match the direction of `order` on its leading key.
     """
-    n = _num_partitions(df, num_partitions)
+    n = _num_buckets(df, num_buckets)
     value_cols = list(value_cols)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id()))
-    per = ranged.groupBy("__pid").agg(*[F.sum(c).cast("long").alias(f"__t_{c}") for c in value_cols])
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # <= num_partitions rows
-    offs = per.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(w), F.lit(0)).alias(f"__o_{c}")
-                                 for c in value_cols])
-    # broadcast hash join keeps the streamed side's partitioning and sort order
-    joined = ranged.join(F.broadcast(offs), "__pid")
-    out_schema = T.StructType(
-        [f for f in joined.schema.fields if f.name != "__pid" and not f.name.startswith("__o_")]
-        + [T.StructField(f"{c}{suffix}", T.LongType(), False) for c in value_cols])
-
-    def local(batches):
-        carry: dict[str, int] = {}
-        for pdf in batches:
-            for c in value_cols:
-                base = int(pdf[f"__o_{c}"].iloc[0]) if len(pdf) else 0
-                run = pdf[c].fillna(0).astype("int64").cumsum() + carry.get(c, 0)
-                carry[c] = int(run.iloc[-1]) if len(pdf) else carry.get(c, 0)
-                pdf[f"{c}{suffix}"] = run + base
-            yield pdf.drop(columns=["__pid", *[f"__o_{c}" for c in value_cols]])
-
-    return joined.mapInPandas(local, out_schema)
+    key = bucket_key if bucket_key is not None else _numeric_key(df, order[0])
+    b = df.withColumn("__b", _bucket(df, key, n, descending))
+    offs = _offsets(b, "__b", {c: F.sum(c) for c in value_cols})
+    w = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = b.select("*", *[F.sum(c).over(w).cast("long").alias(f"__l_{c}") for c in value_cols])
+    out = local.join(F.broadcast(offs), "__b")
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"{c}{suffix}") for c in value_cols])
