@@ -29,9 +29,11 @@ def _scored(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def class_totals(df: DataFrame, label: str, score: str) -> tuple[Column, Column]:
-    """Scalar subqueries: number of positives and negatives."""
+    """Number of positives and negatives (two counts come back to the driver and are
+    used as literals; scores from model UDFs cannot feed a scalar subquery)."""
     s = _scored(df, label, score)
-    return (s.agg(F.count_if(F.col("__y") == 1)).scalar(), s.agg(F.count_if(F.col("__y") != 1)).scalar())
+    p, n = s.agg(F.count_if(F.col("__y") == 1), F.count_if(F.col("__y") != 1)).first()
+    return F.lit(int(p)), F.lit(int(n))
 
 
 def score_curve(df: DataFrame, label: str = "label", score: str = "score",
