@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwise.functions.time import monday
 
@@ -48,11 +49,16 @@ def asof_join(
     """Left rows plus `right_cols` from the latest right row with time <= left time."""
     keys = _keys(by)
     right_cols = list(right_cols)
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+
+    def micros(df: DataFrame, c: str):
+        # timestamps as unix micros; plain numbers are taken as seconds
+        if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return F.unix_micros(F.col(c).cast("timestamp"))
+        return F.col(c).cast("long") * F.lit(1_000_000)
 
     lcols = left.columns
-    l = left.select(*[F.col(c) for c in lcols], micros(left_ts).alias("__t"), F.lit(1).alias("__side"))
-    r = right.select(*[F.col(k) for k in keys], micros(right_ts).alias("__t"), F.lit(0).alias("__side"),
+    l = left.select(*[F.col(c) for c in lcols], micros(left, left_ts).alias("__t"), F.lit(1).alias("__side"))
+    r = right.select(*[F.col(k) for k in keys], micros(right, right_ts).alias("__t"), F.lit(0).alias("__side"),
                      F.struct(*[F.col(c) for c in right_cols]).alias("__r"))
 
     if bucket_seconds is None:
@@ -88,15 +94,18 @@ def asof_join_weekly(
     left_ts: str,
     right_ts: str,
     right_cols: Sequence[str],
+    until=None,
 ) -> DataFrame:
     """As-of join for right times that are Monday 00:00 (weekly snapshots).
 
     For a Monday-aligned right time `a`: `a <= t`  <=>  `a <= monday(t)`, so the
-    match of `t` is the snapshot valid in week `monday(t)`.
+    match of `t` is the snapshot valid in week `monday(t)`. `until` (a timestamp
+    Column, e.g. a scalar subquery) bounds the expansion from above; it must be at
+    or after the latest left time (default: computed from `left`).
     """
     keys = _keys(by)
     right_cols = list(right_cols)
-    last_week = left.select(F.max(monday(left_ts))).scalar()
+    last_week = monday(until) if until is not None else left.select(F.max(monday(left_ts))).scalar()
     by_key = Window.partitionBy(*keys).orderBy(right_ts)
     start = F.col(right_ts).cast("date")
     nxt = F.lead(F.col(right_ts).cast("date")).over(by_key)

@@ -27,7 +27,8 @@ def now_ts(tx: DataFrame, ts: str = "authorized_at") -> Column:
 
 
 def tx_cutoff(tx: DataFrame, maturity_days: int = MATURITY_DAYS, ts: str = "authorized_at") -> Column:
-    return tx.select(days_back(F.max(ts), maturity_days)).scalar()
+    # derived from the same scalar subquery as `now_ts`, so Spark evaluates it once
+    return days_back(now_ts(tx, ts), maturity_days)
 
 
 def snapshot_bounds(tx: DataFrame, maturity_days: int = MATURITY_DAYS, ts: str = "authorized_at") -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwise.functions.time import epoch_seconds
+from pitwise.operators.asof import asof_join
 
 # Frame sizes of the reference feature set.
 VELOCITY_WINDOWS = {"vel_1h": 3600, "vel_24h": 86400, "vel_7d": 604800}
@@ -40,19 +41,44 @@ def customer_window_features(
     velocity: dict[str, int] | None = None,
     prior_rows: int = PRIOR_ROWS,
     digits: int = Z_DIGITS,
+    hot_threshold: int | None = None,
+    bucket_seconds: int = 86400,
+    block_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Append the window features to `tx` (all input columns are kept)."""
+    """Append the window features to `tx` (all input columns are kept).
+
+    With `hot_threshold`, customers holding more than that many rows are computed
+    by `hot_customer_features` (split by time buckets and row blocks, never one
+    task per customer); all others by the single-window plan. The hot-key list is
+    at most rows / hot_threshold keys, so it is broadcast.
+    """
+    args = dict(key=key, ts=ts, order_id=order_id, amount=amount, auth_result=auth_result,
+                velocity=velocity, prior_rows=prior_rows, digits=digits)
+    if hot_threshold is None:
+        return _single_window(tx, **args)
+    hot = tx.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_threshold).select(key)
+    cold_rows = tx.join(F.broadcast(hot), key, "left_anti")
+    hot_rows = tx.join(F.broadcast(hot), key, "left_semi")
+    return _single_window(cold_rows, **args).unionByName(
+        hot_customer_features(hot_rows, bucket_seconds=bucket_seconds, block_rows=block_rows, **args))
+
+
+def _parts(df, ts, amount, auth_result):
+    amt = F.col(amount).cast("double")
+    declined = F.when(F.col(auth_result) == "declined", F.lit(1.0)).otherwise(F.lit(0.0))
+    return df.withColumn("__epoch", epoch_seconds(ts)), amt, declined
+
+
+def _single_window(tx, key, ts, order_id, amount, auth_result, velocity, prior_rows, digits):
     velocity = VELOCITY_WINDOWS if velocity is None else velocity
     ep = "__epoch"
-    df = tx.withColumn(ep, epoch_seconds(ts))
+    df, amt, declined = _parts(tx, ts, amount, auth_result)
 
     by_key = Window.partitionBy(key)
     w_rows = by_key.orderBy(F.col(ep), F.col(order_id))
     w_prior = w_rows.rowsBetween(-prior_rows, -1)
     w_range = {name: by_key.orderBy(F.col(ep)).rangeBetween(-secs, 0) for name, secs in velocity.items()}
 
-    amt = F.col(amount).cast("double")
-    declined = F.when(F.col(auth_result) == "declined", F.lit(1.0)).otherwise(F.lit(0.0))
     prior_mean = F.avg(amt).over(w_prior)
     prior_std = F.stddev_pop(amt).over(w_prior)
 
@@ -67,4 +93,66 @@ def customer_window_features(
     return df.select("*", *cols).drop(ep)
 
 
+def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="transaction_id", amount="amount",
+                          auth_result="auth_result", velocity=None, prior_rows=PRIOR_ROWS, digits=Z_DIGITS,
+                          bucket_seconds: int = 86400, block_rows: int = 1_000_000) -> DataFrame:
+    """Same features for customers too large for one task, with bounded tasks.
+
+    1. position `idx` of every row in its customer's (epoch, id) order: per
+       (customer, day bucket) counts -> offsets over the small bucket table, plus a
+       row number inside each (customer, bucket);
+    2. ROWS frames (previous row, previous 20 rows): blocks of `block_rows`
+       consecutive positions, each block also given the last `prior_rows` rows of
+       the block before it, one window per (customer, block);
+    3. RANGE counts: rows in [t - W, t] = #(epoch <= t) - #(epoch < t - W). The first
+       term is the largest position among the row's same-second peers + 1; the
+       second is an as-of lookup of the probe time t - W - 1 s into the customer's
+       own (epoch -> largest position) table, split by time bucket.
+    """
+    velocity = VELOCITY_WINDOWS if velocity is None else velocity
+    ep = "__epoch"
+    df, amt, declined = _parts(tx, ts, amount, auth_result)
+    df = df.withColumn("__b", F.floor(F.col(ep) / F.lit(int(bucket_seconds))))
+
+    # 1. global position inside the customer
+    per_bucket = df.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__nb"))
+    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_bucket.select(key, "__b", F.coalesce(F.sum("__nb").over(before), F.lit(0)).alias("__off"))
+    w_local = Window.partitionBy(key, "__b").orderBy(F.col(ep), F.col(order_id))
+    w_peers = Window.partitionBy(key, "__b").orderBy(F.col(ep)).rangeBetween(0, 0)
+    local = df.withColumn("__loc", F.row_number().over(w_local) - 1)
+    pos = local.join(offs, [key, "__b"]).withColumn("__idx", F.col("__off") + F.col("__loc"))
+    pos = pos.withColumn("__le", F.max("__idx").over(w_peers) + 1)  # rows with epoch <= t
+
+    # 2. ROWS frames over position blocks with a halo of `prior_rows` rows
+    blk = F.floor(F.col("__idx") / F.lit(int(block_rows)))
+    own = pos.withColumn("__blk", blk).withColumn("__halo", F.lit(False))
+    halo = (pos.filter((F.col("__idx") % F.lit(int(block_rows))) >= F.lit(int(block_rows) - prior_rows))
+            .withColumn("__blk", blk + 1).withColumn("__halo", F.lit(True)))
+    w_rows = Window.partitionBy(key, "__blk").orderBy("__idx")
+    w_prior = w_rows.rowsBetween(-prior_rows, -1)
+    rows_feats = own.unionByName(halo).select(
+        order_id, "__halo",
+        (F.col(ep) - F.lag(ep, 1).over(w_rows)).alias("secs_since_prev"),
+        F.round((amt - F.avg(amt).over(w_prior)) / F.nullif(F.stddev_pop(amt).over(w_prior), F.lit(0.0)),
+                digits).alias("amount_z"),
+        F.round(F.avg(declined).over(w_prior), digits).alias("decline_rate_20"),
+    ).filter(~F.col("__halo")).drop("__halo")
+
+    # 3. RANGE counts through an as-of lookup of each probe time
+    lookup = pos.groupBy(key, F.col(ep).alias("__pt")).agg(F.max("__idx").alias("__lastidx"))
+    probes = None
+    for name, secs in velocity.items():
+        p = pos.select(key, order_id, F.lit(name).alias("__w"), (F.col(ep) - F.lit(secs + 1)).alias("__pt"),
+                       "__le")
+        probes = p if probes is None else probes.unionByName(p)
+    hit = asof_join(probes, lookup, key, "__pt", "__pt", ["__lastidx"], bucket_seconds=bucket_seconds)
+    counts = hit.select(order_id, "__w", (F.col("__le") - F.coalesce(F.col("__lastidx") + 1, F.lit(0)) - 1)
+                        .alias("__cnt"))
+    range_feats = counts.groupBy(order_id).pivot("__w", list(velocity)).agg(F.first("__cnt"))
+
+    base = tx
+    return base.join(rows_feats, order_id).join(range_feats, order_id)
+
+
 WINDOW_FEATURES = ["vel_1h", "vel_24h", "vel_7d", "secs_since_prev", "amount_z", "decline_rate_20"]

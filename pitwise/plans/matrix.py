@@ -65,7 +65,7 @@ def feature_matrix(
     labelled = L.attach_labels(feats, labels, now)
     with_m = attach_merchant_static(labelled, merchants)
     with_rate = asof_join_weekly(with_m, weekly, "merchant_id", "authorized_at", "as_of_date",
-                                 ["fraud_rate_pit"])
+                                 ["fraud_rate_pit"], until=now)
     return with_rate.select(
         "transaction_id", "customer_id", "authorized_at", "amount",
         F.hour("authorized_at").alias("hour"),

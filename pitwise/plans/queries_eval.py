@@ -297,3 +297,21 @@ def q_feature_direction(t):
     """Direction of each numeric feature against the label on the test split."""
     test = _split(t).filter(F.col("split") == "test")
     return M.feature_direction(test, NUMERIC_FEATURES, "label")
+
+
+@query("undersample_rates", O.sql(f"""
+SELECT rows_before, rows_after, pos_before,
+  round(CAST(pos_before AS DOUBLE) / CAST(rows_before AS DOUBLE), 6) AS rate_before,
+  round(CAST(pos_before AS DOUBLE) / CAST(rows_after AS DOUBLE), 6) AS rate_after,
+  round((CAST(pos_before AS DOUBLE) / CAST(rows_after AS DOUBLE))
+        / (CAST(pos_before AS DOUBLE) / CAST(rows_before AS DOUBLE)), 4) AS prior_shift
+FROM (SELECT count(*) AS rows_before, CAST(sum(label) AS BIGINT) AS pos_before,
+        CAST(sum(label) AS BIGINT)
+          + least(count(*) FILTER (WHERE label = 0), {NEG_PER_POS} * count(*) FILTER (WHERE label = 1)) AS rows_after
+      FROM splitm WHERE split = 'train') x""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
+def q_undersample_rates(t):
+    """Fraud rate before / after undersampling the train split and the prior shift."""
+    from pitwise.operators.sampling import undersample_rates
+
+    train = _split(t).filter(F.col("split") == "train")
+    return undersample_rates(train, undersample(train, neg_per_pos=NEG_PER_POS, seed=SEED))

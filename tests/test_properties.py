@@ -113,3 +113,15 @@ def test_customer_filter_reaches_the_scan(spark, tmp_path):
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(customer_id), EqualTo(customer_id,3)]" in plan
     assert df.count() == len([i for i in range(100) if i % 7 == 3])
+
+
+def test_hot_customer_path_equals_single_window(spark, tables):
+    """Every customer forced through the split path; tiny blocks and buckets exercise
+    the row halo and the carried as-of value."""
+    tx = tables.event_transactions.select("transaction_id", "customer_id", "authorized_at", "amount", "auth_result")
+    a = customer_window_features(tx)
+    b = customer_window_features(tx, hot_threshold=0, bucket_seconds=3 * 3600, block_rows=7)
+    assert b.count() == a.count()
+    assert _same(a, b, KEY + WINDOW_FEATURES)
+    c = customer_window_features(tx, hot_threshold=10 ** 9)  # nobody hot: same plan as default
+    assert _same(a, c, KEY + WINDOW_FEATURES)
