@@ -57,6 +57,8 @@ def customer_window_features(
     if hot_threshold is None:
         return _single_window(tx, **args)
     hot = tx.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_threshold).select(key)
+    if hot.isEmpty():  # the usual case: keep the one-shuffle plan
+        return _single_window(tx, **args)
     cold_rows = tx.join(F.broadcast(hot), key, "left_anti")
     hot_rows = tx.join(F.broadcast(hot), key, "left_semi")
     return _single_window(cold_rows, **args).unionByName(
@@ -124,11 +126,14 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     pos = local.join(offs, [key, "__b"]).withColumn("__idx", F.col("__off") + F.col("__loc"))
     pos = pos.withColumn("__le", F.max("__idx").over(w_peers) + 1)  # rows with epoch <= t
 
-    # 2. ROWS frames over position blocks with a halo of `prior_rows` rows
-    blk = F.floor(F.col("__idx") / F.lit(int(block_rows)))
+    # 2. ROWS frames over position blocks; a row is also copied, as halo, into every
+    #    later block whose first row is at most `prior_rows` positions after it
+    R = max(1, int(block_rows))
+    blk = F.floor(F.col("__idx") / F.lit(R))
+    last_blk = F.floor((F.col("__idx") + F.lit(prior_rows)) / F.lit(R))
     own = pos.withColumn("__blk", blk).withColumn("__halo", F.lit(False))
-    halo = (pos.filter((F.col("__idx") % F.lit(int(block_rows))) >= F.lit(int(block_rows) - prior_rows))
-            .withColumn("__blk", blk + 1).withColumn("__halo", F.lit(True)))
+    halo = (pos.filter(last_blk > blk)
+            .withColumn("__blk", F.explode(F.sequence(blk + 1, last_blk))).withColumn("__halo", F.lit(True)))
     w_rows = Window.partitionBy(key, "__blk").orderBy("__idx")
     w_prior = w_rows.rowsBetween(-prior_rows, -1)
     rows_feats = own.unionByName(halo).select(

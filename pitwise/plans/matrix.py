@@ -45,14 +45,22 @@ def attach_merchant_static(tx: DataFrame, merchants: DataFrame) -> DataFrame:
     return tx.join(m, tx["merchant_id"] == m["__mid"], "left").drop("__mid")
 
 
+HOT_CUSTOMER_ROWS = 2_000_000  # customers above this are windowed by the split path
+
+
 def feature_matrix(
     tx: DataFrame,
     labels: DataFrame,
     merchants: DataFrame,
     maturity_days: int = L.MATURITY_DAYS,
     weekly: DataFrame | None = None,
+    hot_threshold: int | None = HOT_CUSTOMER_ROWS,
 ) -> DataFrame:
-    """The 22-column matrix (3 ids, 18 features, label)."""
+    """The 22-column matrix (3 ids, 18 features, label).
+
+    `hot_threshold`: customers with more operations are windowed by the split path
+    (`operators.windows.hot_customer_features`); None disables the check.
+    """
     if weekly is None:
         weekly = merchant_weekly_stats(tx, labels)
     now = L.now_ts(tx)
@@ -61,7 +69,7 @@ def feature_matrix(
         "entry_mode", "is_ecommerce", "is_recurring", "is_tokenized", "country", "ip_country",
         "auth_result")
     gated = L.maturity_gate(base, maturity_days, bounds_from=tx)
-    feats = customer_window_features(gated)
+    feats = customer_window_features(gated, hot_threshold=hot_threshold)
     labelled = L.attach_labels(feats, labels, now)
     with_m = attach_merchant_static(labelled, merchants)
     with_rate = asof_join_weekly(with_m, weekly, "merchant_id", "authorized_at", "as_of_date",
