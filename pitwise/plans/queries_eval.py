@@ -267,7 +267,7 @@ def q_fp_reduction(t):
 
 
 @query("reliability", O.sql("""
-SELECT len(list_filter(list_slice(e.edges, 2, greatest(len(e.edges) - 1, 1)), lambda x: x <= s.p)) AS bin,
+SELECT CAST(len(list_filter(list_slice(e.edges, 2, greatest(len(e.edges) - 1, 1)), lambda x: x <= s.p)) AS INTEGER) AS bin,
   count(*) AS n, round(avg(s.p), 6) AS mean_pred, round(avg(CAST(s.label AS DOUBLE)), 6) AS observed_rate
 FROM (SELECT label, merchant_fraud_rate_pit AS p FROM splitm WHERE split = 'test' AND merchant_fraud_rate_pit IS NOT NULL) s
 CROSS JOIN (SELECT list_distinct_ordered AS edges FROM (
