@@ -41,12 +41,19 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
 def foreign_key_summary(child: DataFrame, child_name: str, fk: str, parent: DataFrame, parent_name: str,
                         pk: str) -> DataFrame:
-    o = orphans(child.select(fk), fk, parent, pk)
+    """Orphan rows and orphan key values of one reference.
+
+    The child is first reduced to (key, rows) with map-side partial aggregation, so a
+    key holding a large share of the child never lands in one join task; only the
+    distinct keys are anti-joined with the parent.
+    """
+    keys = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("__rows"))
+    o = orphans(keys, fk, parent, pk)
     return o.agg(
         F.lit(child_name).alias("child_table"), F.lit(fk).alias("fk_column"),
         F.lit(parent_name).alias("parent_table"), F.lit(pk).alias("pk_column"),
-        F.count(F.lit(1)).alias("n_orphans"),
-        F.count_distinct(F.col(fk)).alias("n_orphan_keys"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).cast("long").alias("n_orphans"),
+        F.count(F.lit(1)).alias("n_orphan_keys"),
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pitwise.functions.cols import flag
 from pitwise.operators.asof import asof_join_weekly
 from pitwise.operators.windows import customer_window_features
+from pitwise.plans.matrix import HOT_CUSTOMER_ROWS
 
 LISTING_ROWS = 20  # fixed value: length of the demo listings
 
@@ -38,8 +39,8 @@ def customer_timeline(tx: DataFrame, labels: DataFrame, customer_id=None) -> Dat
         customer_id = top_fraud_customer(tx, labels).select("customer_id").scalar()
     one = tx.filter(F.col("customer_id") == customer_id).select(
         "transaction_id", "customer_id", "authorized_at", "amount", "country", "auth_result")
-    # the demo prints coarser roundings than the matrix
-    feats = customer_window_features(one, digits=4)
+    # a very large customer is windowed by the split path; the demo rounds coarser
+    feats = customer_window_features(one, digits=4, hot_threshold=HOT_CUSTOMER_ROWS)
     lab = labels.select(F.col("transaction_id").alias("__lk"))
     j = feats.join(lab, feats["transaction_id"] == lab["__lk"], "left")
     return j.select(
