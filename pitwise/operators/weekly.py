@@ -70,3 +70,9 @@ def merchant_weekly_stats_direct(tx: DataFrame, labels: DataFrame, horizon_weeks
         "merchant_id", add_weeks("aw", F.col("k") + 1).cast("timestamp_ntz").alias("as_of_date")
     ).agg(F.count(F.lit(1)).alias("n_tx"), F.count_if(known).alias("n_fraud_known")).withColumn(
         "fraud_rate_pit", shrunk_rate("n_fraud_known", "n_tx", prior, strength))
+
+
+def write_weekly_stats(weekly: DataFrame, path: str) -> None:
+    """Rebuild the materialized weekly table (drop + create as select): overwrite the
+    folder, rows clustered by (merchant_id, as_of_date) inside each file."""
+    weekly.sortWithinPartitions("merchant_id", "as_of_date").write.mode("overwrite").parquet(path)
