@@ -75,6 +75,6 @@ def build_snapshot(spark: SparkSession, tx: DataFrame, labels: DataFrame, mercha
         data = spark.read.parquet(path)  # statistics read the frozen files, not the live tables
     man = manifest_frame(spark, data, tx, snapshot_id, dataset, maturity_days, source)
     if not dry_run:
-        S.write_manifest(man, root, dataset, snapshot_id)
-        man = S.manifests(spark, root, dataset).filter(F.col("snapshot_id") == snapshot_id)
+        path = S.write_manifest(man, root, dataset, snapshot_id)
+        man = spark.read.schema(S.MANIFEST_SCHEMA).json(path)
     return snapshot_id, man, data
