@@ -21,7 +21,7 @@ from pitwise.operators.splits import cut_points, split_check, split_summary, tem
 from pitwise.plans.matrix import feature_matrix
 from pitwise.plans.snapshot import build_snapshot, dataset_stats
 from pitwise.registry import query
-from pitwise.session import scratch_path
+from pitwise.session import materialize, scratch_path
 
 TARGET_RECALL = 0.80   # fixed value: recall the rules engine guarantees
 RULES_PRECISION = 0.05  # fixed value: assumed rules precision at that recall
@@ -32,7 +32,7 @@ SHAP_SAMPLE = 5000
 
 def _matrix(t):
     # several passes (counts, quantiles, ranking) read the matrix: cut its lineage once
-    return feature_matrix(t.transactions, t.fraud_labels, t.merchants).checkpoint()
+    return materialize(feature_matrix(t.transactions, t.fraud_labels, t.merchants), "matrix")
 
 
 def _split(t):

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pitwise import oracles as O
 from pitwise.plans import attribution as A
 from pitwise.plans import training as TR
+from pitwise.operators.splits import assert_disjoint
 from pitwise.plans.contract import Contract, rejection_counts, validate
 from pitwise.plans.queries_eval import CUTS_CTE, SPLIT_CTE, SEED, SHAP_SAMPLE, _split
 from pitwise.plans.scoring import score
 from pitwise.registry import query
-from pitwise.session import scratch_path
+from pitwise.session import materialize, scratch_path
 from pitwise.streaming.scoring import run_to_completion, start_scoring_stream
 
 GBT_ITER = 60
@@ -30,7 +31,8 @@ def _parts(t):
     key = ("parts", id(t.spark), t.sf_dir)
     if key not in _CACHE:
         split = _split(t)
-        _CACHE[key] = {p: split.filter(F.col("split") == p).drop("split").checkpoint() for p in ("train", "val", "test")}
+        assert_disjoint(split)  # train <= val <= test in time, or stop here
+        _CACHE[key] = {p: materialize(split.filter(F.col("split") == p).drop("split"), p) for p in ("train", "val", "test")}
     return _CACHE[key]
 
 
@@ -76,7 +78,7 @@ def q_attribution_global(t):
     from pitwise.plans import models as ML
     p = _parts(t)
     c = Contract()
-    bal = undersample(p["train"], seed=SEED).checkpoint()
+    bal = materialize(undersample(p["train"], seed=SEED), "train_bal")
     lr = ML.logistic(c).fit(ML.prepare(bal, c))
     sample = capped_sample(p["test"], SHAP_SAMPLE, "transaction_id", SEED)
     contrib = A.linear_contributions(lr, bal, sample, c)

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from pitwise.operators import metrics as M
 from pitwise.operators.sampling import undersample
-from pitwise.operators.splits import assert_disjoint
 from pitwise.plans import models as ML
 from pitwise.plans.contract import Contract
+from pitwise.session import materialize
 
 # Training defaults of the reference workflow.
 NEG_PER_POS = 20
@@ -92,8 +92,8 @@ def score_frame(t: Trained, df: DataFrame, keep=("transaction_id",)) -> DataFram
 def evaluate(t: Trained, val: DataFrame, test: DataFrame, rules_precision: float = RULES_PRECISION) -> DataFrame:
     """One-row report: ranking on val (raw) and test (calibrated), operating point on test."""
     lab = t.contract.label
-    v = score_frame(t, val).checkpoint()
-    s = score_frame(t, test).checkpoint()
+    v = materialize(score_frame(t, val), "val_scores")
+    s = materialize(score_frame(t, test), "test_scores")
     conf = M.confusion(s, t.contract.threshold, lab, "fraud_probability")
     fpr = M.fp_reduction(conf, rules_precision).select("rules_fp", "fp_reduction", "alerts_per_fraud")
     parts = [
@@ -154,8 +154,8 @@ def leaderboard(train_bal: DataFrame, val: DataFrame, contract: Contract | None
     contract = contract or Contract()
     spark = train_bal.sparkSession
     lab = contract.label
-    tb = ML.prepare(train_bal, contract).checkpoint()
-    va = ML.prepare(val, contract).checkpoint()
+    tb = materialize(ML.prepare(train_bal, contract), "train_bal")
+    va = materialize(ML.prepare(val, contract), "val")
     candidates = [
         ("GBT", lambda: ML.gbt(contract, gbt_iter, seed=seed).fit(
             tb.withColumn("is_val", F.lit(False)).unionByName(va.withColumn("is_val", F.lit(True)))), "probability"),
@@ -170,7 +170,7 @@ def leaderboard(train_bal: DataFrame, val: DataFrame, contract: Contract | None
         model = fit()
         dt = time.time() - t0
         pred = model.transform(va.withColumn("is_val", F.lit(True)))
-        sc = pred.select(F.col(lab).cast("int").alias(lab), ML.positive_score(pred, kind).alias("s")).checkpoint()
+        sc = materialize(pred.select(F.col(lab).cast("int").alias(lab), ML.positive_score(pred, kind).alias("s")), "scores")
         m = (M.roc_auc(sc, lab, "s").crossJoin(M.average_precision(sc, lab, "s"))
              .crossJoin(M.precision_at_recall(sc, lab, "s", target_recall))).first()
         rows.append((name, round(m["roc_auc"] or 0.0, 4), round(m["average_precision"] or 0.0, 4),

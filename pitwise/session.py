@@ -64,3 +64,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate written tables."""
     return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
+
+
+def materialize(df, name: str = "stage"):
+    """Write `df` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like `checkpoint()`, but computes the plan a single time (a
+    reliable RDD checkpoint of an unpersisted plan recomputes it to write the files)
+    and survives the loss of any executor.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
