@@ -21,6 +21,30 @@ REQUIRED_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB class inputs). The initial shuffle
+# partition count is high on purpose: AQE coalesces small partitions at run time
+# toward the advisory size, splits skewed join partitions, and turns joins into
+# broadcasts only when the measured side is under the threshold.
+CLUSTER_CONF = {
+    **REQUIRED_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply the runtime-settable part of CLUSTER_CONF (and `overrides`) to a session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pitwise") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
