@@ -44,20 +44,27 @@ def _numeric_key(df: DataFrame, c: Column | str) -> Column:
     return col.cast("double")
 
 
-def _bucket(df: DataFrame, key: Column, n: int, descending: bool = False) -> Column:
-    """Bucket id in 0..n-1 following the order of `key`."""
+def _bucket(df: DataFrame, key: Column, n: int, descending: bool = False) -> DataFrame:
+    """`df` plus `__b`, a bucket id in 0..n-1 following the order of `key`.
+
+    The bounds are placed with a binary search (`Bucketizer`, JVM side), so the
+    per-row cost is O(log n) however many buckets the cluster uses.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    keyed = df.withColumn("__k", key.cast("double"))
     if n <= 1:
-        return F.lit(0)
+        return keyed.withColumn("__b", F.lit(0)).drop("__k")
     qs = [i / n for i in range(1, n)]
-    row = df.select(key.alias("__k")).agg(F.percentile_approx("__k", qs, 10_000).alias("b")).first()
+    row = keyed.agg(F.percentile_approx("__k", qs, 10_000).alias("b")).first()
     bounds = sorted({float(b) for b in (row["b"] or []) if b is not None})
     if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    k = key
-    if descending:
-        return F.size(F.filter(arr, lambda b: b > k))
-    return F.size(F.filter(arr, lambda b: b <= k))
+        return keyed.withColumn("__b", F.lit(0)).drop("__k")
+    # bucket = number of bounds <= key (ascending) / number of bounds > key (descending)
+    splits = [float("-inf"), *bounds, float("inf")]
+    b = Bucketizer(splits=splits, inputCol="__k", outputCol="__bk", handleInvalid="keep").transform(keyed)
+    idx = F.col("__bk").cast("int")
+    return b.withColumn("__b", (F.lit(len(bounds)) - idx) if descending else idx).drop("__k", "__bk")
 
 
 def _offsets(df: DataFrame, bucket: str, totals: dict[str, Column]) -> DataFrame:
@@ -76,7 +83,7 @@ def assign_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "row_
     """
     n = _num_buckets(df, num_buckets)
     key = bucket_key if bucket_key is not None else _numeric_key(df, order[0])
-    b = df.withColumn("__b", _bucket(df, key, n))
+    b = _bucket(df, key, n)
     offs = _offsets(b, "__b", {"n": F.count(F.lit(1))})
     local = F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1
     out = b.withColumn("__local", local).join(F.broadcast(offs), "__b")
@@ -93,7 +100,7 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], value_cols: Seque
     n = _num_buckets(df, num_buckets)
     value_cols = list(value_cols)
     key = bucket_key if bucket_key is not None else _numeric_key(df, order[0])
-    b = df.withColumn("__b", _bucket(df, key, n, descending))
+    b = _bucket(df, key, n, descending)
     offs = _offsets(b, "__b", {c: F.sum(c) for c in value_cols})
     w = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = b.select("*", *[F.sum(c).over(w).cast("long").alias(f"__l_{c}") for c in value_cols])
