@@ -149,6 +149,14 @@ def calibration_means(df: DataFrame, label: str = "label", raw: str = "raw_score
                   F.round(F.avg(F.col(label).cast("double")), 6).alias("actual_rate"))
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over rows where both are non-NULL; NULL when either side has no
+    spread (the built-in `corr` raises a division error under ANSI mode there)."""
+    both = x.isNotNull() & y.isNotNull()
+    xp, yp = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(xp, yp), F.stddev_pop(xp) * F.stddev_pop(yp))
+
+
 def feature_direction(df: DataFrame, features, target: str, min_count: int = 10,
                       band: float = 0.05) -> DataFrame:
     """Pearson r of each numeric feature with `target` (guards: more than `min_count`
@@ -158,7 +166,7 @@ def feature_direction(df: DataFrame, features, target: str, min_count: int = 10,
         x = F.col(f).cast("double")
         pair = F.when(x.isNotNull() & F.col(target).isNotNull(), x)
         aggs += [F.count(pair).alias(f"{f}__n"), F.stddev_pop(pair).alias(f"{f}__sd"),
-                 F.corr(x, F.col(target).cast("double")).alias(f"{f}__r")]
+                 pearson(x, F.col(target).cast("double")).alias(f"{f}__r")]
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f"{f}__n").alias("n"),
