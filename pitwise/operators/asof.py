@@ -45,8 +45,31 @@ def asof_join(
     right_ts: str,
     right_cols: Sequence[str],
     bucket_seconds: int | None = None,
+    hot_threshold: int | None = None,
+    hot_bucket_seconds: int = 86400,
 ) -> DataFrame:
-    """Left rows plus `right_cols` from the latest right row with time <= left time."""
+    """Left rows plus `right_cols` from the latest right row with time <= left time.
+
+    Times are timestamps, or plain numbers read as seconds. `hot_threshold`: keys
+    with more left rows than that take the time-bucketed form (`hot_bucket_seconds`)
+    while all other keys keep the one-shuffle form; the hot-key list has at most
+    rows / hot_threshold entries and is broadcast.
+    """
+    if hot_threshold is not None and bucket_seconds is None:
+        keys = _keys(by)
+        hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+               .filter(F.col("__n") > hot_threshold).select(*keys))
+        if not hot.isEmpty():
+            hb = F.broadcast(hot)
+            cold = asof_join(left.join(hb, keys, "left_anti"), right.join(hb, keys, "left_anti"),
+                             by, left_ts, right_ts, right_cols)
+            warm = asof_join(left.join(hb, keys, "left_semi"), right.join(hb, keys, "left_semi"),
+                             by, left_ts, right_ts, right_cols, bucket_seconds=hot_bucket_seconds)
+            return cold.unionByName(warm)
+    return _asof_join(left, right, by, left_ts, right_ts, right_cols, bucket_seconds)
+
+
+def _asof_join(left, right, by, left_ts, right_ts, right_cols, bucket_seconds):
     keys = _keys(by)
     right_cols = list(right_cols)
 

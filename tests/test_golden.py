@@ -68,7 +68,7 @@ def test_maturity_gate_and_label_timing(spark):
     assert carve["total transactions"] == carve["qualified for dataset"] + carve["dropped: immature tail (<90d old)"]
 
 
-@pytest.mark.parametrize("form", ["plain", "bucketed", "weekly"])
+@pytest.mark.parametrize("form", ["plain", "bucketed", "weekly", "hot_split"])
 def test_asof_cold_start_exact_and_stale(spark, form):
     monday = datetime(2024, 3, 4)
     right = spark.createDataFrame(
@@ -86,6 +86,8 @@ def test_asof_cold_start_exact_and_stale(spark, form):
         j = asof_join(*args)
     elif form == "bucketed":
         j = asof_join(*args, bucket_seconds=86400)
+    elif form == "hot_split":
+        j = asof_join(*args, hot_threshold=1, hot_bucket_seconds=86400)  # merchant 1 hot, others not
     else:
         j = asof_join_weekly(*args)
     got = dict(rows(j, "transaction_id", "rate"))
