@@ -10,9 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pitwise import oracles as O
 from pitwise.sources.fixtures import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -99,3 +99,13 @@ def test_confusion_and_fp_reduction(spark):
     assert r["rules_fp"] == pytest.approx(19.0)
     assert r["fp_reduction"] == pytest.approx(1 - 1 / 19, abs=1e-6)
     assert r["alerts_per_fraud"] == pytest.approx(2.0)
+
+
+def test_metrics_without_positives(spark):
+    df = spark.createDataFrame([(0, 0.3), (0, 0.7), (0, 0.7)], "label int, score double")
+    assert M.roc_auc(df).first()[0] is None
+    assert M.average_precision(df).first()[0] is None
+    assert M.pick_threshold(df).first()[0] == 0.7  # every threshold has full recall by convention
+    assert M.precision_at_recall(df).first()[0] == 0.0
+    c = M.confusion(df, 0.5).first()
+    assert (c["tp"], c["fp"], c["recall"], c["precision"]) == (0, 2, 0.0, 0.0)
