@@ -30,17 +30,23 @@ SEED = 42
 SHAP_SAMPLE = 5000
 
 
-def _matrix(t):
-    # several passes (counts, quantiles, ranking) read the matrix: cut its lineage once
-    return materialize(feature_matrix(t.transactions, t.fraud_labels, t.merchants), "matrix")
+SCORE_COLUMNS = ["transaction_id", "authorized_at", "label", "amount"]
 
 
-def _split(t):
-    return temporal_split(_matrix(t))
+def _matrix(t, cols: list[str] | None = None):
+    # several passes (counts, quantiles, ranking) read the matrix: write it once (only
+    # the columns the query needs) and read the frozen copy
+    m = feature_matrix(t.transactions, t.fraud_labels, t.merchants)
+    return materialize(m.select(*cols) if cols else m, "matrix")
+
+
+def _split(t, cols: list[str] | None = None):
+    return temporal_split(_matrix(t, cols))
 
 
 def _scored(t, part: str):
-    return _split(t).filter(F.col("split") == part).withColumn("score", F.col("amount").cast("double"))
+    return (_split(t, SCORE_COLUMNS).filter(F.col("split") == part)
+            .withColumn("score", F.col("amount").cast("double")))
 
 
 # ------------------------------------------------------------------ oracle pieces
@@ -85,12 +91,12 @@ def q_dataset_stats(t):
 
 @query("temporal_cut_points", O.sql("SELECT train_end, val_end FROM cuts", *O.matrix_ctes(), CUTS_CTE))
 def q_temporal_cut_points(t):
-    return cut_points(_matrix(t))
+    return cut_points(_matrix(t, ["authorized_at"]))
 
 
 @query("temporal_split", O.sql("SELECT transaction_id, split FROM splitm", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_temporal_split(t):
-    return _split(t).select("transaction_id", "split")
+    return _split(t, ["transaction_id", "authorized_at"]).select("transaction_id", "split")
 
 
 @query("split_summary", O.sql("""
@@ -99,7 +105,7 @@ SELECT split, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives,
   min(authorized_at) AS min_ts, max(authorized_at) AS max_ts
 FROM splitm GROUP BY split""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_split_summary(t):
-    return split_summary(_split(t))
+    return split_summary(_split(t, ["authorized_at", "label"]))
 
 
 @query("split_check", O.sql("""
@@ -112,7 +118,7 @@ FROM (SELECT max(authorized_at) FILTER (WHERE split = 'train') AS train_max,
              min(authorized_at) FILTER (WHERE split = 'test') AS test_min FROM splitm) x""",
     *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_split_check(t):
-    return split_check(_split(t))
+    return split_check(_split(t, ["authorized_at"]))
 
 
 @query("content_fingerprint", O.sql("""
@@ -174,7 +180,7 @@ SELECT transaction_id, label FROM (
 WHERE rn <= (SELECT least(count(*) FILTER (WHERE label = 0), {NEG_PER_POS} * count(*) FILTER (WHERE label = 1))
              FROM splitm WHERE split = 'train')""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_undersample(t):
-    train = _split(t).filter(F.col("split") == "train")
+    train = _split(t, ["transaction_id", "authorized_at", "label"]).filter(F.col("split") == "train")
     return undersample(train, neg_per_pos=NEG_PER_POS, seed=SEED).select("transaction_id", "label")
 
 
@@ -185,7 +191,7 @@ SELECT transaction_id FROM (
   FROM splitm WHERE split = 'test') x
 WHERE rn <= {SHAP_SAMPLE}""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_capped_sample(t):
-    test = _split(t).filter(F.col("split") == "test")
+    test = _split(t, ["transaction_id", "authorized_at"]).filter(F.col("split") == "test")
     return capped_sample(test, SHAP_SAMPLE, "transaction_id", SEED).select("transaction_id")
 
 
@@ -239,7 +245,7 @@ conf AS (
 
 
 def _test_confusion(t):
-    split = _split(t)
+    split = _split(t, SCORE_COLUMNS)
     score = lambda part: split.filter(F.col("split") == part).withColumn("score", F.col("amount").cast("double"))
     thr = M.pick_threshold(score("val"), target_recall=TARGET_RECALL).first()[0]  # one number
     return M.confusion(score("test"), thr)
@@ -277,7 +283,7 @@ CROSS JOIN (SELECT list_distinct_ordered AS edges FROM (
 GROUP BY 1""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_reliability(t):
     """Calibration table of the point-in-time merchant rate read as a probability."""
-    test = _split(t).filter(F.col("split") == "test")
+    test = _split(t, ["authorized_at", "label", "merchant_fraud_rate_pit"]).filter(F.col("split") == "test")
     return M.reliability(test, prob="merchant_fraud_rate_pit")
 
 
@@ -313,5 +319,5 @@ def q_undersample_rates(t):
     """Fraud rate before / after undersampling the train split and the prior shift."""
     from pitwise.operators.sampling import undersample_rates
 
-    train = _split(t).filter(F.col("split") == "train")
+    train = _split(t, ["transaction_id", "authorized_at", "label"]).filter(F.col("split") == "train")
     return undersample_rates(train, undersample(train, neg_per_pos=NEG_PER_POS, seed=SEED))
