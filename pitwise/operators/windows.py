@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions.time import epoch_seconds
 from pitwise.operators.asof import asof_join
+from pitwise.session import materialize
 
 # Frame sizes of the reference feature set.
 VELOCITY_WINDOWS = {"vel_1h": 3600, "vel_24h": 86400, "vel_7d": 604800}
@@ -125,6 +126,8 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     local = df.withColumn("__loc", F.row_number().over(w_local) - 1)
     pos = local.join(offs, [key, "__b"]).withColumn("__idx", F.col("__off") + F.col("__loc"))
     pos = pos.withColumn("__le", F.max("__idx").over(w_peers) + 1)  # rows with epoch <= t
+    # read three times below (row blocks, lookup table, probes): number the rows once
+    pos = materialize(pos, "hot-positions")
 
     # 2. ROWS frames over position blocks; a row is also copied, as halo, into every
     #    later block whose first row is at most `prior_rows` positions after it
