@@ -36,6 +36,8 @@ def temporal_split(df: DataFrame, cuts: DataFrame | None = None, ts: str = "auth
     """Tag every row with its split; cut points from `cuts` (default: computed on `df`)."""
     cuts = cut_points(df, ts) if cuts is None else cuts
     row = cuts.first()  # two timestamps; they become literals of the split expression
+    if row is None or row["train_end"] is None or row["val_end"] is None:  # no rows to split
+        return df.withColumn(split_col, F.lit(None).cast("string"))
     te, ve = (F.lit(row[c].isoformat(sep=" ")).cast("timestamp_ntz") for c in ("train_end", "val_end"))
     return df.withColumn(split_col, split_column(ts, te, ve))
 
