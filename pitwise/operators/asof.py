@@ -118,6 +118,7 @@ def asof_join_weekly(
     right_ts: str,
     right_cols: Sequence[str],
     until=None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """As-of join for right times that are Monday 00:00 (weekly snapshots).
 
@@ -143,6 +144,8 @@ def asof_join_weekly(
     )
     renamed = dense.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__week",
                            *[F.col(c).alias(f"__v_{c}") for c in right_cols])
+    if broadcast:  # only after the caller checked the size of the expanded side
+        renamed = F.broadcast(renamed)
     l = left.withColumn("__week", monday(left_ts))
     cond = [l[k] == renamed[f"__k_{k}"] for k in keys] + [l["__week"] == renamed["__week"]]
     j = l.join(renamed, cond, "left")

@@ -52,13 +52,16 @@ def immature_tail(tx: DataFrame, maturity_days: int = MATURITY_DAYS, ts: str = "
 
 
 def attach_labels(tx: DataFrame, labels: DataFrame, now: Column, key: str = "transaction_id",
-                  label_col: str = "label") -> DataFrame:
+                  label_col: str = "label", broadcast: bool = False) -> DataFrame:
     """Left-join the (unique-per-operation) fraud records and derive the 0/1 label.
 
     The unmatched side is tested with `isNotNull` on the right key, never with a
-    0 sentinel (ids may be 0).
+    0 sentinel (ids may be 0). `broadcast=True` only after the caller checked the
+    label table's size (see `plans.matrix`).
     """
     lab = labels.select(F.col(key).alias("__lab_key"), F.col("reported_at").alias("__reported_at"))
+    if broadcast:
+        lab = F.broadcast(lab)
     joined = tx.join(lab, tx[key] == lab["__lab_key"], "left")
     known = F.col("__lab_key").isNotNull() & (F.col("__reported_at") <= now)
     return joined.withColumn(label_col, flag(known)).drop("__lab_key", "__reported_at")

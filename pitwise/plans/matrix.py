@@ -22,6 +22,7 @@ from pitwise.operators import labels as L
 from pitwise.operators.asof import asof_join_weekly
 from pitwise.operators.weekly import merchant_weekly_stats
 from pitwise.operators.windows import customer_window_features
+from pitwise.session import materialize
 
 ID_COLUMNS = ["transaction_id", "customer_id", "authorized_at"]
 LABEL_COLUMN = "label"
@@ -46,6 +47,19 @@ def attach_merchant_static(tx: DataFrame, merchants: DataFrame) -> DataFrame:
 
 
 HOT_CUSTOMER_ROWS = 2_000_000  # customers above this are windowed by the split path
+# Join sides with at most this many (narrow) rows are broadcast; larger ones are shuffled.
+BROADCAST_MAX_ROWS = 4_000_000
+
+
+def dense_weekly_bound(weekly: DataFrame) -> int:
+    """Proven upper bound of the rows of the week-expanded snapshot side of the as-of
+    join: merchants x weeks between the first and the last snapshot (the expansion
+    never runs past the last data week, which precedes the last snapshot)."""
+    row = weekly.agg(F.count_distinct("merchant_id").alias("m"), F.min("as_of_date").alias("lo"),
+                     F.max("as_of_date").alias("hi")).first()
+    if row["m"] == 0 or row["lo"] is None:
+        return 0
+    return int(row["m"]) * ((row["hi"] - row["lo"]).days // 7 + 1)
 
 
 def feature_matrix(
@@ -55,6 +69,7 @@ def feature_matrix(
     maturity_days: int = L.MATURITY_DAYS,
     weekly: DataFrame | None = None,
     hot_threshold: int | None = HOT_CUSTOMER_ROWS,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """The 22-column matrix (3 ids, 18 features, label).
 
@@ -62,7 +77,12 @@ def feature_matrix(
     (`operators.windows.hot_customer_features`); None disables the check.
     """
     if weekly is None:
-        weekly = merchant_weekly_stats(tx, labels)
+        # the rebuilt derived table: written once to the shared folder, then sized
+        weekly = materialize(merchant_weekly_stats(tx, labels), "merchant-weekly")
+    # Size checks before planning: a side is broadcast only when its row count is
+    # bounded (AQE alone would decide after the fact side had already been shuffled).
+    small_labels = labels.count() <= broadcast_max_rows
+    small_weekly = dense_weekly_bound(weekly) <= broadcast_max_rows
     now = L.now_ts(tx)
     base = tx.select(
         "transaction_id", "customer_id", "authorized_at", "merchant_id", "amount", "channel",
@@ -70,10 +90,10 @@ def feature_matrix(
         "auth_result")
     gated = L.maturity_gate(base, maturity_days, bounds_from=tx)
     feats = customer_window_features(gated, hot_threshold=hot_threshold)
-    labelled = L.attach_labels(feats, labels, now)
+    labelled = L.attach_labels(feats, labels, now, broadcast=small_labels)
     with_m = attach_merchant_static(labelled, merchants)
     with_rate = asof_join_weekly(with_m, weekly, "merchant_id", "authorized_at", "as_of_date",
-                                 ["fraud_rate_pit"], until=now)
+                                 ["fraud_rate_pit"], until=now, broadcast=small_weekly)
     return with_rate.select(
         "transaction_id", "customer_id", "authorized_at", "amount",
         F.hour("authorized_at").alias("hour"),
