@@ -125,3 +125,22 @@ def test_hot_customer_path_equals_single_window(spark, tables):
     assert _same(a, b, KEY + WINDOW_FEATURES)
     c = customer_window_features(tx, hot_threshold=10 ** 9)  # nobody hot: same plan as default
     assert _same(a, c, KEY + WINDOW_FEATURES)
+
+
+def test_matrix_broadcast_bound_fallback_is_identical(spark, tables):
+    """Over the row bound the label and snapshot joins are shuffled instead of
+    broadcast; the rows are the same either way."""
+    from pitwise.plans.matrix import MATRIX_COLUMNS, feature_matrix
+
+    args = (tables.transactions, tables.fraud_labels, tables.merchants)
+    small = feature_matrix(*args)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = feature_matrix(*args, broadcast_max_rows=0)
+        plan = _plan(big)
+        assert "SortMergeJoin [transaction_id" in plan
+        assert _same(small, big, MATRIX_COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
