@@ -17,9 +17,10 @@ both without theta / nested-loop joins:
   snapshots). Each right row is valid until the key's next snapshot; its validity
   is expanded to the week Mondays it covers and the join becomes an equi-join on
   `(key, monday(left_ts))` with at most one match. The expanded side has at most
-  keys x weeks rows; AQE turns the join into a broadcast at run time when the
-  materialized side is under the broadcast threshold, and otherwise keeps a
-  sort-merge join whose skewed partitions AQE splits.
+  keys x weeks rows; the caller may request a broadcast after checking that bound
+  (`broadcast=True`, see `plans.matrix`), otherwise the join is left to AQE: a
+  broadcast when the materialized side is small, else a sort-merge join whose
+  skewed partitions AQE splits.
 """
 
 from __future__ import annotations
