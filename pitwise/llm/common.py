@@ -6,12 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwise.session import materialize
 
-__all__ = ["WORD", "arrow_map", "bounded", "key_column", "materialize", "n_words", "unit_hash"]
+__all__ = ["WORD", "arrow_map", "bounded", "ints", "key_column", "materialize", "n_words", "numbered", "unit_hash"]
 
 # A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,3 +59,18 @@ def arrow_map(df: DataFrame, fn: Callable[..., dict], schema: str, *args) -> Dat
 def ints(batch: pa.RecordBatch, name: str) -> np.ndarray:
     """An Arrow integer column without nulls as numpy."""
     return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """`df` with `position`, 0 to n - 1 in ascending order of the columns `order` (nulls first).
+
+    A range exchange sorts, the row index within each sorted partition is written with the rows, and
+    the offsets of the partitions (one row each) are broadcast. No task sees more than its range.
+    """
+    index = F.monotonically_increasing_id()  # partition << 33 | row of the partition
+    rows = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("position", index), name)
+    size = rows.groupBy(F.shiftright("position", 33).alias("part")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (rows.withColumn("part", F.shiftright("position", 33))
+            .join(F.broadcast(size.select("part", before.alias("before"))), "part")
+            .withColumn("position", F.col("before") + F.col("position").bitwiseAND((1 << 33) - 1)).drop("part", "before"))

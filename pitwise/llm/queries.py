@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import simhash
+from pitwise.llm import decontam, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(table(spark, sf_dir, "documents"))
+
+
+# The rule of the mix as one statement: the level is where the sorted limits meet the rest of the budget.
+ORACLES["op6_mix_sources"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+fill AS (
+  SELECT *, row_number() OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST) AS rk,
+         sum(source_size) OVER () AS goal, 3.0 * source_size / weight AS own_level,
+         coalesce(sum(3.0 * source_size) OVER below, 0) AS full_below,
+         sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS open_weight
+  FROM per
+  WINDOW below AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lvl AS (
+  SELECT arg_min((goal - full_below) / open_weight, rk) FILTER (WHERE (goal - full_below) / open_weight <= own_level) AS level
+  FROM fill),
+targets AS (SELECT source, source_size, least(3.0 * source_size, level * weight)::DOUBLE AS target FROM per, lvl),
+rated AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '\N')), 1, 13) AS BIGINT)
+           / 4503599627370496.0::DOUBLE AS u
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(floor(rate) + (CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS copies,
+       size * CAST(floor(rate) + (CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rated
+"""
