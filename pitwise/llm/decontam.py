@@ -58,31 +58,38 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MEMO = 500_000  # token forms remembered by a worker
 
 
+_FORM = np.dtype([("hash", np.uint64), ("some", bool), ("number", bool), ("unit", bool), ("title", bool), ("ends", bool)])
+
+
 class _Forms(dict):
-    """Token -> index of its form; the forms' properties in arrays."""
+    """Token -> index of its form; the forms' properties in arrays that grow by doubling."""
 
     def __init__(self):
         super().__init__()
         self.core: list[str] = []
-        self.rows: list[tuple] = []
-        self.table = np.empty((0,), dtype=[])
+        self.table, self.filled, self.new = np.empty(1024, dtype=_FORM), 0, []
 
     def __missing__(self, token: str) -> int:
         plain = unicodedata.normalize("NFKC", token)
         core = _EDGES.sub("", plain)
         low = core.casefold()
         number = bool(_NUMBER.match(core))
-        index = self[token] = len(self.rows)
+        index = self[token] = len(self.core)
         self.core.append(low)
-        self.rows.append((xxhash.xxh64_intdigest(low.encode("utf-8", "replace")), bool(core), number,
-                          low in UNITS, not number and core[:1].isupper() and not core[1:].isupper(), plain.rstrip("\"')]}»”’")[-1:] in ".!?:…"))
+        self.new.append((xxhash.xxh64_intdigest(low.encode("utf-8", "replace")), bool(core), number, low in UNITS,
+                         not number and core[:1].isupper() and not core[1:].isupper(),
+                         plain.rstrip("\"')]}»”’")[-1:] in ".!?:…"))
         return index
 
     def columns(self) -> tuple[np.ndarray, ...]:
-        if len(self.table) != len(self.rows):
-            self.table = np.array(self.rows, dtype=[("hash", np.uint64), ("some", bool), ("number", bool),
-                                                    ("unit", bool), ("title", bool), ("ends", bool)])
-        return tuple(self.table[c] for c in self.table.dtype.names)
+        if self.new:
+            if len(self.core) > len(self.table):
+                grown = np.empty(2 * len(self.core), dtype=_FORM)
+                grown[: self.filled] = self.table[: self.filled]
+                self.table = grown
+            self.table[self.filled: len(self.core)] = np.array(self.new, dtype=_FORM)
+            self.filled, self.new = len(self.core), []
+        return tuple(self.table[c] for c in _FORM.names)
 
 
 _FORMS = _Forms()
