@@ -55,6 +55,7 @@ _EDGES = re.compile(r"^[^\w%€£$¥]+|[^\w%€£$¥]+$")
 _NUMBER = re.compile(r"[$€£¥]?[+-]?\d[\d.,:/-]*%?\Z")
 _KIND = np.array([xxhash.xxh64_intdigest(x) for x in (b"", b"\0number", b"\0unit", b"\0name")], dtype=np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+_ENDS = frozenset(".!?:…")
 _MEMO = 500_000  # token forms remembered by a worker
 
 
@@ -70,15 +71,20 @@ class _Forms(dict):
         self.table, self.filled, self.new = np.empty(1024, dtype=_FORM), 0, []
 
     def __missing__(self, token: str) -> int:
+        index = self[token] = len(self.core)
+        if token.isalpha() and token.isascii():  # most tokens: nothing to strip or normalise
+            low = token.lower()
+            self.core.append(low)
+            self.new.append((xxhash.xxh64_intdigest(low), True, False, low in UNITS, token.istitle(), False))
+            return index
         plain = unicodedata.normalize("NFKC", token)
         core = _EDGES.sub("", plain)
         low = core.casefold()
-        number = bool(_NUMBER.match(core))
-        index = self[token] = len(self.core)
+        number = not core.isalpha() and bool(_NUMBER.match(core))
         self.core.append(low)
         self.new.append((xxhash.xxh64_intdigest(low.encode("utf-8", "replace")), bool(core), number, low in UNITS,
                          not number and core[:1].isupper() and not core[1:].isupper(),
-                         plain.rstrip("\"')]}»”’")[-1:] in ".!?:…"))
+                         plain.rstrip("\"')]}»”’")[-1:] in _ENDS))
         return index
 
     def columns(self) -> tuple[np.ndarray, ...]:
