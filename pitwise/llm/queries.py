@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import decontam, mixing, quality, sharding, simhash
+from pitwise.llm import decontam, langid, licenses, linefreq, lm, mixing, quality, sharding, simhash, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,109 @@ SELECT doc_id, size, source_size, target,
        size * CAST(floor(rate) + (CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM rated
 """
+
+
+@query
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linefreq.line_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op3_line_frequency"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT row_id, source, text AS of_text, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM docs),
+normal AS (
+  SELECT *, regexp_replace(array_to_string(regexp_extract_all(
+           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' '),
+           '[0-9]+', '0', 'g') AS plain,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM lines),
+counted AS (SELECT source, plain, count(DISTINCT of_text) AS n FROM normal WHERE words > 0 GROUP BY ALL),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM docs GROUP BY source),
+boiler AS (
+  SELECT c.source, c.plain FROM counted c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
+  WHERE c.n > 10 AND c.n > 0.01 * h.n),
+gone AS (
+  SELECT n.row_id, sum(n.words) AS removed FROM normal n JOIN boiler b
+    ON n.plain = b.plain AND n.source IS NOT DISTINCT FROM b.source
+  GROUP BY n.row_id),
+dups AS (
+  SELECT row_id, sum(k - 1) AS n FROM (SELECT row_id, line, count(*) AS k FROM normal WHERE words > 0 GROUP BY ALL)
+  GROUP BY row_id),
+bag AS (SELECT row_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+win AS (
+  SELECT row_id, pos, array_to_string(w[pos:pos + 4], ' ') AS g
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - 3)) AS pos FROM bag WHERE len(w) >= 5)),
+twice AS (SELECT row_id, pos FROM win QUALIFY count(*) OVER (PARTITION BY row_id, g) > 1),
+again AS (
+  SELECT row_id, count(DISTINCT word) AS n FROM (SELECT row_id, unnest(range(pos, pos + 5)) AS word FROM twice)
+  GROUP BY row_id),
+base AS (
+  SELECT d.row_id, d.doc_id, len(b.w)::BIGINT AS n_words, length(array_to_string(b.w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(d.text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(u.n, 0)::BIGINT AS n_dup_lines,
+         coalesce(a.n, 0)::BIGINT AS n_repeat_words, coalesce(g.removed, 0)::BIGINT AS removed_words
+  FROM docs d JOIN bag b USING (row_id) LEFT JOIN dups u USING (row_id) LEFT JOIN again a USING (row_id)
+  LEFT JOIN gone g USING (row_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - removed_words >= 0.3 * n_words AS kept,
+       removed_words
+FROM base
+"""
+
+_TEMPLATE_VALUES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in licenses.TEMPLATES.items())
+ORACLES["op7_license_scan"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents WHERE text IS NOT NULL),
+cut AS (SELECT *, string_split(text, chr(10)) AS lines, regexp_split_to_array(text, '\n[ \t\r]*\n') AS blocks FROM docs),
+units AS (
+  SELECT row_id, doc_id, 'line' AS unit, unnest(range(len(lines))) AS unit_no, unnest(lines) AS part FROM cut
+  UNION ALL
+  SELECT * FROM (SELECT row_id, doc_id, 'block' AS unit, unnest(range(len(blocks))) AS unit_no, unnest(blocks) AS part FROM cut)
+  WHERE contains(part, chr(10))
+  UNION ALL
+  SELECT row_id, doc_id, 'text', 0, text FROM cut WHERE len(blocks) > 1),
+worded AS (SELECT row_id, doc_id, unit, unit_no, regexp_extract_all(part, '[0-9a-z]+') AS w FROM units),
+grams AS (
+  SELECT DISTINCT row_id, doc_id, unit, unit_no, w[i] || ' ' || w[i + 1] AS g
+  FROM (SELECT *, unnest(range(1, len(w))) AS i FROM worded WHERE len(w) > 1)),
+sizes AS (SELECT row_id, unit, unit_no, count(*) AS n FROM grams GROUP BY ALL),
+templates(license, body) AS (VALUES """ + _TEMPLATE_VALUES + r"""),
+tw AS (
+  SELECT license, regexp_extract_all(
+           translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z]+') AS w
+  FROM templates),
+tg AS (SELECT DISTINCT license, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM tw)),
+ts AS (SELECT license, count(*) AS n FROM tg GROUP BY license),
+shared AS (
+  SELECT row_id, doc_id, unit, unit_no, license, count(*) AS k FROM grams JOIN tg USING (g) GROUP BY ALL),
+scored AS (
+  SELECT s.*, 2.0 * k / (z.n + t.n) AS dice
+  FROM shared s JOIN sizes z USING (row_id, unit, unit_no) JOIN ts t USING (license))
+SELECT doc_id, unit, unit_no::INTEGER AS unit_no, license, dice::DOUBLE AS dice FROM scored WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY row_id, unit, unit_no ORDER BY dice DESC, license) = 1
+"""
