@@ -46,9 +46,12 @@ def init(seed: int = SEED) -> dict[str, np.ndarray]:
             "out": normal(HIDDEN, scale=0.3), "out_bias": np.zeros(1, np.float32)}
 
 
-def _blocks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts as rows of HALF bytes, zero-padded, each with an empty last block; and each text's first row."""
-    count = np.array([-(-len(t) // HALF) + 1 for t in texts])
+def _blocks(texts: list[bytes], ends: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All texts as rows of HALF bytes, zero-padded; and each text's first row.
+
+    A text gets an empty last block, unless `ends` says that it goes on in another piece.
+    """
+    count = np.array([-(-len(t) // HALF) + 1 for t in texts]) - (0 if ends is None else ~np.array(ends))
     padded = b"".join(t + bytes(n * HALF - len(t)) for t, n in zip(texts, count.tolist(), strict=True))
     return np.frombuffer(padded, np.uint8).reshape(-1, HALF), np.r_[0, np.cumsum(count)[:-1]]
 
@@ -61,10 +64,10 @@ def _convolve(p: dict, blocks: np.ndarray, filters: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pool(p: dict, texts: list[bytes]) -> np.ndarray:
-    """Max over all chunks of each text, rectified."""
+def _pool(p: dict, texts: list[bytes], ends: list[bool] | None = None) -> np.ndarray:
+    """Max over all chunks of each text (or piece of one), rectified."""
     filters = np.hstack([p["first"], p["second"]])
-    blocks, start = _blocks(texts)
+    blocks, start = _blocks(texts, ends)
     out = _convolve(p, blocks, filters)
     out[np.r_[start[1:], len(blocks)] - 1] = 0  # the chunk that would run into the next text
     return np.maximum(np.maximum.reduceat(out, start, axis=0), 0)
@@ -78,17 +81,18 @@ def _combine(p: dict, pooled: np.ndarray) -> np.ndarray:
 def predict(p: dict, texts: list[bytes]) -> np.ndarray:
     """Probability of label 1 for whole texts; long texts are pooled piece by piece."""
     pooled = np.zeros((len(texts), FILTERS), np.float32)
-    pieces, owner, size = [], [], 0
+    pieces, ends, owner, size = [], [], [], 0
 
     def flush():
-        nonlocal pieces, owner, size
+        nonlocal pieces, ends, owner, size
         if pieces:
-            np.maximum.at(pooled, np.array(owner), _pool(p, pieces))
-        pieces, owner, size = [], [], 0
+            np.maximum.at(pooled, np.array(owner), _pool(p, pieces, ends))
+        pieces, ends, owner, size = [], [], [], 0
 
     for i, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - HALF), PIECE):  # pieces share one block, so no chunk is lost
-            pieces.append(text[at: at + PIECE + HALF])
+        for at in range(0, max(1, len(text)), PIECE):  # pieces share one block, so no chunk is lost
+            ends.append(at + PIECE >= len(text))
+            pieces.append(text[at: at + PIECE + HALF * (not ends[-1])])
             owner.append(i)
             size += len(pieces[-1])
             if size >= PIECE:
@@ -192,7 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             label += batch.column("label").to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([_dump(train(data, np.array(label, np.float32), steps))])], names=["model"])
 
-    return bytes(chosen.mapInArrow(learn, "model binary").first()["model"])
+    learned = chosen.mapInArrow(learn, "model binary").first()  # Spark may plan no task for an empty sample
+    return _dump(init()) if learned is None else bytes(learned["model"])
 
 
 def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
