@@ -21,7 +21,6 @@ Chosen style: numpy in Arrow batches for tokens and window hashes, Spark for the
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -49,76 +48,148 @@ UNITS = frozenset("""
     usd eur gbp dollar dollars cent cents euro euros pound pounds $ € £ ¥ kb mb gb tb byte bytes degree degrees
 """.split())
 
-_DIGIT_THEN_LETTER = re.compile(r"(?<=\d)(?=[^\W\d_%€£$¥])")
-_HAS_DIGIT = re.compile(r"\d")
-_EDGES = re.compile(r"^[^\w%€£$¥]+|[^\w%€£$¥]+$")
-_NUMBER = re.compile(r"[$€£¥]?[+-]?\d[\d.,:/-]*%?\Z")
-_KIND = np.array([xxhash.xxh64_intdigest(x) for x in (b"", b"\0number", b"\0unit", b"\0name")], dtype=np.uint64)
+_CURRENCY = "$€£¥"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_ENDS = frozenset(".!?:…")
-_MEMO = 500_000  # token forms remembered by a worker
-
-
-_FORM = np.dtype([("hash", np.uint64), ("some", bool), ("number", bool), ("unit", bool), ("title", bool), ("ends", bool)])
-
-
-class _Forms(dict):
-    """Token -> index of its form; the forms' properties in arrays that grow by doubling."""
-
-    def __init__(self):
-        super().__init__()
-        self.core: list[str] = []
-        self.table, self.filled, self.new = np.empty(1024, dtype=_FORM), 0, []
-
-    def __missing__(self, token: str) -> int:
-        index = self[token] = len(self.core)
-        if token.isalpha() and token.isascii():  # most tokens: nothing to strip or normalise
-            low = token.lower()
-            self.core.append(low)
-            self.new.append((xxhash.xxh64_intdigest(low), True, False, low in UNITS, token.istitle(), False))
-            return index
-        plain = unicodedata.normalize("NFKC", token)
-        core = _EDGES.sub("", plain)
-        low = core.casefold()
-        number = not core.isalpha() and bool(_NUMBER.match(core))
-        self.core.append(low)
-        self.new.append((xxhash.xxh64_intdigest(low.encode("utf-8", "replace")), bool(core), number, low in UNITS,
-                         not number and core[:1].isupper() and not core[1:].isupper(),
-                         plain.rstrip("\"')]}»”’")[-1:] in _ENDS))
-        return index
-
-    def columns(self) -> tuple[np.ndarray, ...]:
-        if self.new:
-            if len(self.core) > len(self.table):
-                grown = np.empty(2 * len(self.core), dtype=_FORM)
-                grown[: self.filled] = self.table[: self.filled]
-                self.table = grown
-            self.table[self.filled: len(self.core)] = np.array(self.new, dtype=_FORM)
-            self.filled, self.new = len(self.core), []
-        return tuple(self.table[c] for c in _FORM.names)
-
-
-_FORMS = _Forms()
-
-
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Hash of the folded form and kind (0 literal, 1 number, 2 unit, 3 name) of every token, and the forms."""
-    global _FORMS
-    if len(_FORMS) > _MEMO:
-        _FORMS = _Forms()
+_BASE = 0x5851F42D4C957F2D  # odd: it has an inverse modulo 2^64
+PIECE = 1 << 20  # characters templated at once
+
+# Classes of the characters of the basic plane; others count as letters.
+_SPACE, _IN_WORD, _LETTER, _DIGIT, _UPPER, _IN_NUMBER, _ENDS, _QUOTE = (1 << i for i in range(8))
+
+
+def _char_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Class bits and lower-case form of every character of the basic plane (the last entry: all other planes)."""
+    kinds, lower = np.zeros(1 << 16, np.uint8), np.arange(1 << 16, dtype=np.uint64)
+    for i in range(1 << 16):
+        c = chr(i)
+        low = c.lower()
+        lower[i] = ord(low) if len(low) == 1 else i
+        kinds[i] = (c.isspace() * _SPACE | (c.isalnum() or c == "_" or c in _CURRENCY + "%") * _IN_WORD | c.isalpha() * _LETTER
+                    | c.isdecimal() * _DIGIT | c.isupper() * _UPPER | (c.isdecimal() or c in "+-.,:/%" + _CURRENCY) * _IN_NUMBER
+                    | (c in ".!?:…") * _ENDS | (c in "\"')]}»”’") * _QUOTE)
+    kinds[-1] = _IN_WORD | _LETTER
+    return kinds, lower
+
+
+_CHARS: tuple[np.ndarray, np.ndarray] | None = None
+_POWERS: tuple[np.ndarray, np.ndarray] | None = None
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_BASE ** i and its inverse, modulo 2^64, for i < n."""
+    global _POWERS
+    if _POWERS is None or len(_POWERS[0]) < n:
+        inverse = pow(_BASE, -1, 1 << 64)
+        _POWERS = tuple(np.r_[np.uint64(1), np.cumprod(np.full(max(n, 4096), x, np.uint64), dtype=np.uint64)] for x in (_BASE, inverse))
+    return _POWERS
+
+
+def _hash_form(form: str) -> np.uint64:
+    h = 0
+    for i, c in enumerate(form):
+        h += (ord(c) + 1) * pow(_BASE, i, 1 << 64)
+    return _finish(np.array([h & ((1 << 64) - 1)], np.uint64), np.array([len(form)]))[0]
+
+
+def _finish(h: np.ndarray, size: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (h ^ size.astype(np.uint64)) * _PRIME
+        return h ^ (h >> np.uint64(32))
+
+
+_KIND = np.array([xxhash.xxh64_intdigest(x) for x in (b"", b"\0number", b"\0unit", b"\0name")], dtype=np.uint64)
+_UNITS = np.sort(np.array([_hash_form(u) for u in UNITS]))
+
+
+def _running(x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x) + 1, dtype=x.dtype)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
+def _tokens(text: str) -> tuple[np.ndarray, ...]:
+    """Per token of a piece of text: hash of its lower-case core, start and end of the core, number, title, ends a sentence."""
+    global _CHARS
+    if _CHARS is None:
+        _CHARS = _char_tables()
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    plane = np.minimum(code, (1 << 16) - 1)
+    kinds, n, place = _CHARS[0][plane], len(code), np.arange(len(code), dtype=np.int32)
+    digit = kinds & _DIGIT > 0
+    gap = np.ones(n + 2, dtype=bool)
+    gap[1:-1] = kinds & _SPACE
+    filled, before, behind = ~gap[1:-1], gap[:-2], gap[2:]
+    if digit.any():
+        cut = (kinds[1:] & _LETTER > 0) & digit[:-1]  # 5km is 5 km
+        before, behind = before.copy(), behind.copy()
+        before[1:] |= cut
+        behind[:-1] |= cut
+    start, stop = np.flatnonzero(filled & before), np.flatnonzero(filled & behind) + 1
+    inner = kinds & _IN_WORD > 0
+    after = np.minimum.accumulate(np.where(inner, place, n)[::-1])[::-1]
+    first, last = after[start], np.maximum.accumulate(np.where(inner, place, -1))[stop - 1] + 1
+    plain = np.maximum.accumulate(np.where(kinds & (_QUOTE | _SPACE) == 0, place, 0))[stop - 1]
+    ends = kinds[plain] & _ENDS > 0
+    some = first < stop
+    first, last, ends_of = first[some], last[some], ends
+    power, inverse = _powers(n)
+    with np.errstate(over="ignore"):
+        low = np.where(code < 1 << 16, _CHARS[1][plane], code) + np.uint64(1)
+        total = _running(low * power[:n])
+        h = _finish((total[last] - total[first]) * inverse[first], last - first)
+    number = np.zeros(len(first), dtype=bool)
+    if digit.any():
+        digits, others = _running(digit.astype(np.int64)), _running((kinds & _IN_NUMBER == 0).astype(np.int64))
+        number = (digits[last] > digits[first]) & (others[last] == others[first])
+    title = (kinds[first] & _UPPER > 0) & ~((last - first > 1) & (kinds[np.minimum(first + 1, n - 1)] & _UPPER > 0))
+    opened = np.ones(len(start), dtype=bool)  # the token before (also one without a core) ended a sentence
+    opened[1:] = ends_of[:-1]
+    opened = opened[some]
+    return h, first, last, number, title, opened, ends_of[-1:]
+
+
+class _Forms:
+    """Lower-case forms of the tokens, made when asked for."""
+
+    def __init__(self, pieces: list[str], owner: np.ndarray, first: np.ndarray, last: np.ndarray):
+        self.pieces, self.owner, self.first, self.last = pieces, owner, first, last
+
+    def __getitem__(self, i: int) -> str:
+        return self.pieces[self.owner[i]][self.first[i]: self.last[i]].lower()
+
+
+def template(text: str | None) -> tuple[np.ndarray, np.ndarray, _Forms | None]:
+    """Hash of the lower-case core and kind (0 literal, 1 number, 2 unit, 3 name) of every token, and the forms."""
     text = text or ""
-    if _HAS_DIGIT.search(text):
-        text = _DIGIT_THEN_LETTER.sub(" ", text)
-    words = text.split()
-    form = np.fromiter(map(_FORMS.__getitem__, words), dtype=np.int64, count=len(words))
-    hashes, some, number, unit, title, ends = _FORMS.columns()
-    ends = np.r_[True, ends[form]][:-1] if len(form) else np.empty(0, bool)
-    used = some[form]
-    form, ends = form[used], ends[used]
-    is_number = number[form]
-    is_unit = unit[form] & np.r_[False, is_number][: len(form)]
-    kind = np.select([is_number, is_unit, title[form] & ~ends], [1, 2, 3], 0)
-    return hashes[form], kind, [_FORMS.core[i] for i in form.tolist()] if kind.any() else []
+    if not unicodedata.is_normalized("NFKC", text):
+        text = unicodedata.normalize("NFKC", text)
+    pieces, at = [], 0
+    while at < len(text):
+        end = at + PIECE
+        if end < len(text):
+            end = max(text.rfind(c, at + 1, end) for c in " \n")
+            end = end if end > 0 else at + PIECE
+        pieces.append(text[at:end])
+        at = end
+    parts, opened = [], True
+    for i, piece in enumerate(pieces):
+        *part, ended = _tokens(piece)
+        if len(ended):
+            if len(part[0]):
+                part[5][0] &= opened  # what the piece before ended with
+            opened = bool(ended[0])
+        parts.append((*part, np.full(len(part[0]), i)))
+    if not parts or not sum(len(p[0]) for p in parts):
+        return np.empty(0, np.uint64), np.empty(0, np.int64), None
+    h, first, last, number, title, opened_at, owner = (
+        x[0] if len(parts) == 1 else np.concatenate(x) for x in zip(*parts, strict=True))
+    unit = np.zeros(len(h), dtype=bool)
+    if number.any():
+        unit[1:] = number[:-1]
+        where = np.minimum(np.searchsorted(_UNITS, h), len(_UNITS) - 1)
+        unit &= (_UNITS[where] == h) & ~number
+    kind = np.where(title & ~opened_at & ~number & ~unit, 3, 0) + number + 2 * unit
+    return h, kind, _Forms(pieces, owner, first, last) if kind.any() else None
 
 
 def windows(text: str | None, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, _Slots | None, int]:
@@ -135,8 +206,8 @@ def windows(text: str | None, size: int = WINDOW) -> tuple[np.ndarray, np.ndarra
     span = min(size, n)
     hashes, where, named, kept = [], [], [], np.zeros(n - span + 1, dtype=bool)
     for names in (False, True):
-        slot = (kind > 0) & ((kind < 3) | names)
-        h = np.where(slot, _KIND[kind], literal)
+        slot = kind > 0 if names else (kind > 0) & (kind < 3)
+        h = np.where(slot, _KIND[kind], literal) if slot.any() else literal
         rolled = np.full(n - span + 1, span, dtype=np.uint64)
         words = np.zeros(n - span + 1, dtype=np.int64)
         has_name = np.zeros(n - span + 1, dtype=bool)
@@ -164,7 +235,7 @@ class _Slots:
         self.kind, self.forms, self.where, self.named, self.span = kind, forms, where, named, span
 
     def pick(self, keep: np.ndarray) -> list[list[str]]:
-        if not self.forms:
+        if self.forms is None:
             return [[]] * len(keep)
         return [[f"{i}:{self.kind[at + i]}:{self.forms[at + i]}" for i in range(self.span)
                  if self.kind[at + i] and (named or self.kind[at + i] < 3)]

@@ -68,3 +68,20 @@ def test_messy_and_empty(spark, messy, empty):
     assert decontam.contaminated(empty, items).count() == 0
     assert decontam.contaminated(messy, items.limit(0)).count() == 0
     assert decontam.remove_contaminated(messy, items.limit(0)).count() == messy.count()
+
+
+def test_template_kinds_and_pieces(monkeypatch):
+    text = 'He met Anna Lee at 5km, "10 kg" and 3,000.50 $ (NASA). "Then Bob left... é É ÉCOLE 7 oaks'
+    h, kind, forms = decontam.template(text)
+    words = [forms[i] for i in range(len(h))]
+    assert words == ["he", "met", "anna", "lee", "at", "5", "km", "10", "kg", "and", "3,000.50", "$", "nasa", "then",
+                     "bob", "left", "é", "é", "école", "7", "oaks"]
+    assert kind.tolist() == [0, 0, 3, 3, 0, 1, 2, 1, 2, 0, 1, 2, 0, 0, 3, 0, 0, 3, 0, 1, 0]
+    assert all(x == decontam._hash_form(w) for x, w in zip(h, words, strict=True))
+    long = " ".join([text] * 50)
+    whole = decontam.windows(long)
+    monkeypatch.setattr(decontam, "PIECE", 97)
+    pieces = decontam.windows(long)
+    assert (whole[0] == pieces[0]).all() and (whole[1] == pieces[1]).all() and whole[3] == pieces[3]
+    keep = list(range(40))
+    assert whole[2].pick(keep) == pieces[2].pick(keep)
