@@ -116,8 +116,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     # Words bound distinct bigrams from above: too few words can be dropped unseen.
     each = each.where(F.regexp_count("part", F.lit("[0-9a-z]+")) > max(1.0, low * min(sizes, default=1)))
     words = each.select("doc_id", "unit", "unit_no", F.regexp_extract_all("part", F.lit("[0-9a-z]+"), 0).alias("w"))
-    pairs = F.array_distinct(F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1),
-                                        lambda a, b: F.xxhash64(a, b)))
+    last = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.array_distinct(F.zip_with(F.slice("w", 1, last), F.slice("w", 2, last), lambda a, b: F.xxhash64(a, b)))
     sized = words.select("doc_id", "unit", "unit_no", pairs.alias("pairs")).withColumn("unit_bigrams", F.size("pairs").cast("long"))
     fits = F.lit(False)
     for n in sizes:
