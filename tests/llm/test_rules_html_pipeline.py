@@ -118,6 +118,8 @@ def test_copies_on_a_host_do_not_become_template(spark):
 def brute_match(a, b):
     if a.tag != b.tag:
         return 0
+    if a.tag == "#":
+        return 1 + (a.text == b.text)
     m = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
     for i, x in enumerate(a.children, 1):
         for j, y in enumerate(b.children, 1):
@@ -128,7 +130,7 @@ def brute_match(a, b):
 def test_tree_matching_is_maximal():
     a = wrappers.parse("<div><p>a</p><ul><li>1<li>2</ul><p>b</p></div><hr><p>c</p>")
     b = wrappers.parse("<p>z</p><div><ul><li>1</ul><p>q</p><p>b</p></div><p>c</p><hr>")
-    assert len(wrappers.match(a, b)) == brute_match(a, b)
+    assert sum(1 + (x.tag == "#" and x.text == y.text) for x, y in wrappers.match(a, b)) == brute_match(a, b)
 
 
 def test_extraction_equals_the_article_of_the_given_pages(spark):
