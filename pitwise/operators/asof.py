@@ -34,6 +34,9 @@ from pyspark.sql import types as T
 from pitwise.functions.time import monday
 
 
+HOT_KEYS = 500_000  # a list of hot keys is broadcast up to this many
+
+
 def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
@@ -53,15 +56,15 @@ def asof_join(
 
     Times are timestamps, or plain numbers read as seconds. `hot_threshold`: keys
     with more left rows than that take the time-bucketed form (`hot_bucket_seconds`)
-    while all other keys keep the one-shuffle form; the hot-key list has at most
-    rows / hot_threshold entries and is broadcast.
+    while all other keys keep the one-shuffle form. The list of hot keys is broadcast
+    if it is counted to hold at most HOT_KEYS.
     """
     if hot_threshold is not None and bucket_seconds is None:
         keys = _keys(by)
         hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
                .filter(F.col("__n") > hot_threshold).select(*keys))
         if not hot.isEmpty():
-            hb = F.broadcast(hot)
+            hb = F.broadcast(hot) if hot.limit(HOT_KEYS + 1).count() <= HOT_KEYS else hot
             cold = asof_join(left.join(hb, keys, "left_anti"), right.join(hb, keys, "left_anti"),
                              by, left_ts, right_ts, right_cols)
             warm = asof_join(left.join(hb, keys, "left_semi"), right.join(hb, keys, "left_semi"),
@@ -78,7 +81,7 @@ def _asof_join(left, right, by, left_ts, right_ts, right_cols, bucket_seconds):
         # timestamps as unix micros; plain numbers are taken as seconds
         if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             return F.unix_micros(F.col(c).cast("timestamp"))
-        return F.col(c).cast("long") * F.lit(1_000_000)
+        return (F.col(c).cast("decimal(38,6)") * F.lit(1_000_000)).cast("long")  # fractions of a second count
 
     lcols = left.columns
     l = left.select(*[F.col(c) for c in lcols], micros(left, left_ts).alias("__t"), F.lit(1).alias("__side"))
@@ -126,10 +129,14 @@ def asof_join_weekly(
     For a Monday-aligned right time `a`: `a <= t`  <=>  `a <= monday(t)`, so the
     match of `t` is the snapshot valid in week `monday(t)`. `until` (a timestamp
     Column, e.g. a scalar subquery) bounds the expansion from above; it must be at
-    or after the latest left time (default: computed from `left`).
+    or after the latest left time (default: computed from `left`). A right time off
+    the grid would match wrongly, so a task that meets one raises.
     """
     keys = _keys(by)
     right_cols = list(right_cols)
+    on_grid = F.col(right_ts).isNull() | (F.col(right_ts) == monday(right_ts))
+    off = F.raise_error(F.concat(F.lit("not a Monday 00:00: "), F.col(right_ts).cast("string")))
+    right = right.withColumn(right_ts, F.when(on_grid, F.col(right_ts)).otherwise(off))
     last_week = monday(until) if until is not None else left.select(F.max(monday(left_ts))).scalar()
     by_key = Window.partitionBy(*keys).orderBy(right_ts)
     start = F.col(right_ts).cast("date")

@@ -2,9 +2,10 @@
 
 Spark writes a result as many part files whose bytes depend on partitioning, and
 a query without ORDER BY has no row order, so hashing file bytes is not stable.
-Instead every row is rendered as canonical text (columns in name order, NULL as
-`\\N`), hashed with md5, the hash is cut into four 32-bit words, and the words
-are summed over all rows (plus the row count). Sums commute, so the result does
+Instead every row is rendered as canonical text (columns in name order, each value
+with its length before it, NULL as `-`), hashed with md5, the hash is cut into four
+32-bit words, and the words are summed over all rows as DECIMAL(38,0) (plus the
+row count). Sums commute, so the result does
 not depend on partitioning or row order; the final sha256 of the sums is the
 fingerprint. One aggregate pass with map-side partial sums.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_TEXT = "\\N"
+NULL_TEXT = "-"  # a value is `<characters>:<text>`, so no text equals it
 
 
 def canonical_text(field: T.StructField) -> Column:
@@ -31,7 +32,7 @@ def canonical_text(field: T.StructField) -> Column:
         txt = F.when(c, F.lit("true")).otherwise(F.lit("false"))
     else:
         txt = c.cast("string")
-    return F.coalesce(txt, F.lit(NULL_TEXT))
+    return F.coalesce(F.concat(F.length(txt).cast("string"), F.lit(":"), txt), F.lit(NULL_TEXT))
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -42,9 +43,9 @@ def row_hash(df: DataFrame) -> Column:
 def fingerprint_parts(df: DataFrame) -> DataFrame:
     """One row: n_rows and the four word sums."""
     h = df.select(row_hash(df).alias("__h"))
-    word = lambda i: F.conv(F.substring("__h", 8 * i + 1, 8), 16, 10).cast("long")
+    word = lambda i: F.conv(F.substring("__h", 8 * i + 1, 8), 16, 10).cast("decimal(38,0)")
     return h.agg(F.count(F.lit(1)).alias("n_rows"),
-                 *[F.coalesce(F.sum(word(i)), F.lit(0)).cast("long").alias(f"s{i}") for i in range(4)])
+                 *[F.coalesce(F.sum(word(i)), F.lit(0)).cast("decimal(38,0)").alias(f"s{i}") for i in range(4)])
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:

@@ -102,7 +102,7 @@ def label_distribution(tx: DataFrame, labels: DataFrame, maturity_days: int = MA
     per = label_assembly(tx, labels, maturity_days).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     # the unpartitioned window runs over the 2-row aggregate only
     total = F.sum("n").over(Window.partitionBy())
-    return per.select("label", "n", F.round(F.lit(100.0) * F.col("n") / total, 3).alias("pct"))
+    return per.select("label", "n", F.round(F.lit(100.0) * F.col("n") / total, 3).alias("pct")).orderBy("label")
 
 
 def never_reported(tx: DataFrame, labels: DataFrame, key: str = "transaction_id") -> DataFrame:

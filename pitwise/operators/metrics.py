@@ -63,10 +63,14 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataF
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     P, N = class_totals(df, label, score)
     c = score_curve(df, label, score)
-    # 2 * (pairs ranked right) + (tied pairs), summed exactly as DECIMAL(38,0)
-    num = (F.lit(2) * F.col("pos") * (N - F.col("fp")) + F.col("pos") * F.col("neg")).cast("decimal(38,0)")
+    # 2 * (pairs ranked right) + (tied pairs) = pos * (2 * (N - fp) + neg), summed exactly. The counts are
+    # DECIMAL(19,0) before they are multiplied: neither INT nor LONG holds the product of two counts.
+    exact = lambda x: x.cast("decimal(19,0)")
+    right = (exact(F.lit(2)) * (exact(N) - exact(F.col("fp"))) + exact(F.col("neg"))).cast("decimal(19,0)")
+    num = (exact(F.col("pos")) * right).cast("decimal(38,0)")
+    pairs = F.lit(2.0) * P.cast("double") * N.cast("double")
     return c.agg(F.sum(num).alias("__num")).select(
-        F.round(F.try_divide(F.col("__num").cast("double"), (F.lit(2) * P * N).cast("double")), 6).alias("roc_auc"))
+        F.round(F.try_divide(F.col("__num").cast("double"), pairs), 6).alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -44,10 +44,18 @@ def _numeric_key(df: DataFrame, c: Column | str) -> Column:
     return col.cast("double")
 
 
-def _bucket(df: DataFrame, key: Column, n: int, descending: bool = False) -> DataFrame:
-    """`df` plus `__b`, a bucket id in 0..n-1 following the order of `key`.
+def _nulls_last(order: Column | str) -> bool:
+    """Whether the leading order column puts NULL last (Spark's default when descending)."""
+    text = str(order)
+    if "NULLS FIRST" in text or "NULLS LAST" in text:
+        return "NULLS LAST" in text
+    return "DESC" in text
 
-    The bounds are placed with a binary search (`Bucketizer`, JVM side), so the
+
+def _bucket(df: DataFrame, key: Column, n: int, descending: bool = False, nulls_last: bool = False) -> DataFrame:
+    """`df` plus `__b`, a bucket id that follows the order of `key`.
+
+    Rows with a NULL key have a bucket of their own, before or after all others. The bounds are placed with a binary search (`Bucketizer`, JVM side), so the
     per-row cost is O(log n) however many buckets the cluster uses.
     """
     from pyspark.ml.feature import Bucketizer
@@ -63,8 +71,10 @@ def _bucket(df: DataFrame, key: Column, n: int, descending: bool = False) -> Dat
     # bucket = number of bounds <= key (ascending) / number of bounds > key (descending)
     splits = [float("-inf"), *bounds, float("inf")]
     b = Bucketizer(splits=splits, inputCol="__k", outputCol="__bk", handleInvalid="keep").transform(keyed)
-    idx = F.col("__bk").cast("int")
-    return b.withColumn("__b", (F.lit(len(bounds)) - idx) if descending else idx).drop("__k", "__bk")
+    idx = F.col("__bk").cast("int")  # NaN, the greatest number, is kept in a bucket after the last
+    idx = (F.lit(len(bounds)) - idx) if descending else idx
+    null_bucket = F.lit(len(bounds) + 2 if nulls_last else -2)
+    return b.withColumn("__b", F.when(F.col("__k").isNull(), null_bucket).otherwise(idx)).drop("__k", "__bk")
 
 
 def _offsets(df: DataFrame, bucket: str, totals: dict[str, Column]) -> DataFrame:
@@ -83,7 +93,7 @@ def assign_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "row_
     """
     n = _num_buckets(df, num_buckets)
     key = bucket_key if bucket_key is not None else _numeric_key(df, order[0])
-    b = _bucket(df, key, n)
+    b = _bucket(df, key, n, nulls_last=_nulls_last(order[0]))
     offs = _offsets(b, "__b", {"n": F.count(F.lit(1))})
     local = F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1
     out = b.withColumn("__local", local).join(F.broadcast(offs), "__b")
@@ -100,7 +110,7 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], value_cols: Seque
     n = _num_buckets(df, num_buckets)
     value_cols = list(value_cols)
     key = bucket_key if bucket_key is not None else _numeric_key(df, order[0])
-    b = _bucket(df, key, n, descending)
+    b = _bucket(df, key, n, descending, _nulls_last(order[0]))
     offs = _offsets(b, "__b", {c: F.sum(c) for c in value_cols})
     w = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = b.select("*", *[F.sum(c).over(w).cast("long").alias(f"__l_{c}") for c in value_cols])

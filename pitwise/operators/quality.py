@@ -26,7 +26,7 @@ def unique_summary(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(
         F.lit(table).alias("table_name"),
         F.lit(",".join(keys)).alias("key_columns"),
-        F.sum("n").cast("long").alias("n_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
         F.count(F.lit(1)).alias("n_keys"),
         F.count_if(F.col("n") > 1).alias("n_duplicate_keys"),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).cast("long").alias("n_surplus_rows"),

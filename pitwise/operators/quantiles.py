@@ -6,9 +6,9 @@ hi = ceil(pos) -- the usual "linear" definition.
 
 Spark's exact `percentile` aggregate merges a value->count map of every distinct
 value in one final task; here the values are numbered in global order with the
-two-pass range-partition scheme (`assign_ids`), and only the 2 x len(qs) rows at
-the needed positions are kept, so no task ever holds more than its range
-partition. `approx=True` switches to `percentile_approx` (one pass, bounded error).
+two-pass range-partition scheme as (value, count) rows with running sums, so equal
+values are one row, and only the rows that hold the needed positions are kept. No
+task ever holds more than its range of distinct values. `approx=True` switches to `percentile_approx` (one pass, bounded error).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwise.operators.ordering import assign_ids
+from pitwise.operators.ordering import running_sums
 
 
 def _as_double(c: Column, kind: str) -> Column:
@@ -37,12 +37,16 @@ def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], kind: str =
     n = vals.agg(F.count(F.lit(1))).first()[0]
     if n == 0:
         return vals.sparkSession.range(1).select(F.array(*[F.lit(None).cast("double") for _ in qs]).alias("q"))
-    numbered = assign_ids(vals, ["__v"], id_col="__i")
+    per = vals.groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
+    upto = running_sums(per, ["__v"], ["__n"])
     pos = [F.lit(float(q) * (n - 1)) for q in qs]
     wanted = sorted({math.floor(float(q) * (n - 1)) for q in qs} | {math.ceil(float(q) * (n - 1)) for q in qs})
-    picked = numbered.filter(F.col("__i").isin(wanted))
+    # a value covers the positions [sum before it, sum up to it)
+    covered = F.filter(F.array(*[F.lit(w) for w in wanted]),
+                       lambda i: (i >= F.col("__n_cum") - F.col("__n")) & (i < F.col("__n_cum")))
+    picked = upto.select(F.explode(covered).alias("__i"), "__v")
     # <= 2 * len(qs) rows: gather them into one small map
-    m = picked.agg(F.map_from_entries(F.collect_list(F.struct(F.col("__i"), F.col("__v")))).alias("m"))
+    m = picked.agg(F.map_from_entries(F.collect_list(F.struct(F.col("__i").cast("long"), F.col("__v")))).alias("m"))
     out = []
     for p in pos:
         lo, hi = F.floor(p), F.ceil(p)

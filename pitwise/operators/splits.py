@@ -38,7 +38,9 @@ def temporal_split(df: DataFrame, cuts: DataFrame | None = None, ts: str = "auth
     row = cuts.first()  # two timestamps; they become literals of the split expression
     if row is None or row["train_end"] is None or row["val_end"] is None:  # no rows to split
         return df.withColumn(split_col, F.lit(None).cast("string"))
-    te, ve = (F.lit(row[c].isoformat(sep=" ")).cast("timestamp_ntz") for c in ("train_end", "val_end"))
+    # a snapshot manifest holds the cut points as text
+    te, ve = (F.lit(x if isinstance(x := row[c], str) else x.isoformat(sep=" ")).cast("timestamp_ntz")
+              for c in ("train_end", "val_end"))
     return df.withColumn(split_col, split_column(ts, te, ve))
 
 

@@ -34,15 +34,17 @@ def merchant_weekly_stats(
     strength: float = PRIOR_STRENGTH,
 ) -> DataFrame:
     """(merchant_id, as_of_date, n_tx, n_fraud_known, fraud_rate_pit)."""
-    lab = labels.select(F.col("transaction_id").alias("__lk"), F.col("reported_at"))
-    per_tx = tx.select("transaction_id", "merchant_id", "authorized_at").join(
-        lab, F.col("transaction_id") == F.col("__lk"), "left")
-    pre = per_tx.groupBy(
-        "merchant_id",
-        monday("authorized_at").alias("aw"),
-        # NULL report week = never known
-        F.when(F.col("__lk").isNotNull(), monday("reported_at")).alias("rw"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    # All operations are counted without the labels; the few labelled ones are found by an
+    # inner join, and taken off the never-known count. Both are (merchant, week) rows before
+    # they are exchanged again.
+    week = monday("authorized_at").alias("aw")
+    ops = tx.select("transaction_id", "merchant_id", "authorized_at")
+    every = ops.groupBy("merchant_id", week).agg(F.count(F.lit(1)).alias("n")).withColumn("rw", F.lit(None).cast("date"))
+    lab = labels.select(F.col("transaction_id").alias("__lk"), "reported_at")
+    marked = ops.join(lab, F.col("transaction_id") == F.col("__lk")).groupBy(
+        "merchant_id", week, monday("reported_at").cast("date").alias("rw")).agg(F.count(F.lit(1)).alias("n"))
+    off = marked.select("merchant_id", "aw", (-F.col("n")).alias("n"), F.lit(None).cast("date").alias("rw"))
+    pre = every.unionByName(marked).unionByName(off)
 
     k = F.explode(F.sequence(F.lit(0), F.lit(horizon_weeks - 1))).alias("k")
     exp = pre.select("merchant_id", "aw", "rw", "n", k)
@@ -57,21 +59,6 @@ def merchant_weekly_stats(
     return out.withColumn("fraud_rate_pit", shrunk_rate("n_fraud_known", "n_tx", prior, strength))
 
 
-def merchant_weekly_stats_direct(tx: DataFrame, labels: DataFrame, horizon_weeks: int = HORIZON_WEEKS,
-                                 prior: float = PRIOR_RATE, strength: float = PRIOR_STRENGTH) -> DataFrame:
-    """Literal form (expand every operation); used by tests to check the fast form."""
-    lab = labels.select(F.col("transaction_id").alias("__lk"), "reported_at")
-    per_tx = tx.join(lab, F.col("transaction_id") == F.col("__lk"), "left").select(
-        "merchant_id", monday("authorized_at").alias("aw"),
-        F.when(F.col("__lk").isNotNull(), monday("reported_at")).alias("rw"))
-    exp = per_tx.select("*", F.explode(F.sequence(F.lit(0), F.lit(horizon_weeks - 1))).alias("k"))
-    known = F.coalesce(F.col("rw") <= add_weeks("aw", F.col("k")), F.lit(False))
-    return exp.groupBy(
-        "merchant_id", add_weeks("aw", F.col("k") + 1).cast("timestamp_ntz").alias("as_of_date")
-    ).agg(F.count(F.lit(1)).alias("n_tx"), F.count_if(known).alias("n_fraud_known")).withColumn(
-        "fraud_rate_pit", shrunk_rate("n_fraud_known", "n_tx", prior, strength))
-
-
 def write_weekly_stats(weekly: DataFrame, path: str) -> None:
     """Rebuild the materialized weekly table (drop + create as select): overwrite the
     folder, rows clustered by (merchant_id, as_of_date) inside each file."""

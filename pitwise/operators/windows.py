@@ -30,6 +30,7 @@ from pitwise.session import materialize
 VELOCITY_WINDOWS = {"vel_1h": 3600, "vel_24h": 86400, "vel_7d": 604800}
 PRIOR_ROWS = 20
 Z_DIGITS = 4
+HOT_KEYS = 500_000  # a list of hot customers is broadcast up to this many
 
 
 def customer_window_features(
@@ -42,26 +43,33 @@ def customer_window_features(
     velocity: dict[str, int] | None = None,
     prior_rows: int = PRIOR_ROWS,
     digits: int = Z_DIGITS,
+    rate_digits: int | None = None,
     hot_threshold: int | None = None,
     bucket_seconds: int = 86400,
     block_rows: int = 1_000_000,
 ) -> DataFrame:
     """Append the window features to `tx` (all input columns are kept).
 
-    With `hot_threshold`, customers holding more than that many rows are computed
-    by `hot_customer_features` (split by time buckets and row blocks, never one
-    task per customer); all others by the single-window plan. The hot-key list is
-    at most rows / hot_threshold keys, so it is broadcast.
+    With `hot_threshold`, customers holding more than that many rows (operations
+    without a customer count as one) are computed by `hot_customer_features` (split
+    by time buckets and row blocks, never one task per customer); all others by the
+    single-window plan. Both give the same rows, also with repeated or NULL ids and
+    times. The list of hot keys is broadcast if it is counted to hold at most HOT_KEYS.
+    `rate_digits` rounds the decline rate (default: as `digits`).
     """
     args = dict(key=key, ts=ts, order_id=order_id, amount=amount, auth_result=auth_result,
-                velocity=velocity, prior_rows=prior_rows, digits=digits)
+                velocity=velocity, prior_rows=prior_rows, digits=digits,
+                rate_digits=digits if rate_digits is None else rate_digits)
     if hot_threshold is None:
         return _single_window(tx, **args)
-    hot = tx.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_threshold).select(key)
+    hot = tx.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_threshold).select(F.col(key).alias("__hot"))
     if hot.isEmpty():  # the usual case: keep the one-shuffle plan
         return _single_window(tx, **args)
-    cold_rows = tx.join(F.broadcast(hot), key, "left_anti")
-    hot_rows = tx.join(F.broadcast(hot), key, "left_semi")
+    if hot.limit(HOT_KEYS + 1).count() <= HOT_KEYS:
+        hot = F.broadcast(hot)
+    is_hot = F.col(key).eqNullSafe(F.col("__hot"))
+    cold_rows = tx.join(hot, is_hot, "left_anti")
+    hot_rows = tx.join(hot, is_hot, "left_semi")
     return _single_window(cold_rows, **args).unionByName(
         hot_customer_features(hot_rows, bucket_seconds=bucket_seconds, block_rows=block_rows, **args))
 
@@ -72,7 +80,7 @@ def _parts(df, ts, amount, auth_result):
     return df.withColumn("__epoch", epoch_seconds(ts)), amt, declined
 
 
-def _single_window(tx, key, ts, order_id, amount, auth_result, velocity, prior_rows, digits):
+def _single_window(tx, key, ts, order_id, amount, auth_result, velocity, prior_rows, digits, rate_digits):
     velocity = VELOCITY_WINDOWS if velocity is None else velocity
     ep = "__epoch"
     df, amt, declined = _parts(tx, ts, amount, auth_result)
@@ -90,7 +98,7 @@ def _single_window(tx, key, ts, order_id, amount, auth_result, velocity, prior_r
     cols = [
         (F.col(ep) - F.lag(ep, 1).over(w_rows)).alias("secs_since_prev"),
         F.round((amt - prior_mean) / F.nullif(prior_std, F.lit(0.0)), digits).alias("amount_z"),
-        F.round(F.avg(declined).over(w_prior), digits).alias("decline_rate_20"),
+        F.round(F.avg(declined).over(w_prior), rate_digits).alias("decline_rate_20"),
     ]
     cols += [(F.count(F.lit(1)).over(w) - 1).alias(name) for name, w in w_range.items()]
     return df.select("*", *cols).drop(ep)
@@ -98,7 +106,7 @@ def _single_window(tx, key, ts, order_id, amount, auth_result, velocity, prior_r
 
 def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="transaction_id", amount="amount",
                           auth_result="auth_result", velocity=None, prior_rows=PRIOR_ROWS, digits=Z_DIGITS,
-                          bucket_seconds: int = 86400, block_rows: int = 1_000_000) -> DataFrame:
+                          rate_digits=Z_DIGITS, bucket_seconds: int = 86400, block_rows: int = 1_000_000) -> DataFrame:
     """Same features for customers too large for one task, with bounded tasks.
 
     1. position `idx` of every row in its customer's (epoch, id) order: per
@@ -111,6 +119,10 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
        term is the largest position among the row's same-second peers + 1; the
        second is an as-of lookup of the probe time t - W - 1 s into the customer's
        own (epoch -> largest position) table, split by time bucket.
+
+    Rows are told apart by (customer, position), which is unique whatever their ids.
+    Rows without a time come first in their customer's order and count each other only,
+    as in the single window.
     """
     velocity = VELOCITY_WINDOWS if velocity is None else velocity
     ep = "__epoch"
@@ -124,7 +136,9 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     w_local = Window.partitionBy(key, "__b").orderBy(F.col(ep), F.col(order_id))
     w_peers = Window.partitionBy(key, "__b").orderBy(F.col(ep)).rangeBetween(0, 0)
     local = df.withColumn("__loc", F.row_number().over(w_local) - 1)
-    pos = local.join(offs, [key, "__b"]).withColumn("__idx", F.col("__off") + F.col("__loc"))
+    offs = offs.select(F.col(key).alias("__ok"), F.col("__b").alias("__ob"), "__off")
+    same = F.col(key).eqNullSafe(F.col("__ok")) & F.col("__b").eqNullSafe(F.col("__ob"))
+    pos = local.join(offs, same).withColumn("__idx", F.col("__off") + F.col("__loc")).drop("__ok", "__ob", "__off")
     pos = pos.withColumn("__le", F.max("__idx").over(w_peers) + 1)  # rows with epoch <= t
     # read three times below (row blocks, lookup table, probes): number the rows once
     pos = materialize(pos, "hot-positions")
@@ -140,27 +154,28 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     w_rows = Window.partitionBy(key, "__blk").orderBy("__idx")
     w_prior = w_rows.rowsBetween(-prior_rows, -1)
     rows_feats = own.unionByName(halo).select(
-        order_id, "__halo",
+        *tx.columns, "__idx", "__halo",
         (F.col(ep) - F.lag(ep, 1).over(w_rows)).alias("secs_since_prev"),
         F.round((amt - F.avg(amt).over(w_prior)) / F.nullif(F.stddev_pop(amt).over(w_prior), F.lit(0.0)),
                 digits).alias("amount_z"),
-        F.round(F.avg(declined).over(w_prior), digits).alias("decline_rate_20"),
+        F.round(F.avg(declined).over(w_prior), rate_digits).alias("decline_rate_20"),
     ).filter(~F.col("__halo")).drop("__halo")
 
     # 3. RANGE counts through an as-of lookup of each probe time
     lookup = pos.groupBy(key, F.col(ep).alias("__pt")).agg(F.max("__idx").alias("__lastidx"))
     probes = None
     for name, secs in velocity.items():
-        p = pos.select(key, order_id, F.lit(name).alias("__w"), (F.col(ep) - F.lit(secs + 1)).alias("__pt"),
+        p = pos.select(key, "__idx", F.lit(name).alias("__w"), (F.col(ep) - F.lit(secs + 1)).alias("__pt"),
                        "__le")
         probes = p if probes is None else probes.unionByName(p)
     hit = asof_join(probes, lookup, key, "__pt", "__pt", ["__lastidx"], bucket_seconds=bucket_seconds)
-    counts = hit.select(order_id, "__w", (F.col("__le") - F.coalesce(F.col("__lastidx") + 1, F.lit(0)) - 1)
-                        .alias("__cnt"))
-    range_feats = counts.groupBy(order_id).pivot("__w", list(velocity)).agg(F.first("__cnt"))
+    older = F.when(F.col("__pt").isNull(), F.lit(0)).otherwise(F.coalesce(F.col("__lastidx") + 1, F.lit(0)))
+    counts = hit.select(F.col(key).alias("__rk"), F.col("__idx").alias("__ri"), "__w",
+                        (F.col("__le") - older - 1).alias("__cnt"))
+    range_feats = counts.groupBy("__rk", "__ri").pivot("__w", list(velocity)).agg(F.first("__cnt"))
 
-    base = tx
-    return base.join(rows_feats, order_id).join(range_feats, order_id)
+    same_row = F.col(key).eqNullSafe(F.col("__rk")) & (F.col("__idx") == F.col("__ri"))
+    return rows_feats.join(range_feats, same_row).drop("__idx", "__rk", "__ri")
 
 
 WINDOW_FEATURES = ["vel_1h", "vel_24h", "vel_7d", "secs_since_prev", "amount_z", "decline_rate_20"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pitwise import oracles as O
 from pitwise.operators import metrics as M
 from pitwise.operators.fingerprint import content_fingerprint
+from pitwise.operators.labels import label_assembly, maturity_gate
 from pitwise.operators.sampling import capped_sample, undersample
 from pitwise.operators.splits import cut_points, split_check, split_summary, temporal_split
 from pitwise.plans.matrix import feature_matrix
@@ -27,15 +28,21 @@ TARGET_RECALL = 0.80   # fixed value: recall the rules engine guarantees
 RULES_PRECISION = 0.05  # fixed value: assumed rules precision at that recall
 NEG_PER_POS = 20
 SEED = 42
-SHAP_SAMPLE = 5000
+SAMPLE_CAP = 1000
 
 
+PLAIN_COLUMNS = {"transaction_id", "customer_id", "authorized_at", "amount", "label"}
 SCORE_COLUMNS = ["transaction_id", "authorized_at", "label", "amount"]
 
 
 def _matrix(t, cols: list[str] | None = None):
     # several passes (counts, quantiles, ranking) read the matrix: write it once (only
     # the columns the query needs) and read the frozen copy
+    if cols and set(cols) <= PLAIN_COLUMNS:
+        # operations and their label: no windows, weekly rates or merchants are needed
+        tx = t.transactions.select(*{"transaction_id", "authorized_at", *cols} - {"label"})
+        rows = label_assembly(tx, t.fraud_labels) if "label" in cols else maturity_gate(tx)
+        return materialize(rows.select(*cols), "matrix")
     m = feature_matrix(t.transactions, t.fraud_labels, t.merchants)
     return materialize(m.select(*cols) if cols else m, "matrix")
 
@@ -86,7 +93,7 @@ SELECT count(*) AS rows, CAST(coalesce(sum(label), 0) AS BIGINT) AS positives,
   round(coalesce(CAST(sum(label) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0), 0.0), 6) AS fraud_rate
 FROM matrix""", *O.matrix_ctes()))
 def q_dataset_stats(t):
-    return dataset_stats(_matrix(t))
+    return dataset_stats(_matrix(t, ["label"]))
 
 
 @query("temporal_cut_points", O.sql("SELECT train_end, val_end FROM cuts", *O.matrix_ctes(), CUTS_CTE))
@@ -125,12 +132,12 @@ def q_split_check(t):
 SELECT n_rows, sha256(concat_ws(':', CAST(n_rows AS VARCHAR), CAST(s0 AS VARCHAR), CAST(s1 AS VARCHAR),
                                 CAST(s2 AS VARCHAR), CAST(s3 AS VARCHAR))) AS sha256
 FROM (SELECT count(*) AS n_rows,
-        CAST(coalesce(sum(('0x' || substr(h, 1, 8))::BIGINT), 0) AS BIGINT) AS s0,
-        CAST(coalesce(sum(('0x' || substr(h, 9, 8))::BIGINT), 0) AS BIGINT) AS s1,
-        CAST(coalesce(sum(('0x' || substr(h, 17, 8))::BIGINT), 0) AS BIGINT) AS s2,
-        CAST(coalesce(sum(('0x' || substr(h, 25, 8))::BIGINT), 0) AS BIGINT) AS s3
+        CAST(coalesce(sum(('0x' || substr(h, 1, 8))::BIGINT), 0) AS HUGEINT) AS s0,
+        CAST(coalesce(sum(('0x' || substr(h, 9, 8))::BIGINT), 0) AS HUGEINT) AS s1,
+        CAST(coalesce(sum(('0x' || substr(h, 17, 8))::BIGINT), 0) AS HUGEINT) AS s2,
+        CAST(coalesce(sum(('0x' || substr(h, 25, 8))::BIGINT), 0) AS HUGEINT) AS s3
       FROM (SELECT md5(concat_ws('|', """ + ", ".join(
-    f"coalesce({e}, '\\N')" for e in [
+    f"coalesce(length({e}) || ':' || {e}, '-')" for e in [
         "CAST(amount AS VARCHAR)", "printf('%.10f', amount_z)", "strftime(authorized_at, '%Y-%m-%d %H:%M:%S.%f')",
         "channel", "country", "CAST(customer_id AS VARCHAR)", "printf('%.10f', decline_rate_20)",
         "entry_mode", "CAST(hour AS VARCHAR)", "CAST(ip_mismatch AS VARCHAR)", "CAST(is_ecommerce AS VARCHAR)",
@@ -159,7 +166,7 @@ def q_snapshot_manifest(t):
                       "split.val_end", F.size("feature_columns").alias("n_feature_columns"), "label_column")
 
 
-@query("snapshot_write")
+@query("snapshot_write", O.sql("SELECT * FROM matrix", *O.matrix_ctes()))
 def q_snapshot_write(t):
     """Freeze the matrix under a fresh id in the shared scratch folder; read it back."""
     root = scratch_path(t.spark, f"snapshots-{uuid.uuid4().hex[:8]}")
@@ -189,10 +196,10 @@ SELECT transaction_id FROM (
   SELECT transaction_id,
     row_number() OVER (ORDER BY md5('{SEED}:' || CAST(transaction_id AS VARCHAR)), transaction_id) AS rn
   FROM splitm WHERE split = 'test') x
-WHERE rn <= {SHAP_SAMPLE}""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
+WHERE rn <= {SAMPLE_CAP}""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
 def q_capped_sample(t):
     test = _split(t, ["transaction_id", "authorized_at"]).filter(F.col("split") == "test")
-    return capped_sample(test, SHAP_SAMPLE, "transaction_id", SEED).select("transaction_id")
+    return capped_sample(test, SAMPLE_CAP, "transaction_id", SEED).select("transaction_id")
 
 
 # ------------------------------------------------------------------ ranking metrics
@@ -207,7 +214,7 @@ def q_pr_curve(t):
 
 
 @query("roc_auc", O.sql("""
-SELECT round(CAST(sum(2 * pos * (tot.N - fp) + pos * neg) AS DOUBLE) / CAST(2 * max(tot.P) * max(tot.N) AS DOUBLE), 6)
+SELECT round(CAST(sum(2::HUGEINT * pos * (tot.N - fp) + pos::HUGEINT * neg) AS DOUBLE) / (2.0::DOUBLE * max(tot.P) * max(tot.N)), 6)
   AS roc_auc
 FROM curve CROSS JOIN tot""", *_eval_ctes()))
 def q_roc_auc(t):

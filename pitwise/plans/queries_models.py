@@ -17,18 +17,25 @@ from pitwise.plans import attribution as A
 from pitwise.plans import training as TR
 from pitwise.operators.splits import assert_disjoint
 from pitwise.plans.contract import Contract, rejection_counts, validate
-from pitwise.plans.queries_eval import CUTS_CTE, SPLIT_CTE, SEED, SHAP_SAMPLE, _split
+from pitwise.plans.queries_eval import CUTS_CTE, SPLIT_CTE, SEED, _split
 from pitwise.plans.scoring import score
 from pitwise.registry import query
 from pitwise.session import materialize, scratch_path
 from pitwise.streaming.scoring import run_to_completion, start_scoring_stream
 
-GBT_ITER = 60
 _CACHE: dict = {}
 
 
+def _key(t, what: str) -> tuple:
+    """Per application and table version: changed data or a new session are fitted anew."""
+    files = t.spark.read.parquet(f"{t.sf_dir}/orders.parquet").select("_metadata.file_path", "_metadata.file_modification_time",
+                                                                     "_metadata.file_size").distinct()
+    state = tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first())
+    return what, t.spark.sparkContext.applicationId, t.sf_dir, state
+
+
 def _parts(t):
-    key = ("parts", id(t.spark), t.sf_dir)
+    key = _key(t, "parts")
     if key not in _CACHE:
         split = _split(t)
         assert_disjoint(split)  # train <= val <= test in time, or stop here
@@ -37,10 +44,10 @@ def _parts(t):
 
 
 def _trained(t) -> TR.Trained:
-    key = ("gbt", id(t.spark), t.sf_dir)
+    key = _key(t, "gbt")
     if key not in _CACHE:
         p = _parts(t)
-        _CACHE[key] = TR.train_and_calibrate(p["train"], p["val"], Contract(), max_iter=GBT_ITER)
+        _CACHE[key] = TR.train_and_calibrate(p["train"], p["val"], Contract())
     return _CACHE[key]
 
 
@@ -68,20 +75,19 @@ def q_model_leaderboard(t):
     from pitwise.operators.sampling import undersample
     p = _parts(t)
     bal = undersample(p["train"], seed=SEED)
-    return TR.leaderboard(bal, p["val"], gbt_iter=GBT_ITER, rf_trees=60)
+    return TR.leaderboard(bal, p["val"])
 
 
 @query("attribution_global")
 def q_attribution_global(t):
-    """Mean |contribution| and direction per feature (linear model, capped test sample)."""
-    from pitwise.operators.sampling import capped_sample, undersample
+    """Mean |contribution|, direction and rank of every feature (linear model, whole test split)."""
+    from pitwise.operators.sampling import undersample
     from pitwise.plans import models as ML
     p = _parts(t)
     c = Contract()
     bal = materialize(undersample(p["train"], seed=SEED), "train_bal")
-    lr = ML.logistic(c).fit(ML.prepare(bal, c))
-    sample = capped_sample(p["test"], SHAP_SAMPLE, "transaction_id", SEED)
-    contrib = A.linear_contributions(lr, bal, sample, c)
+    lr = ML.logistic(c, bal.count()).fit(ML.prepare(bal, c))
+    contrib = A.linear_contributions(lr, bal, p["test"], c)
     return A.global_importance(contrib, c)
 
 
@@ -96,25 +102,30 @@ def q_run_log(t):
     return t.spark.read.parquet(runs)
 
 
+def _all_rows(t):
+    p = _parts(t)
+    return p["train"].unionByName(p["val"]).unionByName(p["test"])
+
+
 @query("score_batch")
 def q_score_batch(t):
-    """Save the serving artifacts, load them back, score the test split."""
+    """Save the serving artifacts, load them back, score every row of the matrix."""
     path = scratch_path(t.spark, f"artifacts-{uuid.uuid4().hex[:8]}")
     TR.save_artifacts(t.spark, _trained(t), path)
     served = TR.load_artifacts(t.spark, path)
-    scored, _ = score(_parts(t)["test"], served)
+    scored, _ = score(_all_rows(t), served)
     return scored
 
 
 @query("score_stream")
 def q_score_stream(t):
-    """The test split as a file stream, scored micro-batch by micro-batch."""
+    """All rows of the matrix as a file stream, scored micro-batch by micro-batch."""
     tr = _trained(t)
-    test = _parts(t)["test"]
+    rows = _all_rows(t)
     base = scratch_path(t.spark, f"stream-{uuid.uuid4().hex[:8]}")
-    test.repartition(4).write.parquet(f"{base}/in")
-    qs = start_scoring_stream(t.spark, f"{base}/in", test.schema, tr, f"{base}/out", f"{base}/ckpt",
-                              rejected_dir=f"{base}/rejected", max_files_per_trigger=1)
+    rows.write.parquet(f"{base}/in")
+    qs = start_scoring_stream(t.spark, f"{base}/in", rows.schema, tr, f"{base}/out", f"{base}/ckpt",
+                              rejected_dir=f"{base}/rejected")
     run_to_completion(qs)
     return t.spark.read.parquet(f"{base}/out")
 

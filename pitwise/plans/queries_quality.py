@@ -70,14 +70,18 @@ def q_dq_not_null(t):
 
 
 @query("apply_defaults", O.sql("""
-SELECT transaction_id, 'RUB' AS currency, false AS is_ecommerce, false AS is_recurring, false AS is_tokenized
+SELECT transaction_id, CASE WHEN transaction_id % 3 = 0 THEN 'EUR' ELSE 'RUB' END AS currency,
+  transaction_id % 5 = 0 AS is_ecommerce, false AS is_recurring, transaction_id % 7 = 0 AS is_tokenized
 FROM event_transactions""", views=["event_transactions"]))
 def q_apply_defaults(t):
-    """A source without currency / flag columns, loaded with the declared defaults."""
+    """A source whose currency and flags are partly set, loaded with the declared defaults."""
+    set_ = {"currency": (3, "EUR"), "is_ecommerce": (5, True), "is_tokenized": (7, True)}
     spec = TABLES["transactions"]
     src = t.event_transactions.select("transaction_id")
     for c in spec.defaults:
-        src = src.withColumn(c, F.lit(None).cast(spec.schema[c].dataType))
+        every, value = set_.get(c, (0, None))
+        known = F.when(F.col("transaction_id") % every == 0, F.lit(value)) if every else F.lit(None)
+        src = src.withColumn(c, known.cast(spec.schema[c].dataType))
     return Q.apply_defaults(src, spec.defaults)
 
 
@@ -106,8 +110,12 @@ _TX_COLS = ", ".join(f.name for f in TABLES["transactions"].schema.fields)
 
 @query("etl_reload", O.sql(f"SELECT {_TX_COLS} FROM transactions"))
 def q_etl_reload(t):
-    """The transactions table conformed to the declared schema (by name, typed)."""
-    return etl.conform(t.transactions, TABLES["transactions"])
+    """The transactions table reloaded twice (the second load replaces the first) and read back."""
+    spec = TABLES["transactions"]
+    path = scratch_path(t.spark, f"reload-{uuid.uuid4().hex}")
+    for _ in range(2):
+        etl.reload_table(t.transactions, spec, path)
+    return t.spark.read.parquet(path)
 
 
 @query("csv_roundtrip", O.sql(f"SELECT {_TX_COLS} FROM transactions"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pitwise.operators import labels as L
 from pitwise.operators.fingerprint import content_fingerprint
 from pitwise.operators.splits import cut_points
+from pitwise.session import materialize
 from pitwise.plans.matrix import ID_COLUMNS, LABEL_COLUMN, feature_matrix
 from pitwise.sources import snapshots as S
 
@@ -69,7 +70,7 @@ def build_snapshot(spark: SparkSession, tx: DataFrame, labels: DataFrame, mercha
     snapshot_id = snapshot_id or S.new_snapshot_id()
     matrix = feature_matrix(tx, labels, merchants, maturity_days)
     if dry_run:
-        data = matrix
+        data = materialize(matrix, "snapshot-dry-run")  # every statistic reads this one copy
     else:
         path = S.write_data(matrix, root, dataset, snapshot_id)
         data = spark.read.parquet(path)  # statistics read the frozen files, not the live tables

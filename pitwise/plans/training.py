@@ -43,12 +43,11 @@ class Trained:
     params: dict = field(default_factory=dict)
 
 
-def fit_gbt(train_bal: DataFrame, val: DataFrame, contract: Contract, max_iter: int = 100,
+def fit_gbt(train_bal: DataFrame, val: DataFrame, contract: Contract, max_iter: int = ML.BOOST_ITER,
             seed: int = SEED) -> PipelineModel:
-    """GBT on train with the validation rows marked for early stopping."""
-    tb = ML.prepare(train_bal, contract).withColumn("is_val", F.lit(False))
-    va = ML.prepare(val, contract).withColumn("is_val", F.lit(True))
-    return ML.gbt(contract, max_iter=max_iter, seed=seed).fit(tb.unionByName(va))
+    """GBT on train, stopped early on the validation rows; the preprocessing sees train only."""
+    return ML.fit_trees(ML.gbt(contract, max_iter=max_iter, seed=seed), ML.prepare(train_bal, contract), contract,
+                        ML.prepare(val, contract))
 
 
 def raw_scores(model: PipelineModel, df: DataFrame, contract: Contract, keep=("transaction_id",)) -> DataFrame:
@@ -59,9 +58,15 @@ def raw_scores(model: PipelineModel, df: DataFrame, contract: Contract, keep=("t
 
 
 def fit_calibrator(val_scores: DataFrame, label: str) -> IsotonicRegressionModel:
-    """Isotonic map raw -> probability (ties pooled, constant outside the fitted range)."""
-    iso = IsotonicRegression(featuresCol="raw_score", labelCol=label, predictionCol="fraud_probability")
-    return iso.fit(val_scores.withColumn(label, F.col(label).cast("double")))
+    """Isotonic map raw -> probability (ties pooled, constant outside the fitted range).
+
+    Rows are pooled to one weighted row per score first: the fit merges its blocks on
+    the driver, which then gets a row per distinct score.
+    """
+    iso = IsotonicRegression(featuresCol="raw_score", labelCol=label, predictionCol="fraud_probability", weightCol="__w")
+    pooled = val_scores.groupBy("raw_score").agg(F.avg(F.col(label).cast("double")).alias(label),
+                                                 F.count(F.lit(1)).cast("double").alias("__w"))
+    return iso.fit(pooled)
 
 
 def calibrate(cal: IsotonicRegressionModel, scores: DataFrame) -> DataFrame:
@@ -69,7 +74,7 @@ def calibrate(cal: IsotonicRegressionModel, scores: DataFrame) -> DataFrame:
 
 
 def train_and_calibrate(train: DataFrame, val: DataFrame, contract: Contract | None = None,
-                        neg_per_pos: int = NEG_PER_POS, seed: int = SEED, max_iter: int = 100,
+                        neg_per_pos: int = NEG_PER_POS, seed: int = SEED, max_iter: int = ML.BOOST_ITER,
                         target_recall: float = TARGET_RECALL) -> Trained:
     contract = contract or Contract()
     train_bal = undersample(train, contract.label, "transaction_id", neg_per_pos, seed)
@@ -80,8 +85,11 @@ def train_and_calibrate(train: DataFrame, val: DataFrame, contract: Contract | N
     thr = M.pick_threshold(val_cal, contract.label, "fraud_probability", target_recall).first()[0]
     contract = Contract(contract.features, contract.cat_features, float(thr), contract.label)
     n_trees = len(model.stages[-1].trees)
+    est = model.stages[-1]
     params = {"neg_per_pos": neg_per_pos, "seed": seed, "max_iter": max_iter, "target_recall": target_recall,
-              "threshold": round(float(thr), 6), "trees": n_trees}
+              "threshold": round(float(thr), 6), "trees": n_trees, "rules_precision": RULES_PRECISION,
+              "learner": "GBTClassifier", "depth": est.getOrDefault("maxDepth"), "step_size": est.getOrDefault("stepSize"),
+              "max_bins": est.getOrDefault("maxBins"), "loss": est.getOrDefault("lossType")}
     return Trained(model, cal, contract, n_trees, params)
 
 
@@ -148,7 +156,8 @@ def report_to_metrics(report: DataFrame) -> dict:
 
 
 def leaderboard(train_bal: DataFrame, val: DataFrame, contract: Contract | None = None, seed: int = SEED,
-                target_recall: float = TARGET_RECALL, gbt_iter: int = 100, rf_trees: int = 100) -> DataFrame:
+                target_recall: float = TARGET_RECALL, gbt_iter: int = ML.BOOST_ITER, rf_trees: int = ML.BOOST_ITER,
+                linear_iter: int = ML.LINEAR_ITER) -> DataFrame:
     """Four classifiers fitted on the balanced train split, ranked on val by precision
     at the target recall; ROC AUC and average precision alongside, fit seconds."""
     contract = contract or Contract()
@@ -156,12 +165,12 @@ def leaderboard(train_bal: DataFrame, val: DataFrame, contract: Contract | None
     lab = contract.label
     tb = materialize(ML.prepare(train_bal, contract), "train_bal")
     va = materialize(ML.prepare(val, contract), "val")
+    n = tb.count()
     candidates = [
-        ("GBT", lambda: ML.gbt(contract, gbt_iter, seed=seed).fit(
-            tb.withColumn("is_val", F.lit(False)).unionByName(va.withColumn("is_val", F.lit(True)))), "probability"),
-        ("RandomForest", lambda: ML.random_forest(contract, rf_trees, seed=seed).fit(tb), "probability"),
-        ("LogReg", lambda: ML.logistic(contract).fit(tb), "probability"),
-        ("LinearSVC", lambda: ML.linear_svm(contract).fit(tb), "raw"),
+        ("GBT", lambda: ML.fit_trees(ML.gbt(contract, gbt_iter, seed=seed), tb, contract, va), "probability"),
+        ("RandomForest", lambda: ML.fit_trees(ML.random_forest(contract, rf_trees, seed=seed), tb, contract), "probability"),
+        ("LogReg", lambda: ML.logistic(contract, n, linear_iter).fit(tb), "probability"),
+        ("LinearSVC", lambda: ML.linear_svm(contract, n, linear_iter).fit(tb), "raw"),
     ]
     col = f"prec_at_rec{int(round(target_recall * 100))}"
     rows = []
@@ -169,7 +178,7 @@ def leaderboard(train_bal: DataFrame, val: DataFrame, contract: Contract | None
         t0 = time.time()
         model = fit()
         dt = time.time() - t0
-        pred = model.transform(va.withColumn("is_val", F.lit(True)))
+        pred = model.transform(va)
         sc = materialize(pred.select(F.col(lab).cast("int").alias(lab), ML.positive_score(pred, kind).alias("s")), "scores")
         m = (M.roc_auc(sc, lab, "s").crossJoin(M.average_precision(sc, lab, "s"))
              .crossJoin(M.precision_at_recall(sc, lab, "s", target_recall))).first()

@@ -8,6 +8,7 @@ is used as is, and `checkpoint_dir` only reads what the cluster configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,24 +66,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_LOCAL_CHECKPOINT_DIR: str | None = None
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    `spark.checkpoint.dir` is read from the session; only when it is unset (local
-    tests) a scratch folder is created and registered.
+    `spark.checkpoint.dir` is read from the session, else the folder the caller has
+    registered is used. With neither, a scratch folder is created and registered on a
+    local master only: the executors of a cluster would not share it, so that raises.
     """
-    global _LOCAL_CHECKPOINT_DIR
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir  # the cluster's shared folder; Spark applies it itself
-    if _LOCAL_CHECKPOINT_DIR is None:
-        _LOCAL_CHECKPOINT_DIR = tempfile.mkdtemp(
-            prefix="pitwise-ckpt-", dir=os.environ.get("PITWISE_SCRATCH", "/tmp"))
-        spark.sparkContext.setCheckpointDir(_LOCAL_CHECKPOINT_DIR)
-    return _LOCAL_CHECKPOINT_DIR
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="pitwise-ckpt-", dir=os.environ.get("PITWISE_SCRATCH", "/tmp"))
+    context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -47,12 +47,12 @@ def conform(df: DataFrame, spec: TableSpec, allow_missing: bool = False) -> Data
 def reload_table(df: DataFrame, spec: TableSpec, path: str) -> None:
     """Truncate-and-reload: overwrite the table's folder with the conformed rows.
 
-    Rows are clustered by the declared sort key inside each file (a local sort, no
-    shuffle), which tightens Parquet min/max statistics for pushed-down filters.
+    Rows are ranged by the declared sort key over the files and sorted within them, so
+    Parquet min/max statistics let a filter on the key skip files.
     """
     out = conform(df, spec)
     if spec.sort_key:
-        out = out.sortWithinPartitions(*spec.sort_key)
+        out = out.repartitionByRange(*spec.sort_key).sortWithinPartitions(*spec.sort_key)
     out.write.mode("overwrite").parquet(path)
 
 
@@ -75,14 +75,37 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
      .jdbc(url, table, properties=dict(properties or {})))
 
 
+# Line ends and the escape sign itself are written as backslash sequences, so every record
+# is one line (the files stay splittable) and no text equals the NULL marker.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+_MARK = "\u0001"  # stands for a backslash while the other sequences are read
+_CSV_OPTIONS = {"header": "false", "nullValue": NULL_TOKEN, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+
+
+def _texts(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("header", "false").option("nullValue", NULL_TOKEN)
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    """Bulk text export; text columns may hold anything but the character U+0001."""
+    for name in _texts(df.schema):
+        c = F.col(name)
+        for plain, escaped in _ESCAPES:
+            c = F.replace(c, F.lit(plain), F.lit(escaped))
+        df = df.withColumn(name, c)
+    df.write.mode("overwrite").options(**_CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema).option("header", "false").option("nullValue", NULL_TOKEN)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("mode", "FAILFAST").csv(path))
+    df = spark.read.schema(schema).options(**_CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+    (plain, escaped), *others = _ESCAPES
+    for name in _texts(schema):
+        c = F.replace(F.col(name), F.lit(escaped), F.lit(_MARK))
+        for text, sequence in others:
+            c = F.replace(c, F.lit(sequence), F.lit(text))
+        df = df.withColumn(name, F.replace(c, F.lit(_MARK), F.lit(plain)))
+    return df
 
 
 def new_load_id() -> str:
