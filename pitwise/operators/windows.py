@@ -132,11 +132,13 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     # 1. global position inside the customer
     per_bucket = df.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__nb"))
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_bucket.select(key, "__b", F.coalesce(F.sum("__nb").over(before), F.lit(0)).alias("__off"))
+    timeless = F.sum(F.when(F.col("__b").isNull(), F.col("__nb"))).over(Window.partitionBy(key))
+    offs = per_bucket.select(key, "__b", F.coalesce(F.sum("__nb").over(before), F.lit(0)).alias("__off"),
+                             F.coalesce(timeless, F.lit(0)).alias("__timeless"))
     w_local = Window.partitionBy(key, "__b").orderBy(F.col(ep), F.col(order_id))
     w_peers = Window.partitionBy(key, "__b").orderBy(F.col(ep)).rangeBetween(0, 0)
     local = df.withColumn("__loc", F.row_number().over(w_local) - 1)
-    offs = offs.select(F.col(key).alias("__ok"), F.col("__b").alias("__ob"), "__off")
+    offs = offs.select(F.col(key).alias("__ok"), F.col("__b").alias("__ob"), "__off", "__timeless")
     same = F.col(key).eqNullSafe(F.col("__ok")) & F.col("__b").eqNullSafe(F.col("__ob"))
     pos = local.join(offs, same).withColumn("__idx", F.col("__off") + F.col("__loc")).drop("__ok", "__ob", "__off")
     pos = pos.withColumn("__le", F.max("__idx").over(w_peers) + 1)  # rows with epoch <= t
@@ -162,14 +164,14 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     ).filter(~F.col("__halo")).drop("__halo")
 
     # 3. RANGE counts through an as-of lookup of each probe time
-    lookup = pos.groupBy(key, F.col(ep).alias("__pt")).agg(F.max("__idx").alias("__lastidx"))
+    lookup = pos.filter(F.col(ep).isNotNull()).groupBy(key, F.col(ep).alias("__pt")).agg(F.max("__idx").alias("__lastidx"))
     probes = None
     for name, secs in velocity.items():
         p = pos.select(key, "__idx", F.lit(name).alias("__w"), (F.col(ep) - F.lit(secs + 1)).alias("__pt"),
-                       "__le")
+                       "__le", "__timeless")
         probes = p if probes is None else probes.unionByName(p)
     hit = asof_join(probes, lookup, key, "__pt", "__pt", ["__lastidx"], bucket_seconds=bucket_seconds)
-    older = F.when(F.col("__pt").isNull(), F.lit(0)).otherwise(F.coalesce(F.col("__lastidx") + 1, F.lit(0)))
+    older = F.when(F.col("__pt").isNull(), F.lit(0)).otherwise(F.coalesce(F.col("__lastidx") + 1, F.col("__timeless")))
     counts = hit.select(F.col(key).alias("__rk"), F.col("__idx").alias("__ri"), "__w",
                         (F.col("__le") - older - 1).alias("__cnt"))
     range_feats = counts.groupBy("__rk", "__ri").pivot("__w", list(velocity)).agg(F.first("__cnt"))

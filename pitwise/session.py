@@ -89,6 +89,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
 
 
+_WRITTEN: list[str] = []
+
+
 def materialize(df, name: str = "stage"):
     """Write `df` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -100,5 +103,18 @@ def materialize(df, name: str = "stage"):
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every table `materialize` has written in this process; returns their number.
+
+    For the caller to use once the results that read them have been written.
+    """
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
