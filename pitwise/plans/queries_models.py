@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from pitwise import oracles as O
 from pitwise.plans import attribution as A
 from pitwise.plans import training as TR
-from pitwise.operators.splits import assert_disjoint
+from pitwise.operators.splits import assert_disjoint, temporal_split
 from pitwise.plans.contract import Contract, rejection_counts, validate
 from pitwise.plans.queries_eval import CUTS_CTE, SPLIT_CTE, SEED, _split
 from pitwise.plans.scoring import score
+from pitwise.plans.snapshot import DATASET, build_snapshot
 from pitwise.registry import query
 from pitwise.session import materialize, scratch_path
+from pitwise.sources.snapshots import load_snapshot
 from pitwise.streaming.scoring import run_to_completion, start_scoring_stream
 
 _CACHE: dict = {}
@@ -34,10 +36,22 @@ def _key(t, what: str) -> tuple:
     return what, t.spark.sparkContext.applicationId, t.sf_dir, state
 
 
+def _snapshot(t):
+    """(data, manifest, id) of a snapshot that is built, published and loaded by its id."""
+    key = _key(t, "snapshot")
+    if key not in _CACHE:
+        root = scratch_path(t.spark, f"training-{uuid.uuid4().hex[:8]}")
+        made, _, _ = build_snapshot(t.spark, t.transactions, t.fraud_labels, t.merchants, root=root)
+        _CACHE[key] = load_snapshot(t.spark, root, DATASET, made)
+    return _CACHE[key]
+
+
 def _parts(t):
+    """The frozen snapshot cut at the dates of its manifest."""
     key = _key(t, "parts")
     if key not in _CACHE:
-        split = _split(t)
+        data, manifest, _ = _snapshot(t)
+        split = temporal_split(data, t.spark.createDataFrame([manifest["split"]], "train_end string, val_end string"))
         assert_disjoint(split)  # train <= val <= test in time, or stop here
         _CACHE[key] = {p: materialize(split.filter(F.col("split") == p).drop("split"), p) for p in ("train", "val", "test")}
     return _CACHE[key]
@@ -91,14 +105,22 @@ def q_attribution_global(t):
     return A.global_importance(contrib, c)
 
 
+@query("importance_trees")
+def q_importance_trees(t):
+    """Permutation importance of every feature of the boosted trees, over the test split."""
+    return A.permutation_importance(_trained(t).model, _parts(t)["test"], Contract())
+
+
 @query("run_log")
 def q_run_log(t):
-    """Append one run record (params + test metrics) and read the runs table back."""
+    """Append one run record (lineage, params, test metrics) and read the runs table back."""
     tr = _trained(t)
     p = _parts(t)
     metrics = TR.report_to_metrics(TR.evaluate(tr, p["val"], p["test"]))
     runs = scratch_path(t.spark, f"runs-{uuid.uuid4().hex[:8]}")
-    TR.log_run(t.spark, runs, tr.params, metrics)
+    _, manifest, snapshot_id = _snapshot(t)
+    lineage = {"dataset_sha256": manifest["sha256"], "rows": manifest["rows"], **manifest["recipe"], **manifest["split"]}
+    TR.log_run(t.spark, runs, {**lineage, **tr.params}, metrics, snapshot_id)
     return t.spark.read.parquet(runs)
 
 

@@ -164,3 +164,16 @@ def test_no_machine_local_folder_off_a_local_master():
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=context))
     context.getCheckpointDir = lambda: "/shared/registered"
     assert ensure_checkpoint_dir(SimpleNamespace(sparkContext=context)) == "/shared/registered"
+
+
+def test_permutation_importance_finds_the_feature_that_counts(spark):
+    from pitwise.plans.attribution import permutation_importance
+
+    c = Contract(features=["amount", "hour", "channel"], cat_features=["channel"])
+    rows = spark.range(400).select(
+        F.col("id").alias("transaction_id"), (F.col("id") * 37 % 101).cast("double").alias("amount"),
+        (F.col("id") * 13 % 24).cast("double").alias("hour"), F.when(F.col("id") % 2 == 0, "a").alias("channel")).withColumn(
+        "label", (F.col("amount") > 50).cast("int"))
+    model = ML.fit_trees(ML.gbt(c, max_iter=5, validation_col=None), ML.prepare(rows, c), c)
+    got = [tuple(r) for r in permutation_importance(model, rows, c).collect()]
+    assert [g[2] for g in got] == [1, 2, 3] and got[0][0] == "amount" and got[0][1] > 10 * max(got[1][1], 1e-6)
