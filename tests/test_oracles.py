@@ -3,6 +3,8 @@ representative set of keys; `tools/oracle_check.py` runs all keys at sf0.01."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL
@@ -38,6 +40,6 @@ def test_every_key_is_registered_with_a_callable():
 
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
-    rows_only = set(qs) - set(orc)
+    rows_only = {k for k in set(qs) - set(orc) if not re.match(r"op\d+_|pipeline$", k)}  # those have tests of their own
     assert rows_only == {"train_gbt", "isotonic_calibration", "calibration_means", "model_leaderboard",
-                         "attribution_global", "run_log", "score_batch", "score_stream", "snapshot_write"}
+                         "attribution_global", "importance_trees", "run_log", "score_batch", "score_stream"}
