@@ -10,7 +10,7 @@ probabilities of a context add up to one.
 Training: every task makes passes over the training texts of its partition, by stochastic gradients
 of the noise-contrastive objective with noise from the class frequencies; the parameters of all tasks
 are averaged, weighted by tokens, through a tree of tasks. A first round finds a common start: each
-task learns from its first block of texts alone. The second, from there, learns from every training
+task learns from its first few texts alone. The second, from there, learns from every training
 token of the corpus.
 
 Scoring: tasks look up the vectors of the distinct contexts of a block of texts and multiply them
@@ -26,6 +26,7 @@ Chosen style: numpy in Arrow batches for the model, Spark for counts, joins and
 from __future__ import annotations
 
 import io
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,12 +39,13 @@ from pyspark.sql import functions as F
 from pitwise.llm.common import arrow_map, key_column, materialize
 from pitwise.llm.quality import held_out
 
-CLASSES = 384
+CLASSES = 256
 KNOWN = 100_000  # most frequent tokens whose counts every scoring task holds
-CONTEXT, DIM, NOISE = 3, 16, 48
-BATCH, RATE, SEED = 1_024, 0.1, 11
-LEAST_STEPS = 600  # passes are repeated on small partitions up to so many batches
+CONTEXT, DIM, NOISE = 3, 16, 32
+BATCH, RATE, SEED = 1_024, 0.2, 11
+LEAST_STEPS, MOST_PASSES = 512, 2  # a task's first block is passed over again, up to so many batches or passes
 BLOCK = 1 << 18  # tokens trained on or scored at once
+START = 1 << 16  # tokens from which a task learns in the first round
 FLUSH = 1_000_000  # distinct tokens held by a counting task
 ADD = 0.1
 END = b"\n"  # no word holds white space
@@ -72,6 +74,7 @@ class Vocabulary:
     def __init__(self, known: dict[bytes, int], n: int, v: int, mass: np.ndarray):
         self.n, self.v, self.mass = n, v, mass  # mass: of tokens outside the classes, (count + ADD), by group
         self.counts = known
+        self.log_of = {t: math.log10(k + ADD) for t, k in known.items()}
         frequent = sorted(known, key=lambda t: (-known[t], t))[:CLASSES]
         self.class_of = {t: i for i, t in enumerate(frequent)}
         self.size = len(frequent) + GROUPS + 1  # the last class stands before a text, and is never predicted
@@ -105,9 +108,9 @@ def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
 
 
 def _scatter(rows: np.ndarray, grad: np.ndarray, size: int) -> np.ndarray:
-    """Sum of gradient rows by index, as one product with a sorted segment sum."""
+    """Sum of gradient rows by index (sorted segments); `grad` is repeated if there are more indices."""
     order = np.argsort(rows, kind="stable")
-    rows = rows[order]
+    rows, order = rows[order], order % len(grad)
     at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     out = np.zeros((size, grad.shape[1]), np.float32)
     out[rows[at]] = np.add.reduceat(grad[order], at, axis=0)
@@ -124,8 +127,10 @@ def train(p: dict, classes: np.ndarray, context: np.ndarray, noise: np.ndarray,
     for at in range(0, len(order), BATCH):
         pick = order[at: at + BATCH]
         w, ctx = classes[pick], context[pick]
-        r = p["r"][ctx]
-        pred = (r * p["c"]).sum(axis=1)
+        scaled = p["r"] * p["c"][:, None]  # every class at every place
+        pred = scaled[0][ctx[:, 0]]
+        for i in range(1, CONTEXT):
+            pred += scaled[i][ctx[:, i]]
         sample = rng.choice(size, NOISE, p=noise)
         q_w, q_s = p["q"][w], p["q"][sample]
         # A score holds the log noise probability, so what is left against the noise is this:
@@ -136,10 +141,11 @@ def train(p: dict, classes: np.ndarray, context: np.ndarray, noise: np.ndarray,
         scale = np.float32(1 / len(w))
         g_good, g_bad = g_good * scale, g_bad * scale
         g_pred = g_good[:, None] * q_w + g_bad @ q_s
+        places = (ctx + size * np.arange(CONTEXT)).T.reshape(-1)
+        at_place = _scatter(places, g_pred, CONTEXT * size).reshape(CONTEXT, size, DIM)
         g = {"q": _scatter(np.r_[w, sample], np.vstack([g_good[:, None] * pred, g_bad.T @ pred]), size),
              "b": np.bincount(np.r_[w, sample], weights=np.r_[g_good, g_bad.sum(axis=0)], minlength=size).astype(np.float32),
-             "c": (g_pred[:, None, :] * r).sum(axis=0),
-             "r": _scatter(ctx.reshape(-1), (g_pred[:, None, :] * p["c"]).reshape(-1, DIM), size)}
+             "c": (at_place * p["r"]).sum(axis=1), "r": (at_place * p["c"][:, None]).sum(axis=0)}
         for k in p:
             state[k] += g[k] ** 2
             p[k] -= RATE * g[k] / (np.sqrt(state[k]) + 1e-6)
@@ -225,12 +231,12 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(known, n, v, np.maximum(mass, 0.0))
 
 
-def _numbered_tokens(vocab: Vocabulary, texts) -> tuple[np.ndarray, np.ndarray]:
+def _numbered_tokens(vocab: Vocabulary, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the tokens of all texts, and a mark at the first of each text."""
     classes, first = [], []
-    for text in texts:
-        own = vocab.classes(tokens(text))
+    for words in texts:
         first.append(len(classes))
-        classes += own
+        classes += vocab.classes(words)
     mark = np.zeros(len(classes), dtype=bool)
     mark[first] = True
     return np.array(classes, dtype=np.int64), mark
@@ -249,17 +255,17 @@ def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
             nonlocal seen, steps
             classes, first = _numbered_tokens(vocab, held)
             context = contexts(classes, first, vocab.start)
-            passes = 1 if steps or len(classes) >= BLOCK else max(1, -(-LEAST_STEPS * BATCH // max(1, len(classes))))
-            for _ in range(min(passes, 20)):
+            passes = 1 if steps else max(1, -(-LEAST_STEPS * BATCH // max(1, len(classes))))
+            for _ in range(min(passes, MOST_PASSES)):
                 train(own, classes, context, vocab.noise, state, rng)
             steps += 1
             seen += len(classes)
 
         size = 0
         for text in (t for batch in batches for t in batch.column("text")):
-            held.append(text.as_py())
-            size += len(held[-1] or b"") // 6 + 1
-            if size >= BLOCK:
+            held.append(tokens(text.as_py()))
+            size += len(held[-1])
+            if size >= (BLOCK if whole else START):
                 learn_block()
                 held, size = [], 0
                 if not whole:
@@ -302,7 +308,7 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, p: dict) -> DataFrame:
         n = len(texts)
         out = {"n_tokens": np.zeros(n, np.int64), "n_known": np.zeros(n, np.int64), "base": np.zeros(n), "model": np.zeros(n)}
         rare_hash, rare_n = [], []
-        counts, class_of = vocab.counts, vocab.class_of
+        log_of, class_of, log_total = vocab.log_of, vocab.class_of, math.log10(base_total)
         block, owners, size = [], [], 0
 
         def model_block():
@@ -313,24 +319,23 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, p: dict) -> DataFrame:
 
         for i, text in enumerate(texts):
             words = tokens(text)
-            rare: Counter = Counter()
+            rare: dict[int, int] = {}
             known, base, within = 0, 0.0, 0.0
             for w, k in Counter(words).items():
-                c = counts.get(w)
-                if c is None:
-                    rare[token_hash(w)] += k
+                x = log_of.get(w)
+                if x is None:
+                    rare[h] = rare.get(h := token_hash(w), 0) + k
                 else:
                     known += k
-                    x = k * np.log10(c + ADD)
-                    base += x
+                    base += k * x
                     if w not in class_of:
-                        within += x
+                        within += k * x
             out["n_tokens"][i], out["n_known"][i] = len(words), known
-            out["base"][i] = base - len(words) * np.log10(base_total)
+            out["base"][i] = base - len(words) * log_total
             out["model"][i] = within
             rare_hash.append(list(rare))
             rare_n.append(list(rare.values()))
-            block.append(text)
+            block.append(words)
             owners.append(i)
             size += len(words)
             if size >= BLOCK:
