@@ -1,20 +1,24 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
-The `CLASSES` most frequent training tokens (the end of a text is a token) are classes of their own;
-all others fall into six groups by their last character and whether they hold a non-ASCII byte. The
-log-bilinear model predicts the class of a token from the vectors of the three before it, scaled
-place by place: score = q(class) . sum_i c_i * r(class before by i) + bias. A token of a group then
-has probability (count + 0.1) / (mass of the group), where an unseen token has count 0. So all
-probabilities of a context add up to one.
+The `KNOWN` most frequent training tokens, or all if there are fewer (the end of a text is a token), are
+leaves of a class tree. The `CLASSES` most frequent are branches of one leaf; the others, by last
+character, ASCII or not, and frequency, are cut into bins of about the square root of their number, a branch
+each. Tokens that aren't leaves fall into six groups by last character and ASCII, each a branch too.
+The log-bilinear model predicts the branch of a token from the vectors of the three before it, scaled
+place by place: score = t(branch) . sum_i c_i * r(token before by i) + bias, and in the same way
+the leaf within its bin. As context, a token's vector is its branch's plus one of its own. A token of
+a group has probability (count + 0.1) / (mass of the group), where an unseen token has count 0.
+So all probabilities of a context add up to one.
 
 Training: every task makes passes over the training texts of its partition, by stochastic gradients
-of the noise-contrastive objective with noise from the class frequencies; the parameters of all tasks
+of the noise-contrastive objective with noise from the token frequencies; the changes of all tasks
 are averaged, weighted by tokens, through a tree of tasks. A first round finds a common start: each
-task learns from its first few texts alone. The second, from there, learns from every training
+task learns from its first block of texts alone. The second, from there, learns from every training
 token of the corpus.
 
 Scoring: tasks look up the vectors of the distinct contexts of a block of texts and multiply them
-with all class vectors at once; the rows' log-sum-exp makes token log-probabilities exact.
+with all branch vectors at once, and the tokens of a bin with the vectors of its leaves; the rows'
+log-sum-exp makes token log-probabilities exact.
 
 Counts: tasks count their own tokens and send (token hash, group, count), summed by Spark. The
 `KNOWN` most frequent counts travel with the scoring tasks (bounded); the rarer tokens of the texts
@@ -29,6 +33,7 @@ import io
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +44,13 @@ from pyspark.sql import functions as F
 from pitwise.llm.common import arrow_map, key_column, materialize
 from pitwise.llm.quality import held_out
 
-CLASSES = 256
-KNOWN = 100_000  # most frequent tokens whose counts every scoring task holds
-CONTEXT, DIM, NOISE = 3, 16, 32
-BATCH, RATE, SEED = 1_024, 0.2, 11
-LEAST_STEPS, MOST_PASSES = 512, 2  # a task's first block is passed over again, up to so many batches or passes
+CLASSES = 384  # most frequent tokens, branches of their own
+KNOWN = 100_000  # most frequent tokens: every task holds their counts, and their vectors
+CONTEXT, DIM, NOISE = 3, 16, 48
+LEAF_NOISE = 12  # samples a token from its own bin
+BATCH, RATE, SEED = 1_024, 0.1, 11
+LEAST_STEPS, MOST_PASSES = 600, 20  # a task's small first block is passed over again, up to so many batches or passes
 BLOCK = 1 << 18  # tokens trained on or scored at once
-START = 1 << 16  # tokens from which a task learns in the first round
 FLUSH = 1_000_000  # distinct tokens held by a counting task
 ADD = 0.1
 END = b"\n"  # no word holds white space
@@ -69,13 +74,14 @@ def token_hash(token: bytes) -> int:
 
 
 class Vocabulary:
-    """Classes and counts of the most frequent tokens, and the masses of the groups."""
+    """Classes (leaves of the tree) and counts of the most frequent tokens, and the masses of the groups."""
 
     def __init__(self, known: dict[bytes, int], n: int, v: int, mass: np.ndarray):
         self.n, self.v, self.mass = n, v, mass  # mass: of tokens outside the classes, (count + ADD), by group
         self.counts = known
         self.log_of = {t: math.log10(k + ADD) for t, k in known.items()}
-        frequent = sorted(known, key=lambda t: (-known[t], t))[:CLASSES]
+        frequent = sorted(known, key=lambda t: (-known[t], t))
+        frequent[CLASSES:] = sorted(frequent[CLASSES:], key=group)  # within a group the most frequent first
         self.class_of = {t: i for i, t in enumerate(frequent)}
         self.size = len(frequent) + GROUPS + 1  # the last class stands before a text, and is never predicted
         prior = np.array([known[t] + ADD for t in frequent] + [m + ADD for m in mass] + [0.0])
@@ -87,14 +93,28 @@ class Vocabulary:
         return [c if (c := get(w)) is not None else base + group(w) for w in words]
 
 
+@lru_cache(maxsize=4)
+def tree(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Branch of every class, and the first class of every branch (and the end)."""
+    binned = max(0, size - GROUPS - 1 - CLASSES)
+    width = max(1, math.isqrt(binned))
+    single = size - GROUPS - 1 - binned
+    first = np.r_[np.arange(single), np.arange(single, single + binned, width), np.arange(single + binned, size + 1)].astype(np.int64)
+    return np.repeat(np.arange(len(first) - 1), np.diff(first)), first
+
+
 def init(size: int, seed: int = SEED) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
+    branches = len(tree(size)[1]) - 1
 
     def small(*shape):
         return (rng.standard_normal(shape) * 0.1).astype(np.float32)
 
-    return {"r": small(size, DIM), "q": small(size, DIM), "c": np.ones((CONTEXT, DIM), np.float32) / CONTEXT,
-            "b": np.zeros(size, np.float32)}
+    def zeros(*shape):
+        return np.zeros(shape, np.float32)
+
+    return {"r": small(branches, DIM), "t": small(branches, DIM), "c": np.ones((CONTEXT, DIM), np.float32) / CONTEXT,
+            "b": zeros(branches), "own": zeros(size, DIM), "q": zeros(size, DIM), "leaf": zeros(size)}
 
 
 def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
@@ -107,75 +127,109 @@ def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def _scatter(rows: np.ndarray, grad: np.ndarray, size: int) -> np.ndarray:
-    """Sum of gradient rows by index (sorted segments); `grad` is repeated if there are more indices."""
+def _descend(x: np.ndarray, state: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
+    """One AdaGrad step of the rows that have a gradient; gradients of the same row are added up."""
+    if not len(rows):
+        return
     order = np.argsort(rows, kind="stable")
-    rows, order = rows[order], order % len(grad)
+    rows = rows[order]
     at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    out = np.zeros((size, grad.shape[1]), np.float32)
-    out[rows[at]] = np.add.reduceat(grad[order], at, axis=0)
-    return out
+    g, rows = np.add.reduceat(grad[order], at, axis=0), rows[at]
+    state[rows] += g ** 2
+    x[rows] -= RATE * g / (np.sqrt(state[rows]) + 1e-6)
 
 
 def train(p: dict, classes: np.ndarray, context: np.ndarray, noise: np.ndarray, state: dict, rng) -> None:
     """One pass of noise-contrastive estimation over the tokens, by AdaGrad; `p` and `state` change.
 
-    The NOISE samples of a batch are shared by its tokens.
+    The NOISE branches of a batch are shared by its tokens; every token has LEAF_NOISE leaves of its bin.
     """
-    log_k, size = np.float32(np.log(NOISE)), len(p["b"])
+    branch, start = tree(len(noise))
+    log_k, log_leaf = np.float32(np.log(NOISE)), np.float32(np.log(LEAF_NOISE))
+    below = np.r_[0.0, np.cumsum(noise)]
+    edge = below[start]
+    wide = np.diff(start) > 1  # branches of several leaves
     order = rng.permutation(len(classes))
     for at in range(0, len(order), BATCH):
         pick = order[at: at + BATCH]
         w, ctx = classes[pick], context[pick]
-        scaled = p["r"] * p["c"][:, None]  # every class at every place
-        pred = scaled[0][ctx[:, 0]]
-        for i in range(1, CONTEXT):
-            pred += scaled[i][ctx[:, i]]
-        sample = rng.choice(size, NOISE, p=noise)
-        q_w, q_s = p["q"][w], p["q"][sample]
+        own, places = branch[w], branch[ctx]
+        r = p["r"][places] + p["own"][ctx]
+        pred = (r * p["c"]).sum(axis=1)
+        sample = np.minimum(np.searchsorted(edge, rng.random(NOISE) * edge[-1], side="right") - 1, len(wide) - 1)
+        t_w, t_s = p["t"][own], p["t"][sample]
         # A score holds the log noise probability, so what is left against the noise is this:
-        good = (pred * q_w).sum(axis=1) + p["b"][w] - log_k
-        bad = pred @ q_s.T + p["b"][sample] - log_k
-        g_good = 1 / (1 + np.exp(-good)) - 1
-        g_bad = 1 / (1 + np.exp(-bad))
+        good = (pred * t_w).sum(axis=1) + p["b"][own] - log_k
+        bad = pred @ t_s.T + p["b"][sample] - log_k
         scale = np.float32(1 / len(w))
-        g_good, g_bad = g_good * scale, g_bad * scale
-        g_pred = g_good[:, None] * q_w + g_bad @ q_s
-        places = (ctx + size * np.arange(CONTEXT)).T.reshape(-1)
-        at_place = _scatter(places, g_pred, CONTEXT * size).reshape(CONTEXT, size, DIM)
-        g = {"q": _scatter(np.r_[w, sample], np.vstack([g_good[:, None] * pred, g_bad.T @ pred]), size),
-             "b": np.bincount(np.r_[w, sample], weights=np.r_[g_good, g_bad.sum(axis=0)], minlength=size).astype(np.float32),
-             "c": (at_place * p["r"]).sum(axis=1), "r": (at_place * p["c"][:, None]).sum(axis=0)}
-        for k in p:
-            state[k] += g[k] ** 2
-            p[k] -= RATE * g[k] / (np.sqrt(state[k]) + 1e-6)
+        g_good = (1 / (1 + np.exp(-good)) - 1) * scale
+        g_bad = 1 / (1 + np.exp(-bad)) * scale
+        g_pred = g_good[:, None] * t_w + g_bad @ t_s
+        steps = [("t", np.r_[own, sample], np.vstack([g_good[:, None] * pred, g_bad.T @ pred])),
+                 ("b", np.r_[own, sample], np.r_[g_good, g_bad.sum(axis=0)])]
+        leafy = np.flatnonzero(wide[own])
+        if len(leafy):
+            v, of, x = w[leafy], own[leafy], pred[leafy]
+            u = edge[of][:, None] + rng.random((len(v), LEAF_NOISE)) * (edge[of + 1] - edge[of])[:, None]
+            others = np.clip(np.searchsorted(below, u, side="right") - 1, start[of][:, None], start[of + 1][:, None] - 1)
+            q_v, q_o = p["q"][v], p["q"][others]
+            good = (x * q_v).sum(axis=1) + p["leaf"][v] - log_leaf
+            bad = np.matmul(q_o, x[:, :, None])[:, :, 0] + p["leaf"][others] - log_leaf
+            g_good = (1 / (1 + np.exp(-good)) - 1) * scale
+            g_bad = 1 / (1 + np.exp(-bad)) * scale
+            g_pred[leafy] += g_good[:, None] * q_v + np.matmul(g_bad[:, None], q_o)[:, 0]
+            rows = np.r_[v, others.reshape(-1)]
+            steps += [("q", rows, np.vstack([g_good[:, None] * x, (g_bad[:, :, None] * x[:, None]).reshape(-1, DIM)])),
+                      ("leaf", rows, np.r_[g_good, g_bad.reshape(-1)])]
+        g_r = (g_pred[:, None] * p["c"]).reshape(-1, DIM)
+        inner = wide[places].reshape(-1)
+        steps += [("r", places.reshape(-1), g_r), ("own", ctx.reshape(-1)[inner], g_r[inner]),
+                  ("c", np.arange(CONTEXT), (g_pred[:, None] * r).sum(axis=0))]
+        for k, rows, g in steps:
+            _descend(p[k], state[k], rows, g)
+
+
+def _log_sum(score: np.ndarray) -> np.ndarray:
+    top = score.max(axis=1)
+    return top + np.log(np.exp(score - top[:, None]).sum(axis=1))
 
 
 def log_probs(p: dict, noise: np.ndarray, classes: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Normalised natural-log probability of every token's class."""
-    base = np.log(np.maximum(noise, 1e-12)).astype(np.float32) + p["b"]
-    base[-1] = -np.inf  # the start class is never predicted
+    """Normalised natural-log probability of every token's class: of its branch, and of its leaf in the branch."""
     size = len(noise)
+    branch, start = tree(size)
+    leaf = np.log(np.maximum(noise, 1e-12)).astype(np.float32) + p["leaf"]
+    base = np.log(np.maximum(np.add.reduceat(noise, start[:-1]), 1e-12)).astype(np.float32) + p["b"]
+    base[-1] = -np.inf  # the start class is never predicted
     key = context @ (size ** np.arange(CONTEXT))
     distinct, where = np.unique(key, return_inverse=True)
     order = np.argsort(where, kind="stable")
-    where, target = where[order], classes[order]
+    inside, target = where[order], branch[classes[order]]
     out = np.empty(len(classes))
     ctx = np.stack([distinct // size ** i % size for i in range(CONTEXT)], axis=1)
+    preds = np.empty((len(distinct), DIM), np.float32)
     for at in range(0, len(distinct), 4_096):
-        pred = (p["r"][ctx[at: at + 4_096]] * p["c"]).sum(axis=1)
-        score = pred @ p["q"].T + base
-        top = score.max(axis=1)
-        total = top + np.log(np.exp(score - top[:, None]).sum(axis=1))
-        lo, hi = np.searchsorted(where, [at, at + 4_096])
-        row = where[lo:hi] - at
+        part = ctx[at: at + 4_096]
+        pred = preds[at: at + 4_096] = ((p["r"][branch[part]] + p["own"][part]) * p["c"]).sum(axis=1)
+        score = pred @ p["t"].T + base
+        total = _log_sum(score)
+        lo, hi = np.searchsorted(inside, [at, at + 4_096])
+        row = inside[lo:hi] - at
         out[order[lo:hi]] = score[row, target[lo:hi]] - total[row]
+    order = np.argsort(classes, kind="stable")
+    cut = np.searchsorted(classes[order], start)
+    for i in np.flatnonzero((np.diff(start) > 1) & (np.diff(cut) > 0)):
+        lo, hi = start[i], start[i + 1]
+        for at in range(cut[i], cut[i + 1], 4_096):
+            tokens_at = order[at: min(at + 4_096, cut[i + 1])]
+            score = preds[where[tokens_at]] @ p["q"][lo:hi].T + leaf[lo:hi]
+            out[tokens_at] += score[np.arange(len(tokens_at)), classes[tokens_at] - lo] - _log_sum(score)
     return out
 
 
 def _dump(**arrays) -> bytes:
     buffer = io.BytesIO()
-    np.savez(buffer, **arrays)
+    np.savez_compressed(buffer, **arrays)
     return buffer.getvalue()
 
 
@@ -243,7 +297,10 @@ def _numbered_tokens(vocab: Vocabulary, texts: list[list[bytes]]) -> tuple[np.nd
 
 
 def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
-    """Average parameters of all tasks after each round, in a tree of tasks: one row reaches the driver."""
+    """Average parameters of all tasks after each round, in a tree of tasks: one row reaches the driver.
+
+    Tasks send what they changed; rows of tokens they haven't met are zeros.
+    """
     p = init(vocab.size)
 
     def learn(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
@@ -255,7 +312,7 @@ def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
             nonlocal seen, steps
             classes, first = _numbered_tokens(vocab, held)
             context = contexts(classes, first, vocab.start)
-            passes = 1 if steps else max(1, -(-LEAST_STEPS * BATCH // max(1, len(classes))))
+            passes = 1 if steps or len(classes) >= BLOCK else max(1, -(-LEAST_STEPS * BATCH // max(1, len(classes))))
             for _ in range(min(passes, MOST_PASSES)):
                 train(own, classes, context, vocab.noise, state, rng)
             steps += 1
@@ -265,7 +322,7 @@ def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
         for text in (t for batch in batches for t in batch.column("text")):
             held.append(tokens(text.as_py()))
             size += len(held[-1])
-            if size >= (BLOCK if whole else START):
+            if size >= BLOCK:
                 learn_block()
                 held, size = [], 0
                 if not whole:
@@ -273,7 +330,7 @@ def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
         if held:
             learn_block()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([_dump(**own)], pa.binary())], names=["weight", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([_dump(**{k: x - p[k] for k, x in own.items()})], pa.binary())], names=["weight", "p"])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, mean = 0.0, None
@@ -293,7 +350,8 @@ def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
             break
         if tasks > 64:
             each = each.repartition(int(tasks ** 0.5)).mapInArrow(average, schema)
-        p = {k: x.astype(np.float32) for k, x in _load(bytes(each.repartition(1).mapInArrow(average, schema).first()["p"])).items()}
+        change = _load(bytes(each.repartition(1).mapInArrow(average, schema).first()["p"]))
+        p = {k: (x + change[k]).astype(np.float32) for k, x in p.items()}
     return p
 
 

@@ -79,6 +79,23 @@ def test_lm_contexts_and_noise_contrastive_training_learn_a_chain():
     assert lm.log_probs(p, noise, chain, ctx).mean() > math.log(0.25) / 2
 
 
+def test_lm_every_known_token_is_learned_by_itself():
+    vocab = small_vocab()
+    assert len(vocab.class_of) == len(vocab.counts) > lm.CLASSES and vocab.mass.sum() == 0
+    rare = vocab.size - lm.GROUPS - 1 - np.array([4, 3, 2, 1])  # leaves of one bin
+    assert len(set(lm.tree(vocab.size)[0][rare])) == 1
+    chain = np.tile(rare, 3000)
+    ctx = lm.contexts(chain, np.arange(len(chain)) == 0, vocab.start)
+    noise = np.zeros(vocab.size)
+    noise[rare] = 0.25
+    p = lm.init(vocab.size)
+    state = {k: np.full_like(x, 1e-5) for k, x in p.items()}
+    rng = np.random.default_rng(2)
+    for _ in range(12):
+        lm.train(p, chain, ctx, noise, state, rng)
+    assert lm.log_probs(p, noise, chain, ctx).mean() > math.log(0.25) / 2
+
+
 def test_lm_messy_and_empty(messy, empty):
     got = lm.score(messy).collect()
     assert len(got) == messy.count() and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
