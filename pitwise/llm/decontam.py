@@ -5,6 +5,10 @@ placeholder, and so do units (after a number) and names (capitalised inside a se
 five template tokens with at least three literal words are hashed; equal hashes join documents with
 benchmark items. So an item whose numbers, units or names were changed still matches.
 
+Items that give no such window, or are shorter, are hashed whole: at their own length, or in windows of
+LONGEST tokens if they are longer, whatever their literals. Documents emit windows of these lengths
+too, as literals and (if two words or more are literal) as templates.
+
 The matches of a document and an item are then aligned: windows whose document position minus item
 position is the same (up to a small slack) belong together. Their slots are checked for consistency.
 Each value of the item must stand for one value in the document and the other way round, as a
@@ -35,6 +39,8 @@ from pitwise.llm.common import arrow_map, bounded, key_column, materialize
 
 WINDOW = 5
 LITERALS = 3  # words that aren't placeholders, at least, in a window
+WHOLE_LITERALS = 2  # the same for windows of items hashed whole; with fewer, only equal tokens match
+LONGEST = 16  # tokens hashed at once of such an item
 COVERAGE = 0.8
 SLACK = 3  # tokens that may be inserted or missing between windows of one alignment
 BITMAP_BITS = 24
@@ -192,6 +198,43 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, _Forms | None]:
     return h, kind, _Forms(pieces, owner, first, last) if kind.any() else None
 
 
+def _rolled(h: np.ndarray, span: int, seed: int) -> np.ndarray:
+    """Hashes of the windows of `span` tokens."""
+    out = np.full(len(h) - span + 1, seed, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(span):
+            out = (out ^ h[i: i + len(out)]) * _PRIME
+            out ^= out >> np.uint64(29)
+    return out
+
+
+def whole_windows(text: str | None, lengths: list[int] | None = None, size: int = WINDOW) -> list[tuple]:
+    """(hash, position, slots, number of positions, length) by which items without usable windows are found.
+
+    With `lengths`: those of a document. Without: those of an item, at the one length it needs, if any.
+    """
+    literal, kind, forms = template(text)
+    n = len(literal)
+    if lengths is None:
+        words = np.convolve(kind == 0, np.ones(size, np.int64), "valid") if n >= size else np.zeros(1)
+        words = words + (np.convolve(kind == 3, np.ones(size, np.int64), "valid") if n >= size else 0)
+        lengths = [min(n, LONGEST)] if n and not (words >= LITERALS).any() else []
+    out = []
+    for span in lengths:
+        if span > n:
+            continue
+        spots, where = n - span + 1, np.arange(n - span + 1)
+        out.append((_rolled(literal, span, 1000 + span), where, _Slots(kind, None, where, None, span), spots, span))
+        for names in (False, True):
+            slot = kind > 0 if names else (kind > 0) & (kind < 3)
+            good = np.flatnonzero((np.convolve(~slot, np.ones(span, np.int64), "valid") >= WHOLE_LITERALS)
+                                  & (np.convolve(kind == 3 if names else slot, np.ones(span, np.int64), "valid") > 0))
+            if len(good):
+                h = _rolled(np.where(slot, _KIND[kind], literal), span, 2000 + span)[good]
+                out.append((h, good, _Slots(kind, forms, good, np.full(len(good), names), span), spots, span))
+    return out
+
+
 def windows(text: str | None, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, _Slots | None, int]:
     """(hash, position, slots) of the template windows of a text, and the number of positions they cover.
 
@@ -208,15 +251,12 @@ def windows(text: str | None, size: int = WINDOW) -> tuple[np.ndarray, np.ndarra
     for names in (False, True):
         slot = kind > 0 if names else (kind > 0) & (kind < 3)
         h = np.where(slot, _KIND[kind], literal) if slot.any() else literal
-        rolled = np.full(n - span + 1, span, dtype=np.uint64)
+        rolled = _rolled(h, span, span)
         words = np.zeros(n - span + 1, dtype=np.int64)
         has_name = np.zeros(n - span + 1, dtype=bool)
-        with np.errstate(over="ignore"):
-            for i in range(span):
-                rolled = (rolled ^ h[i: i + len(rolled)]) * _PRIME
-                rolled ^= rolled >> np.uint64(29)
-                words += ~slot[i: i + len(rolled)]
-                has_name |= kind[i: i + len(rolled)] == 3
+        for i in range(span):
+            words += ~slot[i: i + len(rolled)]
+            has_name |= kind[i: i + len(rolled)] == 3
         good = ((words >= LITERALS) | (n < size)) & (has_name if names else True)
         hashes.append(rolled[good])
         where.append(np.flatnonzero(good))
@@ -279,8 +319,11 @@ def _keyed(texts: DataFrame, id_col: str) -> DataFrame:
     return texts.select(F.col(id_col).alias("id"), F.xxhash64(id_col, "text").alias("text_hash"), "text")
 
 
-def _matches(keyed: DataFrame, bitmap: np.ndarray | None, size: int) -> DataFrame:
-    """(id, text_hash, hash, pos, slots, n_windows) of all windows, or of those the bitmap lets through."""
+def _matches(keyed: DataFrame, bitmap: np.ndarray | None, size: int, lengths: list[int] | None = None) -> DataFrame:
+    """(id, text_hash, hash, pos, slots, n_windows, length) of all windows, or of those the bitmap lets through.
+
+    `lengths` are those of the items hashed whole (None: `keyed` holds the items); `length` is 0 for other windows.
+    """
     kind = keyed.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,9 +331,10 @@ def _matches(keyed: DataFrame, bitmap: np.ndarray | None, size: int) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                row, hashes, pos, slots, total = [], [], [], [], []
-                for i, value in enumerate(part.column("text")):
-                    h, where, values, n = windows(value.as_py(), size)
+                row, hashes, pos, slots, total, spans = [], [], [], [], [], []
+                made = ((i, *w) for i, value in enumerate(part.column("text")) for text in [value.as_py()]
+                        for w in [(*windows(text, size), 0), *(whole_windows(text, lengths, size) if lengths != [] else [])])
+                for i, h, where, values, n, span in made:
                     if not len(h):
                         continue
                     keep = np.arange(len(h)) if bits is None else np.flatnonzero(
@@ -300,16 +344,17 @@ def _matches(keyed: DataFrame, bitmap: np.ndarray | None, size: int) -> DataFram
                         hashes.append(h[keep].view(np.int64))
                         pos.append(where[keep])
                         total.append(np.full(len(keep), n))
+                        spans.append(np.full(len(keep), span))
                         slots += values.pick(keep)
                 if row:
                     take = pa.array(np.concatenate(row))
                     yield pa.RecordBatch.from_arrays(
                         [part.column("id").take(take), part.column("text_hash").take(take), pa.array(np.concatenate(hashes)),
                          pa.array(np.concatenate(pos).astype(np.int32)), pa.array(slots, pa.list_(pa.string())),
-                         pa.array(np.concatenate(total).astype(np.int32))],
-                        names=["id", "text_hash", "hash", "pos", "slots", "n_windows"])
+                         pa.array(np.concatenate(total).astype(np.int32)), pa.array(np.concatenate(spans).astype(np.int32))],
+                        names=["id", "text_hash", "hash", "pos", "slots", "n_windows", "length"])
 
-    return keyed.mapInArrow(run, f"id {kind}, text_hash long, hash long, pos int, slots array<string>, n_windows int")
+    return keyed.mapInArrow(run, f"id {kind}, text_hash long, hash long, pos int, slots array<string>, n_windows int, length int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -317,13 +362,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per contaminated document and item: doc_id, text_hash, item_id, n_windows, n_matched,
     coverage, n_changed (slots whose value differs: above 0 for a re-parameterised question).
 
-    Null and blank texts and items have no windows and match nothing. Documents and items shorter
-    than a window match only as a whole. Rows with the same id and text give one row; of items
+    Null and blank texts and items have no windows and match nothing. Items without a
+    usable window, or shorter than one, are found whole inside a longer text. Rows with the same id and text give one row; of items
     with the same id the longest counts; null ids are an id of their own. An empty table on either side
     gives no rows. Other columns are not read.
     """
     items = benchmark.select(key_column(item_col).alias("item_id"), key_column("text").alias("text"))
     item_rows = materialize(_matches(_keyed(items, "item_id").distinct(), None, size), "decontam-items")
+    lengths = sorted(r[0] for r in item_rows.where("length > 0").select("length").distinct().collect())  # LONGEST at most
     # Several items with one id: the one with most windows is the id's.
     main = item_rows.groupBy("id").agg(F.max_by("text_hash", F.struct("n_windows", "text_hash")).alias("text_hash"))
     item_rows = item_rows.join(main.select("text_hash"), "text_hash").select(
@@ -335,7 +381,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         bitmap[hashes.toArrow().column("bit").to_numpy()] = True
         bitmap = np.packbits(bitmap)
     keyed = _keyed(docs.select(key_column(id_col).alias("doc_id"), key_column(text_col).alias("text")), "doc_id")
-    found = materialize(_matches(keyed, bitmap, size).drop("n_windows"), "decontam-windows").withColumnRenamed("id", "doc_id")
+    found = materialize(_matches(keyed, bitmap, size, lengths).drop("n_windows", "length"), "decontam-windows").withColumnRenamed("id", "doc_id")
     matched = found.join(item_rows, "hash").groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("n_windows").alias("n_windows"),
         F.collect_list(F.struct("pos", "slots", "item_pos", "item_slots")).alias("matches"))

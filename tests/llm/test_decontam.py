@@ -85,3 +85,14 @@ def test_template_kinds_and_pieces(monkeypatch):
     assert (whole[0] == pieces[0]).all() and (whole[1] == pieces[1]).all() and whole[3] == pieces[3]
     keep = list(range(40))
     assert whole[2].pick(keep) == pieces[2].pick(keep)
+
+
+def test_items_without_a_usable_window_are_found_inside_longer_texts(spark):
+    items = ["What is 12 + 30 * 7?", "Compute 3 x 4 + 5 x 6 - 7", "Who wrote Faust early?", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20"]
+    texts = [f"Some words come before. {x} And several words follow it here." for x in items]
+    texts += ["Some words come before. What is 14 + 31 * 9? And more.", "Numbers 21 22 23 24 25 26 27 28 29 30 31 32 33 34 35 36 37 38 39 40",
+              "Who wrote this early text about Faust, and what is in it?"]
+    docs, bench = frames(spark, texts, items)
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0)}
+    assert got[4, 0].n_changed == 3 and got[0, 0].n_changed == 0
