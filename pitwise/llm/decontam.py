@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Texts become templates: tokens are stripped of punctuation and folded, numbers become a typed
-placeholder, and so do units (after a number) and names (capitalised inside a sentence). Windows of
+placeholder, and so do units (after a number) and names (capitalised; at the start of a sentence a token
+is taken both as a name and as a word). Windows of
 five template tokens with at least three literal words are hashed; equal hashes join documents with
 benchmark items. So an item whose numbers, units or names were changed still matches.
 
@@ -39,6 +40,7 @@ from pitwise.llm.common import arrow_map, bounded, key_column, materialize
 
 WINDOW = 5
 LITERALS = 3  # words that aren't placeholders, at least, in a window
+MAYBE = 4  # kind of a token that may be a name: it starts a sentence
 WHOLE_LITERALS = 2  # the same for windows of items hashed whole; with fewer, only equal tokens match
 LONGEST = 16  # tokens hashed at once of such an item
 COVERAGE = 0.8
@@ -103,7 +105,7 @@ def _finish(h: np.ndarray, size: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
-_KIND = np.array([xxhash.xxh64_intdigest(x) for x in (b"", b"\0number", b"\0unit", b"\0name")], dtype=np.uint64)
+_KIND = np.array([xxhash.xxh64_intdigest(x) for x in (b"", b"\0number", b"\0unit", b"\0name", b"\0name")], dtype=np.uint64)
 _UNITS = np.sort(np.array([_hash_form(u) for u in UNITS]))
 
 
@@ -166,6 +168,12 @@ class _Forms:
 
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, _Forms | None]:
     """Hash of the lower-case core and kind (0 literal, 1 number, 2 unit, 3 name) of every token, and the forms."""
+    h, kind, forms = _kinds(text)
+    return h, np.where(kind == MAYBE, 0, kind), forms
+
+
+def _kinds(text: str | None) -> tuple[np.ndarray, np.ndarray, _Forms | None]:
+    """As `template`, with the kind MAYBE for a capitalised token that starts a sentence: a name, or any word."""
     text = text or ""
     if not unicodedata.is_normalized("NFKC", text):
         text = unicodedata.normalize("NFKC", text)
@@ -194,7 +202,7 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, _Forms | None]:
         unit[1:] = number[:-1]
         where = np.minimum(np.searchsorted(_UNITS, h), len(_UNITS) - 1)
         unit &= (_UNITS[where] == h) & ~number
-    kind = np.where(title & ~opened_at & ~number & ~unit, 3, 0) + number + 2 * unit
+    kind = np.where(title & ~number & ~unit, np.where(opened_at, MAYBE, 3), 0) + number + 2 * unit
     return h, kind, _Forms(pieces, owner, first, last) if kind.any() else None
 
 
@@ -213,10 +221,10 @@ def whole_windows(text: str | None, lengths: list[int] | None = None, size: int
 
     With `lengths`: those of a document. Without: those of an item, at the one length it needs, if any.
     """
-    literal, kind, forms = template(text)
+    literal, kind, forms = _kinds(text)
     n = len(literal)
     if lengths is None:
-        words = np.convolve(kind == 0, np.ones(size, np.int64), "valid") if n >= size else np.zeros(1)
+        words = np.convolve((kind == 0) | (kind == MAYBE), np.ones(size, np.int64), "valid") if n >= size else np.zeros(1)
         words = words + (np.convolve(kind == 3, np.ones(size, np.int64), "valid") if n >= size else 0)
         lengths = [min(n, LONGEST)] if n and not (words >= LITERALS).any() else []
     out = []
@@ -225,13 +233,13 @@ def whole_windows(text: str | None, lengths: list[int] | None = None, size: int
             continue
         spots, where = n - span + 1, np.arange(n - span + 1)
         out.append((_rolled(literal, span, 1000 + span), where, _Slots(kind, None, where, None, span), spots, span))
-        for names in (False, True):
-            slot = kind > 0 if names else (kind > 0) & (kind < 3)
+        for top in (2, 3, MAYBE):
+            slot = (kind > 0) & (kind <= top)
             good = np.flatnonzero((np.convolve(~slot, np.ones(span, np.int64), "valid") >= WHOLE_LITERALS)
-                                  & (np.convolve(kind == 3 if names else slot, np.ones(span, np.int64), "valid") > 0))
+                                  & (np.convolve(kind == top if top > 2 else slot, np.ones(span, np.int64), "valid") > 0))
             if len(good):
                 h = _rolled(np.where(slot, _KIND[kind], literal), span, 2000 + span)[good]
-                out.append((h, good, _Slots(kind, forms, good, np.full(len(good), names), span), spots, span))
+                out.append((h, good, _Slots(kind, forms, good, np.full(len(good), top), span), spots, span))
     return out
 
 
@@ -239,31 +247,32 @@ def windows(text: str | None, size: int = WINDOW) -> tuple[np.ndarray, np.ndarra
     """(hash, position, slots) of the template windows of a text, and the number of positions they cover.
 
     A window that holds a name is hashed twice, with the name as placeholder and as literal word:
-    names are told by case, which a copy may have changed. A text shorter than a window is one
+    names are told by case, which a copy may have changed. A window with a capitalised token that starts
+    a sentence is hashed once more, with that as a name too. A text shorter than a window is one
     window of its own, whatever its literals.
     """
-    literal, kind, forms = template(text)
+    literal, kind, forms = _kinds(text)
     n = len(literal)
     if n == 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), None, 0
     span = min(size, n)
     hashes, where, named, kept = [], [], [], np.zeros(n - span + 1, dtype=bool)
-    for names in (False, True):
-        slot = kind > 0 if names else (kind > 0) & (kind < 3)
+    for top in (2, 3, MAYBE):
+        if top > 2 and not (kind == top).any():
+            continue
+        slot = (kind > 0) & (kind <= top)
         h = np.where(slot, _KIND[kind], literal) if slot.any() else literal
         rolled = _rolled(h, span, span)
         words = np.zeros(n - span + 1, dtype=np.int64)
         has_name = np.zeros(n - span + 1, dtype=bool)
         for i in range(span):
             words += ~slot[i: i + len(rolled)]
-            has_name |= kind[i: i + len(rolled)] == 3
-        good = ((words >= LITERALS) | (n < size)) & (has_name if names else True)
+            has_name |= kind[i: i + len(rolled)] == top
+        good = ((words >= LITERALS) | (n < size)) & (has_name if top > 2 else True)
         hashes.append(rolled[good])
         where.append(np.flatnonzero(good))
-        named.append(np.full(good.sum(), names))
+        named.append(np.full(good.sum(), top))
         kept |= good
-        if not (kind == 3).any():
-            break
     where, named = np.concatenate(where), np.concatenate(named)
     return np.concatenate(hashes), where, _Slots(kind, forms, where, named, span), int(kept.sum())
 
@@ -277,9 +286,9 @@ class _Slots:
     def pick(self, keep: np.ndarray) -> list[list[str]]:
         if self.forms is None:
             return [[]] * len(keep)
-        return [[f"{i}:{self.kind[at + i]}:{self.forms[at + i]}" for i in range(self.span)
-                 if self.kind[at + i] and (named or self.kind[at + i] < 3)]
-                for at, named in zip(self.where[keep].tolist(), self.named[keep].tolist(), strict=True)]
+        return [[f"{i}:{min(self.kind[at + i], 3)}:{self.forms[at + i]}" for i in range(self.span)
+                 if 0 < self.kind[at + i] <= top]
+                for at, top in zip(self.where[keep].tolist(), self.named[keep].tolist(), strict=True)]
 
 
 def _consistent(matches: list[dict]) -> tuple[int, int]:

@@ -96,3 +96,10 @@ def test_items_without_a_usable_window_are_found_inside_longer_texts(spark):
     got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench).collect()}
     assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0)}
     assert got[4, 0].n_changed == 3 and got[0, 0].n_changed == 0
+
+
+def test_a_changed_name_that_starts_sentences_is_found(spark):
+    item = "Tom has 5 apples. Tom eats 2 of them. How many apples does Tom have now?"
+    docs, items = frames(spark, [item.replace("Tom", "Ana"), f"Words before. {item.replace('Tom', 'Ana')} Words after."], [item])
+    got = {r.doc_id: r for r in decontam.contaminated(docs, items).collect()}
+    assert set(got) == {0, 1} and got[0].n_changed == 1
