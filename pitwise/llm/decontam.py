@@ -372,17 +372,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     coverage, n_changed (slots whose value differs: above 0 for a re-parameterised question).
 
     Null and blank texts and items have no windows and match nothing. Items without a
-    usable window, or shorter than one, are found whole inside a longer text. Rows with the same id and text give one row; of items
-    with the same id the longest counts; null ids are an id of their own. An empty table on either side
+    usable window, or shorter than one, are found whole inside a longer text. Rows with the same id and text give one row. Texts
+    with the same item id are judged each by itself, and the id has the best one's figures; null ids are an id of their own. An empty table on either side
     gives no rows. Other columns are not read.
     """
     items = benchmark.select(key_column(item_col).alias("item_id"), key_column("text").alias("text"))
     item_rows = materialize(_matches(_keyed(items, "item_id").distinct(), None, size), "decontam-items")
     lengths = sorted(r[0] for r in item_rows.where("length > 0").select("length").distinct().collect())  # LONGEST at most
-    # Several items with one id: the one with most windows is the id's.
-    main = item_rows.groupBy("id").agg(F.max_by("text_hash", F.struct("n_windows", "text_hash")).alias("text_hash"))
-    item_rows = item_rows.join(main.select("text_hash"), "text_hash").select(
-        "hash", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"), F.col("id").alias("item_id"))
+    item_rows = item_rows.select("hash", F.col("pos").alias("item_pos"), "n_windows", F.col("slots").alias("item_slots"),
+                                 F.col("id").alias("item_id"), F.col("text_hash").alias("item_hash"))
     bitmap = None
     hashes = item_rows.select(F.shiftrightunsigned("hash", 64 - BITMAP_BITS).cast("int").alias("bit")).distinct()
     if bounded(hashes, BITMAP_ROWS, 4):  # checked: at most BITMAP_ROWS integers reach the driver
@@ -391,7 +389,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         bitmap = np.packbits(bitmap)
     keyed = _keyed(docs.select(key_column(id_col).alias("doc_id"), key_column(text_col).alias("text")), "doc_id")
     found = materialize(_matches(keyed, bitmap, size, lengths).drop("n_windows", "length"), "decontam-windows").withColumnRenamed("id", "doc_id")
-    matched = found.join(item_rows, "hash").groupBy("doc_id", "text_hash", "item_id").agg(
+    matched = found.join(item_rows, "hash").groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.max("n_windows").alias("n_windows"),
         F.collect_list(F.struct("pos", "slots", "item_pos", "item_slots")).alias("matches"))
 
@@ -403,8 +401,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kinds = {f.name: f.dataType.simpleString() for f in matched.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in ("doc_id", "text_hash", "item_id", "n_windows"))
     out = arrow_map(matched, run, schema + ", n_matched int, n_changed int")
+    best = F.max(F.struct("coverage", "n_windows", "n_matched", (-F.col("n_changed")).alias("unchanged")))
     return (out.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage)
-            .select("doc_id", "text_hash", "item_id", "n_windows", "n_matched", "coverage", "n_changed"))
+            .groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best"))
+            .select("doc_id", "text_hash", "item_id", "best.n_windows", "best.n_matched", "best.coverage",
+                    (-F.col("best.unchanged")).alias("n_changed")))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

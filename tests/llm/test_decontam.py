@@ -103,3 +103,12 @@ def test_a_changed_name_that_starts_sentences_is_found(spark):
     docs, items = frames(spark, [item.replace("Tom", "Ana"), f"Words before. {item.replace('Tom', 'Ana')} Words after."], [item])
     got = {r.doc_id: r for r in decontam.contaminated(docs, items).collect()}
     assert set(got) == {0, 1} and got[0].n_changed == 1
+
+
+def test_every_text_of_an_item_id_is_searched(spark):
+    other = "The quick brown fox of the old tale jumps over a lazy dog that sleeps."
+    docs, _ = frames(spark, [f"Before it. {ITEM}", f"Before it. {other}", f"{ITEM} {other}"], [])
+    for ids in ((1, 1), (None, None)):
+        items = spark.createDataFrame(list(zip(ids, [ITEM, other], strict=True)), "item_id long, text string")
+        got = [(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()]
+        assert sorted(got) == [(i, ids[0]) for i in range(3)]
