@@ -315,13 +315,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) for every row of `docs`."""
+    """(doc_id, text_hash, fp, root, component_id) for every row of `docs`; root is the group's least fingerprint."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "root")
     labelled = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return prints.join(labelled.select("fp", "root").join(ids, "root").drop("root"), "fp")
+    return prints.join(labelled.select("fp", "root").join(ids, "root"), "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -342,17 +342,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """`docs` with one document of each near-duplicate group: the one with the smallest id.
 
-    Where several rows hold that id, the rows of the group with the least text hash stay, and of
-    equal rows one. Rows without an id can't stand for a group; they are kept as they are. The
+    Where several rows of a group hold that id, the one with the least text hash stays, and of
+    equal rows one. Groups with the same smallest id keep a document each. Rows without an id can't stand for a group; they are kept as they are. The
     texts are exchanged once, for a hashed join with the narrow list of survivors (not sorted).
     """
     text_hash, ident = F.xxhash64(key_column(text_col)), key_column(id_col)
     groups = _grouped(docs, id_col, text_col, shingle, max_bits)
-    keep = materialize(groups.where("doc_id = component_id").groupBy("doc_id")
-                       .agg(F.min("text_hash").alias("text_hash"), F.count("*").alias("copies")), "simhash-keep")
+    keep = materialize(groups.where("doc_id = component_id").groupBy("root", "doc_id")
+                       .agg(F.min("text_hash").alias("text_hash"), F.count("*").alias("copies")).drop("root"), "simhash-keep")
     src = docs.select(F.struct(*map(key_column, docs.columns)).alias("row"), ident.cast("long").alias("doc_id"),
                       text_hash.alias("text_hash"))
     kept = src.where("doc_id is not null").join(keep.hint("shuffle_hash"), ["doc_id", "text_hash"])
     once = kept.where("copies = 1").select("row.*")
-    again = kept.where("copies > 1").groupBy("doc_id").agg(F.min("row").alias("row")).select("row.*")
+    again = kept.where("copies > 1").groupBy("doc_id", "text_hash").agg(F.min("row").alias("row")).select("row.*")
     return once.unionByName(again).unionByName(src.where("doc_id is null").select("row.*"))

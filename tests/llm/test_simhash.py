@@ -134,6 +134,12 @@ def test_deduplicate_keeps_one_of_each_group_and_all_columns(spark):
                           (20, "q r s t u v w", "fp")], key=str)
 
 
+def test_deduplicate_keeps_one_of_each_group_where_ids_repeat(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (1, "q r s t u v w"), (5, "q r s t u v w"), (1, "q r s t u v w")]
+    got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, "a b c d e f"), (1, "q r s t u v w")]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, fp int, key string")
     assert simhash.near_duplicates(df).collect() == []
