@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -92,6 +93,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _WRITTEN: list[str] = []
 
 
+def new_scratch(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder that `drop_scratch` deletes."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df, name: str = "stage"):
     """Write `df` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -99,17 +107,13 @@ def materialize(df, name: str = "stage"):
     reliable RDD checkpoint of an unpersisted plan recomputes it to write the files)
     and survives the loss of any executor.
     """
-    import uuid
-
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    _WRITTEN.append(path)
+    path = new_scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> int:
-    """Delete every table `materialize` has written in this process; returns their number.
+    """Delete everything under the paths of `new_scratch` and `materialize` of this process; returns the number deleted.
 
     For the caller to use once the results that read them have been written.
     """
