@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import decontam, langid, licenses, linefreq, lm, mixing, quality, sharding, simhash, wrappers
+from pitwise.llm import (
+    decontam, langid, ledger, licenses, linefreq, lm, merkle, mixing, quality, sharding, simhash, trie, wrappers,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,6 +112,21 @@ def op9_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.grafted_trie(table(spark, sf_dir, "conversations"))
+
+
 ORACLES["op3_line_frequency"] = r"""
 WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents),
 lines AS (
@@ -189,3 +206,128 @@ scored AS (
 SELECT doc_id, unit, unit_no::INTEGER AS unit_no, license, dice::DOUBLE AS dice FROM scored WHERE dice >= 0.8
 QUALIFY row_number() OVER (PARTITION BY row_id, unit, unit_no ORDER BY dice DESC, license) = 1
 """
+
+# CRC-32 of the decimal digits of an id, bit by bit (DuckDB has no such function).
+_CRC32 = """CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(CAST({id} AS VARCHAR), '')]),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda r, z: xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295::BIGINT) AS BIGINT)"""
+
+
+def _secret_oracle() -> str:
+    """Positions of matches: lengths of the texts between them and of the matches before."""
+    assign = r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    parts = []
+    for i, rule in enumerate(ledger.RULES):
+        pattern = (assign if rule.kind == "assign" else rule.pattern).replace("'", "''")
+        parts.append(f"""
+  SELECT row_id, '{rule.kind}' AS kind, {i} AS place, {rule.least} AS least, string_split_regex(text, '{pattern}') AS gaps,
+         regexp_extract_all(text, '{pattern}') AS hits, regexp_extract_all(text, '{pattern}', {rule.group}) AS inner_hits
+  FROM docs WHERE regexp_matches(text, '{pattern}')""")
+    return r"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (""" + "\n  UNION ALL".join(parts) + r"""),
+each AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM cut),
+spans AS (
+  SELECT row_id, kind, place, start, start + length(hits[i]) AS stop
+  FROM (SELECT *, CAST(list_sum([length(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([length(x) FOR x IN hits[1:i - 1]]), 0)
+                       AS BIGINT) AS start FROM each)
+  WHERE length(inner_hits[i]) >= least),
+told AS (
+  SELECT row_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (WHERE place < 3) AS base
+  FROM spans GROUP BY row_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       sha256(text) AS blob
+FROM docs LEFT JOIN told USING (row_id)
+"""
+
+
+ORACLES["op11_secret_ledger"] = _secret_oracle()
+
+_FIELDS = " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+                      for c in merkle.FIELDS)
+_LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op12_merkle_manifest"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT *, row_number() OVER () AS row_id, sha256(""" + _FIELDS + r""") AS leaf,
+         CASE WHEN """ + _CRC32.format(id="doc_id") + r""" % 3 = 0
+              THEN sha256(""" + _FIELDS.replace("text", _LOW) + r""") END AS forged
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp, count(*) OVER (PARTITION BY lang) AS n
+  FROM docs),
+nodes(grp, level, pos, n, digest) AS (
+  SELECT grp, 0, pos, n, leaf FROM ranked
+  UNION ALL
+  SELECT grp, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1
+  GROUP BY grp, level, pos // 8, n),
+subroots AS (SELECT grp, digest FROM nodes WHERE n = 1),
+upper(level, pos, n, digest) AS (
+  SELECT 0, grp, count(*) OVER (), digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper WHERE n > 1
+  GROUP BY level, pos // 8, n),
+steps AS (  -- the nodes of a leaf's runs, its own included, level by level up to the root
+  SELECT r.row_id, n.level, n.pos, n.digest, n.pos = r.pos // CAST(pow(8, n.level) AS BIGINT) AS own
+  FROM ranked r JOIN nodes n ON n.grp = r.grp AND n.n > 1 AND n.pos // 8 = r.pos // CAST(pow(8, n.level + 1) AS BIGINT)
+  UNION ALL
+  SELECT r.row_id, 1000 + u.level, u.pos, u.digest, u.pos = r.grp // CAST(pow(8, u.level) AS BIGINT)
+  FROM ranked r JOIN upper u ON u.n > 1 AND u.pos // 8 = r.grp // CAST(pow(8, u.level + 1) AS BIGINT)),
+pairs AS (
+  SELECT row_id, level, dense_rank() OVER (PARTITION BY row_id ORDER BY level) AS step,
+         coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE NOT own AND pos < own_pos), '') AS before,
+         coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE NOT own AND pos > own_pos), '') AS after
+  FROM (SELECT *, max(pos) FILTER (WHERE own) OVER (PARTITION BY row_id, level) AS own_pos FROM steps)
+  GROUP BY row_id, level),
+proofs AS (SELECT row_id, sha256(string_agg(before || after, '' ORDER BY step)) AS proof, max(step) AS n_steps FROM pairs GROUP BY row_id),
+folded(row_id, step, node) AS (
+  SELECT row_id, 0::BIGINT, coalesce(forged, leaf) FROM docs
+  UNION ALL
+  SELECT f.row_id, f.step + 1, sha256(p.before || f.node || p.after)
+  FROM folded f JOIN pairs p ON p.row_id = f.row_id AND p.step = f.step + 1)
+SELECT r.doc_id, r.leaf, s.digest AS subroot, root.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+       f.node AS folded_root, f.node = root.digest AS verified
+FROM ranked r JOIN subroots s USING (grp) JOIN (SELECT digest FROM upper WHERE n = 1) root ON true
+LEFT JOIN proofs p USING (row_id)
+JOIN folded f ON f.row_id = r.row_id AND f.step = coalesce(p.n_steps, 0)
+"""
+
+ORACLES["op13_conversation_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tie) - 1 AS pos
+  FROM (SELECT *, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS tie
+        FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (SELECT DISTINCT c, """ + _CRC32.format(id="c") + r""" % 9 AS h FROM turns),
+rebuilt AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY side, pos) AS d, role, text
+  FROM (SELECT v.c, 1 AS side, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c - v.c % 5 AND t.pos < v.h
+        UNION ALL
+        SELECT v.c, 2, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.pos >= v.h)),
+prefixes AS (
+  SELECT c, 0 AS d, '' AS key, '' AS up, 0 AS size FROM convs
+  UNION ALL
+  SELECT c, d, sha256(string_agg(one, '') OVER so_far), coalesce(nullif(coalesce(string_agg(one, '') OVER earlier, ''), ''), ''),
+         strlen(text)
+  FROM (SELECT *, sha256(sha256(role) || sha256(text)) AS one FROM rebuilt)
+  WINDOW so_far AS (PARTITION BY c ORDER BY d), earlier AS (PARTITION BY c ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+keyed AS (SELECT c, d, key, CASE WHEN up = '' THEN '' ELSE sha256(up) END AS up, size FROM prefixes),
+lengths AS (SELECT c, max(d) AS n FROM keyed GROUP BY c),
+nodes AS (
+  SELECT d, key, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         count(*) FILTER (WHERE d = n) AS n_ends, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = n) AS ends
+  FROM keyed JOIN lengths USING (c) GROUP BY d, key),
+below AS (  -- every node under (or equal to) a prefix of its smallest member
+  SELECT a.d, a.key, sum((n.n_convs - 1) * n.size) AS saved, count(*) FILTER (WHERE n.n_ends = n.n_convs) AS leaves
+  FROM nodes n JOIN keyed a ON a.c = n.conv_id AND a.d <= n.d GROUP BY a.d, a.key),
+children AS (SELECT d - 1 AS d, up AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(k.n, 0)::BIGINT AS n_children, b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.d = n.d AND b.key = n.key LEFT JOIN children k ON k.d = n.d AND k.key = n.key
+LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.key = n.up
+"""
