@@ -32,7 +32,7 @@ def query(name: str, oracle: str | None = None):
 
 # --- import the query modules so their @query decorators run ------------------------
 def _load() -> None:
-    from pitwise.plans import queries_eval, queries_features, queries_models, queries_quality  # noqa: F401
+    from pitwise.plans import queries_eval, queries_features, queries_models, queries_quality, queries_signals  # noqa: F401
 
 
 _load()

@@ -91,6 +91,14 @@ EVENT_FIXTURE_SQL: dict[str, str] = {
     CASE WHEN event_type = 'error' THEN 'declined' ELSE 'approved' END AS auth_result,
     date_trunc('second', ts) AS authorized_at
   FROM {events}
+""",
+    # Some operations without coordinates, some abroad, some at the antipodes of where they would be.
+    "located_transactions": """
+  SELECT transaction_id, customer_id, card_id, authorized_at, auth_result,
+    CASE WHEN transaction_id % 7 = 0 THEN NULL WHEN transaction_id % 67 = 0 THEN -lat
+         WHEN transaction_id % 5 = 0 THEN lat + 8 ELSE lat END AS lat,
+    CASE WHEN transaction_id % 11 = 0 THEN NULL WHEN transaction_id % 67 = 0 THEN lon - 180 ELSE lon END AS lon
+  FROM {transactions}
 """,
 }
 
