@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pitwise import oracles as O
 from pitwise.operators import signals as S
 from pitwise.registry import query
+from pitwise.session import new_scratch
+from pitwise.streaming.scoring import run_to_completion
+from pitwise.streaming.velocity import start_velocity_stream
 
 YEAR_HALF = 180 * 86400
 
@@ -86,3 +91,26 @@ placed AS (SELECT *, epoch(authorized_at)::BIGINT AS sec,
 def q_decline_then_approve(t):
     """Two or more declines, each within six hours of the next operation, then an approval."""
     return S.decline_then_approve(t.event_transactions, card="customer_id", limit_seconds=21600, block_seconds=2 * 86400)
+
+
+# ---------------------------------------------------------------- streaming state
+
+
+@query("velocity_stream", O.sql("SELECT transaction_id, customer_id, vel_1h, vel_24h, vel_7d FROM feat",
+                                O.window_cte(src="event_transactions"), views=["event_transactions"]))
+def q_velocity_stream(t):
+    """Velocity by state: the events arrive in five loads, up to half an hour out of order, and a heartbeat ends them.
+
+    The query is stopped and started again after each load, so its state comes from the checkpoint.
+    """
+    src = t.event_transactions.select("transaction_id", "customer_id", "authorized_at")
+    base = new_scratch(t.spark, "velocity-stream")
+    arrival = F.unix_timestamp(F.col("authorized_at").cast("timestamp")) + F.pmod(F.xxhash64("transaction_id"), F.lit(1800))
+    load = F.floor((F.dayofmonth(F.timestamp_seconds(arrival)) - 1) / 7)
+    beat = src.agg((F.max("authorized_at") + F.expr("INTERVAL 30 DAYS")).alias("authorized_at")).select(
+        F.lit(None).cast("long").alias("transaction_id"), F.lit(None).cast("long").alias("customer_id"), "authorized_at")
+    for part in [*[src.where(load == i) for i in range(5)], beat]:
+        part.write.mode("append").parquet(f"{base}/in")
+        ops = t.spark.readStream.schema(src.schema).parquet(f"{base}/in")
+        run_to_completion([start_velocity_stream(ops, f"{base}/out", f"{base}/checkpoint", lateness="31 minutes")])
+    return t.spark.read.parquet(f"{base}/out")
