@@ -19,11 +19,29 @@ from pyspark.sql import types as T
 NULL_TEXT = "-"  # a value is `<characters>:<text>`, so no text equals it
 
 
+def double_text(c: Column) -> Column:
+    """Every bit of a double, in the same text on any engine: sign, mantissa as an integer, p, binary exponent.
+
+    Decimal text depends on an engine's rules, and a fixed number of digits gives different numbers one text.
+    Scaling by powers of two is exact. 0 and -0 are one text.
+    """
+    c = c.cast("double")
+    a = F.abs(c)
+    # log2 may be off by one next to a power of two
+    e = F.floor(F.log2(a)).cast("int")
+    m = a / F.pow(F.lit(2.0), e)
+    e = e + F.when(m >= 2, 1).when(m < 1, -1).otherwise(0)
+    whole = (a / F.pow(F.lit(2.0), e) * float(1 << 52)).cast("long")
+    text = F.concat(F.when(c < 0, "-").otherwise(""), whole.cast("string"), F.lit("p"), e.cast("string"))
+    return (F.when(c.isNull(), F.lit(None).cast("string")).when(F.isnan(c), "nan").when(a == float("inf"), F.when(c > 0, "inf")
+            .otherwise("-inf")).when(a == 0, "0").otherwise(text))
+
+
 def canonical_text(field: T.StructField) -> Column:
     c = F.col(field.name)
     t = field.dataType
     if isinstance(t, (T.DoubleType, T.FloatType)):
-        txt = F.when(c.isNotNull(), F.format_string("%.10f", c))  # format_string renders NULL as "null"
+        txt = double_text(c)
     elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
         txt = F.date_format(c.cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif isinstance(t, T.DateType):

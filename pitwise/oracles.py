@@ -96,3 +96,34 @@ def matrix_ctes() -> tuple[str, ...]:
 
 
 TOP_MERCHANT = "(SELECT merchant_id FROM weekly ORDER BY n_fraud_known DESC, merchant_id LIMIT 1)"
+
+
+def double_text(e: str) -> str:
+    """All bits of a finite double as text: sign, 53-bit mantissa, p, binary exponent."""
+    power = f"CAST(floor(log2(abs({e}))) AS INTEGER)"
+    ratio = f"(abs({e}) / pow(2.0::DOUBLE, {power}))"
+    power = f"({power} + CASE WHEN {ratio} >= 2 THEN 1 WHEN {ratio} < 1 THEN -1 ELSE 0 END)"
+    return (f"CASE WHEN {e} = 0 THEN '0' WHEN {e} IS NOT NULL THEN CASE WHEN {e} < 0 THEN '-' ELSE '' END || "
+            f"CAST(abs({e}) / pow(2.0::DOUBLE, {power}) * 4503599627370496.0 AS BIGINT) || 'p' || {power} END")
+
+
+# Order-free fingerprint of the matrix.
+FINGERPRINT_CTE = """
+fingerprint AS (
+  SELECT n_rows, sha256(concat_ws(':', CAST(n_rows AS VARCHAR), CAST(s0 AS VARCHAR), CAST(s1 AS VARCHAR),
+                                  CAST(s2 AS VARCHAR), CAST(s3 AS VARCHAR))) AS sha256
+  FROM (SELECT count(*) AS n_rows,
+          CAST(coalesce(sum(('0x' || substr(h, 1, 8))::BIGINT), 0) AS HUGEINT) AS s0,
+          CAST(coalesce(sum(('0x' || substr(h, 9, 8))::BIGINT), 0) AS HUGEINT) AS s1,
+          CAST(coalesce(sum(('0x' || substr(h, 17, 8))::BIGINT), 0) AS HUGEINT) AS s2,
+          CAST(coalesce(sum(('0x' || substr(h, 25, 8))::BIGINT), 0) AS HUGEINT) AS s3
+        FROM (SELECT md5(concat_ws('|', """ + ", ".join(
+    f"coalesce(length({e}) || ':' || {e}, '-')" for e in [
+        "CAST(amount AS VARCHAR)", f"({double_text('amount_z')})", "strftime(authorized_at, '%Y-%m-%d %H:%M:%S.%f')",
+        "channel", "country", "CAST(customer_id AS VARCHAR)", f"({double_text('decline_rate_20')})",
+        "entry_mode", "CAST(hour AS VARCHAR)", "CAST(ip_mismatch AS VARCHAR)", "CAST(is_ecommerce AS VARCHAR)",
+        "CAST(is_recurring AS VARCHAR)", "CAST(is_tokenized AS VARCHAR)", "CAST(label AS VARCHAR)", "mcc",
+        f"({double_text('merchant_fraud_rate_pit')})", "risk_segment", "CAST(secs_since_prev AS VARCHAR)",
+        "CAST(transaction_id AS VARCHAR)", "CAST(vel_1h AS VARCHAR)", "CAST(vel_24h AS VARCHAR)",
+        "CAST(vel_7d AS VARCHAR)"]) + """)) AS h FROM matrix) r) s
+)"""

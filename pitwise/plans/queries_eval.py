@@ -9,8 +9,9 @@ the same metrics run in the training plan (rows-only checks).
 
 from __future__ import annotations
 
-import uuid
+from datetime import datetime, timezone
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitwise import oracles as O
@@ -20,9 +21,10 @@ from pitwise.operators.labels import label_assembly, maturity_gate
 from pitwise.operators.sampling import capped_sample, undersample
 from pitwise.operators.splits import cut_points, split_check, split_summary, temporal_split
 from pitwise.plans.matrix import feature_matrix
-from pitwise.plans.snapshot import build_snapshot, dataset_stats
+from pitwise.plans.snapshot import DATASET, build_snapshot, dataset_stats, publish
 from pitwise.registry import query
-from pitwise.session import materialize, scratch_path
+from pitwise.session import materialize, new_scratch
+from pitwise.sources import snapshots as S
 
 TARGET_RECALL = 0.80   # fixed value: recall the rules engine guarantees
 RULES_PRECISION = 0.05  # fixed value: assumed rules precision at that recall
@@ -128,23 +130,7 @@ def q_split_check(t):
     return split_check(_split(t, ["authorized_at"]))
 
 
-@query("content_fingerprint", O.sql("""
-SELECT n_rows, sha256(concat_ws(':', CAST(n_rows AS VARCHAR), CAST(s0 AS VARCHAR), CAST(s1 AS VARCHAR),
-                                CAST(s2 AS VARCHAR), CAST(s3 AS VARCHAR))) AS sha256
-FROM (SELECT count(*) AS n_rows,
-        CAST(coalesce(sum(('0x' || substr(h, 1, 8))::BIGINT), 0) AS HUGEINT) AS s0,
-        CAST(coalesce(sum(('0x' || substr(h, 9, 8))::BIGINT), 0) AS HUGEINT) AS s1,
-        CAST(coalesce(sum(('0x' || substr(h, 17, 8))::BIGINT), 0) AS HUGEINT) AS s2,
-        CAST(coalesce(sum(('0x' || substr(h, 25, 8))::BIGINT), 0) AS HUGEINT) AS s3
-      FROM (SELECT md5(concat_ws('|', """ + ", ".join(
-    f"coalesce(length({e}) || ':' || {e}, '-')" for e in [
-        "CAST(amount AS VARCHAR)", "printf('%.10f', amount_z)", "strftime(authorized_at, '%Y-%m-%d %H:%M:%S.%f')",
-        "channel", "country", "CAST(customer_id AS VARCHAR)", "printf('%.10f', decline_rate_20)",
-        "entry_mode", "CAST(hour AS VARCHAR)", "CAST(ip_mismatch AS VARCHAR)", "CAST(is_ecommerce AS VARCHAR)",
-        "CAST(is_recurring AS VARCHAR)", "CAST(is_tokenized AS VARCHAR)", "CAST(label AS VARCHAR)", "mcc",
-        "printf('%.10f', merchant_fraud_rate_pit)", "risk_segment", "CAST(secs_since_prev AS VARCHAR)",
-        "CAST(transaction_id AS VARCHAR)", "CAST(vel_1h AS VARCHAR)", "CAST(vel_24h AS VARCHAR)",
-        "CAST(vel_7d AS VARCHAR)"]) + """)) AS h FROM matrix) r) s""", *O.matrix_ctes()))
+@query("content_fingerprint", O.sql("SELECT n_rows, sha256 FROM fingerprint", *O.matrix_ctes(), O.FINGERPRINT_CTE))
 def q_content_fingerprint(t):
     """Order-free sha256 of the feature matrix."""
     return content_fingerprint(_matrix(t))
@@ -169,11 +155,26 @@ def q_snapshot_manifest(t):
 @query("snapshot_write", O.sql("SELECT * FROM matrix", *O.matrix_ctes()))
 def q_snapshot_write(t):
     """Freeze the matrix under a fresh id in the shared scratch folder; read it back."""
-    root = scratch_path(t.spark, f"snapshots-{uuid.uuid4().hex[:8]}")
-    _, _, data = build_snapshot(t.spark, t.transactions, t.fraud_labels, t.merchants, root=root)
+    _, _, data = build_snapshot(t.spark, t.transactions, t.fraud_labels, t.merchants, root=new_scratch(t.spark, "snapshots"))
     return data
 
 
+@query("snapshot_publish", O.sql("""
+SELECT unnest([1, 2]) AS publish, n_rows AS rows, substr(sha256, 1, 12) AS suffix, 1 AS data_folders FROM fingerprint""",
+                                 *O.matrix_ctes(), O.FINGERPRINT_CTE))
+def q_snapshot_publish(t):
+    """The same content published twice, with a killed attempt between: one suffix, one data folder, two ids."""
+    root = new_scratch(t.spark, "snapshots")
+    matrix = _matrix(t)
+    for k in range(2):
+        publish(t.spark, matrix, t.transactions, root, now=datetime(2024, 1, 1 + k, tzinfo=timezone.utc))
+        S.write_data(matrix.limit(1), root, DATASET, S.new_object_id())  # an attempt that ended before its manifest
+    found = S.manifests(t.spark, root, DATASET)
+    folders = found.select("data_path").distinct().count()
+    return found.select(F.row_number().over(Window.orderBy("snapshot_id")).alias("publish"), "rows",
+                        F.substring_index("snapshot_id", "_", -1).alias("suffix"), F.lit(folders).alias("data_folders"))
+
+
 # ------------------------------------------------------------------ sampling
 
 

@@ -31,6 +31,68 @@ def test_snapshot_write_resolve_and_refuse_overwrite(spark, tables, tmp_path):
         S.write_data(data, root, "card_fraud", sid)  # ids are never reused
 
 
+def test_snapshot_ids_follow_from_the_content(spark, tables, tmp_path):
+    from datetime import datetime, timezone
+
+    from pitwise.operators.fingerprint import content_fingerprint
+    from pitwise.plans.snapshot import publish
+
+    root, day = str(tmp_path / "snaps"), lambda d: datetime(2024, 1, d, tzinfo=timezone.utc)
+    frame = spark.createDataFrame([(i, i % 3, f"2024-01-0{1 + i % 5} 00:00:00", 0.1 * i, i % 2) for i in range(40)],
+                                  "transaction_id long, customer_id long, authorized_at string, f double, label int")
+    frame = frame.withColumn("authorized_at", F.col("authorized_at").cast("timestamp_ntz"))
+    one, man, _ = publish(spark, frame.repartition(3), tables.transactions, root, now=day(1))
+    two, _, data = publish(spark, frame.repartition(5).orderBy(F.desc("f")), tables.transactions, root, now=day(2))
+    sha = content_fingerprint(frame).first()["sha256"]
+    assert one == f"20240101T000000Z_{sha[:12]}" and two == f"20240102T000000Z_{sha[:12]}" and man.first()["quantiles"] == "exact"
+    assert len(list((tmp_path / "snaps/card_fraud/objects").iterdir())) == 1 and data.count() == 40  # kept once
+    other, _, _ = publish(spark, frame.withColumn("f", F.col("f") + 1e-12), tables.transactions, root, now=day(3))
+    assert other[-12:] != sha[:12] and S.latest_snapshot(spark, root, "card_fraud") == other
+    assert publish(spark, frame, tables.transactions, root, now=day(2))[0] == two  # a retry of a publish that went through
+    assert len(S.published_ids(spark, root, "card_fraud")) == 3
+
+
+def test_a_killed_publish_stays_invisible(spark, tables, tmp_path, monkeypatch):
+    from pitwise.plans import snapshot as P
+
+    root = str(tmp_path / "snaps")
+    frame = spark.createDataFrame([(1, 1, 0)], "transaction_id long, customer_id long, label int").select(
+        "*", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("authorized_at"))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    for name in ("find_content", "write_manifest"):  # after the data, and just before the manifest
+        with monkeypatch.context() as m:
+            m.setattr(P.S, name, killed)
+            with pytest.raises(KeyboardInterrupt):
+                P.publish(spark, frame, tables.transactions, root)
+        with pytest.raises(FileNotFoundError):
+            S.latest_snapshot(spark, root, "card_fraud")
+    half = tmp_path / "snaps/card_fraud/20990101T000000Z_000000000000/manifest"  # killed while the manifest was written
+    half.mkdir(parents=True)
+    (half / "part-0.json").write_text('{"snapshot_id": "20990101T000000Z_000000000000"}')
+    sid, _, _ = P.publish(spark, frame, tables.transactions, root)
+    assert S.load_snapshot(spark, root, "card_fraud")[2] == sid and S.manifests(spark, root, "card_fraud").count() == 1
+    with pytest.raises(FileNotFoundError):
+        S.load_snapshot(spark, root, "card_fraud", "20990101T000000Z_000000000000")
+
+
+def test_fingerprint_sees_every_bit(spark):
+    from pitwise.operators.fingerprint import content_fingerprint, double_text
+
+    values = [0.0, 1e-12, 4e-11, 1.0, 1.0000000000000002, -1.0, 5e-324, 1.7976931348623157e308, 2.0 ** -1022, 0.1, 3.0, 2.0 ** 60,
+              float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    texts = [r[0] for r in df.select(double_text(F.col("x"))).collect()]
+    assert len(set(texts)) == len(values) and texts[0] == "0" and texts[-1] is None
+    for v, text in zip(values[1:12], texts[1:12]):
+        m, e = text.split("p")
+        assert float(int(m)) * 2.0 ** -52 * 2.0 ** int(e) == v if abs(v) < 1e300 and abs(v) > 1e-300 else True
+    one = lambda v: content_fingerprint(spark.createDataFrame([(v,)], "x double")).first()["sha256"]
+    assert one(1e-12) != one(4e-11) and one(0.0) == one(-0.0)
+
+
 def test_dry_run_writes_nothing(spark, tables, tmp_path):
     from pitwise.plans.snapshot import build_snapshot
 
