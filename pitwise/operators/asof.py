@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwise.functions.time import monday
+from pitwise.session import materialize
 
 
 HOT_KEYS = 500_000  # a list of hot keys is broadcast up to this many
@@ -54,21 +55,37 @@ def asof_join(
 ) -> DataFrame:
     """Left rows plus `right_cols` from the latest right row with time <= left time.
 
-    Times are timestamps, or plain numbers read as seconds. `hot_threshold`: keys
+    A NULL key matches nothing: such left rows get NULLs, and are kept out of the windows. Times are timestamps, or plain numbers read as seconds. `hot_threshold`: keys
     with more left rows than that take the time-bucketed form (`hot_bucket_seconds`)
     while all other keys keep the one-shuffle form. The list of hot keys is broadcast
     if it is counted to hold at most HOT_KEYS.
     """
+    keys = _keys(by)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    if any(left.schema[k].nullable for k in keys):
+        unmatched = left.filter(no_key).select(*[F.col(c) for c in left.columns], *[
+            F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols])
+        matched = _keyed_asof(left.filter(~no_key), right.filter(~no_key), by, left_ts, right_ts, right_cols, bucket_seconds,
+                              hot_threshold, hot_bucket_seconds)
+        return matched.unionByName(unmatched)
+    return _keyed_asof(left, right.filter(~no_key), by, left_ts, right_ts, right_cols, bucket_seconds, hot_threshold,
+                       hot_bucket_seconds)
+
+
+def _keyed_asof(left, right, by, left_ts, right_ts, right_cols, bucket_seconds, hot_threshold, hot_bucket_seconds):
     if hot_threshold is not None and bucket_seconds is None:
         keys = _keys(by)
-        hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-               .filter(F.col("__n") > hot_threshold).select(*keys))
-        if not hot.isEmpty():
-            hb = F.broadcast(hot) if hot.limit(HOT_KEYS + 1).count() <= HOT_KEYS else hot
-            cold = asof_join(left.join(hb, keys, "left_anti"), right.join(hb, keys, "left_anti"),
-                             by, left_ts, right_ts, right_cols)
-            warm = asof_join(left.join(hb, keys, "left_semi"), right.join(hb, keys, "left_semi"),
-                             by, left_ts, right_ts, right_cols, bucket_seconds=hot_bucket_seconds)
+        hot = materialize(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                          .filter(F.col("__n") > hot_threshold).select(*keys), "hot-keys")
+        n_hot = hot.count()
+        if n_hot:
+            hb = F.broadcast(hot) if n_hot <= HOT_KEYS else hot
+            cold = _asof_join(left.join(hb, keys, "left_anti"), right.join(hb, keys, "left_anti"),
+                              by, left_ts, right_ts, right_cols, None)
+            warm = _asof_join(left.join(hb, keys, "left_semi"), right.join(hb, keys, "left_semi"),
+                              by, left_ts, right_ts, right_cols, hot_bucket_seconds)
             return cold.unionByName(warm)
     return _asof_join(left, right, by, left_ts, right_ts, right_cols, bucket_seconds)
 

@@ -10,8 +10,12 @@ order. Ties share one threshold, as in the usual definitions:
 * `pick_threshold`    highest threshold whose recall >= target (else the lowest),
 * `precision_at_recall` best precision among thresholds with recall >= target.
 
-Cumulative sums run distributed (`running_sums`, two passes over key-range
-buckets); no curve is collected. Rows with a NULL score are ignored.
+The input is read once, into a written table of one row per distinct score; totals, bucket bounds and
+the running sums (`running_sums`, over key-range buckets) read that table. No curve is collected. Rows with a
+NULL score are ignored.
+
+`grouped_ranking` computes the same metrics for many groups (models, iterations, permuted features) in one
+pass, each group's curve being cut by score ranges like a single one.
 """
 
 from __future__ import annotations
@@ -19,8 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwise.operators.ordering import running_sums
+from pitwise.operators.carry import carried
+from pitwise.operators.ordering import _bucket, running_sums
 from pitwise.operators.quantiles import exact_quantiles
+from pitwise.session import materialize
 
 
 def _scored(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -28,76 +34,116 @@ def _scored(df: DataFrame, label: str, score: str) -> DataFrame:
         .filter(F.col("__s").isNotNull())
 
 
-def class_totals(df: DataFrame, label: str, score: str) -> tuple[Column, Column]:
-    """Number of positives and negatives (two counts come back to the driver and are
-    used as literals; scores from model UDFs cannot feed a scalar subquery)."""
-    s = _scored(df, label, score)
-    p, n = s.agg(F.count_if(F.col("__y") == 1), F.count_if(F.col("__y") != 1)).first()
-    return F.lit(int(p)), F.lit(int(n))
+def _per_score(df: DataFrame, label: str, score: str, *group: str) -> DataFrame:
+    """(group, __s, pos, neg), written: one row per distinct score."""
+    src = df.select(*group, F.col(label).cast("int").alias("__y"), F.col(score).cast("double").alias("__s"))
+    return materialize(src.filter(F.col("__s").isNotNull()).groupBy(*group, "__s").agg(
+        F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") != 1).alias("neg")), "scores")
 
 
 def score_curve(df: DataFrame, label: str = "label", score: str = "score",
                 num_buckets: int | None = None) -> DataFrame:
     """(threshold, pos, neg, tp, fp): one row per distinct score, tp/fp = rows with score >= threshold."""
-    per = _scored(df, label, score).groupBy("__s").agg(
-        F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") != 1).alias("neg"))
-    cum = running_sums(per, [F.col("__s").desc()], ["pos", "neg"], num_buckets,
+    cum = running_sums(_per_score(df, label, score), [F.col("__s").desc()], ["pos", "neg"], num_buckets,
                        bucket_key=F.col("__s"), descending=True)
     return cum.select(F.col("__s").alias("threshold"), "pos", "neg",
                       F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"))
 
 
+def class_totals(curve: DataFrame) -> tuple[Column, Column]:
+    """Number of positives and negatives of a curve (two counts come back to the driver and are
+    used as literals; scores from model UDFs cannot feed a scalar subquery)."""
+    p, n = curve.agg(F.sum("pos"), F.sum("neg")).first()
+    return F.lit(int(p or 0)), F.lit(int(n or 0))
+
+
+def _curve(df: DataFrame, label: str, score: str) -> tuple[DataFrame, Column, Column]:
+    curve = score_curve(df, label, score)
+    return curve, *class_totals(curve)
+
+
 def _recall(tp: Column, P: Column) -> Column:
     # with no positives every threshold has full recall (by convention)
     return F.when(P == 0, F.lit(1.0)).otherwise(tp.cast("double") / P.cast("double"))
 
 
+def _precision() -> Column:
+    return F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")
+
+
+def _best_precision(P: Column, target_recall: float) -> Column:
+    best = F.max(F.when(_recall(F.col("tp"), P) >= F.lit(float(target_recall)), _precision()))
+    if target_recall <= 0:  # the curve's end point (recall 0, precision 1) qualifies too
+        best = F.greatest(best, F.lit(1.0))
+    return F.round(F.coalesce(best, F.lit(0.0)), 6)
+
+
+def _misranked() -> Column:
+    """Sum of pos * (2 * negatives above + tied negatives), exactly: twice the pairs ranked wrong, ties as half.
+
+    The counts are DECIMAL(19,0) before they are multiplied: neither INT nor LONG holds the product of two counts.
+    """
+    exact = lambda x: x.cast("decimal(19,0)")
+    wrong = (exact(F.lit(2)) * exact(F.col("fp")) - exact(F.col("neg"))).cast("decimal(19,0)")
+    return F.sum((exact(F.col("pos")) * wrong).cast("decimal(38,0)"))
+
+
+def _auc(misranked: Column, P: Column, N: Column) -> Column:
+    pairs = F.lit(2).cast("decimal(19,0)") * (P.cast("decimal(19,0)") * N.cast("decimal(18,0)")).cast("decimal(37,0)")
+    right = (pairs - misranked).cast("double")
+    return F.round(F.try_divide(right, pairs.cast("double")), 6)
+
+
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    P, _ = class_totals(df, label, score)
-    c = score_curve(df, label, score)
-    return c.select("threshold", "tp", "fp",
-                    (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),
-                    _recall(F.col("tp"), P).alias("recall"))
+    c, P, _ = _curve(df, label, score)
+    return c.select("threshold", "tp", "fp", _precision().alias("precision"), _recall(F.col("tp"), P).alias("recall"))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    P, N = class_totals(df, label, score)
-    c = score_curve(df, label, score)
-    # 2 * (pairs ranked right) + (tied pairs) = pos * (2 * (N - fp) + neg), summed exactly. The counts are
-    # DECIMAL(19,0) before they are multiplied: neither INT nor LONG holds the product of two counts.
-    exact = lambda x: x.cast("decimal(19,0)")
-    right = (exact(F.lit(2)) * (exact(N) - exact(F.col("fp"))) + exact(F.col("neg"))).cast("decimal(19,0)")
-    num = (exact(F.col("pos")) * right).cast("decimal(38,0)")
-    pairs = F.lit(2.0) * P.cast("double") * N.cast("double")
-    return c.agg(F.sum(num).alias("__num")).select(
-        F.round(F.try_divide(F.col("__num").cast("double"), pairs), 6).alias("roc_auc"))
+    c, P, N = _curve(df, label, score)
+    return c.agg(_misranked().alias("__w")).select(_auc(F.col("__w"), P, N).alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    P, _ = class_totals(df, label, score)
-    c = score_curve(df, label, score)
-    prec = F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")
-    return c.agg(F.sum(F.col("pos").cast("double") * prec).alias("__s")).select(
+    c, P, _ = _curve(df, label, score)
+    return c.agg(F.sum(F.col("pos").cast("double") * _precision()).alias("__s")).select(
         F.round(F.try_divide(F.col("__s"), P.cast("double")), 6).alias("average_precision"))
 
 
 def pick_threshold(df: DataFrame, label: str = "label", score: str = "score", target_recall: float = 0.8) -> DataFrame:
-    P, _ = class_totals(df, label, score)
-    c = score_curve(df, label, score)
+    c, P, _ = _curve(df, label, score)
     ok = _recall(F.col("tp"), P) >= F.lit(float(target_recall))
     return c.agg(F.coalesce(F.max(F.when(ok, F.col("threshold"))), F.min("threshold")).alias("threshold"))
 
 
 def precision_at_recall(df: DataFrame, label: str = "label", score: str = "score",
                         target_recall: float = 0.8) -> DataFrame:
-    P, _ = class_totals(df, label, score)
-    c = score_curve(df, label, score)
-    ok = _recall(F.col("tp"), P) >= F.lit(float(target_recall))
-    prec = F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")
-    best = F.max(F.when(ok, prec))
-    if target_recall <= 0:  # the curve's end point (recall 0, precision 1) qualifies too
-        best = F.greatest(best, F.lit(1.0))
-    return c.agg(F.round(F.coalesce(best, F.lit(0.0)), 6).alias("precision_at_recall"))
+    c, P, _ = _curve(df, label, score)
+    return c.agg(_best_precision(P, target_recall).alias("precision_at_recall"))
+
+
+def grouped_ranking(df: DataFrame, group: str, label: str = "label", score: str = "score", target_recall: float = 0.8,
+                    num_blocks: int | None = None) -> DataFrame:
+    """One row per group: pos, neg, roc_auc, average_precision, precision_at_recall of its rows.
+
+    All groups' curves in one pass: one row per (group, score), running sums per group over ranges of the score
+    whose bounds are quantiles of all scores, so neither a large group nor many groups are one task's work.
+    Same values as the metrics of each group by itself.
+    """
+    per = _per_score(df, label, score, group)
+    n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _bucket(per, F.col("__s"), n, descending=True).withColumn("__o", -F.col("__s"))
+    known = carried(ranged.where(F.col(group).isNotNull()), [group], "__b", ["__o"],
+                    total={"tp": F.col("pos"), "fp": F.col("neg")}, inclusive=True)
+    totals = per.groupBy(F.col(group).alias("__g")).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
+    curve = known.join(totals, F.col(group) == F.col("__g"))
+    out = curve.groupBy(group).agg(
+        F.max("__P").alias("pos"), F.max("__N").alias("neg"), _misranked().alias("__w"),
+        F.sum(F.col("pos").cast("double") * _precision()).alias("__s"),
+        _best_precision(F.col("__P"), target_recall).alias("precision_at_recall"))
+    return out.select(group, "pos", "neg", _auc(F.col("__w"), F.col("pos"), F.col("neg")).alias("roc_auc"),
+                      F.round(F.try_divide(F.col("__s"), F.col("pos").cast("double")), 6).alias("average_precision"),
+                      "precision_at_recall")
 
 
 def confusion(df: DataFrame, threshold, label: str = "label", score: str = "score") -> DataFrame:

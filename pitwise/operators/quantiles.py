@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwise.operators.ordering import running_sums
+from pitwise.session import materialize
 
 
 def _as_double(c: Column, kind: str) -> Column:
@@ -33,11 +34,11 @@ def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], kind: str =
     vals = df.select(v.alias("__v")).filter(F.col("__v").isNotNull())
     if approx:
         return vals.agg(F.percentile_approx("__v", list(qs), accuracy).cast("array<double>").alias("q"))
-    # one scalar comes back to the driver; the positions become literals
-    n = vals.agg(F.count(F.lit(1))).first()[0]
+    # the input is read once; the total, bounds, offsets and sums are taken from the written counts
+    per = materialize(vals.groupBy("__v").agg(F.count(F.lit(1)).alias("__n")), "value-counts")
+    n = per.agg(F.sum("__n")).first()[0] or 0  # one scalar; the positions become literals
     if n == 0:
         return vals.sparkSession.range(1).select(F.array(*[F.lit(None).cast("double") for _ in qs]).alias("q"))
-    per = vals.groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
     upto = running_sums(per, ["__v"], ["__n"])
     pos = [F.lit(float(q) * (n - 1)) for q in qs]
     wanted = sorted({math.floor(float(q) * (n - 1)) for q in qs} | {math.ceil(float(q) * (n - 1)) for q in qs})

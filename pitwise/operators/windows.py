@@ -63,9 +63,11 @@ def customer_window_features(
     if hot_threshold is None:
         return _single_window(tx, **args)
     hot = tx.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_threshold).select(F.col(key).alias("__hot"))
-    if hot.isEmpty():  # the usual case: keep the one-shuffle plan
+    hot = materialize(hot, "hot-keys")  # a narrow list, counted once for all that follows
+    n_hot = hot.count()
+    if not n_hot:  # the usual case: keep the one-shuffle plan
         return _single_window(tx, **args)
-    if hot.limit(HOT_KEYS + 1).count() <= HOT_KEYS:
+    if n_hot <= HOT_KEYS:
         hot = F.broadcast(hot)
     is_hot = F.col(key).eqNullSafe(F.col("__hot"))
     cold_rows = tx.join(hot, is_hot, "left_anti")
@@ -164,15 +166,17 @@ def hot_customer_features(tx, key="customer_id", ts="authorized_at", order_id="t
     ).filter(~F.col("__halo")).drop("__halo")
 
     # 3. RANGE counts through an as-of lookup of each probe time
-    lookup = pos.filter(F.col(ep).isNotNull()).groupBy(key, F.col(ep).alias("__pt")).agg(F.max("__idx").alias("__lastidx"))
+    # (the key is wrapped, so that rows without a customer, which are one history here, find each other)
+    lookup = (pos.filter(F.col(ep).isNotNull()).groupBy(F.struct(key).alias("__key"), F.col(ep).alias("__pt"))
+              .agg(F.max("__idx").alias("__lastidx")))
     probes = None
     for name, secs in velocity.items():
-        p = pos.select(key, "__idx", F.lit(name).alias("__w"), (F.col(ep) - F.lit(secs + 1)).alias("__pt"),
+        p = pos.select(F.struct(key).alias("__key"), "__idx", F.lit(name).alias("__w"), (F.col(ep) - F.lit(secs + 1)).alias("__pt"),
                        "__le", "__timeless")
         probes = p if probes is None else probes.unionByName(p)
-    hit = asof_join(probes, lookup, key, "__pt", "__pt", ["__lastidx"], bucket_seconds=bucket_seconds)
+    hit = asof_join(probes, lookup, "__key", "__pt", "__pt", ["__lastidx"], bucket_seconds=bucket_seconds)
     older = F.when(F.col("__pt").isNull(), F.lit(0)).otherwise(F.coalesce(F.col("__lastidx") + 1, F.col("__timeless")))
-    counts = hit.select(F.col(key).alias("__rk"), F.col("__idx").alias("__ri"), "__w",
+    counts = hit.select(F.col("__key")[key].alias("__rk"), F.col("__idx").alias("__ri"), "__w",
                         (F.col("__le") - older - 1).alias("__cnt"))
     range_feats = counts.groupBy("__rk", "__ri").pivot("__w", list(velocity)).agg(F.first("__cnt"))
 

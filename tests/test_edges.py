@@ -177,3 +177,20 @@ def test_permutation_importance_finds_the_feature_that_counts(spark):
     model = ML.fit_trees(ML.gbt(c, max_iter=5, validation_col=None), ML.prepare(rows, c), c)
     got = [tuple(r) for r in permutation_importance(model, rows, c).collect()]
     assert [g[2] for g in got] == [1, 2, 3] and got[0][0] == "amount" and got[0][1] > 10 * max(got[1][1], 1e-6)
+
+
+def test_asof_null_keys_match_nothing(spark):
+    """A NULL key is no key, in every form of the join; many of them are no window's work."""
+    from datetime import datetime
+
+    from pitwise.operators.asof import asof_join, asof_join_weekly
+
+    monday = datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, None, monday), (2, 5, monday), (3, None, None), (4, 6, monday)] + [(9, 7, monday)] * 5,
+                                 "id int, k int, t timestamp_ntz")
+    right = spark.createDataFrame([(None, monday, 7.0), (5, monday, 8.0)], "k int, at timestamp_ntz, v double")
+    want = {1: None, 2: 8.0, 3: None, 4: None, 9: None}
+    forms = [asof_join(left, right, "k", "t", "at", ["v"]), asof_join(left, right, "k", "t", "at", ["v"], bucket_seconds=3600),
+             asof_join(left, right, "k", "t", "at", ["v"], hot_threshold=3), asof_join_weekly(left, right, "k", "t", "at", ["v"])]
+    for out in forms:
+        assert out.count() == 9 and {r.id: r.v for r in out.collect()} == want

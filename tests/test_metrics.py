@@ -109,3 +109,18 @@ def test_metrics_without_positives(spark):
     assert M.precision_at_recall(df).first()[0] == 0.0
     c = M.confusion(df, 0.5).first()
     assert (c["tp"], c["fp"], c["recall"], c["precision"]) == (0, 2, 0.0, 0.0)
+
+
+def test_grouped_ranking_equals_each_group_by_itself(spark):
+    rng = random.Random(5)
+    rows = [(g, rng.random() < p, rng.choice([None, round(rng.random(), k), round(rng.random(), k)]))
+            for g, n, p, k in (("hot", 900, 0.2, 3), ("ties", 200, 0.5, 1), ("one", 1, 1, 2), ("none", 50, 0, 2), ("all", 30, 1, 2),
+                               (None, 20, 0.5, 2)) for _ in range(n)]
+    df = spark.createDataFrame([(g, int(y), s) for g, y, s in rows], "g string, label int, score double").repartition(4)
+    got = {r.g: r for r in M.grouped_ranking(df, "g", target_recall=0.6, num_blocks=7).collect()}
+    assert set(got) == {g for g, _, s in rows if g is not None and s is not None}
+    for g, r in got.items():
+        part = df.where(F.col("g") == g)
+        assert r.roc_auc == M.roc_auc(part).first()[0] and r.average_precision == M.average_precision(part).first()[0]
+        assert r.precision_at_recall == M.precision_at_recall(part, target_recall=0.6).first()[0]
+        assert r.pos + r.neg == part.where("score IS NOT NULL").count()
