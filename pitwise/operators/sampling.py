@@ -1,7 +1,7 @@
 """Exact-size, reproducible sampling.
 
-Rows are ordered by a seeded hash `md5("<seed>:<id>")` (ties by id) and the first
-`n` are kept. This is deterministic, independent of partitioning, and exact in
+Rows are ordered by a seeded hash `md5("<seed>:<id>")`, ties by the row's content, and the first
+`n` are kept. A row without an id is hashed by its content, so it has the same chance as any other. This is deterministic, independent of partitioning, and exact in
 size -- unlike `DataFrame.sample`, which keeps a random *fraction*.
 
 At scale the top-n is not a driver-side sort or a `limit` (that funnels n rows
@@ -17,13 +17,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitwise.operators.fingerprint import row_hash
 from pitwise.operators.ordering import assign_ids
+from pitwise.session import materialize
 
 HEX_DIGITS = 15  # leading md5 hex digits read as a uniform number in [0, 1)
 
 
-def seeded_hash(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+def seeded_hash(id_col: str, seed: int, without: Column | str = "\\N") -> Column:
+    """Hash of the seed and the id; `without` stands for a NULL id."""
+    without = F.lit(without) if isinstance(without, str) else without
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), without)))
 
 
 def _uniform(h: Column) -> Column:
@@ -36,7 +40,8 @@ def hash_top_n(df: DataFrame, n: int, id_col: str, seed: int, margin: float = 0.
 
     `total` (row count of `df`) enables the candidate prefilter.
     """
-    h = df.withColumn("__h", seeded_hash(id_col, seed))
+    content = row_hash(df)
+    h = df.withColumn("__h", seeded_hash(id_col, seed, F.concat(F.lit("\\N:"), content))).withColumn("__c", content)
     pool = h
     if total and n < total:
         frac = min(1.0, n / total * (1 + margin) + 1e-3)
@@ -45,8 +50,9 @@ def hash_top_n(df: DataFrame, n: int, id_col: str, seed: int, margin: float = 0.
             pool = cand
     elif total is not None and n >= total:
         return df
-    ranked = assign_ids(pool, ["__h", id_col], id_col="__rank", bucket_key=_uniform(F.col("__h")))
-    return ranked.filter(F.col("__rank") < F.lit(int(n))).drop("__h", "__rank")
+    pool = materialize(pool, "sample-pool")  # numbered in three passes
+    ranked = assign_ids(pool, ["__h", "__c"], id_col="__rank", bucket_key=_uniform(F.col("__h")))
+    return ranked.filter(F.col("__rank") < F.lit(int(n))).drop("__h", "__c", "__rank")
 
 
 def undersample(df: DataFrame, label: str = "label", id_col: str = "transaction_id", neg_per_pos: int = 20,

@@ -1,68 +1,97 @@
 """Keyed queries: model training, calibration, comparison, attribution, run log,
 contract validation and batch / stream scoring.
 
-Models are fitted once per (session, data directory) and shared by these keys.
-Except `contract_validation`, their results depend on learned parameters and are
-checked on row counts only.
+Models are fitted once per (session, tables of the data directory) and shared by these keys. The tables they
+share are written to folders of this module's own, which `session.drop_scratch` leaves alone and
+`drop_shared` deletes. Results that depend on learned parameters are checked on row counts only; the rows
+a model accepts, and the parameters a run records, have an oracle.
 """
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwise import oracles as O
+from pitwise.operators.sampling import undersample
+from pitwise.operators.splits import assert_disjoint, temporal_split
 from pitwise.plans import attribution as A
+from pitwise.plans import models as ML
 from pitwise.plans import training as TR
-from pitwise.operators.splits import assert_disjoint, temporal_split
 from pitwise.plans.contract import Contract, rejection_counts, validate
-from pitwise.plans.queries_eval import CUTS_CTE, SPLIT_CTE, SEED, _split
+from pitwise.plans.queries_eval import SEED, _matrix
 from pitwise.plans.scoring import score
 from pitwise.plans.snapshot import DATASET, build_snapshot
 from pitwise.registry import query
-from pitwise.session import materialize, scratch_path
+from pitwise.session import delete_paths, materialize, new_scratch, unique_path
+from pitwise.sources.fixtures import RAW_TABLES
 from pitwise.sources.snapshots import load_snapshot
 from pitwise.streaming.scoring import run_to_completion, start_scoring_stream
 
 _CACHE: dict = {}
+_SHARED: list[str] = []
+
+
+def _shared_path(spark, name: str) -> str:
+    _SHARED.append(unique_path(spark, name))
+    return _SHARED[-1]
+
+
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to a folder that lives until `drop_shared`."""
+    path = _shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def drop_shared(spark) -> int:
+    """Forget the fitted models and shared tables and delete their folders; returns the number deleted."""
+    _CACHE.clear()
+    paths = list(_SHARED)
+    _SHARED.clear()
+    return delete_paths(spark, paths)
 
 
 def _key(t, what: str) -> tuple:
-    """Per application and table version: changed data or a new session are fitted anew."""
-    files = t.spark.read.parquet(f"{t.sf_dir}/orders.parquet").select("_metadata.file_path", "_metadata.file_modification_time",
-                                                                     "_metadata.file_size").distinct()
-    state = tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first())
-    return what, t.spark.sparkContext.applicationId, t.sf_dir, state
+    """Per application and state of all tables read: changed data or a new session are fitted anew."""
+    state = []
+    for name in RAW_TABLES:
+        files = t[name].select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").distinct()
+        state.append(tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()))
+    return what, t.spark.sparkContext.applicationId, t.sf_dir, tuple(state)
+
+
+def _once(t, what: str, make):
+    key = _key(t, what)
+    if key not in _CACHE:
+        _CACHE[key] = make()
+    return _CACHE[key]
 
 
 def _snapshot(t):
     """(data, manifest, id) of a snapshot that is built, published and loaded by its id."""
-    key = _key(t, "snapshot")
-    if key not in _CACHE:
-        root = scratch_path(t.spark, f"training-{uuid.uuid4().hex[:8]}")
+    def make():
+        root = _shared_path(t.spark, "training")
         made, _, _ = build_snapshot(t.spark, t.transactions, t.fraud_labels, t.merchants, root=root)
-        _CACHE[key] = load_snapshot(t.spark, root, DATASET, made)
-    return _CACHE[key]
+        return load_snapshot(t.spark, root, DATASET, made)
+    return _once(t, "snapshot", make)
 
 
 def _parts(t):
     """The frozen snapshot cut at the dates of its manifest."""
-    key = _key(t, "parts")
-    if key not in _CACHE:
+    def make():
         data, manifest, _ = _snapshot(t)
         split = temporal_split(data, t.spark.createDataFrame([manifest["split"]], "train_end string, val_end string"))
         assert_disjoint(split)  # train <= val <= test in time, or stop here
-        _CACHE[key] = {p: materialize(split.filter(F.col("split") == p).drop("split"), p) for p in ("train", "val", "test")}
-    return _CACHE[key]
+        return {p: _keep(split.filter(F.col("split") == p).drop("split"), p) for p in ("train", "val", "test")}
+    return _once(t, "parts", make)
 
 
 def _trained(t) -> TR.Trained:
-    key = _key(t, "gbt")
-    if key not in _CACHE:
+    def make():
         p = _parts(t)
-        _CACHE[key] = TR.train_and_calibrate(p["train"], p["val"], Contract())
-    return _CACHE[key]
+        return TR.train_and_calibrate(p["train"], p["val"], Contract())
+    return _once(t, "gbt", make)
 
 
 @query("train_gbt")
@@ -86,17 +115,13 @@ def q_calibration_means(t):
 
 @query("model_leaderboard")
 def q_model_leaderboard(t):
-    from pitwise.operators.sampling import undersample
     p = _parts(t)
-    bal = undersample(p["train"], seed=SEED)
-    return TR.leaderboard(bal, p["val"])
+    return TR.leaderboard(undersample(p["train"], seed=SEED), p["val"], booster=_trained(t))
 
 
 @query("attribution_global")
 def q_attribution_global(t):
     """Mean |contribution|, direction and rank of every feature (linear model, whole test split)."""
-    from pitwise.operators.sampling import undersample
-    from pitwise.plans import models as ML
     p = _parts(t)
     c = Contract()
     bal = materialize(undersample(p["train"], seed=SEED), "train_bal")
@@ -117,7 +142,7 @@ def q_run_log(t):
     tr = _trained(t)
     p = _parts(t)
     metrics = TR.report_to_metrics(TR.evaluate(tr, p["val"], p["test"]))
-    runs = scratch_path(t.spark, f"runs-{uuid.uuid4().hex[:8]}")
+    runs = new_scratch(t.spark, "runs")
     _, manifest, snapshot_id = _snapshot(t)
     lineage = {"dataset_sha256": manifest["sha256"], "rows": manifest["rows"], **manifest["recipe"], **manifest["split"]}
     TR.log_run(t.spark, runs, {**lineage, **tr.params}, metrics, snapshot_id)
@@ -132,7 +157,7 @@ def _all_rows(t):
 @query("score_batch")
 def q_score_batch(t):
     """Save the serving artifacts, load them back, score every row of the matrix."""
-    path = scratch_path(t.spark, f"artifacts-{uuid.uuid4().hex[:8]}")
+    path = new_scratch(t.spark, "artifacts")
     TR.save_artifacts(t.spark, _trained(t), path)
     served = TR.load_artifacts(t.spark, path)
     scored, _ = score(_all_rows(t), served)
@@ -144,7 +169,7 @@ def q_score_stream(t):
     """All rows of the matrix as a file stream, scored micro-batch by micro-batch."""
     tr = _trained(t)
     rows = _all_rows(t)
-    base = scratch_path(t.spark, f"stream-{uuid.uuid4().hex[:8]}")
+    base = new_scratch(t.spark, "stream")
     rows.write.parquet(f"{base}/in")
     qs = start_scoring_stream(t.spark, f"{base}/in", rows.schema, tr, f"{base}/out", f"{base}/ckpt",
                               rejected_dir=f"{base}/rejected")
@@ -152,20 +177,39 @@ def q_score_stream(t):
     return t.spark.read.parquet(f"{base}/out")
 
 
-@query("contract_validation", O.sql("""
-SELECT reason, count(*) AS n FROM (
-  SELECT 'accepted' AS reason FROM splitm
-  WHERE split = 'test' AND channel IS NOT NULL AND entry_mode IS NOT NULL AND country IS NOT NULL
-    AND mcc IS NOT NULL AND risk_segment IS NOT NULL
-  UNION ALL SELECT 'missing:channel' FROM splitm WHERE split = 'test' AND channel IS NULL
-  UNION ALL SELECT 'missing:entry_mode' FROM splitm WHERE split = 'test' AND entry_mode IS NULL
-  UNION ALL SELECT 'missing:country' FROM splitm WHERE split = 'test' AND country IS NULL
-  UNION ALL SELECT 'missing:mcc' FROM splitm WHERE split = 'test' AND mcc IS NULL
-  UNION ALL SELECT 'missing:risk_segment' FROM splitm WHERE split = 'test' AND risk_segment IS NULL) x
-GROUP BY reason""", *O.matrix_ctes(), CUTS_CTE, SPLIT_CTE))
+# Rules by which requests are spoiled: column -> (ids whose remainder by the first number is the second, sent text).
+SPOILED = {
+    "channel": (89, 1, None), "entry_mode": (97, 2, None), "country": (101, 3, None), "mcc": (103, 4, None),
+    "risk_segment": (107, 5, None), "amount": (109, 6, "ten"), "vel_24h": (113, 7, "1,5"), "merchant_fraud_rate_pit": (127, 8, ""),
+    "secs_since_prev": (11, 9, None), "hour": (13, 10, " 7 "),  # a missing number is valid, and so is one with blanks
+}
+
+
+def _requests(t) -> DataFrame:
+    """Every row of the matrix as a scoring request, fields as text, some spoiled by rule."""
+    rows = _matrix(t)
+    sent = lambda c: F.col(c).cast("string")
+    put = {c: F.when(F.pmod("transaction_id", F.lit(n)) == k, F.lit(text)).otherwise(sent(c)).alias(c)
+           for c, (n, k, text) in SPOILED.items()}
+    return rows.select("transaction_id", *[put.get(c, sent(c).alias(c)) for c in Contract().features])
+
+
+def _validation_sql() -> str:
+    contract = Contract()
+    hit = lambda c: f"transaction_id % {SPOILED[c][0]} = {SPOILED[c][1]}"
+    reasons = [f"CASE WHEN {hit(c) if c in SPOILED else 'false'} OR {c} IS NULL THEN 'missing:{c}' END" for c in contract.cat_features]
+    reasons += [f"CASE WHEN {hit(c)} THEN 'not_numeric:{c}' END" for c in ("amount", "vel_24h", "merchant_fraud_rate_pit")]
+    return f"""
+SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM (
+  SELECT unnest(CASE WHEN len(list_filter(reasons, lambda x: x IS NOT NULL)) = 0 THEN [NULL]
+                     ELSE list_filter(reasons, lambda x: x IS NOT NULL) END) AS reason
+  FROM (SELECT [{', '.join(reasons)}] AS reasons FROM matrix))
+GROUP BY ALL"""
+
+
+@query("contract_validation", O.sql(_validation_sql(), *O.matrix_ctes()))
 def q_contract_validation(t):
-    """Test-split rows as scoring requests: accepted count and rejections per reason."""
-    test = _split(t).filter(F.col("split") == "test")
-    ok, bad = validate(test, Contract())
+    """All rows of the matrix as scoring requests, some spoiled: accepted count and rejections per reason."""
+    ok, bad = validate(_requests(t), Contract())
     acc = ok.agg(F.count(F.lit(1)).alias("n")).select(F.lit("accepted").alias("reason"), "n")
     return acc.unionByName(rejection_counts(bad))

@@ -3,7 +3,6 @@ evolution, defaults, dataset profiles and surrogate ids."""
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +10,7 @@ from pitwise import oracles as O
 from pitwise.operators import quality as Q
 from pitwise.operators.ordering import assign_ids
 from pitwise.registry import query
-from pitwise.session import scratch_path
+from pitwise.session import new_scratch
 from pitwise.sources import etl
 from pitwise.sources.schemas import LOAD_ORDER, MIGRATION_GEO_IP, TABLES
 
@@ -112,7 +111,7 @@ _TX_COLS = ", ".join(f.name for f in TABLES["transactions"].schema.fields)
 def q_etl_reload(t):
     """The transactions table reloaded twice (the second load replaces the first) and read back."""
     spec = TABLES["transactions"]
-    path = scratch_path(t.spark, f"reload-{uuid.uuid4().hex}")
+    path = new_scratch(t.spark, "reload")
     for _ in range(2):
         etl.reload_table(t.transactions, spec, path)
     return t.spark.read.parquet(path)
@@ -122,7 +121,7 @@ def q_etl_reload(t):
 def q_csv_roundtrip(t):
     """Bulk text export (no header, NULL as \\N) and typed re-read."""
     spec = TABLES["transactions"]
-    path = scratch_path(t.spark, f"csv-roundtrip-{uuid.uuid4().hex}")
+    path = new_scratch(t.spark, "csv-roundtrip")
     etl.write_csv(etl.conform(t.transactions, spec), path)
     return etl.read_csv(t.spark, path, spec.schema)
 

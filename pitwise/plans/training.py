@@ -1,7 +1,7 @@
 """Train, calibrate, choose the operating threshold, evaluate once on test.
 
     snapshot -> temporal split -> check disjoint -> undersample train only
-      -> GBT (early stopping on val) -> isotonic calibration on val
+      -> GBT (cut to the best round by validation AUC) -> isotonic calibration on val
       -> threshold at target recall on val -> test metrics, FP reduction
       -> run record + serving artifacts (model, calibrator, contract)
 
@@ -41,13 +41,15 @@ class Trained:
     contract: Contract
     n_trees: int
     params: dict = field(default_factory=dict)
+    fit_seconds: float = 0.0
 
 
 def fit_gbt(train_bal: DataFrame, val: DataFrame, contract: Contract, max_iter: int = ML.BOOST_ITER,
-            seed: int = SEED) -> PipelineModel:
-    """GBT on train, stopped early on the validation rows; the preprocessing sees train only."""
-    return ML.fit_trees(ML.gbt(contract, max_iter=max_iter, seed=seed), ML.prepare(train_bal, contract), contract,
-                        ML.prepare(val, contract))
+            seed: int = SEED) -> tuple[PipelineModel, float | None]:
+    """GBT on train, cut to the round with the best AUC on the validation rows, and that AUC; the preprocessing
+    sees train only."""
+    bal = materialize(ML.prepare(train_bal, contract), "train_bal")
+    return ML.boost(bal, materialize(ML.prepare(val, contract), "val"), contract, max_iter=max_iter, seed=seed)
 
 
 def raw_scores(model: PipelineModel, df: DataFrame, contract: Contract, keep=("transaction_id",)) -> DataFrame:
@@ -78,8 +80,10 @@ def train_and_calibrate(train: DataFrame, val: DataFrame, contract: Contract | N
                         target_recall: float = TARGET_RECALL) -> Trained:
     contract = contract or Contract()
     train_bal = undersample(train, contract.label, "transaction_id", neg_per_pos, seed)
-    model = fit_gbt(train_bal, val, contract, max_iter, seed)
-    val_raw = raw_scores(model, val, contract)
+    t0 = time.time()
+    model, best_auc = fit_gbt(train_bal, val, contract, max_iter, seed)
+    seconds = time.time() - t0
+    val_raw = materialize(raw_scores(model, val, contract), "val_scores")
     cal = fit_calibrator(val_raw, contract.label)
     val_cal = calibrate(cal, val_raw)
     thr = M.pick_threshold(val_cal, contract.label, "fraud_probability", target_recall).first()[0]
@@ -89,8 +93,9 @@ def train_and_calibrate(train: DataFrame, val: DataFrame, contract: Contract | N
     params = {"neg_per_pos": neg_per_pos, "seed": seed, "max_iter": max_iter, "target_recall": target_recall,
               "threshold": round(float(thr), 6), "trees": n_trees, "rules_precision": RULES_PRECISION,
               "learner": "GBTClassifier", "depth": est.getOrDefault("maxDepth"), "step_size": est.getOrDefault("stepSize"),
-              "max_bins": est.getOrDefault("maxBins"), "loss": est.getOrDefault("lossType")}
-    return Trained(model, cal, contract, n_trees, params)
+              "max_bins": est.getOrDefault("maxBins"), "loss": est.getOrDefault("lossType"),
+              "best_iteration": n_trees, "best_val_auc": best_auc, "stale_rounds": ML.STALE_ROUNDS}
+    return Trained(model, cal, contract, n_trees, params, seconds)
 
 
 def score_frame(t: Trained, df: DataFrame, keep=("transaction_id",)) -> DataFrame:
@@ -157,32 +162,39 @@ def report_to_metrics(report: DataFrame) -> dict:
 
 def leaderboard(train_bal: DataFrame, val: DataFrame, contract: Contract | None = None, seed: int = SEED,
                 target_recall: float = TARGET_RECALL, gbt_iter: int = ML.BOOST_ITER, rf_trees: int = ML.BOOST_ITER,
-                linear_iter: int = ML.LINEAR_ITER) -> DataFrame:
+                linear_iter: int = ML.LINEAR_ITER, booster: Trained | None = None) -> DataFrame:
     """Four classifiers fitted on the balanced train split, ranked on val by precision
-    at the target recall; ROC AUC and average precision alongside, fit seconds."""
+    at the target recall; ROC AUC and average precision alongside, fit seconds.
+
+    `booster`: a fitted booster of the same rows, taken as it is. The scores of all models are written as one
+    table, and the three metrics of all come from one pass over it.
+    """
     contract = contract or Contract()
     spark = train_bal.sparkSession
     lab = contract.label
     tb = materialize(ML.prepare(train_bal, contract), "train_bal")
-    va = materialize(ML.prepare(val, contract), "val")
     n = tb.count()
+    tb = ML.sized(tb, n)
+    va = materialize(ML.prepare(val, contract), "val")
     candidates = [
-        ("GBT", lambda: ML.fit_trees(ML.gbt(contract, gbt_iter, seed=seed), tb, contract, va), "probability"),
         ("RandomForest", lambda: ML.fit_trees(ML.random_forest(contract, rf_trees, seed=seed), tb, contract), "probability"),
         ("LogReg", lambda: ML.logistic(contract, n, linear_iter).fit(tb), "probability"),
         ("LinearSVC", lambda: ML.linear_svm(contract, n, linear_iter).fit(tb), "raw"),
     ]
-    col = f"prec_at_rec{int(round(target_recall * 100))}"
-    rows = []
+    if booster is None:
+        candidates.insert(0, ("GBT", lambda: ML.boost(tb, va, contract, max_iter=gbt_iter, seed=seed)[0], "probability"))
+    fitted = [("GBT", booster.model, "probability", booster.fit_seconds)] if booster is not None else []
     for name, fit, kind in candidates:
         t0 = time.time()
-        model = fit()
-        dt = time.time() - t0
+        fitted.append((name, fit(), kind, time.time() - t0))
+    scores = None
+    for name, model, kind, _ in fitted:
         pred = model.transform(va)
-        sc = materialize(pred.select(F.col(lab).cast("int").alias(lab), ML.positive_score(pred, kind).alias("s")), "scores")
-        m = (M.roc_auc(sc, lab, "s").crossJoin(M.average_precision(sc, lab, "s"))
-             .crossJoin(M.precision_at_recall(sc, lab, "s", target_recall))).first()
-        rows.append((name, round(m["roc_auc"] or 0.0, 4), round(m["average_precision"] or 0.0, 4),
-                     round(m["precision_at_recall"] or 0.0, 4), round(dt, 1)))
-    table = spark.createDataFrame(rows, f"model string, roc_auc double, pr_auc double, {col} double, fit_s double")
-    return table.orderBy(F.desc(col), "model")
+        one = pred.select(F.lit(name).alias("model"), F.col(lab).cast("int").alias(lab), ML.positive_score(pred, kind).alias("s"))
+        scores = one if scores is None else scores.unionByName(one)
+    col = f"prec_at_rec{int(round(target_recall * 100))}"
+    seconds = spark.createDataFrame([(f[0], round(f[3], 1)) for f in fitted], "model string, fit_s double")  # a row a model
+    table = M.grouped_ranking(scores, "model", lab, "s", target_recall).join(F.broadcast(seconds), "model")
+    known = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 4)
+    return table.select("model", known("roc_auc").alias("roc_auc"), known("average_precision").alias("pr_auc"),
+                        known("precision_at_recall").alias(col), "fit_s").orderBy(F.desc(col), "model")

@@ -90,14 +90,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
 
 
+def unique_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder; the caller owns what it writes there."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 _WRITTEN: list[str] = []
 
 
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder that `drop_scratch` deletes."""
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    _WRITTEN.append(path)
-    return path
+    _WRITTEN.append(unique_path(spark, name))
+    return _WRITTEN[-1]
 
 
 def materialize(df, name: str = "stage"):
@@ -112,13 +116,20 @@ def materialize(df, name: str = "stage"):
     return df.sparkSession.read.parquet(path)
 
 
+def delete_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders on any Hadoop file system; returns the number deleted."""
+    n = 0
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete everything under the paths of `new_scratch` and `materialize` of this process; returns the number deleted.
 
     For the caller to use once the results that read them have been written.
     """
-    n = 0
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    paths = list(_WRITTEN)
+    _WRITTEN.clear()
+    return delete_paths(spark, paths)

@@ -124,3 +124,16 @@ def test_grouped_ranking_equals_each_group_by_itself(spark):
         assert r.roc_auc == M.roc_auc(part).first()[0] and r.average_precision == M.average_precision(part).first()[0]
         assert r.precision_at_recall == M.precision_at_recall(part, target_recall=0.6).first()[0]
         assert r.pos + r.neg == part.where("score IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_sample_is_the_same_with_and_without_prefilter_on_null_and_repeated_ids(spark, seed):
+    from pitwise.operators.sampling import hash_top_n
+
+    rows = [(None if i < 100 else i // 3, i) for i in range(1000)]  # a tenth without an id, the others in threes
+    df = spark.createDataFrame(rows, "id long, v long").repartition(5)
+    pick = lambda total: sorted(r.v for r in hash_top_n(df, 200, "id", seed, total=total).collect())
+    with_filter, without = pick(1000), pick(None)
+    assert with_filter == without and len(set(without)) == 200
+    assert 5 <= sum(v < 100 for v in without) <= 40  # rows without an id have their share, neither none nor all
+    assert pick(1000) == sorted(r.v for r in hash_top_n(df.repartition(3), 200, "id", seed, total=1000).collect())
