@@ -18,10 +18,6 @@ def monday(ts) -> Column:
     return F.date_trunc("week", as_col(ts)).cast("date")
 
 
-def to_ntz(c) -> Column:
-    return as_col(c).cast("timestamp_ntz")
-
-
 def days_back(ts, days: int) -> Column:
     """`ts - INTERVAL days DAYS`, keeping the NTZ type of `ts`."""
     return as_col(ts) - F.make_dt_interval(days=F.lit(int(days)))

@@ -95,7 +95,11 @@ def matrix_ctes() -> tuple[str, ...]:
     return (BOUNDS_CTE, window_cte(), WEEKLY_CTE, MATRIX_CTE)
 
 
-TOP_MERCHANT = "(SELECT merchant_id FROM weekly ORDER BY n_fraud_known DESC, merchant_id LIMIT 1)"
+# The merchant with the most frauds known in one snapshot, the smallest id of several.
+WORST_MERCHANT_CTE = """
+worst AS (
+  SELECT min(merchant_id) AS merchant_id FROM weekly WHERE n_fraud_known = (SELECT max(n_fraud_known) FROM weekly)
+)"""
 
 
 def double_text(e: str) -> str:

@@ -3,12 +3,12 @@ evolution, defaults, dataset profiles and surrogate ids."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import functions as F
 
 from pitwise import oracles as O
 from pitwise.operators import quality as Q
 from pitwise.operators.ordering import assign_ids
+from pitwise.operators.windows import customer_window_features
 from pitwise.registry import query
 from pitwise.session import new_scratch
 from pitwise.sources import etl
@@ -94,14 +94,16 @@ SELECT transaction_id,
   CASE WHEN authorized_at >= TIMESTAMP '{MIGRATED_AT}' THEN ip_country END AS ip_country
 FROM transactions"""))
 def q_schema_evolve(t):
-    """Rows written before the additive migration lack the new columns; a by-name
-    union with missing columns allowed reads both generations as one table."""
-    tx = t.transactions
+    """Files written before the additive migration lack the new columns; files of both
+    generations are read as one declared table."""
+    spec = TABLES["transactions"]
+    tx = etl.conform(t.transactions, spec)
     cut = F.lit(MIGRATED_AT).cast("timestamp_ntz")
+    path = new_scratch(t.spark, "generations")
     old = tx.filter(F.col("authorized_at") < cut).drop(*MIGRATION_GEO_IP["transactions"])
-    new = tx.filter(F.col("authorized_at") >= cut)
-    both = old.unionByName(new, allowMissingColumns=True)
-    return both.select("transaction_id", *MIGRATION_GEO_IP["transactions"])
+    old.write.parquet(path)
+    tx.filter(F.col("authorized_at") >= cut).select(*reversed(tx.columns)).write.mode("append").parquet(path)
+    return etl.read_generations(t.spark, path, spec).select("transaction_id", *MIGRATION_GEO_IP["transactions"])
 
 
 _TX_COLS = ", ".join(f.name for f in TABLES["transactions"].schema.fields)
@@ -117,6 +119,15 @@ def q_etl_reload(t):
     return t.spark.read.parquet(path)
 
 
+@query("velocity_bucketed", O.sql("SELECT transaction_id, customer_id, vel_1h, vel_24h, vel_7d FROM feat", O.window_cte()))
+def q_velocity_bucketed(t):
+    """Velocity over the bucketed analytical copy: the table is written once, the windows need no shuffle."""
+    path = new_scratch(t.spark, "bucketed")
+    name = "transactions_" + path.rsplit("-", 1)[1]
+    copy = etl.save_bucketed(t.transactions, TABLES["transactions"], name, path, buckets=8)
+    return customer_window_features(copy).select("transaction_id", "customer_id", "vel_1h", "vel_24h", "vel_7d")
+
+
 @query("csv_roundtrip", O.sql(f"SELECT {_TX_COLS} FROM transactions"))
 def q_csv_roundtrip(t):
     """Bulk text export (no header, NULL as \\N) and typed re-read."""

@@ -187,3 +187,66 @@ def test_stream_scoring_equals_batch(spark, tables, tmp_path):
     cols = ["transaction_id", "fraud_probability", "flag", "raw_score"]
     assert streamed.count() == batch.count() > 0
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_csv_keeps_every_character(spark, tmp_path):
+    texts = ["\u0001", "\\", "\\1", "\\\u0001", "\u0001\\1\n", "a\u0001b\\\\1\r\n\u0001", "\\n", "\\N", None, "", " x ", '"q",', "\u0002"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, s string")
+    etl.write_csv(df, str(tmp_path / "csv"))
+    back = {r.id: r.s for r in etl.read_csv(spark, str(tmp_path / "csv"), df.schema).collect()}
+    assert back == dict(enumerate(texts))
+
+
+def test_windows_over_the_bucketed_table_need_no_exchange(spark, tables, tmp_path):
+    from pitwise.operators.windows import customer_window_features
+
+    copy = etl.save_bucketed(tables.transactions, TABLES["transactions"], "bucketed_transactions", str(tmp_path / "b"), buckets=4)
+    feats = customer_window_features(copy)
+    plan = feats._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    cols = ["transaction_id", "vel_1h", "vel_24h", "vel_7d", "secs_since_prev", "amount_z", "decline_rate_20"]
+    want = customer_window_features(tables.transactions)
+    assert feats.count() == want.count() and feats.select(cols).exceptAll(want.select(cols)).count() == 0
+    per_customer = copy.groupBy("customer_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in per_customer
+    spark.sql("DROP TABLE bucketed_transactions")
+
+
+def test_generations_are_read_as_the_declared_table(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from pitwise.sources.schemas import TableSpec
+
+    spec = TableSpec("t", T.StructType([T.StructField("id", T.LongType(), False), T.StructField("amount", T.DecimalType(14, 2), True),
+                                        T.StructField("note", T.StringType(), True)]), ("id",))
+    write = lambda df, name: df.write.parquet(str(tmp_path / name))
+    write(spark.createDataFrame([(1,)], "id int").select("id", F.lit("2.50").cast("decimal(10,2)").alias("amount")), "g1")
+    write(spark.createDataFrame([("x", 3)], "note string, id int"), "g2")
+    both = etl.read_generations(spark, [str(tmp_path / "g1"), str(tmp_path / "g2")], spec)
+    assert both.schema.simpleString() == "struct<id:bigint,amount:decimal(14,2),note:string>"
+    assert sorted(map(tuple, both.select("id", F.col("amount").cast("double"), "note").collect())) == [(1, 2.5, None), (3, None, "x")]
+    write(spark.createDataFrame([("1", "a")], "id string, note string"), "text_id")
+    write(spark.createDataFrame([(1, "a")], "id long, extra string"), "extra")
+    write(spark.createDataFrame([("a",)], "note string"), "no_id")
+    for name, says in (("text_id", "id is string"), ("extra", "extra is not declared"), ("no_id", "id is missing")):
+        with pytest.raises(ValueError, match=says):
+            etl.read_generations(spark, str(tmp_path / name), spec)
+
+
+def test_jdbc_scan_by_quantiles_is_even_and_whole(spark):
+    url = "jdbc:derby:memory:pitwise_even;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    # a skewed number with NULLs (a third of the rows share one key), a text with quotes, a time
+    df = spark.range(0, 300).select(
+        F.col("id").alias("ID"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") * F.col("id") * 1000).alias("K"),
+        F.concat(F.lit("o'"), F.col("id").cast("string")).alias("S"),
+        F.timestamp_seconds(F.col("id") * 60).alias("T"))
+    etl.write_jdbc(df, url, "T_EVEN", {**props, "createTableColumnTypes": "S VARCHAR(64)"})
+    for column, largest in (("ID", 80), ("K", 130), ("S", 80), ("T", 80)):
+        back = etl.read_jdbc_even(spark, url, "T_EVEN", column, 5, props)
+        sizes = back.groupBy(F.spark_partition_id().alias("p")).count()
+        assert sorted(r.ID for r in back.select("ID").collect()) == list(range(300))  # each row once, NULL keys kept
+        assert max(r["count"] for r in sizes.collect()) <= largest and back.rdd.getNumPartitions() >= 4
+    empty = etl.read_jdbc_even(spark, url, "(SELECT * FROM T_EVEN WHERE ID < 0) AS E", "ID", 5, props)
+    assert empty.count() == 0
