@@ -19,7 +19,7 @@ from pitwise.plans import attribution as A
 from pitwise.plans import models as ML
 from pitwise.plans import training as TR
 from pitwise.plans.contract import Contract, rejection_counts, validate
-from pitwise.plans.queries_eval import SEED, _matrix
+from pitwise.plans.queries_eval import CUTS_CTE, SEED, _matrix
 from pitwise.plans.scoring import score
 from pitwise.plans.snapshot import DATASET, build_snapshot
 from pitwise.registry import query
@@ -177,6 +177,48 @@ def q_score_stream(t):
     return t.spark.read.parquet(f"{base}/out")
 
 
+def _sound(scored: DataFrame) -> DataFrame:
+    """The rows a scoring gives, and whether each is what the contract says: a probability, flagged from the threshold on."""
+    p, edge = F.col("fraud_probability"), F.abs(F.col("fraud_probability") - F.col("threshold")) <= 1e-6  # rounded to 6 digits
+    sound = p.between(0, 1) & F.col("raw_score").between(0, 1) & ((F.col("flag") == (p >= F.col("threshold"))) | edge)
+    return scored.select("transaction_id", "customer_id", "authorized_at", sound.alias("sound"))
+
+
+SCORED_ROWS = O.sql("""
+SELECT transaction_id, customer_id, authorized_at, true AS sound FROM matrix
+WHERE channel IS NOT NULL AND entry_mode IS NOT NULL AND country IS NOT NULL AND mcc IS NOT NULL AND risk_segment IS NOT NULL
+""", *O.matrix_ctes())
+
+
+@query("score_batch_rows", SCORED_ROWS)
+def q_score_batch_rows(t):
+    """Row set and flags of the batch scoring."""
+    return _sound(q_score_batch(t))
+
+
+@query("score_stream_rows", SCORED_ROWS)
+def q_score_stream_rows(t):
+    """Row set and flags of the stream scoring: every row once, over all micro-batches."""
+    return _sound(q_score_stream(t))
+
+
+@query("run_log_lineage", O.sql("""
+SELECT 1 AS runs, substr(f.sha256, 1, 12) AS snapshot_suffix, CAST(f.n_rows AS VARCHAR) AS rows, f.sha256 AS dataset_sha256,
+  strftime(b.now_ts, '%Y-%m-%d %H:%M:%S') AS now_ts, strftime(b.tx_cutoff, '%Y-%m-%d %H:%M:%S') AS transaction_cutoff,
+  '90' AS maturity_window_days, CAST(c.train_end AS VARCHAR) AS train_end, CAST(c.val_end AS VARCHAR) AS val_end,
+  '20' AS neg_per_pos, '42' AS seed, '0.8' AS target_recall, '800' AS max_iter, '50' AS stale_rounds, true AS stopped_in_budget
+FROM fingerprint f, bounds b, cuts c""", *O.matrix_ctes(), CUTS_CTE, O.FINGERPRINT_CTE))
+def q_run_log_lineage(t):
+    """What a run record says of its data and parameters."""
+    runs = q_run_log(t)
+    p = F.col("params")
+    stopped = (p["best_iteration"].cast("int").between(1, 800)) & p["best_val_auc"].cast("double").between(0, 1)
+    names = ("rows", "dataset_sha256", "now_ts", "transaction_cutoff", "maturity_window_days", "train_end", "val_end", "neg_per_pos",
+             "seed", "target_recall", "max_iter", "stale_rounds")
+    return runs.select(F.lit(1).alias("runs"), F.substring_index("snapshot_id", "_", -1).alias("snapshot_suffix"),
+                       *[p[n].alias(n) for n in names], stopped.alias("stopped_in_budget"))
+
+
 # Rules by which requests are spoiled: column -> (ids whose remainder by the first number is the second, sent text).
 SPOILED = {
     "channel": (89, 1, None), "entry_mode": (97, 2, None), "country": (101, 3, None), "mcc": (103, 4, None),
