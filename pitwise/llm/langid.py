@@ -109,7 +109,9 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ra
 
     total = src.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return total.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < ranks).select("lang", "gram", "rank")
+    # The limit is on the row number itself, so that tasks keep their own first n-grams only before the exchange.
+    ranked = total.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ranks)
+    return ranked.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 class _Profiles:

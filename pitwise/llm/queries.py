@@ -55,8 +55,8 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The rule of the mix as one statement: the level is where the sorted limits meet the rest of the budget.
 ORACLES["op6_mix_sources"] = r"""
-WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -75,15 +75,32 @@ lvl AS (
   FROM fill),
 targets AS (SELECT source, source_size, least(3.0 * source_size, level * weight)::DOUBLE AS target FROM per, lvl),
 rated AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
-         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '\N')), 1, 13) AS BIGINT)
-           / 4503599627370496.0::DOUBLE AS u
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(floor(rate) + (CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS copies,
-       size * CAST(floor(rate) + (CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM rated
+  SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         length(bin(s.size)) || ':' || substr(bin(s.size), 1, 4) AS stratum,
+         CAST('0x' || substr(md5('mix-1:' || coalesce(s.source, '\N') || ':' || length(bin(s.size)) || ':' || substr(bin(s.size), 1, 4)),
+                             1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u,
+         md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '\N') || ':' || md5(coalesce(s.text, '\N'))) AS number
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+strata AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY low DESC, stratum DESC) AS rk FROM (
+    SELECT source, stratum, any_value(u) AS u, any_value(rate - floor(rate)) AS f, count(*) AS n, sum(size)::BIGINT AS words,
+           min(size) AS low FROM rated GROUP BY source, stratum)),
+shares AS (  -- from the largest stratum down: documents taken, and the words that are still missing
+  SELECT source, 0::BIGINT AS rk, NULL::VARCHAR AS stratum, 0::BIGINT AS more, 0.0::DOUBLE AS missing FROM strata GROUP BY source
+  UNION ALL
+  SELECT x.source, x.rk, x.stratum, x.take, x.missing + x.f * x.words - x.take * (x.words::DOUBLE / x.n) FROM (
+    SELECT t.*, h.missing, least(greatest(floor(CASE WHEN words > 0 THEN (f * words + missing) / (words::DOUBLE / n) ELSE f * n END
+                                                + u), 0), n)::BIGINT AS take
+    FROM shares h JOIN strata t ON t.source IS NOT DISTINCT FROM h.source AND t.rk = h.rk + 1) x),
+limits AS (
+  SELECT r.source, r.stratum, max(number) AS last
+  FROM (SELECT *, row_number() OVER (PARTITION BY source, stratum ORDER BY number) AS place FROM rated) r
+  JOIN shares h ON r.source IS NOT DISTINCT FROM h.source AND r.stratum = h.stratum AND place <= more
+  GROUP BY r.source, r.stratum),
+taken AS (
+  SELECT r.*, CAST(floor(rate) + CASE WHEN number <= last THEN 1 ELSE 0 END AS BIGINT) AS copies
+  FROM rated r LEFT JOIN limits l ON r.source IS NOT DISTINCT FROM l.source AND r.stratum = l.stratum)
+SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM taken
 """
 
 

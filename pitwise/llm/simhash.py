@@ -331,7 +331,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest doc_id among all texts linked with this one, directly or through
     others (links: fingerprints at most `max_bits` apart). Null and blank texts have fingerprint
     zero and link like others. Rows without an id are grouped too; a group of only such rows has a
-    null component_id. Repeated rows stay repeated. An empty table gives no rows. Other columns are
+    null component_id. Ids are whole numbers. Repeated rows stay repeated. An empty table gives no rows. Other columns are
     not read, so their names can't clash.
     """
     return _grouped(docs, id_col, text_col, shingle, max_bits).select(
@@ -343,16 +343,18 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """`docs` with one document of each near-duplicate group: the one with the smallest id.
 
     Where several rows of a group hold that id, the one with the least text hash stays, and of
-    equal rows one. Groups with the same smallest id keep a document each. Rows without an id can't stand for a group; they are kept as they are. The
-    texts are exchanged once, for a hashed join with the narrow list of survivors (not sorted).
+    equal rows one. Groups with the same smallest id keep a document each. A row without an id stands for its
+    group only if no row of it has one. Ids are whole numbers. The texts are exchanged once, for a
+    hashed join with the narrow list of survivors (not sorted).
     """
     text_hash, ident = F.xxhash64(key_column(text_col)), key_column(id_col)
     groups = _grouped(docs, id_col, text_col, shingle, max_bits)
-    keep = materialize(groups.where("doc_id = component_id").groupBy("root", "doc_id")
-                       .agg(F.min("text_hash").alias("text_hash"), F.count("*").alias("copies")).drop("root"), "simhash-keep")
+    keep = materialize(groups.where("doc_id <=> component_id").groupBy("root", "doc_id").agg(
+        F.min("text_hash").alias("kept_hash"), F.count("*").alias("copies")).withColumnRenamed("doc_id", "kept_id"), "simhash-keep")
     src = docs.select(F.struct(*map(key_column, docs.columns)).alias("row"), ident.cast("long").alias("doc_id"),
                       text_hash.alias("text_hash"))
-    kept = src.where("doc_id is not null").join(keep.hint("shuffle_hash"), ["doc_id", "text_hash"])
+    kept = src.join(keep.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id"))
+                    & (F.col("text_hash") == F.col("kept_hash")), "inner")
     once = kept.where("copies = 1").select("row.*")
-    again = kept.where("copies > 1").groupBy("doc_id", "text_hash").agg(F.min("row").alias("row")).select("row.*")
-    return once.unionByName(again).unionByName(src.where("doc_id is null").select("row.*"))
+    again = kept.where("copies > 1").groupBy("doc_id", "text_hash", "root").agg(F.min("row").alias("row")).select("row.*")
+    return once.unionByName(again)

@@ -130,8 +130,15 @@ def test_deduplicate_keeps_one_of_each_group_and_all_columns(spark):
             (None, "a b c d e f", "n"), (20, "q r s t u v w", "fp")]
     df = spark.createDataFrame(rows, "doc_id long, text string, root string")
     got = sorted(((r.doc_id, r.text, r.root) for r in simhash.deduplicate(df).collect()), key=str)
-    assert got == sorted([(1, "a b c d e f", "y"), (8, "", "z"), (None, "a b c d e f", "n"),
-                          (20, "q r s t u v w", "fp")], key=str)
+    assert got == sorted([(1, "a b c d e f", "y"), (8, "", "z"), (20, "q r s t u v w", "fp")], key=str)
+
+
+def test_deduplicate_keeps_one_of_a_group_without_ids(spark):
+    rows = [(None, "a b c d e f", "x")] * 5 + [(None, "q r s t u v w", "x"), (None, None, "n"), (None, " ", "n"), (4, "k l m n o p", "y")]
+    got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, root string")).collect()
+    assert sorted((r.doc_id, r.root) for r in got if r.doc_id) == [(4, "y")]
+    assert sorted(r.text or "" for r in got if r.doc_id is None and r.root == "x") == ["a b c d e f", "q r s t u v w"]
+    assert len(got) == 4  # null and blank texts are one group
 
 
 def test_deduplicate_keeps_one_of_each_group_where_ids_repeat(spark):
