@@ -1,24 +1,21 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
 The `KNOWN` most frequent training tokens, or all if there are fewer (the end of a text is a token), are
-leaves of a class tree. The `CLASSES` most frequent are branches of one leaf; the others, by last
-character, ASCII or not, and frequency, are cut into bins of about the square root of their number, a branch
-each. Tokens that aren't leaves fall into six groups by last character and ASCII, each a branch too.
-The log-bilinear model predicts the branch of a token from the vectors of the three before it, scaled
-place by place: score = t(branch) . sum_i c_i * r(token before by i) + bias, and in the same way
-the leaf within its bin. As context, a token's vector is its branch's plus one of its own. A token of
-a group has probability (count + 0.1) / (mass of the group), where an unseen token has count 0.
-So all probabilities of a context add up to one.
-
-Training: every task makes passes over the training texts of its partition, by stochastic gradients
-of the noise-contrastive objective with noise from the token frequencies; the changes of all tasks
-are averaged, weighted by tokens, through a tree of tasks. A first round finds a common start: each
-task learns from its first block of texts alone. The second, from there, learns from every training
-token of the corpus.
-
-Scoring: tasks look up the vectors of the distinct contexts of a block of texts and multiply them
-with all branch vectors at once, and the tokens of a bin with the vectors of its leaves; the rows'
-log-sum-exp makes token log-probabilities exact.
+leaves of a tree of three levels; tokens that aren't fall into six groups by last character and ASCII, each a
+leaf too. A node has about the cube root of their number of children. The log-bilinear model predicts
+the node of a token on each level from the vectors of the three tokens before it, scaled place by place:
+score = log prior(child) + q(child) . sum_i c_i * r(token before by i), the prior being the bias. Tokens of like spelling share
+nodes. As context, a token's vector is its lowest node's plus one of its own. A token of a group has probability (count + 0.1) / (mass of the group), where
+an unseen token has count 0. So all probabilities of a context add up to one.
+
+Training: stochastic gradients (AdaGrad) of the noise-contrastive objective, node by node; the noise is the
+prior of a node's children, summed over them on the upper levels and drawn for the leaves. Every task passes over the
+training texts of its partitions; the changes of all tasks are averaged, weighted by tokens, slice by
+slice of the parameters. A first round finds a common start: each task learns from its first block of texts
+alone. The second, from there, learns from every training token of the corpus.
+
+Scoring: the contexts of a block of texts, ordered by token, are multiplied with the vectors of all children of each
+node on the way; the log-sum-exp over the children makes token log-probabilities exact.
 
 Counts: tasks count their own tokens and send (token hash, group, count), summed by Spark. The
 `KNOWN` most frequent counts travel with the scoring tasks (bounded); the rarer tokens of the texts
@@ -29,11 +26,10 @@ Chosen style: numpy in Arrow batches for the model, Spark for counts, joins and
 
 from __future__ import annotations
 
-import io
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +40,18 @@ from pyspark.sql import functions as F
 from pitwise.llm.common import arrow_map, key_column, materialize
 from pitwise.llm.quality import held_out
 
-CLASSES = 384  # most frequent tokens, branches of their own
+FEATURES = 128  # of a token's spelling
 KNOWN = 100_000  # most frequent tokens: every task holds their counts, and their vectors
 CONTEXT, DIM, NOISE = 3, 16, 48
-LEAF_NOISE = 12  # samples a token from its own bin
-BATCH, RATE, SEED = 1_024, 0.1, 11
-LEAST_STEPS, MOST_PASSES = 600, 20  # a task's small first block is passed over again, up to so many batches or passes
-BLOCK = 1 << 18  # tokens trained on or scored at once
+LEAF_NOISE = 4  # draws of leaves a node and batch
+RATE, SEED = 0.2, 11
+SEGMENT = 64  # tokens that are shuffled as one
+LEAST_BATCH, MOST_BATCH, BATCH_SHARE = 256, 16_384, 32
+ENOUGH, MOST_PASSES = 1_500_000, 20  # a corpus of fewer tokens is passed over until so many are seen, or so often
+FIRST_BLOCK, BLOCK = 1 << 16, 1 << 18  # tokens of the first round's block; tokens trained on or scored at once
+CHUNK = 4_096
+MOST_TASKS = 2_000  # training tasks
+SLICE = 8_192  # parameters averaged as one row
 FLUSH = 1_000_000  # distinct tokens held by a counting task
 ADD = 0.1
 END = b"\n"  # no word holds white space
@@ -73,39 +74,102 @@ def token_hash(token: bytes) -> int:
     return xxhash.xxh64_intdigest(token) - (1 << 63)
 
 
+def spelling_order(counts: dict[bytes, int]) -> list[bytes]:
+    """Tokens ordered by clusters of their spelling, the most frequent of a cluster first.
+
+    Words of one language or ending are spelled alike and follow alike contexts, so they should share nodes of the tree. A
+    token's features are its byte pairs, hashed to FEATURES places; the clusters, as many as a node has children,
+    are found by spherical k-means from tokens spread over the frequent ones, and ordered by the main direction of their
+    centres. At most KNOWN tokens, so this is bounded work of the driver.
+    """
+    words = sorted(counts, key=lambda t: (-counts[t], t))
+    k = min(len(words), math.ceil(len(words) ** (1 / 3)))
+    if k < 2:
+        return words
+    plain = [b"^" + (t.strip(b".,;:!?'\"()[]{}*#-") or t) + b"$" for t in words]
+    size = np.array([len(t) for t in plain])
+    raw = np.frombuffer(b"".join(plain), np.uint8).astype(np.int64)
+    pair = (raw[:-1] * 257 + raw[1:]) * 0x9E3779B1 % (1 << 32) >> 16
+    of = np.repeat(np.arange(len(plain)), size)
+    inside = of[:-1] == of[1:]
+    flat = np.bincount(of[:-1][inside] * FEATURES + pair[inside] % FEATURES, minlength=len(plain) * FEATURES)
+    x = np.sqrt(flat.astype(np.float32)).reshape(len(plain), FEATURES)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    weight = np.sqrt(np.array([counts[t] for t in words], dtype=np.float32))
+    centres = x[np.linspace(0, min(len(words), 100 * k) - 1, k).astype(int)].copy()
+    for _ in range(10):
+        nearest = (x @ centres.T).argmax(axis=1)
+        for j in range(k):
+            mine = nearest == j
+            if mine.any():
+                centre = weight[mine] @ x[mine]
+                centres[j] = centre / np.linalg.norm(centre)
+    nearest = (x @ centres.T).argmax(axis=1)
+    spread = centres - centres.mean(axis=0)
+    place = np.argsort(np.argsort(spread @ np.linalg.svd(spread, full_matrices=False)[2][0], kind="stable"), kind="stable")
+    return [words[i] for i in np.argsort(place[nearest], kind="stable").tolist()]
+
+
 class Vocabulary:
-    """Classes (leaves of the tree) and counts of the most frequent tokens, and the masses of the groups."""
+    """Classes and counts of the most frequent tokens, and the masses of the groups of all others."""
 
     def __init__(self, known: dict[bytes, int], n: int, v: int, mass: np.ndarray):
         self.n, self.v, self.mass = n, v, mass  # mass: of tokens outside the classes, (count + ADD), by group
         self.counts = known
-        self.log_of = {t: math.log10(k + ADD) for t, k in known.items()}
-        frequent = sorted(known, key=lambda t: (-known[t], t))
-        frequent[CLASSES:] = sorted(frequent[CLASSES:], key=group)  # within a group the most frequent first
+        frequent = spelling_order(known)
         self.class_of = {t: i for i, t in enumerate(frequent)}
-        self.size = len(frequent) + GROUPS + 1  # the last class stands before a text, and is never predicted
-        prior = np.array([known[t] + ADD for t in frequent] + [m + ADD for m in mass] + [0.0])
-        self.noise = prior / prior.sum()
-        self.start = self.size - 1
-
-    def classes(self, words: list[bytes]) -> list[int]:
-        get, base = self.class_of.get, len(self.class_of)
-        return [c if (c := get(w)) is not None else base + group(w) for w in words]
-
-
-@lru_cache(maxsize=4)
-def tree(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Branch of every class, and the first class of every branch (and the end)."""
-    binned = max(0, size - GROUPS - 1 - CLASSES)
-    width = max(1, math.isqrt(binned))
-    single = size - GROUPS - 1 - binned
-    first = np.r_[np.arange(single), np.arange(single, single + binned, width), np.arange(single + binned, size + 1)].astype(np.int64)
-    return np.repeat(np.arange(len(first) - 1), np.diff(first)), first
-
-
-def init(size: int, seed: int = SEED) -> dict[str, np.ndarray]:
+        self.log_of = np.log10(np.array([known[t] for t in frequent], dtype=np.float64) + ADD)
+        self.size = len(frequent) + GROUPS
+        self.start = self.size  # stands before a text, and is never predicted
+        prior = np.array([known[t] + ADD for t in frequent] + [m + ADD for m in mass])
+        self.prior = prior / prior.sum()
+
+    def classes(self, words: list[bytes]) -> np.ndarray:
+        """Classes of the tokens, -1 for those of the groups."""
+        return np.fromiter(map(self.class_of.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+
+    def numbered(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Classes of the tokens of all texts, CONTEXT starts before each text."""
+        out = [np.full(CONTEXT, self.start, dtype=np.int32)]
+        for words in texts:
+            ids = self.classes(words)
+            for i in np.flatnonzero(ids < 0).tolist():
+                ids[i] = len(self.class_of) + group(words[i])
+            out += [ids, out[0]]
+        return np.concatenate(out[:-1] if texts else out)
+
+
+class Tree:
+    """Three levels over the classes: a node holds `width` nodes of the level below, or leaves."""
+
+    def __init__(self, prior: np.ndarray):
+        self.size = len(prior)
+        self.width = max(2, math.ceil(self.size ** (1 / 3)))
+        self.first2 = np.arange(0, self.size, self.width)
+        self.n2 = len(self.first2)
+        self.n1 = -(-self.n2 // self.width)
+        self.leaf2 = (np.arange(self.size) // self.width).astype(np.int32)
+        self.mid1 = (np.arange(self.n2) // self.width).astype(np.int32)
+        mass2 = np.add.reduceat(prior, self.first2)
+        mass1 = np.add.reduceat(mass2, np.arange(0, self.n2, self.width))
+        self.p1, self.p2, self.p3 = mass1 / mass1.sum(), mass2 / mass1[self.mid1], prior / mass2[self.leaf2]
+        self.log1, self.log2, self.log3 = (np.log(x).astype(np.float32) for x in (self.p1, self.p2, self.p3))
+        self.node_of = np.r_[self.leaf2, np.int32(self.n2)]  # the start has a node of its own
+
+        self.below = np.r_[0.0, np.cumsum(self.p3)]
+
+    def leaves(self, nodes: np.ndarray, rng) -> np.ndarray:
+        """LEAF_NOISE leaves of each of the lowest nodes, drawn by their frequency."""
+        first = self.first2[nodes]
+        last = np.minimum(first + self.width, self.size)
+        low = self.below[first][:, None]
+        at = low + rng.random((len(nodes), LEAF_NOISE)) * (self.below[last][:, None] - low)
+        return np.clip(np.searchsorted(self.below, at, side="right") - 1, first[:, None], last[:, None] - 1).astype(np.int32)
+
+
+def init(tree: Tree, seed: int = SEED) -> dict[str, np.ndarray]:
+    """Context vectors (of nodes, and each class's own), weights of the places, vectors of the three levels."""
     rng = np.random.default_rng(seed)
-    branches = len(tree(size)[1]) - 1
 
     def small(*shape):
         return (rng.standard_normal(shape) * 0.1).astype(np.float32)
@@ -113,128 +177,178 @@ def init(size: int, seed: int = SEED) -> dict[str, np.ndarray]:
     def zeros(*shape):
         return np.zeros(shape, np.float32)
 
-    return {"r": small(branches, DIM), "t": small(branches, DIM), "c": np.ones((CONTEXT, DIM), np.float32) / CONTEXT,
-            "b": zeros(branches), "own": zeros(size, DIM), "q": zeros(size, DIM), "leaf": zeros(size)}
+    return {"node": small(tree.n2 + 1, DIM), "own": zeros(tree.size + 1, DIM), "c": np.ones((CONTEXT, DIM), np.float32) / CONTEXT,
+            "q1": small(tree.n1, DIM), "q2": zeros(tree.n2, DIM), "q3": zeros(tree.size, DIM)}
 
 
-def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
-    """The CONTEXT classes before every token; `first` marks the first token of each text."""
-    out = np.empty((len(classes), CONTEXT), dtype=np.int64)
-    age = np.arange(len(classes)) - np.maximum.accumulate(np.where(first, np.arange(len(classes)), 0))
-    for i in range(CONTEXT):
-        shifted = np.r_[np.full(i + 1, start), classes[: -(i + 1)]][: len(classes)]
-        out[:, i] = np.where(age > i, shifted, start)
-    return out
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2^32 by two or three radix passes."""
+    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
+    return order.take(np.argsort((keys >> 16).astype(np.uint16).take(order), kind="stable"))
 
 
-def _descend(x: np.ndarray, state: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-    """One AdaGrad step of the rows that have a gradient; gradients of the same row are added up."""
-    if not len(rows):
-        return
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    g, rows = np.add.reduceat(grad[order], at, axis=0), rows[at]
-    state[rows] += g ** 2
-    x[rows] -= RATE * g / (np.sqrt(state[rows]) + 1e-6)
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
 
 
-def train(p: dict, classes: np.ndarray, context: np.ndarray, noise: np.ndarray, state: dict, rng) -> None:
-    """One pass of noise-contrastive estimation over the tokens, by AdaGrad; `p` and `state` change.
+def _descend(p: dict, state: dict, k: str, rows, grad: np.ndarray) -> None:
+    """One AdaGrad step of distinct rows."""
+    s = state[k][rows] + grad * grad
+    state[k][rows] = s
+    np.sqrt(s, out=s)
+    np.divide(grad, s, out=s)
+    s *= np.float32(RATE)
+    p[k][rows] -= s
 
-    The NOISE branches of a batch are shared by its tokens; every token has LEAF_NOISE leaves of its bin.
-    """
-    branch, start = tree(len(noise))
-    log_k, log_leaf = np.float32(np.log(NOISE)), np.float32(np.log(LEAF_NOISE))
-    below = np.r_[0.0, np.cumsum(noise)]
-    edge = below[start]
-    wide = np.diff(start) > 1  # branches of several leaves
-    order = rng.permutation(len(classes))
-    for at in range(0, len(order), BATCH):
-        pick = order[at: at + BATCH]
-        w, ctx = classes[pick], context[pick]
-        own, places = branch[w], branch[ctx]
-        r = p["r"][places] + p["own"][ctx]
-        pred = (r * p["c"]).sum(axis=1)
-        sample = np.minimum(np.searchsorted(edge, rng.random(NOISE) * edge[-1], side="right") - 1, len(wide) - 1)
-        t_w, t_s = p["t"][own], p["t"][sample]
-        # A score holds the log noise probability, so what is left against the noise is this:
-        good = (pred * t_w).sum(axis=1) + p["b"][own] - log_k
-        bad = pred @ t_s.T + p["b"][sample] - log_k
-        scale = np.float32(1 / len(w))
-        g_good = (1 / (1 + np.exp(-good)) - 1) * scale
-        g_bad = 1 / (1 + np.exp(-bad)) * scale
-        g_pred = g_good[:, None] * t_w + g_bad @ t_s
-        steps = [("t", np.r_[own, sample], np.vstack([g_good[:, None] * pred, g_bad.T @ pred])),
-                 ("b", np.r_[own, sample], np.r_[g_good, g_bad.sum(axis=0)])]
-        leafy = np.flatnonzero(wide[own])
-        if len(leafy):
-            v, of, x = w[leafy], own[leafy], pred[leafy]
-            u = edge[of][:, None] + rng.random((len(v), LEAF_NOISE)) * (edge[of + 1] - edge[of])[:, None]
-            others = np.clip(np.searchsorted(below, u, side="right") - 1, start[of][:, None], start[of + 1][:, None] - 1)
-            q_v, q_o = p["q"][v], p["q"][others]
-            good = (x * q_v).sum(axis=1) + p["leaf"][v] - log_leaf
-            bad = np.matmul(q_o, x[:, :, None])[:, :, 0] + p["leaf"][others] - log_leaf
-            g_good = (1 / (1 + np.exp(-good)) - 1) * scale
-            g_bad = 1 / (1 + np.exp(-bad)) * scale
-            g_pred[leafy] += g_good[:, None] * q_v + np.matmul(g_bad[:, None], q_o)[:, 0]
-            rows = np.r_[v, others.reshape(-1)]
-            steps += [("q", rows, np.vstack([g_good[:, None] * x, (g_bad[:, :, None] * x[:, None]).reshape(-1, DIM)])),
-                      ("leaf", rows, np.r_[g_good, g_bad.reshape(-1)])]
-        g_r = (g_pred[:, None] * p["c"]).reshape(-1, DIM)
-        inner = wide[places].reshape(-1)
-        steps += [("r", places.reshape(-1), g_r), ("own", ctx.reshape(-1)[inner], g_r[inner]),
-                  ("c", np.arange(CONTEXT), (g_pred[:, None] * r).sum(axis=0))]
-        for k, rows, g in steps:
-            _descend(p[k], state[k], rows, g)
-
-
-def _log_sum(score: np.ndarray) -> np.ndarray:
-    top = score.max(axis=1)
-    return top + np.log(np.exp(score - top[:, None]).sum(axis=1))
-
-
-def log_probs(p: dict, noise: np.ndarray, classes: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Normalised natural-log probability of every token's class: of its branch, and of its leaf in the branch."""
-    size = len(noise)
-    branch, start = tree(size)
-    leaf = np.log(np.maximum(noise, 1e-12)).astype(np.float32) + p["leaf"]
-    base = np.log(np.maximum(np.add.reduceat(noise, start[:-1]), 1e-12)).astype(np.float32) + p["b"]
-    base[-1] = -np.inf  # the start class is never predicted
-    key = context @ (size ** np.arange(CONTEXT))
-    distinct, where = np.unique(key, return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    inside, target = where[order], branch[classes[order]]
-    out = np.empty(len(classes))
-    ctx = np.stack([distinct // size ** i % size for i in range(CONTEXT)], axis=1)
-    preds = np.empty((len(distinct), DIM), np.float32)
-    for at in range(0, len(distinct), 4_096):
-        part = ctx[at: at + 4_096]
-        pred = preds[at: at + 4_096] = ((p["r"][branch[part]] + p["own"][part]) * p["c"]).sum(axis=1)
-        score = pred @ p["t"].T + base
-        total = _log_sum(score)
-        lo, hi = np.searchsorted(inside, [at, at + 4_096])
-        row = inside[lo:hi] - at
-        out[order[lo:hi]] = score[row, target[lo:hi]] - total[row]
-    order = np.argsort(classes, kind="stable")
-    cut = np.searchsorted(classes[order], start)
-    for i in np.flatnonzero((np.diff(start) > 1) & (np.diff(cut) > 0)):
-        lo, hi = start[i], start[i + 1]
-        for at in range(cut[i], cut[i + 1], 4_096):
-            tokens_at = order[at: min(at + 4_096, cut[i + 1])]
-            score = preds[where[tokens_at]] @ p["q"][lo:hi].T + leaf[lo:hi]
-            out[tokens_at] += score[np.arange(len(tokens_at)), classes[tokens_at] - lo] - _log_sum(score)
-    return out
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
-def _dump(**arrays) -> bytes:
-    buffer = io.BytesIO()
-    np.savez_compressed(buffer, **arrays)
-    return buffer.getvalue()
 
+def _nce(x: np.ndarray, q: np.ndarray, prior: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Gradient by the scores of a node's children, for tokens `x` whose child is `own`.
 
-def _load(data: bytes) -> dict[str, np.ndarray]:
-    return dict(np.load(io.BytesIO(data)))
+    A score holds the log noise probability, so against NOISE draws the logit is q.x - log NOISE. The draws'
+    part is summed over the children by their probability instead of drawn.
+    """
+    s = _sigmoid(x @ q.T - np.float32(math.log(NOISE)))
+    at = np.arange(len(x))
+    right = s[at, own] - 1
+    s *= (NOISE * prior).astype(np.float32)
+    s[at, own] += right
+    return s
+
+
+def train(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng, seen: int = 0) -> int:
+    """One pass of noise-contrastive estimation over the tokens of `seq`, by AdaGrad; `p` and `state` change.
+
+    Runs of SEGMENT tokens, each with its context, are taken in random order. A batch is a BATCH_SHARE-th of the tokens
+    seen so far, from LEAST_BATCH to MOST_BATCH. Returns the tokens seen.
+    """
+    runs = -(-(len(seq) - CONTEXT) // SEGMENT)
+    padded = np.r_[seq, np.full(runs * SEGMENT + CONTEXT - len(seq), tree.size, dtype=np.int32)]
+    order, at = rng.permutation(runs), 0
+    while at < runs:
+        n = int(min(max(seen // BATCH_SHARE, LEAST_BATCH), MOST_BATCH)) // SEGMENT
+        pick = order[at: at + n]
+        at += n
+        seen += _step(p, tree, padded.take(pick[:, None] * SEGMENT + np.arange(SEGMENT + CONTEXT)), state, rng)
+    return seen
+
+
+def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
+    """A gradient step on the tokens of some runs, CONTEXT tokens before each; returns their number."""
+    flat = seq.ravel()
+    r = (p["node"].take(tree.node_of.take(flat), axis=0) + p["own"].take(flat, axis=0)).reshape(*seq.shape, DIM)
+    places = [r[:, CONTEXT - 1 - i: seq.shape[1] - 1 - i] for i in range(CONTEXT)]
+    pred = sum(place * p["c"][i] for i, place in enumerate(places)).reshape(-1, DIM)
+    target = seq[:, CONTEXT:].ravel()
+    kept = np.flatnonzero(target != tree.size)
+    if not len(kept):
+        return 0
+    order = kept.take(_order(target.take(kept)))
+    y, x = target.take(order), pred.take(order, axis=0)
+    y2 = tree.leaf2.take(y)
+    y1 = tree.mid1.take(y2)
+    n, scale, g_x = len(y), np.float32(1 / len(y)), None
+
+    g = _nce(x, p["q1"], tree.p1, y1) * scale
+    steps = [("q1", slice(None), g.T @ x)]
+    g_x = g @ p["q1"]
+
+    g_q, met = np.zeros_like(p["q2"]), np.zeros(tree.n2, dtype=bool)
+    cut1 = np.r_[_runs(y1), n]
+    for lo, hi in zip(cut1[:-1].tolist(), cut1[1:].tolist()):
+        a = int(y1[lo]) * tree.width
+        b = min(a + tree.width, tree.n2)
+        g = _nce(x[lo:hi], p["q2"][a:b], tree.p2[a:b], y2[lo:hi] - a) * scale
+        g_x[lo:hi] += g @ p["q2"][a:b]
+        g_q[a:b], met[a:b] = g.T @ x[lo:hi], True
+    rows = np.flatnonzero(met)
+    steps.append(("q2", rows, g_q[rows]))
+
+    # Leaves: LEAF_NOISE draws from the node, shared by its tokens in the batch.
+    cut2 = _runs(y2)
+    drawn = tree.leaves(y2.take(cut2), rng)
+    of = np.repeat(np.arange(len(cut2)), np.diff(np.r_[cut2, n]))
+    q_y, q_n = p["q3"].take(y, axis=0), p["q3"].take(drawn, axis=0).take(of, axis=0)
+    log_k = np.float32(math.log(LEAF_NOISE))
+    good = (_sigmoid(np.einsum("nd,nd->n", x, q_y) - log_k) - 1) * scale
+    bad = _sigmoid(np.einsum("nd,nkd->nk", x, q_n) - log_k) * scale
+    g_x += good[:, None] * q_y
+    g_x += np.einsum("nk,nkd->nd", bad, q_n)
+    cut3 = _runs(y)
+    grads = np.add.reduceat((bad[:, :, None] * x[:, None, :]).reshape(n, -1), cut2, axis=0).reshape(-1, DIM)
+    rows = np.r_[y.take(cut3), drawn.ravel()]
+    grads = np.vstack([np.add.reduceat(good[:, None] * x, cut3, axis=0), grads])
+    by_row = _order(rows)
+    at = _runs(rows.take(by_row))
+    steps.append(("q3", rows.take(by_row).take(at), np.add.reduceat(grads.take(by_row, axis=0), at, axis=0)))
+
+    # Contexts: a token's vector takes part in the predictions of the next CONTEXT tokens.
+    back = np.zeros_like(pred)
+    back[order] = g_x
+    back = back.reshape(len(seq), -1, DIM)
+    g_r = np.zeros_like(r)
+    for i in range(CONTEXT):
+        g_r[:, CONTEXT - 1 - i: seq.shape[1] - 1 - i] += back * p["c"][i]
+    steps.append(("c", slice(None), np.stack([np.einsum("abd,abd->d", back, place) for place in places])))
+    by_class = _order(flat)
+    classes = flat.take(by_class)
+    at = _runs(classes)
+    own, classes = np.add.reduceat(g_r.reshape(-1, DIM).take(by_class, axis=0), at, axis=0), classes.take(at)
+    nodes = tree.node_of.take(classes)
+    at = _runs(nodes)
+    steps += [("own", classes, own), ("node", nodes.take(at), np.add.reduceat(own, at, axis=0))]
+    for k, rows, grad in steps:
+        _descend(p, state, k, rows, grad)
+    return n
+
+
+def _picked_minus_log_sum(score: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log probability of child `own` of every token; `score` has a row per child."""
+    score -= score.max(axis=0)
+    picked = score[own, np.arange(len(own))]
+    return picked - np.log(np.exp(score, out=score).sum(axis=0))
+
+
+def log_probs(p: dict, tree: Tree, seq: np.ndarray) -> np.ndarray:
+    """Normalised natural-log probability of every predicted token of `seq`, in order: of its node on each level.
+
+    Matrix products of the contexts with all children of a node give the scores of all of them.
+    """
+    r = p["node"].take(tree.node_of.take(seq), axis=0) + p["own"].take(seq, axis=0)
+    pred = sum(r[CONTEXT - 1 - i: len(seq) - 1 - i] * p["c"][i] for i in range(CONTEXT))
+    target = seq[CONTEXT:]
+    kept = np.flatnonzero(target != tree.size)
+    by_class = _order(target.take(kept))
+    order = kept.take(by_class)
+    y, x = target.take(order), pred.take(order, axis=0)
+    y2 = tree.leaf2.take(y)
+    y1 = tree.mid1.take(y2)
+    got = np.zeros(len(y), np.float32)
+
+    def add(q, b, own, cuts, first, last):
+        for lo, hi, a, z in zip(cuts[:-1], cuts[1:], first, last):
+            for at in range(lo, hi, CHUNK):
+                end = min(at + CHUNK, hi)
+                score = q[a:z] @ x[at:end].T
+                score += b[a:z, None]
+                got[at:end] += _picked_minus_log_sum(score, own[at:end] - a)
+
+    if len(y):
+        w = tree.width
+        add(p["q1"], tree.log1, y1, [0, len(y)], [0], [tree.n1])
+        for q, b, own, up, limit in (("q2", tree.log2, y2, y1, tree.n2), ("q3", tree.log3, y, y2, tree.size)):
+            cut = _runs(up)
+            first = (up[cut].astype(np.int64) * w).tolist()
+            add(p[q], b, own, [*cut.tolist(), len(y)], first, [min(f + w, limit) for f in first])
+    out = np.empty(len(y))
+    out[by_class] = got
+    return out
 
 
 # --- on Spark ------------------------------------------------------------------------
@@ -285,115 +399,109 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(known, n, v, np.maximum(mass, 0.0))
 
 
-def _numbered_tokens(vocab: Vocabulary, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the tokens of all texts, and a mark at the first of each text."""
-    classes, first = [], []
-    for words in texts:
-        first.append(len(classes))
-        classes += vocab.classes(words)
-    mark = np.zeros(len(classes), dtype=bool)
-    mark[first] = True
-    return np.array(classes, dtype=np.int64), mark
+def fit(src: DataFrame, vocab: Vocabulary, tree: Tree) -> dict[str, np.ndarray]:
+    """Parameters after two rounds, each averaged over all tasks by their tokens.
 
-
-def fit(src: DataFrame, vocab: Vocabulary) -> dict[str, np.ndarray]:
-    """Average parameters of all tasks after each round, in a tree of tasks: one row reaches the driver.
-
-    Tasks send what they changed; rows of tokens they haven't met are zeros.
+    Tasks send what they changed as slices of SLICE half-precision numbers, and every slice is averaged
+    by itself. Partitions are put together to at most MOST_TASKS tasks.
     """
-    p = init(vocab.size)
+    p = init(tree)
+    ends = np.cumsum([x.size for x in p.values()])
+    # A rule of the corpus, alike for all tasks and partitions: few tokens are passed over more often.
+    passes = int(min(MOST_PASSES, max(1, -(-ENOUGH // max(1, vocab.n)))))
 
     def learn(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         own, rng = {k: x.copy() for k, x in p.items()}, np.random.default_rng(SEED)
         state = {k: np.full_like(x, 1e-5) for k, x in own.items()}
-        held, seen, steps = [], 0, 0
-
-        def learn_block():
-            nonlocal seen, steps
-            classes, first = _numbered_tokens(vocab, held)
-            context = contexts(classes, first, vocab.start)
-            passes = 1 if steps or len(classes) >= BLOCK else max(1, -(-LEAST_STEPS * BATCH // max(1, len(classes))))
-            for _ in range(min(passes, MOST_PASSES)):
-                train(own, classes, context, vocab.noise, state, rng)
-            steps += 1
-            seen += len(classes)
-
-        size = 0
+        held, size, seen = [], 0, 0
+
+        def learn_block() -> int:
+            n = seen
+            seq = vocab.numbered(held)
+            for _ in range(passes):
+                n = train(own, tree, seq, state, rng, n)
+            return n
+
+        limit = BLOCK if whole else FIRST_BLOCK
         for text in (t for batch in batches for t in batch.column("text")):
             held.append(tokens(text.as_py()))
             size += len(held[-1])
-            if size >= BLOCK:
-                learn_block()
+            if size >= limit:
+                seen = learn_block()
                 held, size = [], 0
                 if not whole:
                     break
         if held:
-            learn_block()
+            seen = learn_block()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([_dump(**{k: x - p[k] for k, x in own.items()})], pa.binary())], names=["weight", "p"])
+            change = np.concatenate([(x - p[k]).ravel() for k, x in own.items()]).astype(np.float16)
+            parts = [change[i: i + SLICE].tobytes() for i in range(0, len(change), SLICE)]
+            for at in range(0, len(parts), 64):
+                some = parts[at: at + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(at, at + len(some)), pa.int32()), pa.array([float(seen)] * len(some)), pa.array(some, pa.binary())],
+                    names=["slice", "weight", "change"])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, mean = 0.0, None
+        total: dict[int, float] = {}
+        mean: dict[int, np.ndarray] = {}
         for batch in batches:
-            for weight, data in zip(batch.column("weight").to_pylist(), batch.column("p").to_pylist(), strict=True):
-                each = _load(data)
-                total += weight
-                mean = each if mean is None else {k: mean[k] + (each[k] - mean[k]) * (weight / total) for k in mean}
-        if mean is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([_dump(**mean)], pa.binary())], names=["weight", "p"])
-
-    schema = "weight double, p binary"
+            for i, weight, data in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                each = np.frombuffer(data, np.float16).astype(np.float32)
+                total[i] = total.get(i, 0.0) + weight
+                mean[i] = each if i not in mean else mean[i] + (each - mean[i]) * np.float32(weight / total[i])
+        if mean:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(mean, pa.int32()), pa.array([total[i] for i in mean]), pa.array([x.tobytes() for x in mean.values()], pa.binary())],
+                names=["slice", "weight", "change"])
+
+    schema = "slice int, weight double, change binary"
+    texts = src.select("text").coalesce(MOST_TASKS)
     for whole in (False, True):
-        each = materialize(src.select("text").mapInArrow(lambda batches, whole=whole: learn(batches, whole), schema), "lm-rounds")
-        tasks = each.count()
-        if not tasks:
+        each = materialize(texts.mapInArrow(lambda batches, whole=whole: learn(batches, whole), schema), "lm-rounds")
+        got = each.repartition("slice").mapInArrow(average, schema).collect()  # the size of the parameters, whatever the corpus
+        if not got:
             break
-        if tasks > 64:
-            each = each.repartition(int(tasks ** 0.5)).mapInArrow(average, schema)
-        change = _load(bytes(each.repartition(1).mapInArrow(average, schema).first()["p"]))
-        p = {k: (x + change[k]).astype(np.float32) for k, x in p.items()}
+        flat = np.concatenate([np.frombuffer(bytes(r["change"]), np.float32) for r in sorted(got, key=lambda r: r["slice"])])
+        p = {k: (x + c.reshape(x.shape)).astype(np.float32) for (k, x), c in zip(p.items(), np.split(flat, ends[:-1]))}
     return p
 
 
-def _score_rows(src: DataFrame, vocab: Vocabulary, p: dict) -> DataFrame:
+def _score_rows(src: DataFrame, vocab: Vocabulary, tree: Tree, p: dict) -> DataFrame:
     """Per text: sums over its frequent tokens, and hashes and counts of the others."""
     base_total = vocab.n + ADD * (vocab.v + 1)
+    log_total = math.log10(base_total)
     group_log = np.log10(np.maximum(vocab.mass + ADD, ADD))  # each group holds one unseen type more
     n_classes = len(vocab.class_of)
 
     def run(batch: pa.RecordBatch) -> dict:
-        texts = batch.column("text").to_pylist()
-        n = len(texts)
+        n = batch.num_rows
         out = {"n_tokens": np.zeros(n, np.int64), "n_known": np.zeros(n, np.int64), "base": np.zeros(n), "model": np.zeros(n)}
         rare_hash, rare_n = [], []
-        log_of, class_of, log_total = vocab.log_of, vocab.class_of, math.log10(base_total)
         block, owners, size = [], [], 0
 
         def model_block():
-            classes, first = _numbered_tokens(vocab, block)
-            logs = log_probs(p, vocab.noise, classes, contexts(classes, first, vocab.start)) / np.log(10)
-            logs -= np.where(classes >= n_classes, np.r_[group_log, 0.0][np.maximum(classes - n_classes, 0)], 0.0)
-            out["model"][owners] += np.add.reduceat(logs, np.flatnonzero(first))
-
-        for i, text in enumerate(texts):
-            words = tokens(text)
+            logs = log_probs(p, tree, np.concatenate(block)) / np.log(10)
+            ends = np.cumsum([len(ids) - CONTEXT for ids in block])
+            out["model"][owners] += np.add.reduceat(logs, np.r_[0, ends[:-1]])
+
+        for i, text in enumerate(batch.column("text")):
+            words = tokens(text.as_py())
+            ids = vocab.classes(words)
+            known = ids[ids >= 0]
+            out["n_tokens"][i], out["n_known"][i] = len(words), len(known)
+            out["base"][i] = vocab.log_of.take(known).sum() - len(words) * log_total
             rare: dict[int, int] = {}
-            known, base, within = 0, 0.0, 0.0
-            for w, k in Counter(words).items():
-                x = log_of.get(w)
-                if x is None:
-                    rare[h] = rare.get(h := token_hash(w), 0) + k
-                else:
-                    known += k
-                    base += k * x
-                    if w not in class_of:
-                        within += k * x
-            out["n_tokens"][i], out["n_known"][i] = len(words), known
-            out["base"][i] = base - len(words) * log_total
-            out["model"][i] = within
+            of_group = 0.0
+            for j in np.flatnonzero(ids < 0).tolist():
+                h, g = token_hash(words[j]), group(words[j])
+                rare[h] = rare.get(h, 0) + 1
+                ids[j] = n_classes + g
+                of_group -= group_log[g]
+            out["model"][i] = of_group
             rare_hash.append(list(rare))
             rare_n.append(list(rare.values()))
-            block.append(words)
+            block.append(np.r_[np.full(CONTEXT, vocab.start, dtype=np.int32), ids])
             owners.append(i)
             size += len(words)
             if size >= BLOCK:
@@ -422,7 +530,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     src = _source(docs, id_col, text_col)
     counts = materialize(token_counts(src.where("not held_out")), "lm-counts")
     vocab = vocabulary(counts)
-    rows = _score_rows(src, vocab, fit(src.where("not held_out"), vocab))
+    tree = Tree(vocab.prior)
+    rows = _score_rows(src, vocab, tree, fit(src.where("not held_out"), vocab, tree))
     rare = rows.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
         "row_id", F.col("r.rare").alias("token_hash"), F.col("r.rare_n").alias("k"))
     found = rare.join(counts.select("token_hash", "n"), "token_hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
