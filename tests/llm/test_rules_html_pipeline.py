@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 
@@ -109,6 +110,77 @@ def test_wrapper_drops_what_a_host_repeats_and_keeps_what_varies(spark):
     assert wrappers.main_text(pages.limit(0)).count() == 0
 
 
+def test_without_its_wrapper_a_page_reads_otherwise():
+    pages = [page(f"<div><p>Read our daily letter</p><p>{w} " + f"{w}x " * 20 + "</p><p>Thanks for your visit</p></div>")
+             for w in ("alpha", "beta", "gamma", "delta", "eps")]
+    wrapper = wrappers._tree(json.loads(wrappers.induce(pages)))
+    own = "beta " + " ".join(["betax"] * 20)
+    assert wrappers.extract(pages[1], wrapper) == own
+    assert wrappers.extract(pages[1]) == f"Read our daily letter {own} Thanks for your visit"
+
+
+def test_every_layout_of_a_host_has_its_wrapper_by_all_its_pages(spark):
+    """Two layouts; a constant line on most pages of a large host, and one on a few of them only."""
+    rows = []
+    for i in range(60):
+        body = f"<p>word{i} " + f"own{i} " * 12 + "</p>"
+        note = "<p>Constant line</p>" if i % 10 else ""
+        few = "<p>On a few pages</p>" if i % 6 == 0 else ""
+        wrap = "<section>{}</section><table><tr><td>Shop of the day</td></tr></table>" if i % 2 else "<div>{}</div>"
+        rows.append((i, "http://h.example/", page(wrap.format(note + body + few))))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    assert wrappers.wrappers(df).count() == 2
+    got = {r.page_id: r.text for r in wrappers.main_text(df).collect()}
+    for i in range(60):
+        want = f"word{i} " + " ".join([f"own{i}"] * 12) + (" On a few pages" if i % 6 == 0 else "")
+        assert got[i] == want
+
+
+def test_boilerplate_does_not_make_pages_copies(spark):
+    """Large shared styles, scripts and menus, and a long constant notice beside longer articles."""
+    css, menu = "<style>" + "a{b:c}" * 500 + "</style>", "<nav>" + "<a>menu entry</a>" * 300 + "</nav>"
+    rows = [(i, "http://h.example/", f"<html><head>{css}</head><body>{menu}<div><p>Constant line</p><p>"
+             + f"own{i} " * 12 + "</p></div></body></html>") for i in range(8)]
+    got = {r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {" ".join([f"own{i}"] * 12) for i in range(8)}
+
+
+def test_near_copies_of_an_article_are_one_voter(spark):
+    same = "<p>A paragraph that is repeated by all of the copies and is the longest one of them all.</p><p>Second part.</p>"
+    rows = [(i, "http://h.example/", page(f"<div><h1>Title</h1>{same}<p>edit {i}</p></div>")) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = wrappers.main_text(df).where("page_id = 7").first().text
+    assert text.startswith("Title A paragraph that") and text.endswith("Second part. edit 7")
+
+
+@pytest.mark.parametrize("tag", ["<article class='post has-sidebar'>", "<article class='entry share-enabled'>",
+                                 "<article class='story no-comments'>", "<article class='post widget-free'>",
+                                 "<article class='ad'>", "<main class='nav-open'>", "<div class='entry-content no-comments'>"])
+def test_class_names_of_an_article_do_not_lose_it(tag):
+    end = tag.split()[0].replace("<", "</") + ">"
+    html = page(f"{tag}<p>Kept text</p><div class='social-history'>History too</div><p class='notice-period'>And the period</p>"
+                f"<div class='sidebar-left'>no</div><div class='ad-slot top'>no</div><div class='comments-list'>no</div>{end}")
+    assert wrappers.extract(html) == "Kept text History too And the period"
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<div>" * 5000 + "deep text" + "</div>" * 5000
+    wide = "<div>" + "<p>x</p>" * 3000 + "</div>"
+    rows = [(i, "http://h.example/", page(f"{deep}<p>own words {i}</p>")) for i in range(6)]
+    rows += [(10 + i, "http://w.example/", page(wide + f"<p>own words {i} and some</p>")) for i in range(5)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"own words {i}" for i in range(6))
+    assert all(got[10 + i] == f"own words {i} and some" for i in range(5))
+
+
+def test_pages_messy(spark):
+    schema = "page_id long, url string, html string, host int, wrapper string, layout string, reference int, html_hash string"
+    rows = [(None, None, None), (1, "http://a.b/", ""), (1, "http://a.b/", ""), (2, "http://a.b/", "<p>x " + "y " * 300_000), (3, None, "<p>t")]
+    df = spark.createDataFrame([(*r, 1, "w", "l", 2, "h") for r in rows], schema)
+    got = sorted(((r.page_id, r.n_chars) for r in wrappers.main_text(df).collect()), key=str)
+    assert got == sorted([(None, 0), (1, 0), (1, 0), (2, 600_001), (3, 1)], key=str)
+
+
 def test_copies_on_a_host_do_not_become_template(spark):
     body = "<article><h1>Same</h1><p>" + "the same article on many pages " * 10 + "</p></article>"
     pages = [page(body, f"<p class='ad'>{i}</p>") for i in range(12)] + [page("<article><p>other</p></article>")]
