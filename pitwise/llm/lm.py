@@ -52,7 +52,7 @@ FIRST_BLOCK, BLOCK = 1 << 16, 1 << 18  # tokens of the first round's block; toke
 CHUNK = 4_096
 MOST_TASKS = 2_000  # training tasks
 SLICE = 8_192  # parameters averaged as one row
-FLUSH = 1_000_000  # distinct tokens held by a counting task
+FLUSH = 250_000  # distinct tokens held by a counting task
 ADD = 0.1
 END = b"\n"  # no word holds white space
 GROUPS = 6
@@ -381,7 +381,8 @@ def token_counts(src: DataFrame) -> DataFrame:
             yield flush()
 
     counted = src.select("text").mapInArrow(count, "token_hash long, token binary, grp int, n long")
-    return counted.groupBy("token_hash", "grp").agg(F.sum("n").alias("n"), F.min("token").alias("token"))
+    # Tokens are keys, not aggregates, so the sums are hashed and nothing is sorted.
+    return counted.groupBy("token_hash", "grp", "token").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -534,7 +535,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = _score_rows(src, vocab, tree, fit(src.where("not held_out"), vocab, tree))
     rare = rows.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
         "row_id", F.col("r.rare").alias("token_hash"), F.col("r.rare_n").alias("k"))
-    found = rare.join(counts.select("token_hash", "n"), "token_hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    by_hash = counts.groupBy("token_hash").agg(F.sum("n").alias("n"))  # tokens of one hash are one, as in the rows
+    found = rare.join(by_hash, "token_hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     sums = found.groupBy("row_id").agg(
         F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("more_known"),
         F.sum(F.col("k") * F.log10(F.col("n") + ADD)).alias("rest"),
