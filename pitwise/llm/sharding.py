@@ -1,17 +1,18 @@
 """K-d tree sharding: near-equal bytes by recursive weighted medians over document metadata.
 
-A document's point has four dimensions: log of its size, source, language (as codes of their
-hashes) and id, each scaled to the table's range. A node of several shards is split along the
-dimension on which its documents lie widest, where the given share of its bytes is reached (the
-weighted median, or a third where three shards are left), until every leaf holds the target bytes.
+A point has four dimensions: log of its size, source, language (as codes of their hashes) and id, each scaled
+to the table's range. All documents of one text are one point, with the least source, language and id of them,
+so copies come into one shard. Only copies that hold more than `HEAVY` of a shard's bytes, and more than the largest
+document, are cut: into pieces of about that by a hash of the row. A node of several shards is split along the dimension on which its points
+lie widest, where the given share of its bytes is reached (the weighted median, or a third where three shards are
+left), until every leaf holds the target bytes.
 
 All nodes of a level are split together. A cut is found by histograms: bytes are summed in up to
 4,096 equal ranges of each node, the range that holds the wanted share is cut into ranges again, and
-so on, until it weighs next to nothing or holds one value. Documents with equal coordinates are
-ordered by the hash of their text, then by a hash of the row: copies stay together as long as a
-balanced cut lets them, and a group of copies of any size (or rows repeated any number of times) can
-be cut. The tree, at most one cut per shard, is the only thing that reaches the driver; it comes back
-as one CASE expression.
+so on, until it weighs next to nothing or holds one value. Points with equal coordinates are
+ordered by the hash of their text, then by their piece. The tree, at most one cut per shard, is the only
+thing that reaches the driver; it comes back as one CASE expression. Documents take the shard of their point by a join on
+the text's hash and piece, of narrow rows.
 
 Native: DataFrame functions only. Histograms are combined before their exchange, the texts are read
 once, and the slot numbers come from one range exchange of narrow rows.
@@ -24,19 +25,23 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import key_column, materialize, numbered
+from pitwise.llm.common import BROADCAST_BYTES, key_column, materialize, numbered
 
 SHARDS = 24
 BINS = 4096
 GRID = 1 << 19  # steps of a dimension's range
-CODE = 1 << 43  # below a grid step: 32 bits of the text's hash, 11 bits of the row's
+CODE = 1 << 43  # below a grid step: 32 bits of the text's hash, 11 bits of the piece
+HEAVY = 0.02  # of a shard's bytes: copies of one text that hold more, and more than the largest text, are cut
 TOLERANCE = 0.0005  # of a shard's bytes: a range that light is not cut further
 EXTRA_BYTES = 8
 DIMENSIONS = ("size", "source", "lang", "doc_id")
 
 
 def _points(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
-    """Narrow rows: doc_id, size, text_crc32, row_id, and x0..x3 in [0, 1] before scaling."""
+    """Narrow rows: doc_id, size, text_crc32, row_id, text_hash, and x1..x3 before scaling.
+
+    A text id lies where its number does, or, if it is none, where its hash does.
+    """
     text = F.coalesce(key_column(text_col), F.lit("")).cast("binary")
 
     def code(name: str) -> Column:
@@ -44,22 +49,32 @@ def _points(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_c
 
     return docs.select(
         key_column(id_col).alias("doc_id"), (F.octet_length(text) + EXTRA_BYTES).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"), code(source_col).alias("x1"), code(lang_col).alias("x2"),
-        F.coalesce(key_column(id_col).cast("double"), F.lit(-1.0)).alias("x3"),
-        F.monotonically_increasing_id().alias("row_id")).withColumn("x0", F.log2("size"))
+        F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("text_hash"), code(source_col).alias("x1"),
+        code(lang_col).alias("x2"), F.coalesce(key_column(id_col).cast("string").try_cast("double"), code(id_col)).alias("x3"),
+        F.monotonically_increasing_id().alias("row_id"))
+
+
+def _pieces(rows: DataFrame, most: float) -> DataFrame:
+    """`rows` with `piece`: 0, or for texts whose copies hold more than `most` bytes one of so many pieces, by the row's hash."""
+    heavy = (rows.groupBy("text_hash").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > most)
+             .select(F.col("text_hash").alias("heavy"), F.ceil(F.col("bytes") / most).alias("pieces")))
+    heavy = materialize(heavy, "shard-heavy")  # at most the total over `most`
+    heavy = F.broadcast(heavy) if heavy.count() <= BROADCAST_BYTES // 64 else heavy
+    piece = F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id", "row_id"), F.col("pieces"))).otherwise(0)
+    return rows.join(heavy, rows.text_hash == heavy.heavy, "left").withColumn("piece", piece).drop("heavy", "pieces")
 
 
 def _scaled(points: DataFrame) -> DataFrame:
-    """x0..x3 replaced by c0..c3: grid step of the table's range, then the text's and the row's hash."""
+    """x0..x3 replaced by c0..c3: grid step of the table's range, then the text's hash and the piece."""
     ends = points.agg(*[f(f"x{i}").alias(f"{f.__name__}{i}") for i in range(4) for f in (F.min, F.max)]).first()
-    tie = F.col("text_crc32") * 2048 + F.pmod(F.xxhash64("doc_id", "row_id"), F.lit(2048))
+    tie = F.col("text_crc32") * 2048 + F.pmod(F.col("piece"), F.lit(2048))
 
     def coordinate(i: int) -> Column:
         low, high = ends[f"min{i}"] or 0.0, ends[f"max{i}"] or 0.0
         step = (F.col(f"x{i}") - low) * ((GRID - 1) / (high - low) if high > low else 0.0)
         return (F.floor(step).cast("long") * CODE + tie).alias(f"c{i}")
 
-    return points.select("doc_id", "size", "text_crc32", "row_id", *[coordinate(i) for i in range(4)])
+    return points.select("text_hash", "piece", "size", *[coordinate(i) for i in range(4)])
 
 
 class _Node:
@@ -140,19 +155,24 @@ def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int |
     size is the UTF-8 bytes of the text plus 8. law is `bytes`: shard sizes are near equal, and
     grown_shard is null. Slots number the rows of a shard from 0 without gaps, by id. A null text
     counts as empty; null ids, sources and languages are values of their own, before all others.
-    Repeated rows are placed one by one. An empty table gives no rows. Other columns are not read.
+    Documents of one text are in one shard, unless they hold more than HEAVY of a shard's bytes (and than the largest text). Repeated rows are placed one by one. An empty table gives no rows. Other columns are not read.
     """
     points = materialize(_points(docs, id_col, text_col, source_col, lang_col), "shard-points")
-    total = points.agg(F.sum("size")).first()[0] or 0
+    total, largest = points.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(1))).first()
     if target_bytes is not None:
         shards = max(1, math.ceil(total / target_bytes))
-    rows, light = materialize(_scaled(points), "shard-scaled"), TOLERANCE * total / shards
+    rows = materialize(_pieces(points, max(float(largest), HEAVY * total / shards)), "shard-rows")
+    cells = rows.groupBy("text_hash", "piece").agg(
+        F.sum("size").alias("size"), F.min("text_crc32").alias("text_crc32"), F.log2(F.min("size")).alias("x0"),
+        *[F.min(f"x{i}").alias(f"x{i}") for i in (1, 2, 3)])
+    cells, light = materialize(_scaled(materialize(cells, "shard-cells")), "shard-scaled"), TOLERANCE * total / shards
     root = _Node(0, shards)
     level = [root] if shards > 1 else []
     while level:
-        cuts = _cuts(rows.withColumn("node", root.leaf()), level, light)
+        cuts = _cuts(cells.withColumn("node", root.leaf()), level, light)
         level = [child for n, (dim, cut) in zip(level, cuts, strict=True) for child in n.split(dim, cut)]
-    placed = rows.select(root.leaf().cast("int").alias("shard"), "doc_id", "size", "text_crc32", "row_id")
+    homes = cells.select("text_hash", "piece", root.leaf().cast("int").alias("shard"))
+    placed = rows.join(homes, ["text_hash", "piece"]).select("shard", "doc_id", "size", "text_crc32", "row_id")
     placed = numbered(placed, ["shard", "doc_id", "text_crc32", "row_id"], "shard-slots")
     first = placed.groupBy("shard").agg(F.min("position").alias("first"))  # one row a shard
     return placed.join(F.broadcast(first), "shard").select(

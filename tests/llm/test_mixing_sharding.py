@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pitwise.llm import mixing, sharding
 from pitwise.llm.queries import ORACLES, QUERIES
@@ -109,11 +110,12 @@ def brute_tree(points, size, first, shards, out):
 def test_kd_tree_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(sharding, "TOLERANCE", 0.0)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
-    rows = sharding._scaled(sharding._points(docs, "doc_id", "text", "source", "lang")).collect()
-    points = {r.doc_id: (r.c0, r.c1, r.c2, r.c3) for r in rows}
+    points = sharding._points(docs, "doc_id", "text", "source", "lang")
+    of = {r.text_hash: r.doc_id for r in points.collect()}
+    rows = sharding._scaled(points.withColumn("piece", F.lit(0)).withColumn("x0", F.log2("size"))).collect()
+    points = {of[r.text_hash]: (r.c0, r.c1, r.c2, r.c3) for r in rows}
     want: list = []
-    brute_tree(points, {r.doc_id: r.size for r in rows}, 0, 7, want)
-    # the row's hash orders only equal texts, of which there are none here
+    brute_tree(points, {of[r.text_hash]: r.size for r in rows}, 0, 7, want)
     got = sharding.kd_shards(docs, shards=7).collect()
     assert {r.doc_id: r.shard for r in got} == dict(want)
 
@@ -125,6 +127,28 @@ def test_hot_copies_and_repeated_rows_stay_balanced(spark):
     check_shards(sharding.kd_shards(docs).collect(), 24)
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_equal_texts_share_a_shard(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    rows = sharding.kd_shards(docs).collect()
+    check_shards(rows, 24)
+    homes, held = defaultdict(set), Counter()
+    for r in rows:
+        homes[r.size, r.text_crc32].add(r.shard)
+        held[r.size, r.text_crc32] += r.size
+    most = max(max(r.size for r in rows), 0.02 * sum(r.size for r in rows) / 24)
+    assert len(homes) < len(rows)
+    assert all(len(s) == 1 for g, s in homes.items() if held[g] <= most)
+
+
+def test_ids_that_are_text(spark):
+    docs = spark.createDataFrame([(f"id-{i}" if i % 3 else None if i % 2 else str(i), f"text {i}", "en", "s") for i in range(200)],
+                                 "doc_id string, text string, lang string, source string")
+    rows = sharding.kd_shards(docs, shards=5).collect()
+    check_shards(rows, 5)
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
+
+
 def test_target_bytes_messy_and_empty(messy, empty):
     got = sharding.kd_shards(messy).collect()
     assert len(got) == messy.count() and {r.law for r in got} == {"bytes"} and {r.grown_shard for r in got} == {None}
