@@ -1,24 +1,34 @@
 """Licence scan: text units compared with licence templates by the Dice coefficient of word bigrams.
 
-Units are the lines of a text, its blocks of several lines (between blank lines), and the whole text
-if it has several blocks. A unit is normalised to its words of a-z and 0-9. Dice is
-2 * shared / (unit's bigrams + template's bigrams) over distinct bigrams, so a template can only reach
+Units are the lines of a text, its blocks of several lines (between blank lines), the whole text if it has several
+blocks, and spans: stretches of words anywhere in a text that hold a template's bigrams close together, so a licence
+is found inside a longer line, over several paragraphs, or before code. A unit is normalised to its words of a-z and
+0-9. Dice is 2 * shared / (unit's bigrams + template's bigrams) over distinct bigrams, so a template can only reach
 the threshold t with units of t / (2 - t) to (2 - t) / t times its own number of bigrams. These size
 bounds drop most units before any bigram is made. The bigrams of the others join the templates'
 bigrams by hash; the shared ones are counted per unit and template.
 
+Pruning by rare words: a unit that reaches t shares t / (2 - t) of the template's bigrams at least. So it holds one of any
+set of words that are in more than the remaining bigrams. `anchors` are such sets, of the longest words; a text with no
+anchor of any template is dropped before it is cut into units.
+
+Spans: of the texts left, every bigram that a template has is placed. Places of one template that follow each other
+by at most max(2, an eighth of its bigrams) are a span; its own distinct bigrams are then counted and Dice is
+taken. Of spans within each other the outer one stays, of equal ones the best.
+
 Native: DataFrame functions only. Nothing but matching bigrams is exchanged, and those are summed
 before it. The templates are a fixed small list (a literal table).
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import key_column
+from pitwise.llm.common import key_column, materialize
 
 THRESHOLD = 0.8
 BLANK = "\n[ \t\r]*\n"
@@ -70,6 +80,36 @@ TEMPLATES = {
     "CC-BY-4.0 sentence": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0 sentence": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0 sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+        the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this
+        list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
+        copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior
+        written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+        OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+        A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+        DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+        PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+        CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+        DAMAGE.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute,
+        execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties
+        to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software
+        and this entire statement, including the above license grant, this restriction and the following disclaimer,
+        must be included in all copies of the Software, in whole or in part, and all derivative works of the Software,
+        unless such copies or derivative works are solely in the form of machine-executable object code generated by a
+        source language processor.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+        software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject
+        to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim
+        that you wrote the original software. If you use this software in a product, an acknowledgment in the product
+        documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as
+        such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered
+        from any source distribution.""",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "All rights reserved": "All rights reserved.",
 }
@@ -83,6 +123,24 @@ def bigrams(text: str) -> set[str]:
     return {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
 
 
+def anchors(text: str, threshold: float = THRESHOLD) -> set[str]:
+    """Words of a template of which every unit that reaches the threshold holds one."""
+    own = bigrams(text)
+    spare = len(own) - math.ceil(threshold / (2 - threshold) * len(own) - 1e-9)  # bigrams that may be missing
+    found, covered = set(), 0
+    for word in sorted({w for b in own for w in b.split()}, key=lambda w: (-len(w), w)):
+        if covered > spare:
+            break
+        found.add(word)
+        covered = sum(bool(found.intersection(b.split())) for b in own)
+    return found
+
+
+def gap(template_bigrams):
+    """Most words between neighbouring places of a span."""
+    return F.greatest(F.lit(2), F.floor(template_bigrams / 8))
+
+
 def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
     """(license, bigram, template_bigrams): one row per distinct bigram (hash of its words) of a template."""
     templates = TEMPLATES if templates is None else templates
@@ -93,9 +151,9 @@ def template_table(spark: SparkSession, templates: dict[str, str] | None = None)
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
          threshold: float = THRESHOLD) -> DataFrame:
-    """One row per unit that matches: doc_id, unit (line, block or text), unit_no (from 0), license, dice.
+    """One row per unit that matches: doc_id, unit (line, block, text or span), unit_no (from 0), license, dice.
 
-    The best template of a unit is returned, ties by name. Units of fewer than two words have no
+    A span's number is that of its first word. The best template of a unit is returned, ties by name. Units of fewer than two words have no
     bigram and match nothing, and so do null and blank texts. Rows are judged one by one, so
     repeated rows and rows with equal or null ids each give their own. A template without a bigram
     never matches. An empty table gives no rows; other columns are not read.
@@ -105,6 +163,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     sizes = sorted({len(bigrams(t)) for t in known.values()} - {0})
     src = docs.select(key_column(id_col).alias("doc_id"), F.translate(key_column(text_col), *LOWER).alias("text")).where(
         "text is not null")
+    words = sorted({w for t in known.values() for w in anchors(t, threshold)})
+    src = src.where(F.col("text").rlike("|".join(words) or "[^\\s\\S]"))
     blocks = F.split("text", BLANK, -1)
     units = F.concat(
         F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(F.lit("line").alias("unit"), i.alias("unit_no"), t.alias("part"))),
@@ -129,5 +189,32 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
               .groupBy("row", "doc_id", "unit", "unit_no", "license", "unit_bigrams", "template_bigrams").agg(F.count("*").alias("shared")))
     dice = 2 * F.col("shared") / (F.col("unit_bigrams") + F.col("template_bigrams"))
     best = Window.partitionBy("row").orderBy(F.desc("dice"), "license")
-    return (shared.withColumn("dice", dice).where(F.col("dice") >= threshold).withColumn("n", F.row_number().over(best))
+    units = (shared.withColumn("dice", dice).where(F.col("dice") >= threshold).withColumn("n", F.row_number().over(best))
             .where("n = 1").select("doc_id", "unit", F.col("unit_no").cast("int").alias("unit_no"), "license", "dice"))
+    return units.unionByName(_spans(src, known, threshold))
+
+
+def _spans(src: DataFrame, known: dict[str, str], threshold: float) -> DataFrame:
+    """Rows for the spans of (doc_id, text), texts in lower case."""
+    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    words = src.select("doc_id", F.regexp_extract_all("text", F.lit("[0-9a-z]+"), 0).alias("w"))
+    last = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("w", 1, last), F.slice("w", 2, last), lambda a, b: F.xxhash64(a, b))
+    # Written with a number for every row: the spans are cut from the same rows again.
+    rows = materialize(words.select("doc_id", pairs.alias("pairs"), F.monotonically_increasing_id().alias("row")), "license-words")
+    at = rows.select("row", F.posexplode("pairs").alias("at", "bigram")).join(
+        F.broadcast(template_table(src.sparkSession, known)), "bigram")
+    near = Window.partitionBy("row", "license").orderBy("at")
+    broken = F.coalesce(F.col("at") - F.lag("at").over(near) > gap(F.col("template_bigrams")), F.lit(True))
+    runs = at.withColumn("new", broken.cast("int")).withColumn("run", F.sum("new").over(near))
+    spans = (runs.groupBy("row", "license", "template_bigrams", "run").agg(
+        F.min("at").alias("start"), F.max("at").alias("stop"), F.count_distinct("bigram").alias("shared"))
+        .where(F.col("shared") >= low * F.col("template_bigrams")))
+    own = F.size(F.array_distinct(F.slice("pairs", F.col("start") + 1, F.col("stop") - F.col("start") + 1)))
+    sized = rows.join(spans, "row").withColumn("own", own.cast("long")).where(
+        F.col("own").between(low * F.col("template_bigrams"), high * F.col("template_bigrams")))
+    found = sized.withColumn("dice", 2 * F.col("shared") / (F.col("own") + F.col("template_bigrams"))).where(F.col("dice") >= threshold)
+    order = Window.partitionBy("row").orderBy("start", F.desc("stop"), F.desc("dice"), "license").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max("stop").over(order)
+    return found.withColumn("reached", reached).where(F.col("reached").isNull() | (F.col("stop") > F.col("reached"))).select(
+        "doc_id", F.lit("span").alias("unit"), F.col("start").cast("int").alias("unit_no"), "license", "dice")

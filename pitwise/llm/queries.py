@@ -219,9 +219,34 @@ shared AS (
   SELECT row_id, doc_id, unit, unit_no, license, count(*) AS k FROM grams JOIN tg USING (g) GROUP BY ALL),
 scored AS (
   SELECT s.*, 2.0 * k / (z.n + t.n) AS dice
-  FROM shared s JOIN sizes z USING (row_id, unit, unit_no) JOIN ts t USING (license))
-SELECT doc_id, unit, unit_no::INTEGER AS unit_no, license, dice::DOUBLE AS dice FROM scored WHERE dice >= 0.8
-QUALIFY row_number() OVER (PARTITION BY row_id, unit, unit_no ORDER BY dice DESC, license) = 1
+  FROM shared s JOIN sizes z USING (row_id, unit, unit_no) JOIN ts t USING (license)),
+best AS (
+  SELECT doc_id, unit, unit_no::INTEGER AS unit_no, license, dice::DOUBLE AS dice FROM scored WHERE dice >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY row_id, unit, unit_no ORDER BY dice DESC, license) = 1),
+placed AS (
+  SELECT row_id, doc_id, i AS pos, w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT row_id, doc_id, w, unnest(range(0, len(w) - 1)) AS i
+        FROM (SELECT row_id, doc_id, regexp_extract_all(text, '[0-9a-z]+') AS w FROM docs) WHERE len(w) > 1)),
+hits AS (
+  SELECT p.*, t.license, z.n,
+         coalesce(pos - lag(pos) OVER (PARTITION BY row_id, t.license ORDER BY pos) > greatest(2, z.n // 8), true)::INTEGER AS fresh
+  FROM placed p JOIN tg t USING (g) JOIN ts z USING (license)),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY row_id, license ORDER BY pos) AS run FROM hits),
+spans AS (
+  SELECT row_id, doc_id, license, n, min(pos) AS start, max(pos) AS stop, count(DISTINCT g) AS k
+  FROM runs GROUP BY row_id, doc_id, license, n, run HAVING count(DISTINCT g) >= 0.8 / 1.2 * n),
+measured AS (
+  SELECT s.row_id, s.doc_id, s.license, s.start, s.stop, 2.0 * s.k / (count(DISTINCT p.g) + s.n) AS dice
+  FROM spans s JOIN placed p ON p.row_id = s.row_id AND p.pos BETWEEN s.start AND s.stop
+  GROUP BY s.row_id, s.doc_id, s.license, s.start, s.stop, s.k, s.n),
+outer_spans AS (
+  SELECT * FROM (SELECT *, max(stop) OVER (PARTITION BY row_id ORDER BY start, stop DESC, dice DESC, license
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+                 FROM measured WHERE dice >= 0.8)
+  WHERE reached IS NULL OR stop > reached)
+SELECT * FROM best
+UNION ALL
+SELECT doc_id, 'span', start::INTEGER, license, dice::DOUBLE FROM outer_spans
 """
 
 # CRC-32 of the decimal digits of an id, bit by bit (DuckDB has no such function).

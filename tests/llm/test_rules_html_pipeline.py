@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 import re
 from collections import Counter
 
@@ -68,14 +69,68 @@ def brute_scan(text):
     return out
 
 
+def brute_spans(text):
+    words = re.findall("[0-9a-z]+", text.translate(str.maketrans(*licenses.LOWER)))
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    found = []
+    for name, body in licenses.TEMPLATES.items():
+        own = licenses.bigrams(body)
+        at, most = [i for i, g in enumerate(pairs) if g in own], max(2, len(own) // 8)
+        cuts = [0, *(i for i in range(1, len(at)) if at[i] - at[i - 1] > most), len(at)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            held = set(pairs[at[a]: at[b - 1] + 1])
+            dice = 2 * len(held & own) / (len(held) + len(own))
+            if dice >= 0.8:
+                found.append((at[a], -at[b - 1], -dice, name))
+    out, reached = [], -1
+    for start, stop, dice, name in sorted(found):
+        if -stop > reached:
+            out.append(("span", start, name, round(-dice, 9)))
+        reached = max(reached, -stop)
+    return out
+
+
+MIT_PARAGRAPHS = re.sub(r"(conditions: |Software\. )(?=The|THE)", "\\\\1\n\n", re.sub(r"\s+", " ", licenses.TEMPLATES["MIT"]))
+
+
+def test_licenses_inside_longer_texts_are_found(spark):
+    code = "\n".join(f"int f{i}(int x) {{ return x * {i}; }}" for i in range(400))
+    header = "\n".join(" * " + line for line in re.sub(r"\s+", " ", licenses.TEMPLATES["Apache-2.0 header"]).split(". "))
+    prose = "Some words of prose go here, and they are followed by others. " * 40
+    assert MIT_PARAGRAPHS.count("\n\n") == 2
+    texts = [f"{prose}\n\n{MIT_PARAGRAPHS}\n\n{prose}", "Copyright 2024 Jane Doe. Licensed under the MIT License.",
+             f"/*\n{header}\n */\n{code}", f"{prose} {licenses.TEMPLATES['BSD-3-Clause']} {prose}",
+             f"x {licenses.TEMPLATES['Zlib']} y {licenses.TEMPLATES['ISC']} z", prose]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.unit, r.unit_no, r.license, round(r.dice, 9)) for r in licenses.scan(docs).where("unit = 'span'").collect())
+    assert got == sorted((d, *x) for d, t in enumerate(texts) for x in brute_spans(t))
+    assert {(r[0], r[3]) for r in got} >= {(0, "MIT"), (1, "MIT notice (licensed)"), (2, "Apache-2.0 header"), (3, "BSD-3-Clause"),
+                                           (4, "Zlib"), (4, "ISC")} and 5 not in {r[0] for r in got}
+
+
+def test_anchors_are_in_every_unit_that_reaches_the_threshold():
+    rng = random.Random(4)
+    for body in licenses.TEMPLATES.values():
+        own, words = licenses.bigrams(body), licenses.anchors(body)
+        least = -(-len(own) * 2 // 3)
+        for _ in range(20):
+            kept = rng.sample(sorted(own), least)
+            assert any(words.intersection(b.split()) for b in kept)
+        # the worst case: everything that can be left out holds anchors
+        plain = [b for b in own if not words.intersection(b.split())]
+        assert len(plain) < least
+
+
 def test_license_scan_equals_brute_force(spark, messy, empty):
     mit = licenses.TEMPLATES["MIT"]
     texts = [mit, f"Copyright me\n\n{mit.replace('Software', 'Program')}\n\nmore", "Licensed under CC BY 4.0", "nothing here",
              "some prose\nReleased under the MIT licence.\nAll rights reserved", "", "the " * 5000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = sorted((r.doc_id, r.unit, r.unit_no, r.license, round(r.dice, 9)) for r in licenses.scan(docs).collect())
-    assert got == sorted((d, *x) for d, t in enumerate(texts) for x in brute_scan(t)) and len(got) >= 4
-    assert [r.doc_id for r in licenses.scan(messy).collect()] == [8]
+    assert got == sorted((d, *x) for d, t in enumerate(texts) for x in brute_scan(t) + brute_spans(t)) and len(got) >= 4
+    assert sorted((r.doc_id, r.unit) for r in licenses.scan(messy).collect()) == [(8, "line"), (8, "span")]
     assert licenses.scan(empty).count() == 0
 
 
