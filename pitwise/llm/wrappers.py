@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pitwise.llm.common import BROADCAST_BYTES, arrow_map, key_column, materialize
 
 AGREE, LEAST = 0.6, 4  # share of a layout's voters that have a text at a node, and their number
-REFERENCES = 3  # pages of a layout that all others are aligned with
+REFERENCES = 2  # pages of a layout that all others are aligned with
 MATCH_CELLS = 4_000_000  # of one alignment; beyond, after equal ends are paired, children are aligned by position
 DEPTH = 256  # of a tree; deeper elements are put side by side, as browsers do at twice that
 REFERENCE_BYTES = BROADCAST_BYTES // 4  # reference pages or wrappers that travel with the tasks
@@ -82,10 +82,18 @@ _WORDS = re.compile(r"[a-z]+")
 class Node:
     """An element, or a text node (tag `#`, text set). `drop`: never content."""
 
-    __slots__ = ("_plain", "children", "drop", "mark", "tag", "text")
+    __slots__ = ("_only", "_plain", "children", "drop", "mark", "tag", "text")
 
     def __init__(self, tag: str, text: str = "", mark: str = "", drop: bool = False):
-        self.tag, self.text, self.mark, self.drop, self.children, self._plain = tag, text, mark, drop, [], None
+        self.tag, self.text, self.mark, self.drop, self.children, self._plain, self._only = tag, text, mark, drop, [], None, None
+
+    @property
+    def only(self) -> str | bool:
+        """The text of an element that holds nothing but one text; False for others."""
+        if self._only is None:
+            c = self.children
+            self._only = c[0].plain if len(c) == 1 and c[0].tag == "#" else False
+        return self._only
 
     @property
     def plain(self) -> str:
@@ -206,12 +214,18 @@ def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
                 memo[key] = 1 + sum(size(p, q) for p, q in _by_place(xs, ys)), None
             else:
                 table = [[0] * (len(ys) + 1)]
+                others = [(q.tag, q.only, q) for q in ys]
                 for p in xs:
-                    above, row = table[-1], [0]
-                    for j, q in enumerate(ys):
-                        best = above[j + 1] if above[j + 1] >= row[j] else row[j]
-                        if p.tag == q.tag:
-                            s = above[j] + size(p, q)
+                    above, row, best = table[-1], [0], 0
+                    tag, only = p.tag, p.only
+                    for j, (q_tag, q_only, q) in enumerate(others):
+                        if above[j + 1] > best:
+                            best = above[j + 1]
+                        if tag == q_tag:
+                            if only is False or q_only is False:
+                                s = above[j] + size(p, q)
+                            else:  # an element around one text, as most are
+                                s = above[j] + (3 if only == q_only else 2)
                             if s > best:
                                 best = s
                         row.append(best)
@@ -280,6 +294,18 @@ def equal_texts(reference: Node, tree: Node) -> list[int]:
     return [number[id(x)] for x, y in match(reference, tree) if x.tag == "#" and id(x) in number and x.plain == y.plain]
 
 
+def candidate(html: str) -> Node:
+    """The tree of a page as it votes: parts that are never content are there, but empty."""
+    tree = parse(html)
+    todo = [tree]
+    while todo:
+        x = todo.pop()
+        if x.drop:
+            x.children = []
+        todo.extend(x.children)
+    return tree
+
+
 def voter(tree: Node) -> str:
     """What a page votes as: its longest text that may be content. Copies of an article, edited or not, are one voter."""
     return max((x.plain for x in _texts(tree)), key=len, default="")
@@ -287,7 +313,7 @@ def voter(tree: Node) -> str:
 
 def wrapper_of(reference: str, constant: list[int]) -> str:
     """The wrapper as JSON, a flat list of (parent, tag, text): the reference's constant texts and their ancestors."""
-    tree = parse(reference)
+    tree = candidate(reference)
     kept = {id(x) for i, x in enumerate(_texts(tree)) if i in set(constant)}
     order, parents, todo = [], {}, [tree]
     while todo:  # parents before children
@@ -314,7 +340,7 @@ def wrapper_of(reference: str, constant: list[int]) -> str:
 
 def induce(pages: list[str]) -> str:
     """The wrapper of pages of one layout, the first ones being the references; "" without a template. As Spark counts it."""
-    trees = [parse(p) for p in pages]
+    trees = [candidate(p) for p in pages]
     voters = len({voter(t) for t in trees})
     best: list[int] = []
     page = ""
@@ -474,8 +500,8 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                 if key not in trees:
                     if len(trees) >= 256:
                         trees.clear()
-                    trees[key] = [parse(p) for p in json.loads(own)]
-                tree = parse(html.as_py())
+                    trees[key] = [candidate(p) for p in json.loads(own)]
+                tree = candidate(html.as_py())
                 votes = [(-1, -1)]  # the page as a voter
                 votes += [(i, node) for i, t in enumerate(trees[key]) for node in equal_texts(t, tree)]
                 out["host"] += [key[0]] * len(votes)
