@@ -52,7 +52,7 @@ FIRST_BLOCK, BLOCK = 1 << 16, 1 << 18  # tokens of the first round's block; toke
 CHUNK = 4_096
 MOST_TASKS = 2_000  # training tasks
 SLICE = 8_192  # parameters averaged as one row
-FLUSH = 250_000  # distinct tokens held by a counting task
+FLUSH = 500_000  # distinct tokens held by a counting task
 ADD = 0.1
 END = b"\n"  # no word holds white space
 GROUPS = 6
@@ -133,8 +133,8 @@ class Vocabulary:
         out = [np.full(CONTEXT, self.start, dtype=np.int32)]
         for words in texts:
             ids = self.classes(words)
-            for i in np.flatnonzero(ids < 0).tolist():
-                ids[i] = len(self.class_of) + group(words[i])
+            others = np.flatnonzero(ids < 0)
+            ids[others] = [len(self.class_of) + group(words[i]) for i in others.tolist()]
             out += [ids, out[0]]
         return np.concatenate(out[:-1] if texts else out)
 
@@ -208,16 +208,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _nce(x: np.ndarray, q: np.ndarray, prior: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Gradient by the scores of a node's children, for tokens `x` whose child is `own`.
+def _nce(x: np.ndarray, q: np.ndarray, prior: np.ndarray, own: np.ndarray, scale: float = 1.0) -> np.ndarray:
+    """Gradient (times `scale`) by the scores of a node's children, for tokens `x` whose child is `own`.
 
     A score holds the log noise probability, so against NOISE draws the logit is q.x - log NOISE. The draws'
     part is summed over the children by their probability instead of drawn.
     """
-    s = _sigmoid(x @ q.T - np.float32(math.log(NOISE)))
+    s = x @ -q.T
+    np.exp(s, out=s)
+    s *= np.float32(NOISE)
+    s += 1  # 1 / s is the probability that a child is the token and no noise
     at = np.arange(len(x))
-    right = s[at, own] - 1
-    s *= (NOISE * prior).astype(np.float32)
+    right = (1 / s[at, own] - 1) * np.float32(scale)
+    np.divide((NOISE * scale * prior).astype(np.float32), s, out=s)
     s[at, own] += right
     return s
 
@@ -244,7 +247,10 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     flat = seq.ravel()
     r = (p["node"].take(tree.node_of.take(flat), axis=0) + p["own"].take(flat, axis=0)).reshape(*seq.shape, DIM)
     places = [r[:, CONTEXT - 1 - i: seq.shape[1] - 1 - i] for i in range(CONTEXT)]
-    pred = sum(place * p["c"][i] for i, place in enumerate(places)).reshape(-1, DIM)
+    pred = places[0] * p["c"][0]
+    for i in range(1, CONTEXT):
+        pred += places[i] * p["c"][i]
+    pred = pred.reshape(-1, DIM)
     target = seq[:, CONTEXT:].ravel()
     kept = np.flatnonzero(target != tree.size)
     if not len(kept):
@@ -253,9 +259,9 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     y, x = target.take(order), pred.take(order, axis=0)
     y2 = tree.leaf2.take(y)
     y1 = tree.mid1.take(y2)
-    n, scale, g_x = len(y), np.float32(1 / len(y)), None
+    n, scale = len(y), np.float32(1 / len(y))
 
-    g = _nce(x, p["q1"], tree.p1, y1) * scale
+    g = _nce(x, p["q1"], tree.p1, y1, scale)
     steps = [("q1", slice(None), g.T @ x)]
     g_x = g @ p["q1"]
 
@@ -264,7 +270,7 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     for lo, hi in zip(cut1[:-1].tolist(), cut1[1:].tolist()):
         a = int(y1[lo]) * tree.width
         b = min(a + tree.width, tree.n2)
-        g = _nce(x[lo:hi], p["q2"][a:b], tree.p2[a:b], y2[lo:hi] - a) * scale
+        g = _nce(x[lo:hi], p["q2"][a:b], tree.p2[a:b], y2[lo:hi] - a, scale)
         g_x[lo:hi] += g @ p["q2"][a:b]
         g_q[a:b], met[a:b] = g.T @ x[lo:hi], True
     rows = np.flatnonzero(met)
@@ -473,7 +479,7 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, tree: Tree, p: dict) -> DataF
     base_total = vocab.n + ADD * (vocab.v + 1)
     log_total = math.log10(base_total)
     group_log = np.log10(np.maximum(vocab.mass + ADD, ADD))  # each group holds one unseen type more
-    n_classes = len(vocab.class_of)
+    n_classes, start = len(vocab.class_of), np.full(CONTEXT, vocab.start, dtype=np.int32)
 
     def run(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
@@ -483,26 +489,24 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, tree: Tree, p: dict) -> DataF
 
         def model_block():
             logs = log_probs(p, tree, np.concatenate(block)) / np.log(10)
-            ends = np.cumsum([len(ids) - CONTEXT for ids in block])
+            ends = np.cumsum([len(ids) for ids in block[1::2]])
             out["model"][owners] += np.add.reduceat(logs, np.r_[0, ends[:-1]])
 
         for i, text in enumerate(batch.column("text")):
             words = tokens(text.as_py())
             ids = vocab.classes(words)
+            others = np.flatnonzero(ids < 0)
             known = ids[ids >= 0]
             out["n_tokens"][i], out["n_known"][i] = len(words), len(known)
             out["base"][i] = vocab.log_of.take(known).sum() - len(words) * log_total
-            rare: dict[int, int] = {}
-            of_group = 0.0
-            for j in np.flatnonzero(ids < 0).tolist():
-                h, g = token_hash(words[j]), group(words[j])
-                rare[h] = rare.get(h, 0) + 1
-                ids[j] = n_classes + g
-                of_group -= group_log[g]
-            out["model"][i] = of_group
-            rare_hash.append(list(rare))
-            rare_n.append(list(rare.values()))
-            block.append(np.r_[np.full(CONTEXT, vocab.start, dtype=np.int32), ids])
+            rare = [words[j] for j in others.tolist()]
+            groups = np.fromiter(map(group, rare), dtype=np.int32, count=len(rare))
+            ids[others] = n_classes + groups
+            out["model"][i] = -group_log.take(groups).sum()
+            hashes, times = np.unique(np.fromiter(map(token_hash, rare), dtype=np.int64, count=len(rare)), return_counts=True)
+            rare_hash.append(hashes)
+            rare_n.append(times)
+            block += [start, ids]
             owners.append(i)
             size += len(words)
             if size >= BLOCK:
