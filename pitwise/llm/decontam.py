@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwise.llm.common import arrow_map, bounded, key_column, materialize
@@ -366,6 +366,27 @@ def _matches(keyed: DataFrame, bitmap: np.ndarray | None, size: int, lengths: li
     return keyed.mapInArrow(run, f"id {kind}, text_hash long, hash long, pos int, slots array<string>, n_windows int, length int")
 
 
+def rare_windows(item_rows: DataFrame, coverage: float) -> DataFrame:
+    """(hash, item_hash) of the windows by which items are looked for: of each item its rarest places, one more than may be missed.
+
+    A document that covers the wanted share of an item's places holds one of them. How rare a place is, is told by the
+    items that share its windows; so what many items begin with brings no pair of document and item together.
+    """
+    shared = item_rows.select("hash", "item_hash").distinct().groupBy("hash").agg(F.count("*").alias("items"))
+    places = (item_rows.join(shared, "hash").groupBy("item_hash", "item_pos")
+              .agg(F.max("items").alias("items"), F.max("n_windows").alias("n_windows")))
+    rank = F.row_number().over(Window.partitionBy("item_hash").orderBy("items", "item_pos"))
+    wanted = places.withColumn("rank", rank).where(
+        F.col("rank") <= F.floor((1 - coverage) * F.col("n_windows") + 1e-9) + 1).select("item_hash", "item_pos")
+    return item_rows.join(wanted, ["item_hash", "item_pos"]).select("hash", "item_hash").distinct()
+
+
+def candidate_pairs(found: DataFrame, item_rows: DataFrame, coverage: float) -> DataFrame:
+    """(text_hash, item_hash) of documents and items that may reach the coverage."""
+    return found.select("hash", "text_hash").join(rare_windows(item_rows, coverage), "hash").select(
+        F.col("text_hash").alias("of_text"), F.col("item_hash").alias("of_item")).distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", size: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per contaminated document and item: doc_id, text_hash, item_id, n_windows, n_matched,
@@ -374,7 +395,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Null and blank texts and items have no windows and match nothing. Items without a
     usable window, or shorter than one, are found whole inside a longer text. Rows with the same id and text give one row. Texts
     with the same item id are judged each by itself, and the id has the best one's figures; null ids are an id of their own. An empty table on either side
-    gives no rows. Other columns are not read.
+    gives no rows. Other columns are not read. Windows are joined only for pairs that share a rare one (`rare_windows`).
     """
     items = benchmark.select(key_column(item_col).alias("item_id"), key_column("text").alias("text"))
     item_rows = materialize(_matches(_keyed(items, "item_id").distinct(), None, size), "decontam-items")
@@ -389,7 +410,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         bitmap = np.packbits(bitmap)
     keyed = _keyed(docs.select(key_column(id_col).alias("doc_id"), key_column(text_col).alias("text")), "doc_id")
     found = materialize(_matches(keyed, bitmap, size, lengths).drop("n_windows", "length"), "decontam-windows").withColumnRenamed("id", "doc_id")
-    matched = found.join(item_rows, "hash").groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
+    pairs = materialize(candidate_pairs(found, item_rows, coverage), "decontam-pairs")
+    both = found.join(pairs, F.col("text_hash") == F.col("of_text")).drop("of_text")
+    matched = both.join(item_rows, (both["hash"] == item_rows["hash"]) & (both["of_item"] == item_rows["item_hash"])).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.max("n_windows").alias("n_windows"),
         F.collect_list(F.struct("pos", "slots", "item_pos", "item_slots")).alias("matches"))
 

@@ -112,3 +112,18 @@ def test_every_text_of_an_item_id_is_searched(spark):
         items = spark.createDataFrame(list(zip(ids, [ITEM, other], strict=True)), "item_id long, text string")
         got = [(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()]
         assert sorted(got) == [(i, ids[0]) for i in range(3)]
+
+
+def test_a_shared_opening_brings_no_pairs_together(spark):
+    """300 documents and 300 items begin alike; only what is their own makes a pair, and no leak is lost."""
+    opening = "consider the following question about the history of a small town and answer it in one short sentence please"
+    own = [" ".join(f"w{i}x{k}" for k in range(25)) for i in range(300)]
+    items = spark.createDataFrame([(i, f"{opening} {w}") for i, w in enumerate(own)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{opening} {own[i] if i % 10 == 0 else f'other words of text {i} go on here'} end")
+                                  for i in range(300)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(i, i) for i in range(0, 300, 10)}
+    rows = decontam._matches(decontam._keyed(items, "item_id"), None, decontam.WINDOW)
+    rows = rows.select("hash", rows.pos.alias("item_pos"), "n_windows", rows.text_hash.alias("item_hash"))
+    found = decontam._matches(decontam._keyed(docs, "doc_id"), None, decontam.WINDOW)
+    assert decontam.candidate_pairs(found, rows, decontam.COVERAGE).count() == 30
