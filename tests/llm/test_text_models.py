@@ -254,3 +254,32 @@ def test_quality_messy_and_empty(spark, messy, empty):
     assert kept.columns == messy.columns and kept.count() == sum(r.predicted for r in got)
     assert quality.classify(messy, labels.limit(0)).count() == messy.count()
     assert quality.classify(empty, labels).count() == 0 and quality.keep_good(empty, labels).count() == 0
+
+
+def test_language_answer_equals_brute_force_distance(spark):
+    """Out-of-place distance written out: how far each of a text's n-grams is from its rank in a profile, at most `ranks`."""
+    ranks = 30
+    train = spark.createDataFrame([("a", "banana bandana cabana"), ("a", "banal cabal canal"), ("b", "the three thin thieves"),
+                                   ("b", "then this thing"), ("c", "über öl übel")], "lang string, text string")
+    texts = ["banana", "thing", "übel", "the banana", "zzz", "xyz the", "canal this öl", "a", "123", None, "tttt nnnn aaaa"]
+    docs = spark.createDataFrame([(i, t, "none") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    ranked = {}
+    for r in langid.profiles(train, ranks=ranks).collect():
+        ranked.setdefault(r.lang, {})[r.gram] = r.rank
+    assert all(sorted(p.values()) == list(range(len(p))) and len(p) <= ranks for p in ranked.values())
+    got = {r.doc_id: r for r in langid.identify(docs, train, ranks=ranks).collect()}
+    for i, t in enumerate(texts):
+        own = langid.ranking(*langid.ngrams(t), ranks).tolist()
+        if not own:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        distance = {lang: sum(min(abs(p[g] - k), ranks) if g in p else ranks for k, g in enumerate(own)) for lang, p in ranked.items()}
+        first, second = sorted(distance.items(), key=lambda x: (x[1], x[0]))[:2]
+        assert got[i].lang_pred == first[0]
+        assert got[i].score == pytest.approx((second[1] - first[1]) / second[1] if second[1] else 0.0)
+
+
+def test_language_profiles_are_limited_before_the_exchange(spark):
+    train = spark.createDataFrame([("a", "banana")], "lang string, text string")
+    plan = langid.profiles(train)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
