@@ -227,11 +227,11 @@ def publish_load(spark: SparkSession, tables: Mapping[str, DataFrame], root: str
 
 def latest_load(spark: SparkSession, root: str) -> str:
     """Id of the newest committed load (ids start with a UTC stamp)."""
-    try:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_committed")
+    latest = None
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         marks = spark.read.schema("load_id string, tables array<string>").json(f"{root}/_committed/*")
         latest = marks.agg(F.max("load_id")).first()[0]
-    except Exception as e:  # no folder yet
-        raise FileNotFoundError(f"no committed load under {root}") from e
     if latest is None:
         raise FileNotFoundError(f"no committed load under {root}")
     return latest
