@@ -276,20 +276,26 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     rows = np.flatnonzero(met)
     steps.append(("q2", rows, g_q[rows]))
 
-    # Leaves: LEAF_NOISE draws from the node, shared by its tokens in the batch.
-    cut2 = _runs(y2)
+    # Leaves: LEAF_NOISE draws from the node, shared by its tokens in the batch; some nodes at a time, to stay in the cache.
+    cut2, cut3 = _runs(y2), _runs(y)
     drawn = tree.leaves(y2.take(cut2), rng)
-    of = np.repeat(np.arange(len(cut2)), np.diff(np.r_[cut2, n]))
-    q_y, q_n = p["q3"].take(y, axis=0), p["q3"].take(drawn, axis=0).take(of, axis=0)
     log_k = np.float32(math.log(LEAF_NOISE))
-    good = (_sigmoid(np.einsum("nd,nd->n", x, q_y) - log_k) - 1) * scale
-    bad = _sigmoid(np.einsum("nd,nkd->nk", x, q_n) - log_k) * scale
-    g_x += good[:, None] * q_y
-    g_x += np.einsum("nk,nkd->nd", bad, q_n)
-    cut3 = _runs(y)
-    grads = np.add.reduceat((bad[:, :, None] * x[:, None, :]).reshape(n, -1), cut2, axis=0).reshape(-1, DIM)
+    ends = np.r_[cut2, n]
+    good, g_n = np.empty(n, np.float32), np.empty((len(cut2), LEAF_NOISE * DIM), np.float32)
+    first = 0
+    while first < len(cut2):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK)) - 1)
+        lo, hi = ends[first], ends[last]
+        some, starts = x[lo:hi], ends[first:last] - lo
+        of = np.repeat(np.arange(last - first), np.diff(ends[first: last + 1]))
+        q_y, q_n = p["q3"].take(y[lo:hi], axis=0), p["q3"].take(drawn[first:last], axis=0).take(of, axis=0)
+        right = good[lo:hi] = (_sigmoid(np.einsum("nd,nd->n", some, q_y) - log_k) - 1) * scale
+        bad = _sigmoid(np.einsum("nd,nkd->nk", some, q_n) - log_k) * scale
+        g_x[lo:hi] += right[:, None] * q_y + np.einsum("nk,nkd->nd", bad, q_n)
+        g_n[first:last] = np.add.reduceat((bad[:, :, None] * some[:, None, :]).reshape(hi - lo, -1), starts, axis=0)
+        first = last
+    grads = np.vstack([np.add.reduceat(good[:, None] * x, cut3, axis=0), g_n.reshape(-1, DIM)])
     rows = np.r_[y.take(cut3), drawn.ravel()]
-    grads = np.vstack([np.add.reduceat(good[:, None] * x, cut3, axis=0), grads])
     by_row = _order(rows)
     at = _runs(rows.take(by_row))
     steps.append(("q3", rows.take(by_row).take(at), np.add.reduceat(grads.take(by_row, axis=0), at, axis=0)))
@@ -484,7 +490,7 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, tree: Tree, p: dict) -> DataF
     def run(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
         out = {"n_tokens": np.zeros(n, np.int64), "n_known": np.zeros(n, np.int64), "base": np.zeros(n), "model": np.zeros(n)}
-        rare_hash, rare_n = [], []
+        rare_hash, rare_n = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         block, owners, size = [], [], 0
 
         def model_block():
@@ -516,7 +522,8 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, tree: Tree, p: dict) -> DataF
             model_block()
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
                 **{k: pa.array(x) for k, x in out.items()},
-                "rare": pa.array(rare_hash, pa.list_(pa.int64())), "rare_n": pa.array(rare_n, pa.list_(pa.int64()))}
+                **{k: pa.ListArray.from_arrays(pa.array(np.cumsum([len(x) for x in lists]), pa.int32()), pa.array(np.concatenate(lists)))
+                   for k, lists in (("rare", rare_hash), ("rare_n", rare_n))}}
 
     kind = src.schema["doc_id"].dataType.simpleString()
     rows = arrow_map(src, run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, "
