@@ -9,7 +9,7 @@ bounds drop most units before any bigram is made. The bigrams of the others join
 bigrams by hash; the shared ones are counted per unit and template.
 
 Pruning by rare words: a unit that reaches t shares t / (2 - t) of the template's bigrams at least. So it holds one of any
-set of words that are in more than the remaining bigrams. `anchors` are such sets, of the longest words; a text with no
+set of words that are in more than the remaining bigrams. `anchors` are such sets, of the longest words that aren't everyday ones; a text with no
 anchor of any template is dropped before it is cut into units.
 
 Spans: of the texts left, every bigram that a template has is placed. Places of one template that follow each other
@@ -117,6 +117,11 @@ TEMPLATES = {
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+# Words of everyday texts, anchors only if there is no other.
+COMMON = frozenset("""a all an and any are as at be but by can for from has have if in into is it its no not of on one or other so
+    such than that the their there these they this to was were which will with you your""".split())
+
+
 def bigrams(text: str) -> set[str]:
     """Distinct word bigrams of a normalised text."""
     words = re.findall("[0-9a-z]+", text.translate(str.maketrans(*LOWER)))
@@ -128,7 +133,7 @@ def anchors(text: str, threshold: float = THRESHOLD) -> set[str]:
     own = bigrams(text)
     spare = len(own) - math.ceil(threshold / (2 - threshold) * len(own) - 1e-9)  # bigrams that may be missing
     found, covered = set(), 0
-    for word in sorted({w for b in own for w in b.split()}, key=lambda w: (-len(w), w)):
+    for word in sorted({w for b in own for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w)):
         if covered > spare:
             break
         found.add(word)
@@ -164,7 +169,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     src = docs.select(key_column(id_col).alias("doc_id"), F.translate(key_column(text_col), *LOWER).alias("text")).where(
         "text is not null")
     words = sorted({w for t in known.values() for w in anchors(t, threshold)})
-    src = src.where(F.col("text").rlike("|".join(words) or "[^\\s\\S]"))
+    whole = f"(?<![0-9a-z])(?:{'|'.join(words)})(?![0-9a-z])" if words else r"[^\s\S]"
+    src = src.where(F.col("text").rlike(whole))
     blocks = F.split("text", BLANK, -1)
     units = F.concat(
         F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(F.lit("line").alias("unit"), i.alias("unit_no"), t.alias("part"))),
