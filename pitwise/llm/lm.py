@@ -398,17 +398,28 @@ def token_counts(src: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the written counts; the driver gets KNOWN tokens and six masses."""
+    """From the written counts; the driver gets about KNOWN tokens, six masses and as many different counts at most.
+
+    The most frequent tokens are told by the count that KNOWN of them reach, not by a sort, which would bring the first of
+    every partition to one task. Of the tokens that have just that count, those with the least hashes are taken.
+    """
     total = counts.groupBy("grp").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    top = counts.orderBy(F.desc("n"), "token").limit(KNOWN).select("token", "n").toArrow()
+    above, limit, share = 0, 0, 0.0
+    for r in counts.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).limit(KNOWN + 1).collect():
+        if above + r["tokens"] > KNOWN:
+            limit, share = r["n"], (KNOWN - above) / r["tokens"]
+            break
+        above += r["tokens"]
+    least = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    chosen = (F.col("n") > limit) | ((F.col("n") == limit) & (F.col("token_hash") < F.lit(least)))
+    top = counts.where(chosen).select("token", "n").toArrow()
     known = dict(zip(top.column("token").to_pylist(), top.column("n").to_pylist(), strict=True))
     mass = np.zeros(GROUPS)
     for r in total:
         mass[r["grp"]] = r["n"] + ADD * r["v"]
     n, v = sum(r["n"] for r in total), sum(r["v"] for r in total)
-    out = Vocabulary(known, n, v, mass)
-    for t in out.class_of:  # classes of their own are no part of their group
-        mass[group(t)] -= known[t] + ADD
+    for t, k in known.items():  # classes of their own are no part of their group
+        mass[group(t)] -= k + ADD
     return Vocabulary(known, n, v, np.maximum(mass, 0.0))
 
 

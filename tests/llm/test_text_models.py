@@ -68,6 +68,20 @@ def test_lm_probabilities_are_normalised():
     assert sum(vocab.prior) == pytest.approx(1) and tree.p1.sum() == pytest.approx(1)
 
 
+def test_lm_vocabulary_is_the_most_frequent_tokens(spark, monkeypatch):
+    rows = [(f"w{i}".encode(), 1 + i // 40) for i in range(1000)]  # 40 tokens of each count
+    counts = spark.createDataFrame([(lm.token_hash(t), lm.group(t), t, n) for t, n in rows], "token_hash long, grp int, token binary, n long")
+    for known in (300, 320, 10, 5000):
+        monkeypatch.setattr(lm, "KNOWN", known)
+        vocab = lm.vocabulary(counts)
+        taken, full = vocab.counts, known // 40 * 40
+        assert all(taken[t] == n for t, n in rows if t in taken) and vocab.n == sum(n for _, n in rows) and vocab.v == 1000
+        assert {t for t, n in sorted(rows, key=lambda x: -x[1])[:full]} <= set(taken)
+        assert abs(len(taken) - min(known, 1000)) <= 12  # ties are parted by hash
+        outside = sum(n + lm.ADD for t, n in rows if t not in taken)
+        assert vocab.mass.sum() == pytest.approx(outside)
+
+
 def test_lm_untrained_model_is_the_prior():
     vocab = small_vocab()
     tree = lm.Tree(vocab.prior)
