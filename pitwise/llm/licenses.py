@@ -166,11 +166,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     spark, known = docs.sparkSession, TEMPLATES if templates is None else templates
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     sizes = sorted({len(bigrams(t)) for t in known.values()} - {0})
-    src = docs.select(key_column(id_col).alias("doc_id"), F.translate(key_column(text_col), *LOWER).alias("text")).where(
-        "text is not null")
     words = sorted({w for t in known.values() for w in anchors(t, threshold)})
-    whole = f"(?<![0-9a-z])(?:{'|'.join(words)})(?![0-9a-z])" if words else r"[^\s\S]"
-    src = src.where(F.col("text").rlike(whole))
+    whole = f"(?i)(?<![0-9a-z])(?:{'|'.join(words)})(?![0-9a-z])" if words else r"[^\s\S]"  # (?i) holds for ASCII letters only
+    # The texts are read once; the few that are left are written for the two searches below.
+    left = docs.select(key_column(id_col).alias("doc_id"), key_column(text_col).alias("text")).where(F.col("text").rlike(whole))
+    src = materialize(left.withColumn("text", F.translate("text", *LOWER)), "license-candidates")
     blocks = F.split("text", BLANK, -1)
     units = F.concat(
         F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(F.lit("line").alias("unit"), i.alias("unit_no"), t.alias("part"))),
