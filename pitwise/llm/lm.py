@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ SEGMENT = 64  # tokens that are shuffled as one
 LEAST_BATCH, MOST_BATCH, BATCH_SHARE = 256, 16_384, 32
 ENOUGH, MOST_PASSES = 1_500_000, 20  # a corpus of fewer tokens is passed over until so many are seen, or so often
 FIRST_BLOCK, BLOCK = 1 << 16, 1 << 18  # tokens of the first round's block; tokens trained on or scored at once
-CHUNK = 4_096
+CHUNK, PART = 4_096, 2_048  # tokens scored, or trained on, in one matrix product
 MOST_TASKS = 2_000  # training tasks
 SLICE = 8_192  # parameters averaged as one row
 FLUSH = 500_000  # distinct tokens held by a counting task
@@ -261,9 +261,12 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     y1 = tree.mid1.take(y2)
     n, scale = len(y), np.float32(1 / len(y))
 
-    g = _nce(x, p["q1"], tree.p1, y1, scale)
-    steps = [("q1", slice(None), g.T @ x)]
-    g_x = g @ p["q1"]
+    g_x, g_q = np.empty_like(x), np.zeros_like(p["q1"])
+    for lo in range(0, n, PART):  # parts that fit the cache
+        g = _nce(x[lo: lo + PART], p["q1"], tree.p1, y1[lo: lo + PART], scale)
+        g_x[lo: lo + PART] = g @ p["q1"]
+        g_q += g.T @ x[lo: lo + PART]
+    steps = [("q1", slice(None), g_q)]
 
     g_q, met = np.zeros_like(p["q2"]), np.zeros(tree.n2, dtype=bool)
     cut1 = np.r_[_runs(y1), n]
@@ -284,7 +287,7 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     good, g_n = np.empty(n, np.float32), np.empty((len(cut2), LEAF_NOISE * DIM), np.float32)
     first = 0
     while first < len(cut2):
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK)) - 1)
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + PART)) - 1)
         lo, hi = ends[first], ends[last]
         some, starts = x[lo:hi], ends[first:last] - lo
         of = np.repeat(np.arange(last - first), np.diff(ends[first: last + 1]))
@@ -496,45 +499,55 @@ def _score_rows(src: DataFrame, vocab: Vocabulary, tree: Tree, p: dict) -> DataF
     base_total = vocab.n + ADD * (vocab.v + 1)
     log_total = math.log10(base_total)
     group_log = np.log10(np.maximum(vocab.mass + ADD, ADD))  # each group holds one unseen type more
-    n_classes, start = len(vocab.class_of), np.full(CONTEXT, vocab.start, dtype=np.int32)
+    n_classes = len(vocab.class_of)
 
     def run(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
         out = {"n_tokens": np.zeros(n, np.int64), "n_known": np.zeros(n, np.int64), "base": np.zeros(n), "model": np.zeros(n)}
-        rare_hash, rare_n = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        block, owners, size = [], [], 0
+        rare_hash, rare_n, rare_ends = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
 
-        def model_block():
-            logs = log_probs(p, tree, np.concatenate(block)) / np.log(10)
-            ends = np.cumsum([len(ids) for ids in block[1::2]])
-            out["model"][owners] += np.add.reduceat(logs, np.r_[0, ends[:-1]])
-
-        for i, text in enumerate(batch.column("text")):
-            words = tokens(text.as_py())
+        def score_block(at: int, texts: list[list[bytes]]):
+            """Sums of the texts from row `at` on."""
+            words = list(chain.from_iterable(texts))
+            size = np.array([len(t) for t in texts])
+            first, rows = np.r_[0, np.cumsum(size)[:-1]], slice(at, at + len(texts))
             ids = vocab.classes(words)
             others = np.flatnonzero(ids < 0)
-            known = ids[ids >= 0]
-            out["n_tokens"][i], out["n_known"][i] = len(words), len(known)
-            out["base"][i] = vocab.log_of.take(known).sum() - len(words) * log_total
+            logs = np.where(ids < 0, 0.0, vocab.log_of.take(np.maximum(ids, 0))) if n_classes else np.zeros(len(ids))
+            out["n_tokens"][rows], out["n_known"][rows] = size, size - np.add.reduceat(ids < 0, first, dtype=np.int64)
+            out["base"][rows] = np.add.reduceat(logs, first) - size * log_total
             rare = [words[j] for j in others.tolist()]
             groups = np.fromiter(map(group, rare), dtype=np.int32, count=len(rare))
             ids[others] = n_classes + groups
-            out["model"][i] = -group_log.take(groups).sum()
-            hashes, times = np.unique(np.fromiter(map(token_hash, rare), dtype=np.int64, count=len(rare)), return_counts=True)
-            rare_hash.append(hashes)
-            rare_n.append(times)
-            block += [start, ids]
-            owners.append(i)
-            size += len(words)
-            if size >= BLOCK:
-                model_block()
-                block, owners, size = [], [], 0
+            # Each text begins with its starts; its tokens follow.
+            seq = np.full(len(ids) + CONTEXT * len(texts), vocab.start, dtype=np.int32)
+            place = np.arange(len(ids)) + CONTEXT * np.repeat(np.arange(1, len(texts) + 1), size)
+            seq[place] = ids
+            model = log_probs(p, tree, seq) / np.log(10)
+            model[others] -= group_log.take(groups)
+            out["model"][rows] = np.add.reduceat(model, first)
+            hashes = np.fromiter(map(token_hash, rare), dtype=np.int64, count=len(rare))
+            of = np.searchsorted(first, others, side="right") - 1
+            order = np.lexsort((hashes, of))
+            hashes, of = hashes[order], of[order]
+            new = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])][: len(hashes)])
+            rare_hash.append(hashes[new])
+            rare_n.append(np.diff(np.r_[new, len(hashes)]))
+            rare_ends.append(rare_ends[-1][-1] + np.cumsum(np.bincount(of[new], minlength=len(texts))))
+
+        at, block, held = 0, [], 0
+        for text in batch.column("text"):
+            block.append(tokens(text.as_py()))
+            held += len(block[-1])
+            if held >= BLOCK:
+                score_block(at, block)
+                at, block, held = at + len(block), [], 0
         if block:
-            model_block()
+            score_block(at, block)
+        ends = pa.array(np.concatenate(rare_ends), pa.int32())
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
                 **{k: pa.array(x) for k, x in out.items()},
-                **{k: pa.ListArray.from_arrays(pa.array(np.cumsum([len(x) for x in lists]), pa.int32()), pa.array(np.concatenate(lists)))
-                   for k, lists in (("rare", rare_hash), ("rare_n", rare_n))}}
+                **{k: pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for k, x in (("rare", rare_hash), ("rare_n", rare_n))}}
 
     kind = src.schema["doc_id"].dataType.simpleString()
     rows = arrow_map(src, run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, "
