@@ -83,6 +83,28 @@ def test_staged_auc_and_the_stop(fitted, contract, monkeypatch):
     assert best == auc[stopped.stages[-1].getNumTrees]
 
 
+def test_best_round_is_told_by_bins_and_runs_double(fitted, contract, monkeypatch):
+    train, val, model = fitted
+    auc = {r.iteration: r.roc_auc for r in ML.staged_auc(model, val, contract.label).collect()}
+    for bins in (1, 4, 8192):  # wide bins tell less, and never lose a best round
+        monkeypatch.setattr(ML, "MARGIN_BINS", bins)
+        hopeful = ML.hopeful_rounds(model, val, contract.label)
+        assert {k for k in auc if auc[k] == max(auc.values())} <= set(hopeful) <= set(auc)
+    assert {r.iteration: r.roc_auc for r in ML.staged_auc(model, val, contract.label, hopeful).collect()} == {k: auc[k] for k in hopeful}
+    asked = []
+    monkeypatch.setattr(ML, "FIRST_TREES", 2)
+    monkeypatch.setattr(ML, "gbt", lambda c, max_iter, make=ML.gbt, **k: asked.append(max_iter) or make(c, max_iter=max_iter, **k))
+    monkeypatch.setattr(ML, "hopeful_rounds", lambda m, *_: [m.stages[-1].getNumTrees])  # always the last
+    ML.boost(train, val, contract, max_iter=16, stale=1, depth=2)
+    assert asked == [2, 4, 8, 16]
+
+
+def test_training_rows_keep_the_cores_busy(spark, rows, monkeypatch):
+    monkeypatch.setattr(ML, "TASK_ROWS", 100)
+    assert ML.sized(rows, 600).rdd.getNumPartitions() == min(6, spark.sparkContext.defaultParallelism) > 1
+    assert ML.sized(rows, 80).rdd.getNumPartitions() == 1 and ML.sized(rows, 600).count() == 600
+
+
 def test_importance_is_the_loss_of_average_precision(rows, fitted, contract):
     _, _, model = fitted
     got = {r.feature: r for r in A.permutation_importance(model, rows, contract).collect()}
