@@ -194,3 +194,11 @@ def test_asof_null_keys_match_nothing(spark):
              asof_join(left, right, "k", "t", "at", ["v"], hot_threshold=3), asof_join_weekly(left, right, "k", "t", "at", ["v"])]
     for out in forms:
         assert out.count() == 9 and {r.id: r.v for r in out.collect()} == want
+
+
+def test_asof_queries_join_the_operations_once(spark, tables):
+    """Operations are a join of the largest tables: written once, then read by every branch of the as-of join."""
+    from pitwise.plans.queries_features import q_asof_merchant_rate_hot_split
+
+    read = q_asof_merchant_rate_hot_split(tables).inputFiles()
+    assert read and not [f for f in read if "lineitem" in f or "orders" in f]
