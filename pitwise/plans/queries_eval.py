@@ -20,7 +20,7 @@ from pitwise.operators.fingerprint import content_fingerprint
 from pitwise.operators.labels import label_assembly, maturity_gate
 from pitwise.operators.sampling import capped_sample, undersample
 from pitwise.operators.splits import cut_points, split_check, split_summary, temporal_split
-from pitwise.plans.matrix import feature_matrix
+from pitwise.plans.matrix import feature_matrix, operations
 from pitwise.plans.snapshot import DATASET, build_snapshot, dataset_stats, publish
 from pitwise.registry import query
 from pitwise.session import materialize, new_scratch
@@ -37,7 +37,7 @@ PLAIN_COLUMNS = {"transaction_id", "customer_id", "authorized_at", "amount", "la
 SCORE_COLUMNS = ["transaction_id", "authorized_at", "label", "amount"]
 
 
-def _matrix(t, cols: list[str] | None = None):
+def _matrix(t, cols: list[str] | None = None, tx=None):
     # several passes (counts, quantiles, ranking) read the matrix: write it once (only
     # the columns the query needs) and read the frozen copy
     if cols and set(cols) <= PLAIN_COLUMNS:
@@ -45,7 +45,7 @@ def _matrix(t, cols: list[str] | None = None):
         tx = t.transactions.select(*{"transaction_id", "authorized_at", *cols} - {"label"})
         rows = label_assembly(tx, t.fraud_labels) if "label" in cols else maturity_gate(tx)
         return materialize(rows.select(*cols), "matrix")
-    m = feature_matrix(t.transactions, t.fraud_labels, t.merchants)
+    m = feature_matrix(operations(t.transactions) if tx is None else tx, t.fraud_labels, t.merchants)
     return materialize(m.select(*cols) if cols else m, "matrix")
 
 
@@ -146,7 +146,7 @@ FROM (SELECT count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives,
 CROSS JOIN bounds b CROSS JOIN cuts c""", *O.matrix_ctes(), CUTS_CTE))
 def q_snapshot_manifest(t):
     """Scalar part of a dry-run snapshot manifest (nothing written)."""
-    _, man, _ = build_snapshot(t.spark, t.transactions, t.fraud_labels, t.merchants, root="unused", dry_run=True)
+    _, man, _ = build_snapshot(t.spark, operations(t.transactions), t.fraud_labels, t.merchants, root="unused", dry_run=True)
     return man.select("rows", "positives", "fraud_rate", "recipe.now_ts", "recipe.transaction_cutoff",
                       "recipe.maturity_window_days", "recipe.merchant_rate_granularity", "split.train_end",
                       "split.val_end", F.size("feature_columns").alias("n_feature_columns"), "label_column")
@@ -155,7 +155,8 @@ def q_snapshot_manifest(t):
 @query("snapshot_write", O.sql("SELECT * FROM matrix", *O.matrix_ctes()))
 def q_snapshot_write(t):
     """Freeze the matrix under a fresh id in the shared scratch folder; read it back."""
-    _, _, data = build_snapshot(t.spark, t.transactions, t.fraud_labels, t.merchants, root=new_scratch(t.spark, "snapshots"))
+    _, _, data = build_snapshot(t.spark, operations(t.transactions), t.fraud_labels, t.merchants,
+                                 root=new_scratch(t.spark, "snapshots"))
     return data
 
 
@@ -165,9 +166,10 @@ SELECT unnest([1, 2]) AS publish, n_rows AS rows, substr(sha256, 1, 12) AS suffi
 def q_snapshot_publish(t):
     """The same content published twice, with a killed attempt between: one suffix, one data folder, two ids."""
     root = new_scratch(t.spark, "snapshots")
-    matrix = _matrix(t)
+    tx = operations(t.transactions)
+    matrix = _matrix(t, tx=tx)
     for k in range(2):
-        publish(t.spark, matrix, t.transactions, root, now=datetime(2024, 1, 1 + k, tzinfo=timezone.utc))
+        publish(t.spark, matrix, tx, root, now=datetime(2024, 1, 1 + k, tzinfo=timezone.utc))
         S.write_data(matrix.limit(1), root, DATASET, S.new_object_id())  # an attempt that ended before its manifest
     found = S.manifests(t.spark, root, DATASET)
     folders = found.select("data_path").distinct().count()

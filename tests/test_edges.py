@@ -202,3 +202,15 @@ def test_asof_queries_join_the_operations_once(spark, tables):
 
     read = q_asof_merchant_rate_hot_split(tables).inputFiles()
     assert read and not [f for f in read if "lineitem" in f or "orders" in f]
+
+
+def test_the_matrix_reads_operations_that_are_written_once(spark, tables, monkeypatch):
+    """A publish joins the largest tables once, not once for each step that reads operations."""
+    from pitwise.plans import queries_eval as Q
+
+    seen = []
+    kept = Q.publish
+    monkeypatch.setattr(Q, "publish", lambda spark, matrix, tx, *a, **k: (seen.append(tx.inputFiles()), kept(spark, matrix, tx, *a, **k))[1])
+    out = Q.q_snapshot_publish(tables)
+    assert out.count() == 2 and len(seen) == 2
+    assert all(files and not [f for f in files if "lineitem" in f or "orders" in f] for files in seen)
