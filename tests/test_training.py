@@ -142,12 +142,12 @@ def test_shared_tables_outlive_dropped_scratch_and_follow_their_tables(spark, tm
     from pitwise.sources.fixtures import RAW_TABLES, Tables
 
     for name in RAW_TABLES:
-        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
     t = Tables(spark, str(tmp_path))
     first = Q._parts(t)
     drop_scratch(spark)
     assert first["train"].count() > 0 and Q._parts(t) is first
     key = Q._key(t, "x")
-    shutil.copy("/root/testdata/sf0.01/customer.parquet", tmp_path / "customer.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/customer.parquet", tmp_path / "customer.parquet")
     assert Q._key(Tables(spark, str(tmp_path)), "x") != key  # customer is read too
     assert Q.drop_shared(spark) > 0 and not Q._CACHE
