@@ -9,6 +9,8 @@ a model accepts, and the parameters a run records, have an oracle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from pitwise.plans.scoring import score
 from pitwise.plans.snapshot import DATASET, build_snapshot
 from pitwise.registry import query
 from pitwise.session import delete_paths, materialize, new_scratch, unique_path
-from pitwise.sources.fixtures import RAW_TABLES
+from pitwise.sources.fixtures import RAW_TABLES, raw_path
 from pitwise.sources.snapshots import load_snapshot
 from pitwise.streaming.scoring import run_to_completion, start_scoring_stream
 
@@ -56,11 +58,11 @@ def drop_shared(spark) -> int:
 def _key(t, what: str) -> tuple:
     """Per application and state of all tables read: changed data or a new session are fitted anew.
 
-    One listing of the files, whose contents are not read.
+    One job lists the files of all tables; their contents are not read.
     """
-    paths = [t[name].inputFiles() for name in RAW_TABLES]
-    files = t.spark.read.format("binaryFile").load([p for some in paths for p in some])
-    state = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()
+    each = [t.spark.read.format("binaryFile").load(raw_path(t.sf_dir, name)).select("path", "modificationTime", "length")
+            for name in RAW_TABLES]
+    state = reduce(DataFrame.union, each).agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()
     return what, t.spark.sparkContext.applicationId, t.sf_dir, tuple(state)
 
 

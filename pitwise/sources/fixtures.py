@@ -111,8 +111,12 @@ _DEPS = {
 }
 
 
+def raw_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(raw_path(sf_dir, name))
 
 
 class Tables:

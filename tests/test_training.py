@@ -151,3 +151,21 @@ def test_shared_tables_outlive_dropped_scratch_and_follow_their_tables(spark, tm
     shutil.copyfile("/root/testdata/sf0.01/customer.parquet", tmp_path / "customer.parquet")
     assert Q._key(Tables(spark, str(tmp_path)), "x") != key  # customer is read too
     assert Q.drop_shared(spark) > 0 and not Q._CACHE
+
+
+def test_state_of_the_tables_is_told_by_a_listing_of_files(spark, tmp_path):
+    """One job over all tables, with a row a file instead of a row a row."""
+    from pitwise.plans import queries_models as Q
+    from pitwise.sources.fixtures import RAW_TABLES, Tables
+
+    home = tmp_path / "a b"  # a name that is encoded in a file's address
+    for name in RAW_TABLES:
+        spark.range(100).repartition(2).write.parquet(str(home / f"{name}.parquet"))
+    t = Tables(spark, str(home))
+    spark.sparkContext.setJobGroup("listing", "")
+    key = Q._key(t, "x")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("listing"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert key[-1][0] == 2 * len(RAW_TABLES) and jobs <= 2 and Q._key(t, "x") == key
+    spark.range(7).write.mode("append").parquet(str(home / f"{RAW_TABLES[-1]}.parquet"))
+    assert Q._key(Tables(spark, str(home)), "x") != key
