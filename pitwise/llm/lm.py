@@ -191,14 +191,29 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
 
 
+def _put(to: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Rows of a table replaced, each as one item of its bytes."""
+    kind = np.dtype((np.void, to.strides[0]))
+    to.view(kind)[:, 0][rows] = values.view(kind)[:, 0]
+
+
 def _descend(p: dict, state: dict, k: str, rows, grad: np.ndarray) -> None:
-    """One AdaGrad step of distinct rows."""
-    s = state[k][rows] + grad * grad
-    state[k][rows] = s
+    """One AdaGrad step of distinct rows (None: of all)."""
+    s = grad * grad
+    if rows is None:
+        s += state[k]
+        state[k][:] = s
+    else:
+        rows = rows.astype(np.int64)
+        s += state[k].take(rows, axis=0)
+        _put(state[k], rows, s)
     np.sqrt(s, out=s)
     np.divide(grad, s, out=s)
     s *= np.float32(RATE)
-    p[k][rows] -= s
+    if rows is None:
+        p[k] -= s
+    else:
+        _put(p[k], rows, np.subtract(p[k].take(rows, axis=0), s, out=s))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -266,18 +281,42 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
         g = _nce(x[lo: lo + PART], p["q1"], tree.p1, y1[lo: lo + PART], scale)
         g_x[lo: lo + PART] = g @ p["q1"]
         g_q += g.T @ x[lo: lo + PART]
-    steps = [("q1", slice(None), g_q)]
+    steps = [("q1", None, g_q)]
 
+    # Inner nodes: scores and gradients by node, what lies between at once for the nodes of about PART tokens. The share
+    # NOISE * scale * prior of a child is multiplied into its vector instead of each of its scores.
     g_q, met = np.zeros_like(p["q2"]), np.zeros(tree.n2, dtype=bool)
+    share = (NOISE * scale * tree.p2).astype(np.float32)
+    minus, shared = -p["q2"], p["q2"] * share[:, None]
     cut1 = np.r_[_runs(y1), n]
-    for lo, hi in zip(cut1[:-1].tolist(), cut1[1:].tolist()):
-        a = int(y1[lo]) * tree.width
-        b = min(a + tree.width, tree.n2)
-        g = _nce(x[lo:hi], p["q2"][a:b], tree.p2[a:b], y2[lo:hi] - a, scale)
-        g_x[lo:hi] += g @ p["q2"][a:b]
-        g_q[a:b], met[a:b] = g.T @ x[lo:hi], True
+    firsts = y1.take(cut1[:-1]).astype(np.int64) * tree.width
+    own = y2 - y1 * np.int32(tree.width)
+    k, room = 0, np.empty((max(PART, int(np.diff(cut1).max())), tree.width), np.float32)
+    while k < len(firsts):
+        last = max(k + 1, int(np.searchsorted(cut1, cut1[k] + PART, side="right")) - 1)
+        start, end = int(cut1[k]), int(cut1[last])
+        spans = list(zip((cut1[k:last] - start).tolist(), (cut1[k + 1: last + 1] - start).tolist(), firsts[k:last].tolist()))
+        s, some, back = room[:end - start], x[start:end], g_x[start:end]
+        for lo, hi, a in spans:
+            b = min(a + tree.width, tree.n2)
+            np.matmul(some[lo:hi], minus[a:b].T, out=s[lo:hi, :b - a])
+            s[lo:hi, b - a:] = 0
+        np.exp(s, out=s)
+        s *= np.float32(NOISE)
+        s += 1
+        np.reciprocal(s, out=s)
+        at, mine = np.arange(end - start), own[start:end]
+        right = s[at, mine]
+        s[at, mine] += (right - 1) * scale / share.take(y2[start:end])
+        for lo, hi, a in spans:
+            b = min(a + tree.width, tree.n2)
+            g = s[lo:hi, :b - a]
+            back[lo:hi] += g @ shared[a:b]
+            np.matmul(g.T, some[lo:hi], out=g_q[a:b])
+            met[a:b] = True
+        k = last
     rows = np.flatnonzero(met)
-    steps.append(("q2", rows, g_q[rows]))
+    steps.append(("q2", rows, g_q[rows] * share[rows, None]))
 
     # Leaves: LEAF_NOISE draws from the node, shared by its tokens in the batch; some nodes at a time, to stay in the cache.
     cut2, cut3 = _runs(y2), _runs(y)
@@ -310,7 +349,7 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
     g_r = np.zeros_like(r)
     for i in range(CONTEXT):
         g_r[:, CONTEXT - 1 - i: seq.shape[1] - 1 - i] += back * p["c"][i]
-    steps.append(("c", slice(None), np.stack([np.einsum("abd,abd->d", back, place) for place in places])))
+    steps.append(("c", None, np.stack([np.einsum("abd,abd->d", back, place) for place in places])))
     by_class = _order(flat)
     classes = flat.take(by_class)
     at = _runs(classes)

@@ -146,6 +146,34 @@ def test_lm_gradient_is_that_of_the_objective():
     assert got == pytest.approx(want, rel=1e-3)
 
 
+def test_lm_step_takes_inner_nodes_together(monkeypatch):
+    """Node by node there are matrix products only; rows of a table are replaced like by plain indexing."""
+    rng = np.random.default_rng(7)
+    prior = rng.random(1_000)
+    tree = lm.Tree(prior / prior.sum())
+    calls, plain = [], lm._nce
+    monkeypatch.setattr(lm, "_nce", lambda *a: calls.append(1) or plain(*a))
+    seq = rng.integers(0, 1_000, (8, lm.SEGMENT + lm.CONTEXT)).astype(np.int32)
+    got = []
+    for part in (lm.PART, 1, 100):  # nodes all at once, one by one, some at a time
+        monkeypatch.setattr(lm, "PART", part)
+        p = lm.init(tree)
+        p["q2"] += np.random.default_rng(9).standard_normal(p["q2"].shape).astype(np.float32)
+        state = {k: np.full_like(x, 1e-5) for k, x in p.items()}
+        calls.clear()
+        assert lm._step(p, tree, seq, state, np.random.default_rng(8)) == 8 * lm.SEGMENT
+        assert len(calls) == -(-8 * lm.SEGMENT // part) and tree.n1 == 10
+        got.append((p, state))
+    for p, state in got[1:]:
+        for k in p:
+            assert state[k] == pytest.approx(got[0][1][k], rel=1e-3, abs=1e-9)
+    table, rows = rng.random((50, lm.DIM), dtype=np.float32), np.array([3, 49, 7])
+    want, values = table.copy(), rng.random((3, lm.DIM), dtype=np.float32)
+    want[rows] = values
+    lm._put(table, rows, values)
+    assert (table == want).all()
+
+
 def test_lm_tree_keeps_like_spelling_together():
     known = {f"{a}{b}ung".encode(): 5 for a in "bdfghk" for b in "aeiou"} | {f"{a}{b}tion".encode(): 5 for a in "bdfghk" for b in "aeiou"}
     order = lm.spelling_order(known)
