@@ -283,11 +283,9 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
         g_q += g.T @ x[lo: lo + PART]
     steps = [("q1", None, g_q)]
 
-    # Inner nodes: scores and gradients by node, what lies between at once for the nodes of about PART tokens. The share
-    # NOISE * scale * prior of a child is multiplied into its vector instead of each of its scores.
+    # Inner nodes, as in `_nce`: products by node, what lies between at once for the nodes of about PART tokens.
     g_q, met = np.zeros_like(p["q2"]), np.zeros(tree.n2, dtype=bool)
-    share = (NOISE * scale * tree.p2).astype(np.float32)
-    minus, shared = -p["q2"], p["q2"] * share[:, None]
+    share, minus = (NOISE * scale * tree.p2).astype(np.float32), -p["q2"]
     cut1 = np.r_[_runs(y1), n]
     firsts = y1.take(cut1[:-1]).astype(np.int64) * tree.width
     own = y2 - y1 * np.int32(tree.width)
@@ -304,19 +302,21 @@ def _step(p: dict, tree: Tree, seq: np.ndarray, state: dict, rng) -> int:
         np.exp(s, out=s)
         s *= np.float32(NOISE)
         s += 1
-        np.reciprocal(s, out=s)
         at, mine = np.arange(end - start), own[start:end]
-        right = s[at, mine]
-        s[at, mine] += (right - 1) * scale / share.take(y2[start:end])
+        right = (1 / s[at, mine] - 1) * scale
+        for lo, hi, a in spans:
+            b = min(a + tree.width, tree.n2)
+            np.divide(share[a:b], s[lo:hi, :b - a], out=s[lo:hi, :b - a])
+        s[at, mine] += right
         for lo, hi, a in spans:
             b = min(a + tree.width, tree.n2)
             g = s[lo:hi, :b - a]
-            back[lo:hi] += g @ shared[a:b]
+            back[lo:hi] += g @ p["q2"][a:b]
             np.matmul(g.T, some[lo:hi], out=g_q[a:b])
             met[a:b] = True
         k = last
     rows = np.flatnonzero(met)
-    steps.append(("q2", rows, g_q[rows] * share[rows, None]))
+    steps.append(("q2", rows, g_q[rows]))
 
     # Leaves: LEAF_NOISE draws from the node, shared by its tokens in the batch; some nodes at a time, to stay in the cache.
     cut2, cut3 = _runs(y2), _runs(y)
