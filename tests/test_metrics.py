@@ -137,3 +137,15 @@ def test_sample_is_the_same_with_and_without_prefilter_on_null_and_repeated_ids(
     assert with_filter == without and len(set(without)) == 200
     assert 5 <= sum(v < 100 for v in without) <= 40  # rows without an id have their share, neither none nor all
     assert pick(1000) == sorted(r.v for r in hash_top_n(df.repartition(3), 200, "id", seed, total=1000).collect())
+
+
+def test_sampling_numbers_only_the_rows_at_its_edge(spark, monkeypatch):
+    from pitwise.operators import sampling as S
+
+    df = spark.range(20_000).withColumnRenamed("id", "transaction_id").withColumn("label", (F.col("transaction_id") % 50 == 0).cast("int"))
+    numbered, number = [], S.assign_ids
+    monkeypatch.setattr(S, "assign_ids", lambda pool, *a, **k: numbered.append(pool.count()) or number(pool, *a, **k))
+    got = {r[0] for r in S.undersample(df, seed=7).where("label = 0").select("transaction_id").collect()}
+    h = df.where("label = 0").select("transaction_id", F.md5(F.concat(F.lit("7:"), F.col("transaction_id").cast("string"))).alias("h"))
+    assert got == {r[0] for r in h.orderBy("h").limit(8000).collect()} and len(got) == 8000
+    assert len(numbered) == 1 and 0 < numbered[0] < 100
