@@ -124,3 +124,12 @@ def test_quality_checks_find_violations(spark):
     d = Q.apply_defaults(spark.createDataFrame([(None, None), ("USD", True)], "currency string, f boolean"),
                          {"currency": "RUB", "f": False})
     assert rows(d) == [("RUB", False), ("USD", True)]
+
+
+def test_weekly_rows_are_added_up_where_they_are_multiplied(tables):
+    """The expansion by weeks is not exchanged: 13 times the merchants' weeks would cross the network."""
+    from pitwise.operators.weekly import merchant_weekly_stats
+
+    plan = merchant_weekly_stats(tables.transactions, tables.fraud_labels)._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert "Generate" in plan and "Exchange" not in plan[:plan.index("Generate")]
