@@ -169,3 +169,18 @@ def test_state_of_the_tables_is_told_by_a_listing_of_files(spark, tmp_path):
     assert key[-1][0] == 2 * len(RAW_TABLES) and jobs <= 2 and Q._key(t, "x") == key
     spark.range(7).write.mode("append").parquet(str(home / f"{RAW_TABLES[-1]}.parquet"))
     assert Q._key(Tables(spark, str(home)), "x") != key
+
+
+def test_importance_scores_only_rows_that_an_exchange_changes(spark, contract, rows, fitted, monkeypatch):
+    """Each variant has the probability that scoring the exchanged rows gives; equal values, nulls too, are not scored again."""
+    _, _, model = fitted
+    few = rows.where("transaction_id < 200")
+    every = A.permuted(few, contract.features, "transaction_id", 42)
+    pred = model.transform(ML.prepare(every, contract))
+    want = sorted((r.feature, r.label, r.p) for r in pred.select("feature", "label", ML.positive_score(pred).alias("p")).collect())
+    scored, score = [], type(model.stages[-1]).transform
+    monkeypatch.setattr(type(model.stages[-1]), "transform", lambda self, d, *a: scored.append(d.count()) or score(self, d, *a))
+    got = A.permuted_scores(model, few, contract, "transaction_id", 42).collect()
+    assert sorted((r.feature, r.label, r.p) for r in got) == want and len(got) == 200 * (1 + len(FEATURES))
+    assert scored[0] == 200 and 200 < scored[1] < 200 * len(FEATURES)
+    assert all(r.p == r.p0 for r in got if r.feature == "")
