@@ -184,3 +184,16 @@ def test_importance_scores_only_rows_that_an_exchange_changes(spark, contract, r
     assert sorted((r.feature, r.label, r.p) for r in got) == want and len(got) == 200 * (1 + len(FEATURES))
     assert scored[0] == 200 and 200 < scored[1] < 200 * len(FEATURES)
     assert all(r.p == r.p0 for r in got if r.feature == "")
+
+
+def test_linear_models_of_the_leaderboard_share_their_preparation(rows, contract, monkeypatch):
+    from pitwise.plans import training as TR
+
+    train, val = rows.where("transaction_id < 400"), rows.where("transaction_id >= 400")
+    made, make = [], ML.linear_preparation
+    monkeypatch.setattr(ML, "linear_preparation", lambda *a: made.append(1) or make(*a))
+    table = {r.model: r for r in TR.leaderboard(train, val, contract, gbt_iter=2, rf_trees=5, linear_iter=20).collect()}
+    assert len(made) == 1 and len(table) == 4
+    alone = ML.logistic(contract, 400, 20).fit(ML.prepare(train, contract)).transform(ML.prepare(val, contract))
+    want = M.roc_auc(alone.select("label", ML.positive_score(alone).alias("s")), "label", "s").first()[0]
+    assert table["LogReg"].roc_auc == pytest.approx(want, abs=1e-3)
