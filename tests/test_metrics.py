@@ -143,9 +143,15 @@ def test_sampling_numbers_only_the_rows_at_its_edge(spark, monkeypatch):
     from pitwise.operators import sampling as S
 
     df = spark.range(20_000).withColumnRenamed("id", "transaction_id").withColumn("label", (F.col("transaction_id") % 50 == 0).cast("int"))
+    monkeypatch.setattr(S, "NUMBERED_ROWS", 0)
     numbered, number = [], S.assign_ids
     monkeypatch.setattr(S, "assign_ids", lambda pool, *a, **k: numbered.append(pool.count()) or number(pool, *a, **k))
     got = {r[0] for r in S.undersample(df, seed=7).where("label = 0").select("transaction_id").collect()}
     h = df.where("label = 0").select("transaction_id", F.md5(F.concat(F.lit("7:"), F.col("transaction_id").cast("string"))).alias("h"))
     assert got == {r[0] for r in h.orderBy("h").limit(8000).collect()} and len(got) == 8000
     assert len(numbered) == 1 and 0 < numbered[0] < 100
+    odd = spark.createDataFrame([(None if i < 100 else i // 3, i) for i in range(1000)], "id long, v long").repartition(5)
+    pick = lambda: sorted(r.v for r in S.hash_top_n(odd, 200, "id", 3, total=1000).collect())
+    by_digits = pick()
+    monkeypatch.setattr(S, "NUMBERED_ROWS", 1000)
+    assert pick() == by_digits
